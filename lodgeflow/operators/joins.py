@@ -1,0 +1,26 @@
+"""Join helpers: size-checked broadcast and the inequality join."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest side we broadcast explicitly. Anything bigger is left to the
+# planner (sort-merge, or an AQE runtime broadcast within its own threshold).
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+
+    The proof is a bounded count (``limit(max_rows + 1)``), so the check
+    itself never reads more than the limit from a large input.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def join_with_inequality(left: DataFrame, right: DataFrame, key: str,
+                         condition) -> DataFrame:
+    """Equi join on ``key`` (hashed) with a residual inequality."""
+    return left.join(right, key, "inner").filter(condition)
