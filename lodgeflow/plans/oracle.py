@@ -307,7 +307,7 @@ ORACLE: dict[str, str] = {
     "price_by_sentiment": _q("""
 SELECT review_sentiment, count(*) AS review_count,
        round(avg(price)::DOUBLE, 2) AS avg_price, round(stddev_samp(price)::DOUBLE, 2) AS price_stddev,
-       round(quantile_cont(price, 0.5)::DOUBLE, 2) AS median_price,
+       round(quantile_cont(CAST(price AS DOUBLE), 0.5), 2) AS median_price,
        CAST(min(price) AS DOUBLE) AS min_price, CAST(max(price) AS DOUBLE) AS max_price
 FROM mart r JOIN dim_listings l USING (listing_id) WHERE r.is_full_moon
 GROUP BY review_sentiment ORDER BY avg_price DESC NULLS FIRST"""),
