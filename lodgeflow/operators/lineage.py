@@ -29,11 +29,15 @@ DEFAULT_EXCLUDE = ("^profile.*", ".*lineage$")
 def keep_nodes(nodes: DataFrame, exclude_patterns: Sequence[str] = DEFAULT_EXCLUDE,
                name: str = "name") -> DataFrame:
     """Drop names matching any pattern at their start (``re.match``)."""
-    if not exclude_patterns:
-        return nodes.select(F.col(name).alias("name")).distinct()
-    bad = reduce(lambda a, b: a | b,
-                 [F.col(name).rlike("^(?:" + p.removeprefix("^") + ")") for p in exclude_patterns])
-    return nodes.filter(~bad).select(F.col(name).alias("name")).distinct()
+    return (nodes.filter(~_excluded(F.col(name), exclude_patterns))
+            .select(F.col(name).alias("name")).distinct())
+
+
+def _excluded(c: Column, patterns: Sequence[str]) -> Column:
+    """TRUE when ``c`` matches any pattern at its start."""
+    if not patterns:
+        return F.lit(False)
+    return reduce(lambda a, b: a | b, [c.rlike("^(?:" + p.removeprefix("^") + ")") for p in patterns])
 
 
 def kept_edges(edges: DataFrame, kept: DataFrame) -> DataFrame:
@@ -44,23 +48,38 @@ def kept_edges(edges: DataFrame, kept: DataFrame) -> DataFrame:
             .join(k, F.col("child") == F.col("__k"), "left_semi"))
 
 
-def transitive_closure(edges: DataFrame) -> DataFrame:
-    """G1c/G1d: every (src, dst) reachable, with its first-visit depth."""
-    e = reliable_checkpoint(edges.select("parent", "child").distinct())
-    reach = reliable_checkpoint(
-        e.select(F.col("parent").alias("src"), F.col("child").alias("dst"),
-                 F.lit(1).alias("depth")))
-    frontier = reach
+def prepare_edges(edges: DataFrame) -> DataFrame:
+    """Distinct edges hash-partitioned on ``parent``, checkpointed once.
+
+    The checkpoint keeps the partitioning, so joins and aggregates keyed on
+    ``parent`` that reuse it (every closure round, the direct counts) do not
+    shuffle the edges again.
+    """
+    return reliable_checkpoint(edges.select("parent", "child").distinct().repartition("parent"))
+
+
+def transitive_closure(edges: DataFrame, prepared: bool = False) -> DataFrame:
+    """G1c/G1d: every (src, dst) reachable, with its first-visit depth.
+
+    Each round joins the newest frontier with the (pre-partitioned) edges,
+    so only the frontier moves. Each BFS level is checkpointed once and the
+    result is the union of the levels (nothing already written is rewritten).
+    """
+    e = edges if prepared else prepare_edges(edges)
+    levels = [e.select(F.col("parent").alias("src"), F.col("child").alias("dst"),
+                       F.lit(1).alias("depth"))]
+    frontier = levels[0]
     depth = 1
     while True:
-        step = (frontier.join(e, frontier["dst"] == e["parent"])
-                .select(frontier["src"], e["child"].alias("dst")).distinct())
-        new = (step.join(reach.select("src", "dst"), ["src", "dst"], "left_anti")
-               .select("src", "dst", F.lit(depth + 1).alias("depth")))
-        new = reliable_checkpoint(new)
+        step = (frontier.alias("f").join(e.alias("e"), F.col("f.dst") == F.col("e.parent"))
+                .select(F.col("f.src").alias("src"), F.col("e.child").alias("dst")).distinct())
+        seen = reduce(DataFrame.unionByName, [lv.select("src", "dst") for lv in levels])
+        new = reliable_checkpoint(
+            step.join(seen, ["src", "dst"], "left_anti")
+            .select("src", "dst", F.lit(depth + 1).alias("depth")))
         if new.isEmpty():
-            return reach
-        reach = reliable_checkpoint(reach.unionByName(new))
+            return reduce(DataFrame.unionByName, levels)
+        levels.append(new)
         frontier = new
         depth += 1
 
@@ -123,11 +142,15 @@ def impact(edges: DataFrame, nodes: DataFrame | None = None,
     use it for model-sized graphs only; the counts are always distributed.
     """
     if nodes is None:
-        nodes = (edges.select(F.col("parent").alias("name"))
-                 .unionByName(edges.select(F.col("child").alias("name"))))
-    kept = keep_nodes(nodes, exclude_patterns)
-    e = kept_edges(edges, kept)
-    closure = transitive_closure(e)
+        # every endpoint is a node: only the name patterns can drop an edge
+        ok = lambda c: ~_excluded(F.col(c), exclude_patterns)
+        e = prepare_edges(edges.select("parent", "child").filter(ok("parent") & ok("child")))
+        kept = (e.select(F.col("parent").alias("name"))
+                .unionByName(e.select(F.col("child").alias("name"))).distinct())
+    else:
+        kept = keep_nodes(nodes, exclude_patterns)
+        e = prepare_edges(kept_edges(edges, kept))
+    closure = transitive_closure(e, prepared=True)
     direct = e.groupBy(F.col("parent").alias("name")).agg(
         F.count(F.lit(1)).alias("direct_downstream_count"),
         *([F.array_join(F.sort_array(F.collect_list("child")), ", ")

@@ -1,21 +1,20 @@
 """Table profiler (PR1a–PR1m) and sampling.
 
-Plan. Two passes over the table, both fully distributed:
-
-1. a typed one-row aggregate: total rows, whole-row distinct count (over an
-   md5 of the row text, so the shuffle key is narrow), earliest/latest per
-   date column, true/false counts per boolean column, freshness maximum;
-2. one unpivot to ``(column_name, value_text)`` grouped to
-   ``(column_name, value_text, cnt)``. The partial aggregate combines hot
-   values map-side, and every per-column metric — NULL and distinct counts,
-   mode, string lengths and patterns, numeric moments, exact percentiles
-   (``percentile`` weighted by ``cnt``) and 3σ outliers — is computed from
-   this compact table instead of the raw rows. Dates get a second entry
-   (``<col>#day``) so their distinct-day count comes from the same pass.
-
-The long per-column result is the primary output; ``profile_table`` pivots
-it to the one-wide-row-per-run shape and ``merge_profile_history`` appends
-runs incrementally (W7 → W6 → W4).
+Plan. One scan of the table: every row is unpivoted to
+``(column_name, value_text)`` and grouped to ``(column_name, value_text, cnt)``.
+The partial aggregate combines hot values map-side before the shuffle, and
+every metric — NULL and distinct counts, mode, string lengths and patterns,
+earliest/latest, true/false counts, numeric moments, exact percentiles
+(from running counts over the sorted values), 3σ outliers — is computed from that
+compact table instead of the raw rows. Two pseudo-columns ride along:
+``<col>#day`` (the calendar day of a date column, for distinct days) and
+``#row`` (an md5 of the whole row text, for whole-row distinct counts; the
+hash keeps the shuffle key narrow).
+
+``profile_frame`` is the long per-column result; ``profile_table`` pivots it
+to the reference's one-wide-row-per-run shape with one more aggregate over
+that small frame, and ``merge_profile_history`` appends runs incrementally
+(W7 → W6 → W4).
 """
 
 from __future__ import annotations
@@ -23,15 +22,17 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeflow.functions.columns import (count_when, full_match, hour_diff, row_text,
+from lodgeflow.functions.columns import (full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
 from lodgeflow.operators.load import merge_upsert, reconcile_schema, skip_existing
+from lodgeflow.session import reliable_checkpoint
 
 DAY_SUFFIX = "#day"
+ROW_KEY = "#row"
 # The profiler's text patterns and thresholds.
 NUMERIC_PATTERN = "^[0-9]+$"
 ALPHA_PATTERN = r"^[A-Za-z\s]+$"
@@ -88,9 +89,14 @@ def sample_rows(df: DataFrame, pct: float, seed: int = 42, method: str = "bernou
     raise ValueError(f"unknown sampling method {method!r}")
 
 
-# --- pass 2: value counts ------------------------------------------------------
-def value_counts(df: DataFrame, cols: Sequence[tuple[str, str]]) -> DataFrame:
-    """``(column_name, v, cnt)`` for every profiled column, NULL as ``v IS NULL``."""
+# --- the single pass: value counts --------------------------------------------------
+def value_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool = True) -> DataFrame:
+    """``(column_name, v, cnt)`` for every profiled column, NULL as ``v IS NULL``.
+
+    Temporal columns add a ``<col>#day`` entry (their calendar day) and, with
+    ``row_hash``, a ``#row`` entry carries the md5 of the whole row text, so
+    whole-row distinct counts come out of the same pass.
+    """
     entries = []
     for name, fam in cols:
         entries.append(F.struct(F.lit(name).alias("column_name"),
@@ -98,20 +104,49 @@ def value_counts(df: DataFrame, cols: Sequence[tuple[str, str]]) -> DataFrame:
         if fam == "temporal":
             entries.append(F.struct(F.lit(name + DAY_SUFFIX).alias("column_name"),
                                     F.to_date(_q(name)).cast("string").alias("v")))
+    if row_hash:
+        entries.append(F.struct(F.lit(ROW_KEY).alias("column_name"),
+                                F.md5(row_text([_q(n) for n, _ in cols])).alias("v")))
     long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.column_name", "e.v")
     return long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def _exact_percentiles(nums: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Exact continuous percentiles per column from ``(column_name, x, cnt)``.
+
+    A running count over the distinct values (a window sorted by value,
+    which spills to disk) gives each value's rank range; the values at ranks
+    ``floor`` and ``ceil`` of ``p·(n−1)`` are interpolated — the definition of
+    ``percentile_cont``. No per-group in-memory map of all values is built,
+    so a column with billions of distinct values cannot exhaust memory.
+    """
+    cnt = F.col("cnt")
+    before = F.coalesce(F.sum(cnt).over(
+        Window.partitionBy("column_name").orderBy("x")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum(cnt).over(Window.partitionBy("column_name"))
+    ranked = nums.select("column_name", "x", "cnt", before.alias("before"), total.alias("n"))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = F.lit(p) * (F.col("n") - 1)
+        for tag, k in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = (F.col("before") <= k) & (k < F.col("before") + cnt)
+            aggs.append(F.max(F.when(hit, F.col("x"))).alias(f"{tag}{i}"))
+        aggs.append(F.max(pos - F.floor(pos)).alias(f"frac{i}"))
+    got = ranked.groupBy("column_name").agg(*aggs)
+    return got.select("column_name", *[
+        (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"frac{i}")).alias(f"q{i}")
+        for i in range(len(probs))])
+
+
 def _numeric_stats(vc: DataFrame, numeric: list[str]) -> DataFrame:
     x = F.col("v").cast("double")
     cnt = F.col("cnt")
     nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
              .select("column_name", x.alias("x"), "cnt")
-    pct = F.array(*[F.lit(p) for p in PERCENTILES])
     a = nums.groupBy("column_name").agg(
         F.sum(cnt).alias("n"), F.sum(F.col("x") * cnt).alias("s1"),
-        F.min("x").alias("min"), F.max("x").alias("max"),
-        F.percentile(F.col("x"), pct, cnt).alias("pcts"))
+        F.min("x").alias("min"), F.max("x").alias("max"))
     a = a.select("*", (F.col("s1") / F.col("n")).alias("avg"))
     # one row per profiled column: bounded by the schema width
     means = F.broadcast(a.select("column_name", "avg", "n"))
@@ -126,22 +161,26 @@ def _numeric_stats(vc: DataFrame, numeric: list[str]) -> DataFrame:
          .groupBy("column_name")
          .agg(F.sum(F.when(F.abs(F.col("x") - F.col("avg")) > OUTLIER_SIGMAS * F.col("stddev"),
                            cnt).otherwise(F.lit(0))).alias("outlier_count")))
+    q = _exact_percentiles(nums, PERCENTILES)
     return (a.join(b.select("column_name", "variance", "stddev"), "column_name")
-            .join(c, "column_name")
+            .join(c, "column_name").join(q, "column_name")
             .select("column_name", "min", "max", "avg", "stddev", "variance",
-                    F.col("pcts")[0].alias("p25"), F.col("pcts")[1].alias("median"),
-                    F.col("pcts")[2].alias("p75"), F.col("outlier_count").cast("bigint")
+                    F.col("q0").alias("p25"), F.col("q1").alias("median"),
+                    F.col("q2").alias("p75"), F.col("outlier_count").cast("bigint")
                     .alias("outlier_count")))
 
 
-def column_profile(df: DataFrame, exclude: Sequence[str] = (),
-                   advanced: bool = True) -> DataFrame:
-    """One row per profiled column with every metric that applies to it."""
+def profile_frame(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+    """Every metric of every column (plus the ``#row`` pseudo-column), one row
+    per column, computed from one scan of ``df``."""
     cols = column_families(df, exclude)
-    vc = value_counts(df, cols)
+    # The only scan of ``df``. Everything below reads this compact table
+    # several times, so it is checkpointed to the shared folder once
+    # (eager: this call runs the scan).
+    vc = reliable_checkpoint(value_counts(df, cols))
     v, cnt = F.col("v"), F.col("cnt")
     nn = v.isNotNull()
-    base = vc.filter(~F.col("column_name").endswith(DAY_SUFFIX)).groupBy("column_name").agg(
+    stats = vc.groupBy("column_name").agg(
         F.sum(cnt).alias("total_rows"),
         F.coalesce(F.sum(F.when(~nn, cnt)), F.lit(0)).alias("null_count"),
         F.count(v).alias("distinct_count"),
@@ -153,14 +192,18 @@ def column_profile(df: DataFrame, exclude: Sequence[str] = (),
         F.sum(F.when((F.trim(v) == "") & (v != ""), cnt).otherwise(0)).alias("whitespace_only_count"),
         F.sum(F.when(full_match(v, NUMERIC_PATTERN), cnt).otherwise(0)).alias("numeric_pattern_count"),
         F.sum(F.when(full_match(v, ALPHA_PATTERN), cnt).otherwise(0)).alias("alpha_pattern_count"),
+        # text of dates/timestamps orders like the values (4-digit years)
+        F.min(v).alias("min_text"), F.max(v).alias("max_text"),
+        F.sum(F.when(v == "true", cnt).otherwise(0)).alias("true_count"),
+        F.sum(F.when(v == "false", cnt).otherwise(0)).alias("false_count"),
     )
-    days = (vc.filter(F.col("column_name").endswith(DAY_SUFFIX))
-            .groupBy(F.expr(f"substring(column_name, 1, length(column_name) - {len(DAY_SUFFIX)})")
-                     .alias("column_name"))
-            .agg(F.count(v).alias("distinct_dates")))
-    family = F.create_map(*[x for n, f in cols for x in (F.lit(n), F.lit(f))]) \
-        if cols else F.create_map().cast("map<string,string>")
-    out = base.join(days, "column_name", "left").select("*", family[F.col("column_name")].alias("family"))
+    days = (stats.filter(F.col("column_name").endswith(DAY_SUFFIX))
+            .select(F.expr(f"substring(column_name, 1, length(column_name) - {len(DAY_SUFFIX)})")
+                    .alias("column_name"), F.col("distinct_count").alias("distinct_dates")))
+    pairs = [x for n, f in cols for x in (F.lit(n), F.lit(f))] + [F.lit(ROW_KEY), F.lit("row")]
+    family = F.create_map(*pairs)[F.col("column_name")]
+    out = (stats.filter(~F.col("column_name").endswith(DAY_SUFFIX))
+           .join(days, "column_name", "left").select("*", family.alias("family")))
     numeric = [n for n, f in cols if f == "numeric"]
     if numeric:
         out = out.join(_numeric_stats(vc, numeric), "column_name", "left")
@@ -169,63 +212,83 @@ def column_profile(df: DataFrame, exclude: Sequence[str] = (),
             out = out.withColumn(c, F.lit(None).cast("double"))
         out = out.withColumn("outlier_count", F.lit(None).cast("bigint"))
     total, distinct = F.col("total_rows"), F.col("distinct_count")
-    is_str = F.col("family") == "string"
-    is_num = F.col("family") == "numeric"
+    fam = F.col("family")
     category = (F.when(distinct == total, "UNIQUE").when(distinct == 1, "CONSTANT")
                 .when(distinct <= LOW_CARDINALITY_MAX, "LOW_CARDINALITY")
                 .when(distinct <= MEDIUM_CARDINALITY_MAX, "MEDIUM_CARDINALITY")
                 .otherwise("HIGH_CARDINALITY"))
-    res = out.select(
+    return out.select(
         "column_name", "family", "total_rows", "null_count", "distinct_count",
         F.round(safe_divide((total - F.col("null_count")) * 100.0, total), 2).alias("completeness_rate"),
         F.round(safe_divide(distinct * 100.0, total), 2).alias("uniqueness_rate"),
         category.alias("cardinality_category"),
-        *[F.when(is_str, F.col(c)).alias(c) for c in
+        *[F.when(fam == "string", F.col(c)).alias(c) for c in
           ("mode", "min_length", "max_length", "avg_length", "empty_count",
            "whitespace_only_count", "numeric_pattern_count", "alpha_pattern_count")],
-        *[F.when(is_num, F.col(c)).alias(c) for c in
+        *[F.when(fam == "numeric", F.col(c)).alias(c) for c in
           ("min", "max", "avg", "stddev", "variance", "p25", "median", "p75", "outlier_count")],
-        "distinct_dates")
+        F.when(fam == "temporal", F.col("min_text").cast("timestamp_ntz")).alias("earliest"),
+        F.when(fam == "temporal", F.col("max_text").cast("timestamp_ntz")).alias("latest"),
+        "distinct_dates",
+        *[F.when(fam == "boolean", F.col(c)).alias(c) for c in ("true_count", "false_count")])
+
+
+def column_profile(df: DataFrame, exclude: Sequence[str] = (),
+                   advanced: bool = True) -> DataFrame:
+    """One row per profiled column with every metric that applies to it."""
+    res = profile_frame(df, exclude).filter(F.col("family") != "row")
     if not advanced:
         res = res.select("column_name", "family", "total_rows", "null_count", "distinct_count",
-                         "min_length", "max_length", "avg_length", "min", "max", "avg")
+                         "min_length", "max_length", "avg_length", "min", "max", "avg",
+                         "earliest", "latest", "true_count", "false_count")
     return res
 
 
-# --- pass 1: typed table aggregate ------------------------------------------------------
-def table_metrics(df: DataFrame, exclude: Sequence[str] = (), date_col: str | None = None,
-                  as_of=None, freshness_hours: float = 24) -> DataFrame:
-    """One row: totals, whole-row distinct count, typed date/boolean metrics,
-    freshness."""
-    cols = column_families(df, exclude)
-    names = [n for n, _ in cols]
-    aggs = [F.count(F.lit(1)).alias("total_rows"),
-            F.count_distinct(F.md5(row_text([_q(n) for n in names]))).alias("distinct_rows")]
+def _table_aggs(df: DataFrame, cols: list[tuple[str, str]], date_col: str | None,
+                as_of, freshness_hours: float, advanced: bool = True) -> list[Column]:
+    """Aggregates over ``profile_frame`` giving the table-level metrics with
+    the columns' own types restored."""
+    def pick(name: str, metric: str) -> Column:
+        return F.max(F.when(F.col("column_name") == name, F.col(metric)))
+
+    total = F.coalesce(pick(ROW_KEY, "total_rows"), F.lit(0))          # empty table: 0 rows
+    distinct = F.coalesce(pick(ROW_KEY, "distinct_count"), F.lit(0))
+    aggs = [total.alias("total_rows"), distinct.alias("distinct_rows"),
+            F.round(safe_divide((total - distinct) * 100.0, total), 2).alias("duplicate_rate")]
+    types = {f.name: f.dataType for f in df.schema.fields}
     for n, f in cols:
         if f == "temporal":
-            aggs += [F.min(_q(n)).alias(f"{n}_earliest"), F.max(_q(n)).alias(f"{n}_latest")]
+            lo = pick(n, "earliest").cast(types[n])
+            hi = pick(n, "latest").cast(types[n])
+            aggs += [lo.alias(f"{n}_earliest"), hi.alias(f"{n}_latest")]
+            if advanced:
+                days = pick(n, "distinct_dates")
+                aggs += [F.datediff(F.to_date(hi), F.to_date(lo)).alias(f"{n}_date_range_days"),
+                         days.alias(f"{n}_distinct_dates"),
+                         F.round(safe_divide(total, days), 2).alias(f"{n}_records_per_day_avg")]
         elif f == "boolean":
-            aggs += [count_when(_q(n) == F.lit(True)).alias(f"{n}_true_count"),
-                     count_when(_q(n) == F.lit(False)).alias(f"{n}_false_count")]
-    if date_col:
-        aggs.append(F.max(_q(date_col)).alias("latest_record_date"))
-    m = df.agg(*aggs)
-    extra = [F.round(safe_divide((F.col("total_rows") - F.col("distinct_rows")) * 100.0,
-                                 F.col("total_rows")), 2).alias("duplicate_rate")]
-    for n, f in cols:
-        if f == "temporal":
-            extra.append(F.datediff(F.to_date(F.col(f"{n}_latest")),
-                                    F.to_date(F.col(f"{n}_earliest"))).alias(f"{n}_date_range_days"))
+            aggs += [pick(n, "true_count").alias(f"{n}_true_count"),
+                     pick(n, "false_count").alias(f"{n}_false_count")]
     if date_col:
-        now = _as_ts(as_of)
-        hours = hour_diff(F.col("latest_record_date"), now)
-        extra += [hours.alias("hours_since_update"),
-                  F.when(hours > freshness_hours, "STALE").otherwise("FRESH").alias("freshness_status")]
+        latest = pick(date_col, "latest").cast(types[date_col])
+        hours = hour_diff(latest, _as_ts(as_of))
+        aggs += [hours.alias("hours_since_update"),
+                 F.when(hours > freshness_hours, "STALE").otherwise("FRESH").alias("freshness_status"),
+                 latest.alias("latest_record_date")]
     else:
-        extra += [F.lit(None).cast("bigint").alias("hours_since_update"),
-                  F.lit(None).cast("string").alias("freshness_status"),
-                  F.lit(None).cast("timestamp_ntz").alias("latest_record_date")]
-    return m.select("*", *extra)
+        aggs += [F.lit(None).cast("bigint").alias("hours_since_update"),
+                 F.lit(None).cast("string").alias("freshness_status"),
+                 F.lit(None).cast("timestamp_ntz").alias("latest_record_date")]
+    return aggs
+
+
+def table_metrics(df: DataFrame, exclude: Sequence[str] = (), date_col: str | None = None,
+                  as_of=None, freshness_hours: float = 24) -> DataFrame:
+    """One row: totals, whole-row distinct count and duplicate rate, typed
+    earliest/latest per date column, true/false counts per boolean column,
+    freshness — from the same single pass as the column metrics."""
+    cols = column_families(df, exclude)
+    return profile_frame(df, exclude).agg(*_table_aggs(df, cols, date_col, as_of, freshness_hours))
 
 
 def _as_ts(value) -> Column:
@@ -241,13 +304,14 @@ def _as_ts(value) -> Column:
 # --- wide row (PR1a–PR1k) --------------------------------------------------------
 WIDE_METRICS = {
     "boolean": (),
-    "temporal": ("distinct_dates",),
+    "temporal": (),
     "string": ("min_length", "max_length", "avg_length", "mode", "empty_count",
                "whitespace_only_count", "numeric_pattern_count", "alpha_pattern_count"),
     "numeric": ("min", "max", "avg", "stddev", "variance", "p25", "median", "p75",
                 "outlier_count"),
     "other": (),
 }
+BASIC_METRICS = ("min_length", "max_length", "avg_length", "min", "max", "avg")
 QUALITY_METRICS = ("completeness_rate", "uniqueness_rate", "cardinality_category")
 UNIVERSAL_METRICS = ("null_count", "distinct_count")
 
@@ -258,26 +322,20 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
                   frequency: str = "daily", as_of=None, env: str = "dev",
                   sample_seed: int = 42) -> DataFrame:
     """One wide row per run: header, row metrics, ``<col>_<metric>`` columns,
-    freshness and a change hash."""
+    freshness and a change hash — one scan of the table, then one aggregate
+    over the per-column frame (a row per column)."""
     base = sample_rows(df, sample_pct, sample_seed) if sample_pct else df
     cols = column_families(base, exclude)
-    per_col = column_profile(base, exclude, advanced=True)
-    wide_aggs = []
+    frame = profile_frame(base, exclude)
+    aggs = _table_aggs(base, cols, date_col, as_of, freshness_hours, advanced)
     hash_parts = [F.col("total_rows"), F.col("distinct_rows")]
     for n, f in cols:
-        metrics = (WIDE_METRICS[f] if advanced else
-                   tuple(m for m in WIDE_METRICS[f] if m in ("min_length", "max_length",
-                                                            "avg_length", "min", "max", "avg")))
+        metrics = WIDE_METRICS[f] if advanced else tuple(m for m in WIDE_METRICS[f] if m in BASIC_METRICS)
         metrics = metrics + (QUALITY_METRICS if advanced else ()) + UNIVERSAL_METRICS
-        for m in metrics:
-            wide_aggs.append(F.max(F.when(F.col("column_name") == n, F.col(m))).alias(f"{n}_{m}"))
+        aggs += [F.max(F.when(F.col("column_name") == n, F.col(m))).alias(f"{n}_{m}")
+                 for m in metrics]
         hash_parts += [F.col(f"{n}_null_count"), F.col(f"{n}_distinct_count")]
-    wide = per_col.agg(*wide_aggs) if wide_aggs else per_col.limit(0).agg(F.count(F.lit(1)).alias("_"))
-    tm = table_metrics(base, exclude, date_col, as_of, freshness_hours)
-    if not advanced:
-        tm = tm.drop(*[c for c in tm.columns if c.endswith("_date_range_days")])
-    # the typed one-row aggregate enters as a single struct scalar subquery
-    packed = tm.select(F.struct(*tm.columns).alias("m")).scalar()
+    wide = frame.agg(*aggs)
     now = _as_ts(as_of)
     pdate = truncate_period(now, frequency)
     header = [
@@ -287,20 +345,11 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
         F.lit(frequency).alias("profile_frequency"),
         F.concat(F.lit(env), F.lit("_"), F.lit(model_name), F.lit("_"),
                  F.date_format(pdate, "yyyyMMddHH")).alias("profile_run_id"),
+        F.lit(sample_pct).cast("double").alias("sample_percentage"),
+        F.lit("sampled" if sample_pct else "full").alias("data_type"),
+        F.lit(len(cols)).alias("total_columns"),
     ]
-    tm_cols = [packed.getField(c).alias(c) for c in tm.columns]
-    sample_cols = [F.lit(sample_pct).cast("double").alias("sample_percentage"),
-                   F.lit("sampled" if sample_pct else "full").alias("data_type"),
-                   F.lit(len(cols)).alias("total_columns")]
-    # temporal distinct days/records-per-day need the scalar total
-    extra = []
-    for n, f in cols:
-        if f == "temporal" and advanced:
-            extra.append(F.round(safe_divide(packed.getField("total_rows"),
-                                             F.col(f"{n}_distinct_dates")), 2)
-                         .alias(f"{n}_records_per_day_avg"))
-    out = wide.select(*header, *tm_cols, *sample_cols, "*", *extra)
-    return out.select("*", F.xxhash64(*hash_parts).alias("profile_hash"))
+    return wide.select(*header, "*", F.xxhash64(*hash_parts).alias("profile_hash"))
 
 
 def merge_profile_history(history: DataFrame | None, runs: DataFrame,

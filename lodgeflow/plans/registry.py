@@ -239,34 +239,17 @@ def q_profile_string(spark, sf):
 
 
 def q_profile_dates(spark, sf):
-    df = _lwh(spark, sf)
-    p = profile.column_profile(df).filter(F.col("family") == "temporal")
-    t = profile.table_metrics(df)
-    packed = t.select(F.struct(*t.columns).alias("m")).scalar()
-    rows = []
-    for name, fam in profile.column_families(df):
-        if fam != "temporal":
-            continue
-        rows.append(p.filter(F.col("column_name") == name).select(
-            "column_name",
-            packed.getField(f"{name}_earliest").alias("earliest"),
-            packed.getField(f"{name}_latest").alias("latest"),
-            packed.getField(f"{name}_date_range_days").alias("date_range_days"),
-            "distinct_dates",
-            F.round(packed.getField("total_rows") / F.nullif(F.col("distinct_dates"), F.lit(0)), 2)
-            .alias("records_per_day_avg")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    p = _col_profile(spark, sf).filter(F.col("family") == "temporal")
+    return p.select("column_name", "earliest", "latest",
+                    F.datediff(F.to_date("latest"), F.to_date("earliest")).alias("date_range_days"),
+                    "distinct_dates",
+                    F.round(F.col("total_rows") / F.nullif(F.col("distinct_dates"), F.lit(0)), 2)
+                    .alias("records_per_day_avg"))
 
 
 def q_profile_boolean(spark, sf):
-    df = _lwh(spark, sf)
-    t = profile.table_metrics(df)
-    return t.select(F.lit("host_is_superhost").alias("column_name"),
-                    F.col("host_is_superhost_true_count").alias("true_count"),
-                    F.col("host_is_superhost_false_count").alias("false_count"))
+    p = _col_profile(spark, sf).filter(F.col("family") == "boolean")
+    return p.select("column_name", "true_count", "false_count")
 
 
 def q_profile_quality(spark, sf):

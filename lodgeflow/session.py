@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on. ANSI stays on: the money cast (P7) must
@@ -66,6 +68,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder and cut its lineage."""
+    """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
+
+    The rows are persisted (memory, spilling to disk) while the checkpoint is
+    written, so the plan runs once instead of once for the count and again
+    for the write; the persisted copy is released afterwards. The result
+    keeps ``df``'s output partitioning.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return staged.checkpoint(eager=True)
+    finally:
+        staged.unpersist(blocking=False)
