@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,73 +112,62 @@ def value_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool
     return long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _exact_percentiles(nums: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Exact continuous percentiles per column from ``(column_name, x, cnt)``.
-
-    A running count over the distinct values (a window sorted by value,
-    which spills to disk) gives each value's rank range; the values at ranks
-    ``floor`` and ``ceil`` of ``p·(n−1)`` are interpolated — the definition of
-    ``percentile_cont``. No per-group in-memory map of all values is built,
-    so a column with billions of distinct values cannot exhaust memory.
+def _numeric_stats(vc: DataFrame, numeric: list[str]) -> DataFrame:
+    """Moments, exact percentiles and 3σ outliers of every numeric column.
+
+    One exchange: the distinct ``(x, cnt)`` values of each column are
+    clustered by column and sorted by value (a sort that spills, so no
+    per-group in-memory map of values). Window sums over the column give the
+    count, the mean and the centred second moment (two-pass, numerically
+    stable); a running count gives each value's rank range, from which the
+    values at ranks ``floor``/``ceil`` of ``p·(n−1)`` are interpolated — the
+    definition of ``percentile_cont``. The final aggregate reuses the same
+    clustering, so it adds no shuffle.
     """
-    cnt = F.col("cnt")
-    before = F.coalesce(F.sum(cnt).over(
-        Window.partitionBy("column_name").orderBy("x")
-        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum(cnt).over(Window.partitionBy("column_name"))
-    ranked = nums.select("column_name", "x", "cnt", before.alias("before"), total.alias("n"))
-    aggs = []
-    for i, p in enumerate(probs):
+    x, cnt = F.col("x"), F.col("cnt")
+    nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
+             .select("column_name", F.col("v").cast("double").alias("x"), "cnt")
+    whole = Window.partitionBy("column_name")
+    running = whole.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    s1 = nums.select("*", F.sum(cnt).over(whole).alias("n"),
+                     (F.sum(x * cnt).over(whole) / F.sum(cnt).over(whole)).alias("mean"),
+                     F.coalesce(F.sum(cnt).over(running), F.lit(0)).alias("before"))
+    s2 = s1.select("*", F.sum(cnt * F.pow(x - F.col("mean"), 2)).over(whole).alias("m2"))
+    variance = F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0))
+    s3 = s2.select("*", variance.alias("variance"), F.sqrt(variance).alias("stddev"))
+    aggs = [F.min(x).alias("min"), F.max(x).alias("max"), F.first("mean").alias("avg"),
+            F.first("stddev").alias("stddev"), F.first("variance").alias("variance"),
+            F.sum(F.when(F.abs(x - F.col("mean")) > OUTLIER_SIGMAS * F.col("stddev"), cnt)
+                  .otherwise(F.lit(0))).cast("bigint").alias("outlier_count")]
+    for i, p in enumerate(PERCENTILES):
         pos = F.lit(p) * (F.col("n") - 1)
         for tag, k in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
             hit = (F.col("before") <= k) & (k < F.col("before") + cnt)
-            aggs.append(F.max(F.when(hit, F.col("x"))).alias(f"{tag}{i}"))
+            aggs.append(F.max(F.when(hit, x)).alias(f"{tag}{i}"))
         aggs.append(F.max(pos - F.floor(pos)).alias(f"frac{i}"))
-    got = ranked.groupBy("column_name").agg(*aggs)
-    return got.select("column_name", *[
-        (F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"frac{i}")).alias(f"q{i}")
-        for i in range(len(probs))])
-
-
-def _numeric_stats(vc: DataFrame, numeric: list[str]) -> DataFrame:
-    x = F.col("v").cast("double")
-    cnt = F.col("cnt")
-    nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
-             .select("column_name", x.alias("x"), "cnt")
-    a = nums.groupBy("column_name").agg(
-        F.sum(cnt).alias("n"), F.sum(F.col("x") * cnt).alias("s1"),
-        F.min("x").alias("min"), F.max("x").alias("max"))
-    a = a.select("*", (F.col("s1") / F.col("n")).alias("avg"))
-    # one row per profiled column: bounded by the schema width
-    means = F.broadcast(a.select("column_name", "avg", "n"))
-    b = (nums.join(means, "column_name")
-         .groupBy("column_name")
-         .agg(F.sum(cnt * F.pow(F.col("x") - F.col("avg"), 2)).alias("m2"),
-              F.first("n").alias("n"), F.first("avg").alias("avg")))
-    b = b.select("column_name", "avg",
-                 (F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0))).alias("variance"))
-    b = b.select("*", F.sqrt("variance").alias("stddev"))
-    c = (nums.join(F.broadcast(b.select("column_name", "avg", "stddev")), "column_name")
-         .groupBy("column_name")
-         .agg(F.sum(F.when(F.abs(F.col("x") - F.col("avg")) > OUTLIER_SIGMAS * F.col("stddev"),
-                           cnt).otherwise(F.lit(0))).alias("outlier_count")))
-    q = _exact_percentiles(nums, PERCENTILES)
-    return (a.join(b.select("column_name", "variance", "stddev"), "column_name")
-            .join(c, "column_name").join(q, "column_name")
-            .select("column_name", "min", "max", "avg", "stddev", "variance",
-                    F.col("q0").alias("p25"), F.col("q1").alias("median"),
-                    F.col("q2").alias("p75"), F.col("outlier_count").cast("bigint")
-                    .alias("outlier_count")))
+    got = s3.groupBy("column_name").agg(*aggs)
+    q = [(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"frac{i}")) for i in range(3)]
+    return got.select("column_name", "min", "max", "avg", "stddev", "variance",
+                      q[0].alias("p25"), q[1].alias("median"), q[2].alias("p75"), "outlier_count")
 
 
 def profile_frame(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Every metric of every column (plus the ``#row`` pseudo-column), one row
     per column, computed from one scan of ``df``."""
     cols = column_families(df, exclude)
-    # The only scan of ``df``. Everything below reads this compact table
-    # several times, so it is checkpointed to the shared folder once
-    # (eager: this call runs the scan).
-    vc = reliable_checkpoint(value_counts(df, cols))
+    # The only scan of ``df``. The value counts are read by several
+    # aggregates below, so they are persisted (memory, spilling to disk; lost
+    # blocks are recomputed from the scan) while the small per-column frame
+    # is computed and checkpointed; then the cache is released. Eager: this
+    # call runs the profile.
+    vc = value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return reliable_checkpoint(_frame_from_counts(vc, cols))
+    finally:
+        vc.unpersist(blocking=False)
+
+
+def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
     v, cnt = F.col("v"), F.col("cnt")
     nn = v.isNotNull()
     stats = vc.groupBy("column_name").agg(
