@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 
 from lodgeflow.functions.columns import (full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
-from lodgeflow.operators.load import merge_upsert, reconcile_schema, skip_existing
+from lodgeflow.operators.load import merge_upsert, reconcile_schema, skip_existing, write_table
 from lodgeflow.session import reliable_checkpoint
 
 DAY_SUFFIX = "#day"
@@ -351,3 +351,18 @@ def merge_profile_history(history: DataFrame | None, runs: DataFrame,
     fresh = skip_existing(runs, history, key)
     history, fresh = reconcile_schema(history, fresh, "sync_all_columns")
     return merge_upsert(history, fresh, key, exclude_update=["profiled_at"])
+
+
+def write_profile_history(spark, path: str, runs: DataFrame) -> None:
+    """PR1m sink: merge new runs into the history table at ``path`` and
+    rewrite it clustered by (model_name, profile_date) (W8).
+
+    The merged result is checkpointed first, because the table being read is
+    the one being overwritten.
+    """
+    try:
+        history = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 — first run: no history yet
+        history = None
+    merged = reliable_checkpoint(merge_profile_history(history, runs))
+    write_table(merged, path, cluster_by=["model_name", "profile_date"])

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeflow.operators import checks as C
+from lodgeflow.operators import profile as P
 from lodgeflow.operators.load import (audited_write, reconcile_schema, select_increment,
                                       write_delete_insert)
 from lodgeflow.operators.scd2 import scd2_apply
@@ -71,8 +72,10 @@ def default_suite(raw: dict[str, DataFrame], m: dict[str, DataFrame]) -> list[C.
 
 
 def run_full_build(spark: SparkSession, sf_dir: str, out_dir: str,
-                   invocation_id: str | None = None) -> DataFrame:
-    """Build every table under ``out_dir``, audit each write, run the suite."""
+                   invocation_id: str | None = None, profile: bool = False,
+                   as_of=None) -> DataFrame:
+    """Build every table under ``out_dir``, audit each write, run the suite
+    (and, with ``profile``, append today's profiles to ``_profiles``)."""
     invocation_id = invocation_id or uuid.uuid4().hex
     raw = load_raw(spark, sf_dir)
     hist_h = scd2_apply(None, raw["hosts"], "id")
@@ -88,9 +91,31 @@ def run_full_build(spark: SparkSession, sf_dir: str, out_dir: str,
         if name == "fct_reviews":
             df, kw = with_review_partition(df), {"partition_by": [REVIEW_PARTITION]}
         audited_write(df, f"{out_dir}/{name}", name, audit, invocation_id, **kw)
+    if profile:
+        run_profiles(spark, m, f"{out_dir}/_profiles", as_of=as_of)
     return C.run_checks(spark, default_suite(raw, m), f"{out_dir}/_failures")
 
 
+# The reference's profiled models: (model, date column, sample percent).
+PROFILED = (("scd_raw_hosts", "updated_at", None), ("scd_raw_listings", "updated_at", None),
+            ("dim_listings_with_hosts", "updated_at", None), ("fct_reviews", "review_date", 50),
+            ("mart_fullmoon_reviews", "review_date", None))
+
+
+def run_profiles(spark: SparkSession, models: dict[str, DataFrame], history_path: str,
+                 as_of=None, env: str = "dev") -> None:
+    """Profile every model once per day and append to the profile history."""
+    runs = None
+    for name, date_col, pct in PROFILED:
+        row = P.profile_table(models[name], name, sample_pct=pct, date_col=date_col,
+                              as_of=as_of, env=env)
+        if runs is None:
+            runs = row
+        else:
+            runs = runs.unionByName(row, allowMissingColumns=True)
+    P.write_profile_history(spark, history_path, runs)
+
+
 def incremental_fct_load(spark: SparkSession, raw_reviews: DataFrame, fct_path: str,
                          start=None, end=None) -> None:
     """The partitioned daily load: window (or since-last) increment → surrogate

@@ -81,3 +81,18 @@ def test_clustered_write(spark, scratch):
     write_table(df, f"{scratch}/c", cluster_by=["model", "d"])
     back = spark.read.parquet(f"{scratch}/c")
     assert back.count() == 1000
+
+
+def test_profile_history_appends_once_per_day(spark, scratch):
+    from lodgeflow.plans.pipeline import run_profiles
+    m = M.build_models(load_raw(spark, SF))
+    hist = f"{scratch}/profiles"
+    run_profiles(spark, m, hist, as_of="2024-01-03 10:00:00")
+    run_profiles(spark, m, hist, as_of="2024-01-03 18:00:00")     # same day: skipped
+    h = spark.read.parquet(hist)
+    assert h.count() == 5 and h.select("profile_run_id").distinct().count() == 5
+    run_profiles(spark, m, hist, as_of="2024-01-04 09:00:00")     # next day: appended
+    h = spark.read.parquet(hist)
+    assert h.count() == 10
+    fct = h.filter("model_name = 'fct_reviews'").select("data_type", "sample_percentage").distinct().collect()
+    assert [(r.data_type, r.sample_percentage) for r in fct] == [("sampled", 50.0)]
