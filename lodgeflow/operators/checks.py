@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from lodgeflow.functions.columns import (any_null, count_when, full_match, hour_diff,
                                          try_parse_boolean, try_parse_double)
 from lodgeflow.operators.load import schema_diff_fields
+from lodgeflow.operators.quantiles import exact_percentiles
 from lodgeflow.sources.raw import month_calendar
 
 
@@ -148,9 +149,12 @@ def agg_between(df: DataFrame, col: str, fn: str, min_value=None, max_value=None
 
 def quantile_between(df: DataFrame, col: str, quantile: float, min_value=None,
                      max_value=None) -> DataFrame:
-    """Q18: exact continuous quantile outside the range."""
-    q = F.percentile(F.col(col), F.lit(quantile)).alias("quantile_value")
-    return between(df.agg(q), "quantile_value", min_value, max_value)
+    """Q18: exact continuous quantile outside the range (parallel exact
+    percentile; one row when failing)."""
+    q = exact_percentiles(df.select(F.lit(0).alias("__all"), F.col(col)), "__all", col, None,
+                          [quantile], prefix="quantile_value")
+    return between(q.select(F.col("quantile_value0").alias("quantile_value")), "quantile_value",
+                   min_value, max_value)
 
 
 def freshness(df: DataFrame, ts_col: str, as_of=None, warn_after_hours: float = 1,

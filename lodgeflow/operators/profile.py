@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from lodgeflow.functions.columns import (full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
 from lodgeflow.operators.load import merge_upsert, reconcile_schema, skip_existing, write_table
+from lodgeflow.operators.quantiles import pick_aggs, rank_ranges
 from lodgeflow.session import reliable_checkpoint
 
 DAY_SUFFIX = "#day"
@@ -112,43 +113,42 @@ def value_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool
     return long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def _numeric_stats(vc: DataFrame, numeric: list[str]) -> DataFrame:
+def _numeric_stats(vc: DataFrame, numeric: list[str]) -> tuple[DataFrame, list[DataFrame]]:
     """Moments, exact percentiles and 3σ outliers of every numeric column.
 
-    One exchange: the distinct ``(x, cnt)`` values of each column are
-    clustered by column and sorted by value (a sort that spills, so no
-    per-group in-memory map of values). Window sums over the column give the
-    count, the mean and the centred second moment (two-pass, numerically
-    stable); a running count gives each value's rank range, from which the
-    values at ranks ``floor``/``ceil`` of ``p·(n−1)`` are interpolated — the
-    definition of ``percentile_cont``. The final aggregate reuses the same
-    clustering, so it adds no shuffle.
+    The distinct ``(x, cnt)`` values get global rank ranges from a parallel
+    range sort (``quantiles.rank_ranges``); one aggregate then picks the
+    percentiles and sums ``x − shift`` and its square — with the shift at the
+    median-holding partition, ``(mean − shift)² ≤ variance`` and the one-pass
+    variance keeps full precision. Outliers (``|x − mean| > 3σ``) take one
+    more parallel pass. Returns the stats and the persisted frames to release.
     """
     x, cnt = F.col("x"), F.col("cnt")
     nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
              .select("column_name", F.col("v").cast("double").alias("x"), "cnt")
-    whole = Window.partitionBy("column_name")
-    running = whole.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    s1 = nums.select("*", F.sum(cnt).over(whole).alias("n"),
-                     (F.sum(x * cnt).over(whole) / F.sum(cnt).over(whole)).alias("mean"),
-                     F.coalesce(F.sum(cnt).over(running), F.lit(0)).alias("before"))
-    s2 = s1.select("*", F.sum(cnt * F.pow(x - F.col("mean"), 2)).over(whole).alias("m2"))
-    variance = F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0))
-    s3 = s2.select("*", variance.alias("variance"), F.sqrt(variance).alias("stddev"))
-    aggs = [F.min(x).alias("min"), F.max(x).alias("max"), F.first("mean").alias("avg"),
-            F.first("stddev").alias("stddev"), F.first("variance").alias("variance"),
-            F.sum(F.when(F.abs(x - F.col("mean")) > OUTLIER_SIGMAS * F.col("stddev"), cnt)
-                  .otherwise(F.lit(0))).cast("bigint").alias("outlier_count")]
-    for i, p in enumerate(PERCENTILES):
-        pos = F.lit(p) * (F.col("n") - 1)
-        for tag, k in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = (F.col("before") <= k) & (k < F.col("before") + cnt)
-            aggs.append(F.max(F.when(hit, x)).alias(f"{tag}{i}"))
-        aggs.append(F.max(pos - F.floor(pos)).alias(f"frac{i}"))
-    got = s3.groupBy("column_name").agg(*aggs)
-    q = [(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"frac{i}")) for i in range(3)]
-    return got.select("column_name", "min", "max", "avg", "stddev", "variance",
-                      q[0].alias("p25"), q[1].alias("median"), q[2].alias("p75"), "outlier_count")
+    ranked, parts = rank_ranges(nums, "column_name", "x", "cnt", persist=True)
+    picks, interpolated = pick_aggs("x", "cnt", PERCENTILES)
+    d = x - F.col("shift")
+    n = F.col("n")
+    variance = (F.col("s2") - F.col("s1") * F.col("s1") / n) / F.nullif(n - 1, F.lit(0))
+    variance = F.when(variance < 0, F.lit(0.0)).otherwise(variance)   # rounding noise
+    moments = ranked.groupBy("column_name").agg(
+        F.min(x).alias("min"), F.max(x).alias("max"), F.first("n").alias("n"),
+        F.first("shift").alias("shift"), F.sum(cnt * d).alias("s1"),
+        F.sum(cnt * d * d).alias("s2"), *picks).select(
+        "column_name", "min", "max", (F.col("shift") + F.col("s1") / n).alias("avg"),
+        variance.alias("variance"), F.sqrt(variance).alias("stddev"),
+        *[q.alias(a) for q, a in zip(interpolated, ("p25", "median", "p75"))])
+    moments = moments.persist(StorageLevel.MEMORY_AND_DISK)
+    # one row per profiled column: bounded by the schema width
+    outliers = (parts.join(F.broadcast(moments.select(F.col("column_name").alias("g"), "avg", "stddev")), "g")
+                .groupBy(F.col("g").alias("column_name"))
+                .agg(F.sum(F.when(F.abs(F.col("x") - F.col("avg")) > OUTLIER_SIGMAS * F.col("stddev"),
+                                  F.col("w")).otherwise(F.lit(0))).cast("bigint").alias("outlier_count")))
+    stats = moments.join(outliers, "column_name").select(
+        "column_name", "min", "max", "avg", "stddev", "variance", "p25", "median", "p75",
+        "outlier_count")
+    return stats, [parts, moments]
 
 
 def profile_frame(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -161,13 +161,16 @@ def profile_frame(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     # is computed and checkpointed; then the cache is released. Eager: this
     # call runs the profile.
     vc = value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    held = [vc]
     try:
-        return reliable_checkpoint(_frame_from_counts(vc, cols))
+        return reliable_checkpoint(_frame_from_counts(vc, cols, held))
     finally:
-        vc.unpersist(blocking=False)
+        for h in held:
+            h.unpersist(blocking=False)
 
 
-def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
+def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
+                       held: list[DataFrame]) -> DataFrame:
     v, cnt = F.col("v"), F.col("cnt")
     nn = v.isNotNull()
     stats = vc.groupBy("column_name").agg(
@@ -196,7 +199,9 @@ def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]]) -> DataFrame:
            .join(days, "column_name", "left").select("*", family.alias("family")))
     numeric = [n for n, f in cols if f == "numeric"]
     if numeric:
-        out = out.join(_numeric_stats(vc, numeric), "column_name", "left")
+        stats, persisted = _numeric_stats(vc, numeric)
+        held.extend(persisted)
+        out = out.join(stats, "column_name", "left")
     else:
         for c in ("min", "max", "avg", "stddev", "variance", "p25", "median", "p75"):
             out = out.withColumn(c, F.lit(None).cast("double"))

@@ -14,6 +14,7 @@ from lodgeflow.functions.columns import (bucket, decode_flag, default_if_null,
                                          greatest_strict, month_start, parse_money,
                                          replace_value, surrogate_key)
 from lodgeflow.operators.joins import broadcast_if_small
+from lodgeflow.operators.quantiles import exact_percentiles
 from lodgeflow.operators.scd2 import current_rows
 from lodgeflow.sources.raw import month_calendar
 
@@ -119,7 +120,8 @@ def price_sentiment_correlation(mart: DataFrame, listings: DataFrame) -> DataFra
     a partial aggregate, so a listing holding a third of all reviews still
     leaves each map task as a handful of rows — then joined to the listing
     price and reduced per sentiment with count-weighted statistics. The
-    median is exact: ``percentile`` with the review count as frequency.
+    median is exact and parallel (``quantiles.exact_percentiles``, weighted
+    by the review count): no task holds all prices of a sentiment.
     """
     per_listing = (mart.filter(F.col("is_full_moon"))
                    .groupBy("listing_id", "review_sentiment")
@@ -133,20 +135,21 @@ def price_sentiment_correlation(mart: DataFrame, listings: DataFrame) -> DataFra
         F.sum(n).alias("review_count"),
         F.sum(p * n).cast("double").alias("s1"),
         F.sum(p * p * n).cast("double").alias("s2"),
-        F.percentile(p, F.lit(0.5), n).alias("median"),
         F.min(p).alias("min_price"),
         F.max(p).alias("max_price"))
+    median = exact_percentiles(priced, "review_sentiment", "price", "n", [0.5], prefix="median")
     cnt = F.col("review_count")
     mean = F.col("s1") / cnt
     variance = ((F.col("s2") - F.col("s1") * F.col("s1") / cnt)
                 / F.nullif(cnt - 1, F.lit(0)))
-    return (stats.select(
+    # one row per sentiment on both sides
+    return (stats.join(median, "review_sentiment").select(
                 "review_sentiment", "review_count",
                 F.round(mean, 2).alias("avg_price"),
                 # clamp rounding noise below zero; NULL (one review) stays NULL
                 F.round(F.sqrt(F.when(variance < 0, F.lit(0.0)).otherwise(variance)), 2)
                 .alias("price_stddev"),
-                F.round(F.col("median"), 2).alias("median_price"),
+                F.round(F.col("median0"), 2).alias("median_price"),
                 "min_price", "max_price")
             .orderBy(F.col("avg_price").desc_nulls_first()))
 
