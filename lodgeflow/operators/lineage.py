@@ -49,21 +49,22 @@ def kept_edges(edges: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def prepare_edges(edges: DataFrame) -> DataFrame:
-    """Distinct edges hash-partitioned on ``parent``, checkpointed once.
+    """Distinct edges, checkpointed once (every round and the counts reuse them).
 
-    The checkpoint keeps the partitioning, so joins and aggregates keyed on
-    ``parent`` that reuse it (every closure round, the direct counts) do not
-    shuffle the edges again.
+    They are deliberately *not* pre-partitioned on ``parent``: a join side
+    that is not shuffled cannot be split by AQE, and a hub node holding a
+    third of all edges would then land in one task. Each round shuffles both
+    sides instead, so skewed parents are split at runtime.
     """
-    return reliable_checkpoint(edges.select("parent", "child").distinct().repartition("parent"))
+    return reliable_checkpoint(edges.select("parent", "child").distinct())
 
 
 def transitive_closure(edges: DataFrame, prepared: bool = False) -> DataFrame:
     """G1c/G1d: every (src, dst) reachable, with its first-visit depth.
 
-    Each round joins the newest frontier with the (pre-partitioned) edges,
-    so only the frontier moves. Each BFS level is checkpointed once and the
-    result is the union of the levels (nothing already written is rewritten).
+    Each round joins the newest frontier with the checkpointed edges. Each
+    BFS level is checkpointed once and the result is the union of the levels
+    (nothing already written is rewritten).
     """
     e = edges if prepared else prepare_edges(edges)
     levels = [e.select(F.col("parent").alias("src"), F.col("child").alias("dst"),
