@@ -195,10 +195,10 @@ SELECT '{c}' AS column_name, min(length({c})) AS min_length, max(length({c})) AS
        round(avg(length({c})), 6) AS avg_length,
        (SELECT {c} FROM dim_lwh WHERE {c} IS NOT NULL GROUP BY {c}
         ORDER BY count(*) DESC, {c} ASC LIMIT 1) AS mode,
-       sum(CASE WHEN {c} = '' THEN 1 ELSE 0 END) AS empty_count,
-       sum(CASE WHEN trim({c}) = '' AND {c} <> '' THEN 1 ELSE 0 END) AS whitespace_only_count,
-       sum(CASE WHEN regexp_full_match({c}, '[0-9]+') THEN 1 ELSE 0 END) AS numeric_pattern_count,
-       sum(CASE WHEN regexp_full_match({c}, '[A-Za-z\\s]+') THEN 1 ELSE 0 END) AS alpha_pattern_count
+       CAST(sum(CASE WHEN {c} = '' THEN 1 ELSE 0 END) AS BIGINT) AS empty_count,
+       CAST(sum(CASE WHEN trim({c}) = '' AND {c} <> '' THEN 1 ELSE 0 END) AS BIGINT) AS whitespace_only_count,
+       CAST(sum(CASE WHEN regexp_full_match({c}, '[0-9]+') THEN 1 ELSE 0 END) AS BIGINT) AS numeric_pattern_count,
+       CAST(sum(CASE WHEN regexp_full_match({c}, '[A-Za-z\\s]+') THEN 1 ELSE 0 END) AS BIGINT) AS alpha_pattern_count
 FROM dim_lwh""")
     return _q("\n UNION ALL ".join(parts))
 
@@ -220,7 +220,7 @@ def _profile_quality(cols: list[str]) -> str:
     for c in cols:
         parts.append(f"""
 SELECT '{c}' AS column_name,
-       sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS null_count,
+       CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count,
        count(DISTINCT {c}) AS distinct_count,
        round(count({c}) * 100.0 / nullif(count(*), 0), 2)::DOUBLE AS completeness_rate,
        round(count(DISTINCT {c}) * 100.0 / nullif(count(*), 0), 2)::DOUBLE AS uniqueness_rate,
@@ -381,19 +381,19 @@ SELECT r.* FROM raw_reviews r WHERE r.listing_id IS NOT NULL
     "check_positive_host_id": _q("SELECT * FROM raw_listings WHERE host_id < 1"),
     "check_null_pct_host_name": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
-                      sum(CASE WHEN name IS NULL THEN 1 ELSE 0 END) AS zero_count FROM raw_hosts)
+                      CAST(sum(CASE WHEN name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_count FROM raw_hosts)
 WHERE zero_count > (5 / 100.0) * total_count"""),
     "check_null_pct_comments": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
-                      sum(CASE WHEN comments IS NULL THEN 1 ELSE 0 END) AS zero_count FROM raw_reviews)
+                      CAST(sum(CASE WHEN comments IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_count FROM raw_reviews)
 WHERE zero_count > (5 / 100.0) * total_count"""),
     "check_zero_pct_min_nights": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
-                      sum(CASE WHEN minimum_nights = 0 THEN 1 ELSE 0 END) AS zero_count FROM raw_listings)
+                      CAST(sum(CASE WHEN minimum_nights = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_count FROM raw_listings)
 WHERE zero_count > (5 / 100.0) * total_count"""),
     "check_joint_null_pct_reviews": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
-                      sum(CASE WHEN review_text IS NULL AND review_sentiment IS NULL THEN 1 ELSE 0 END)
+                      CAST(sum(CASE WHEN review_text IS NULL AND review_sentiment IS NULL THEN 1 ELSE 0 END) AS BIGINT)
                         AS zero_count FROM fct)
 WHERE zero_count > (5 / 100.0) * total_count"""),
     "check_price_parseable": _q("""
@@ -475,8 +475,8 @@ FROM fct"""),
     "profile_dates": _profile_dates(["created_at", "updated_at"]),
     "profile_boolean": _q("""
 SELECT 'host_is_superhost' AS column_name,
-       sum(CASE WHEN host_is_superhost = TRUE THEN 1 ELSE 0 END) AS true_count,
-       sum(CASE WHEN host_is_superhost = FALSE THEN 1 ELSE 0 END) AS false_count
+       CAST(sum(CASE WHEN host_is_superhost = TRUE THEN 1 ELSE 0 END) AS BIGINT) AS true_count,
+       CAST(sum(CASE WHEN host_is_superhost = FALSE THEN 1 ELSE 0 END) AS BIGINT) AS false_count
 FROM dim_lwh"""),
     "profile_quality": _profile_quality(LWH_COLUMNS),
     "sample_hash": _q("""

@@ -37,3 +37,19 @@ def test_matches_duckdb(spark, con, key):
     assert sn == dn
     assert len(sr) == len(dr)
     assert sr == dr
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+@pytest.mark.parametrize("key", _keys())
+def test_column_types_match_duckdb(spark, con, key):
+    import __spark_entry__ as E
+    df = E.queries()[key](spark, SF)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(E.oracle_sql()[key])
+    duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
