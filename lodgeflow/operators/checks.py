@@ -231,6 +231,30 @@ def schema_changes(spark: SparkSession, previous: T.StructType, current: T.Struc
     return spark.createDataFrame(schema_diff_fields(previous, current), SCHEMA_CHANGE_SCHEMA)
 
 
+def schema_snapshot(df: DataFrame, table_name: str) -> DataFrame:
+    """(table_name, column_name, data_type, ordinal) — store it after each run
+    so the next run can be compared with ``schema_changes_since``."""
+    rows = [(table_name, f.name, f.dataType.simpleString(), i)
+            for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(
+        rows, "table_name string, column_name string, data_type string, ordinal int")
+
+
+def schema_changes_since(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """Q26 over stored snapshots: a full outer join on (table, column)."""
+    p, c = previous.alias("p"), current.alias("c")
+    j = p.join(c, (F.col("p.table_name") == F.col("c.table_name"))
+               & (F.lower(F.col("p.column_name")) == F.lower(F.col("c.column_name"))), "full_outer")
+    change = (F.when(F.col("p.column_name").isNull(), "column_added")
+               .when(F.col("c.column_name").isNull(), "column_removed")
+               .when(F.col("p.data_type") != F.col("c.data_type"), "type_changed"))
+    return j.select(F.coalesce("c.table_name", "p.table_name").alias("table_name"),
+                    change.alias("change"),
+                    F.coalesce("c.column_name", "p.column_name").alias("column_name"),
+                    F.col("p.data_type").alias("old_type"), F.col("c.data_type").alias("new_type")) \
+            .filter(F.col("change").isNotNull())
+
+
 def schema_vs_baseline(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Q27: differences between a table and its declared baseline schema."""
     return schema_changes(df.sparkSession, declared, df.schema)

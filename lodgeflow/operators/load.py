@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeflow.session import reliable_checkpoint
+from lodgeflow.session import path_exists, reliable_checkpoint
 
 
 class SchemaDriftError(ValueError):
@@ -184,11 +184,10 @@ def write_delete_insert(spark: SparkSession, path: str, batch: DataFrame,
     review date), so only the partitions the batch touches are read, merged,
     checkpointed and overwritten (dynamic partition overwrite).
     """
-    try:
-        target = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 — no table yet: first load
+    if not path_exists(spark, path):  # first load
         write_table(batch, path, partition_by=[partition_col])
         return
+    target = spark.read.parquet(path)
     touched = batch.select(partition_col).distinct()
     affected = target.join(touched, partition_col, "left_semi")
     merged = delete_insert(affected, batch.select(*target.columns), key)

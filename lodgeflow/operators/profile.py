@@ -31,7 +31,7 @@ from lodgeflow.functions.columns import (full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
 from lodgeflow.operators.load import merge_upsert, reconcile_schema, skip_existing, write_table
 from lodgeflow.operators.quantiles import pick_aggs, rank_ranges
-from lodgeflow.session import reliable_checkpoint
+from lodgeflow.session import path_exists, reliable_checkpoint
 
 DAY_SUFFIX = "#day"
 ROW_KEY = "#row"
@@ -365,9 +365,21 @@ def write_profile_history(spark, path: str, runs: DataFrame) -> None:
     The merged result is checkpointed first, because the table being read is
     the one being overwritten.
     """
-    try:
-        history = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 — first run: no history yet
-        history = None
+    history = spark.read.parquet(path) if path_exists(spark, path) else None
     merged = reliable_checkpoint(merge_profile_history(history, runs))
     write_table(merged, path, cluster_by=["model_name", "profile_date"])
+
+
+def distinct_rows(df: DataFrame, strict: bool = False) -> DataFrame:
+    """One row ``(total_rows, distinct_rows)``.
+
+    Default: the reference's semantics — rows are equal when the text of
+    their columns, concatenated without a separator and with NULL shown as
+    ``NULL``, is equal (so ('a','bc') = ('ab','c')). ``strict``: true row
+    equality. Either way the shuffle key is an md5, not the row text.
+    """
+    cols = [_q(c) for c in df.columns]
+    key = (F.md5(row_text(cols)) if not strict else
+           F.md5(F.to_json(F.struct(*cols))))
+    return df.agg(F.count(F.lit(1)).alias("total_rows"),
+                  F.count_distinct(key).alias("distinct_rows"))

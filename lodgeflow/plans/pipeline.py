@@ -37,36 +37,36 @@ def with_review_partition(fct: DataFrame) -> DataFrame:
 def default_suite(raw: dict[str, DataFrame], m: dict[str, DataFrame]) -> list[C.Check]:
     """The reference's test suite, as checks on our models."""
     return [
-        C.Check("unique_dim_hosts_host_id", lambda: C.unique(m["dim_hosts_cleansed"], "host_id")),
-        C.Check("not_null_dim_hosts_host_name", lambda: C.not_null(m["dim_hosts_cleansed"], "host_name")),
-        C.Check("accepted_values_dim_hosts_is_superhost", lambda: C.accepted_values(
+        C.Check("unique_dim_hosts_host_id", model="dim_hosts_cleansed", build=lambda: C.unique(m["dim_hosts_cleansed"], "host_id")),
+        C.Check("not_null_dim_hosts_host_name", model="dim_hosts_cleansed", build=lambda: C.not_null(m["dim_hosts_cleansed"], "host_name")),
+        C.Check("accepted_values_dim_hosts_is_superhost", model="dim_hosts_cleansed", build=lambda: C.accepted_values(
             m["dim_hosts_cleansed"], "is_superhost", [True, False])),
-        C.Check("unique_dim_listings_listing_id", lambda: C.unique(m["dim_listings_cleansed"], "listing_id")),
-        C.Check("relationships_dim_listings_host_id", lambda: C.relationships(
+        C.Check("unique_dim_listings_listing_id", model="dim_listings_cleansed", build=lambda: C.unique(m["dim_listings_cleansed"], "listing_id")),
+        C.Check("relationships_dim_listings_host_id", model="dim_listings_cleansed", build=lambda: C.relationships(
             m["dim_listings_cleansed"], "host_id", m["dim_hosts_cleansed"], "host_id")),
-        C.Check("positive_value_dim_listings_minimum_nights", lambda: C.positive_value(
+        C.Check("positive_value_dim_listings_minimum_nights", model="dim_listings_cleansed", build=lambda: C.positive_value(
             m["dim_listings_cleansed"], "minimum_nights")),
-        C.Check("row_count_dim_listings_with_hosts", lambda: C.row_count_equals(
+        C.Check("row_count_dim_listings_with_hosts", model="dim_listings_with_hosts", build=lambda: C.row_count_equals(
             m["dim_listings_with_hosts"], raw["listings"])),
-        C.Check("p99_price", lambda: C.quantile_between(
+        C.Check("p99_price", model="dim_listings_with_hosts", build=lambda: C.quantile_between(
             m["dim_listings_with_hosts"], "price", 0.99, 50, 500)),
-        C.Check("max_price", lambda: C.agg_between(
+        C.Check("max_price", model="dim_listings_with_hosts", build=lambda: C.agg_between(
             m["dim_listings_with_hosts"], "price", "max", max_value=5000), severity="warn"),
-        C.Check("unique_fct_reviews_review_id", lambda: C.unique(m["fct_reviews"], "review_id")),
-        C.Check("null_comment_and_sentiment_pct", lambda: C.null_percentage(
+        C.Check("unique_fct_reviews_review_id", model="fct_reviews", build=lambda: C.unique(m["fct_reviews"], "review_id")),
+        C.Check("null_comment_and_sentiment_pct", model="fct_reviews", build=lambda: C.null_percentage(
             m["fct_reviews"], ["review_text", "review_sentiment"], 5), severity="warn"),
-        C.Check("accepted_values_mart_is_full_moon", lambda: C.accepted_values(
+        C.Check("accepted_values_mart_is_full_moon", model="mart_fullmoon_reviews", build=lambda: C.accepted_values(
             m["mart_fullmoon_reviews"], "is_full_moon", [True, False])),
-        C.Check("missing_months", lambda: C.missing_months(
+        C.Check("missing_months", model="new_listings_time_series", build=lambda: C.missing_months(
             m["new_listings_time_series"], "listing_month", m["dim_listings_cleansed"], "created_at")),
-        C.Check("consistent_created_at", lambda: C.created_after_review(
+        C.Check("consistent_created_at", model="dim_listings_cleansed", build=lambda: C.created_after_review(
             m["dim_listings_cleansed"], m["fct_reviews"])),
-        C.Check("no_nulls_in_dim_listings", lambda: C.no_nulls(m["dim_listings_cleansed"])),
-        C.Check("source_listings_price_regex", lambda: C.matches_regex(
+        C.Check("no_nulls_in_dim_listings", model="dim_listings_cleansed", build=lambda: C.no_nulls(m["dim_listings_cleansed"])),
+        C.Check("source_listings_price_regex", model="raw_listings", build=lambda: C.matches_regex(
             raw["listings"], "price", r"^\$[0-9][0-9\.]+$")),
-        C.Check("source_hosts_name_null_pct", lambda: C.null_percentage(raw["hosts"], "name", 5),
+        C.Check("source_hosts_name_null_pct", model="raw_hosts", build=lambda: C.null_percentage(raw["hosts"], "name", 5),
                 severity="warn"),
-        C.Check("source_listings_host_exists", lambda: C.relationships(
+        C.Check("source_listings_host_exists", model="raw_listings", build=lambda: C.relationships(
             raw["listings"], "host_id", raw["hosts"], "id")),
     ]
 
@@ -125,3 +125,27 @@ def incremental_fct_load(spark: SparkSession, raw_reviews: DataFrame, fct_path:
     batch = select_increment(src, target, "review_date", start, end)
     _, batch = reconcile_schema(target, batch, "fail")
     write_delete_insert(spark, fct_path, batch, "review_id", REVIEW_PARTITION)
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m lodgeflow.plans.pipeline SF_DIR OUT_DIR [--profile] [--reload START END]``"""
+    import argparse
+
+    from lodgeflow.session import build_session
+
+    ap = argparse.ArgumentParser(description="build the marketplace tables")
+    ap.add_argument("sf_dir")
+    ap.add_argument("out_dir")
+    ap.add_argument("--profile", action="store_true", help="append today's profiles")
+    ap.add_argument("--reload", nargs=2, metavar=("START", "END"),
+                    help="after the build, reload reviews in [START, END) incrementally")
+    a = ap.parse_args(argv)
+    spark = build_session()
+    run_full_build(spark, a.sf_dir, a.out_dir, profile=a.profile).show(100, truncate=False)
+    if a.reload:
+        incremental_fct_load(spark, load_raw(spark, a.sf_dir)["reviews"],
+                             f"{a.out_dir}/fct_reviews", *a.reload)
+
+
+if __name__ == "__main__":
+    main()

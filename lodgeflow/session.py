@@ -81,3 +81,9 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
         return staged.checkpoint(eager=True)
     finally:
         staged.unpersist(blocking=False)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its file system (local, HDFS, object stores)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))

@@ -134,3 +134,13 @@ def test_runner(spark, scratch):
            C.run_checks(spark, suite, f"{scratch}/fail").collect()}
     assert res == {"uniq": (1, "fail"), "nn": (0, "pass"), "soft": (1, "warn")}
     assert spark.read.parquet(f"{scratch}/fail/uniq").count() == 1
+
+
+def test_schema_snapshots_diff_with_a_join(spark):
+    old = spark.createDataFrame([(1, "a", 1.0)], "id bigint, v string, gone double")
+    new = spark.createDataFrame([(1, 2, True)], "id bigint, v bigint, added boolean")
+    got = sorted(tuple(r) for r in C.schema_changes_since(C.schema_snapshot(old, "t"),
+                                                           C.schema_snapshot(new, "t")).collect())
+    assert got == [("t", "column_added", "added", None, "boolean"),
+                   ("t", "column_removed", "gone", "double", None),
+                   ("t", "type_changed", "v", "string", "bigint")]

@@ -201,3 +201,9 @@ def test_excluded_middle_node_breaks_the_path(spark):
                               "parent string, child string")
     rep = {r.model_name: r for r in G.impact(e).collect()}
     assert "profile_x" not in rep and rep["a"].total_downstream_count == 1
+
+
+def test_distinct_rows_strict_and_reference(spark):
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), ("a", "bc")], "a string, b string")
+    assert tuple(P.distinct_rows(df).collect()[0]) == (3, 1)
+    assert tuple(P.distinct_rows(df, strict=True).collect()[0]) == (3, 2)
