@@ -53,7 +53,9 @@ def rank_ranges(values: DataFrame, group: str, x: str, w: str,
         "g", "pid", "offset", "n",
         F.max(F.when(F.col("offset") <= mid, F.col("pmin"))).over(by_g).alias("shift"))
     local = Window.partitionBy("g", "pid").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = parts.join(F.broadcast(offsets), ["g", "pid"]).select(
+    # ``offsets`` has at most (partitions + groups) rows; it is joined without
+    # a hint, so AQE broadcasts it only when its measured size is small.
+    ranked = parts.join(offsets, ["g", "pid"]).select(
         F.col("g").alias(group), F.col("x").alias(x), F.col("w").alias(w), "n", "shift",
         (F.col("offset") + F.coalesce(F.sum("w").over(local), F.lit(0))).alias("before"))
     return ranked, parts
