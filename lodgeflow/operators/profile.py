@@ -151,7 +151,7 @@ def _numeric_stats(vc: DataFrame, numeric: list[str]) -> tuple[DataFrame, list[D
     return stats, [parts, moments]
 
 
-def profile_frame(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
+def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = True) -> DataFrame:
     """Every metric of every column (plus the ``#row`` pseudo-column), one row
     per column, computed from one scan of ``df``."""
     cols = column_families(df, exclude)
@@ -163,14 +163,14 @@ def profile_frame(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     vc = value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
     held = [vc]
     try:
-        return reliable_checkpoint(_frame_from_counts(vc, cols, held))
+        return reliable_checkpoint(_frame_from_counts(vc, cols, held, numeric))
     finally:
         for h in held:
             h.unpersist(blocking=False)
 
 
 def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
-                       held: list[DataFrame]) -> DataFrame:
+                       held: list[DataFrame], with_numeric: bool = True) -> DataFrame:
     v, cnt = F.col("v"), F.col("cnt")
     nn = v.isNotNull()
     stats = vc.groupBy("column_name").agg(
@@ -197,7 +197,7 @@ def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
     family = F.create_map(*pairs)[F.col("column_name")]
     out = (stats.filter(~F.col("column_name").endswith(DAY_SUFFIX))
            .join(days, "column_name", "left").select("*", family.alias("family")))
-    numeric = [n for n, f in cols if f == "numeric"]
+    numeric = [n for n, f in cols if f == "numeric"] if with_numeric else []
     if numeric:
         stats, persisted = _numeric_stats(vc, numeric)
         held.extend(persisted)
@@ -229,9 +229,10 @@ def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
 
 
 def column_profile(df: DataFrame, exclude: Sequence[str] = (),
-                   advanced: bool = True) -> DataFrame:
-    """One row per profiled column with every metric that applies to it."""
-    res = profile_frame(df, exclude).filter(F.col("family") != "row")
+                   advanced: bool = True, numeric: bool = True) -> DataFrame:
+    """One row per profiled column with every metric that applies to it
+    (``numeric=False`` skips moments, percentiles and outliers)."""
+    res = profile_frame(df, exclude, numeric).filter(F.col("family") != "row")
     if not advanced:
         res = res.select("column_name", "family", "total_rows", "null_count", "distinct_count",
                          "min_length", "max_length", "avg_length", "min", "max", "avg",

@@ -214,8 +214,9 @@ def _lwh(spark, sf):
     return _models(spark, sf)["dim_listings_with_hosts"]
 
 
-def _col_profile(spark, sf):
-    return profile.column_profile(_lwh(spark, sf))
+def _col_profile(spark, sf, numeric=False):
+    # numeric moments/percentiles only where the query reports them
+    return profile.column_profile(_lwh(spark, sf), numeric=numeric)
 
 
 def q_profile_rows(spark, sf):
@@ -224,7 +225,7 @@ def q_profile_rows(spark, sf):
 
 
 def q_profile_numeric(spark, sf):
-    p = _col_profile(spark, sf).filter(F.col("family") == "numeric")
+    p = _col_profile(spark, sf, numeric=True).filter(F.col("family") == "numeric")
     return p.select("column_name", "min", "max", F.round("avg", 6).alias("avg"),
                     F.round("stddev", 6).alias("stddev"), F.round("variance", 2).alias("variance"),
                     F.round("p25", 6).alias("p25"), F.round("median", 6).alias("median"),
