@@ -23,7 +23,7 @@ import datetime as _dt
 from typing import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -284,7 +284,8 @@ def table_metrics(df: DataFrame, exclude: Sequence[str] = (), date_col: str | No
     earliest/latest per date column, true/false counts per boolean column,
     freshness — from the same single pass as the column metrics."""
     cols = column_families(df, exclude)
-    return profile_frame(df, exclude).agg(*_table_aggs(df, cols, date_col, as_of, freshness_hours))
+    frame = profile_frame(df, exclude, numeric=False)
+    return frame.agg(*_table_aggs(df, cols, date_col, as_of, freshness_hours))
 
 
 def _as_ts(value) -> Column:

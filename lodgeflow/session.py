@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark import StorageLevel
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on. ANSI stays on: the money cast (P7) must
