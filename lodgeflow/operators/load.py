@@ -33,10 +33,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 cluster_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
     """Full rebuild sink. ``cluster_by`` (W8) range-partitions and sorts the
     rows on those columns so files hold narrow, sorted key ranges and
-    Parquet min/max statistics can skip them."""
+    Parquet min/max statistics can skip them. With ``partition_by`` alone the
+    rows are rebalanced on the partition columns first (one shuffle; AQE
+    splits a hot partition value and merges small ones), so each directory
+    gets a few right-sized files instead of one per writing task."""
     out = df
     if cluster_by:
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    elif partition_by:
+        out = out.hint("rebalance", *partition_by)
     writer = out.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
