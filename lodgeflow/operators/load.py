@@ -196,7 +196,7 @@ def write_delete_insert(spark: SparkSession, path: str, batch: DataFrame,
     touched = batch.select(partition_col).distinct()
     affected = target.join(touched, partition_col, "left_semi")
     merged = delete_insert(affected, batch.select(*target.columns), key)
-    merged = reliable_checkpoint(merged)
+    merged = reliable_checkpoint(merged).hint("rebalance", partition_col)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
