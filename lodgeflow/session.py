@@ -21,13 +21,32 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster (100 TB inputs, ~1000 executors). The
+# shuffle starts wide and AQE coalesces it to the advisory size at runtime;
+# scan splits and shuffle blocks stay far below executor memory; explicit
+# broadcasts are size-checked in code, the planner's own threshold is modest.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "lodgeflow",
                   shuffle_partitions: int | None = None,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the pipeline's settings.
 
-    On a cluster leave ``master`` and ``shuffle_partitions`` unset and let the
-    submit configuration decide; AQE coalesces small shuffles at runtime.
+    On a cluster leave ``master`` and ``shuffle_partitions`` unset, pass
+    ``conf=CLUSTER_CONF`` (or the submit configuration's own values) and set
+    ``spark.checkpoint.dir`` to a shared folder; AQE coalesces small shuffles
+    at runtime.
     """
     builder = SparkSession.builder.appName(app)
     if master:
