@@ -33,7 +33,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.autoBroadcastJoinThreshold": "64m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
