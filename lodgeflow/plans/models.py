@@ -7,6 +7,8 @@ pushdown reach the Parquet scans, and only the final write materialises.
 
 from __future__ import annotations
 
+from typing import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -226,24 +228,67 @@ def price_histogram(dist: DataFrame) -> DataFrame:
 
 
 # --- the whole graph -------------------------------------------------------------
+class Models(dict):
+    """Model name → DataFrame, each built on first access.
+
+    Building a model is cheap (lazy DataFrames) except where an operator
+    proves a size before broadcasting, so models nobody asks for are never
+    built at all.
+    """
+
+    def __init__(self, builders: dict[str, Callable[["Models"], DataFrame]]):
+        super().__init__()
+        self._builders = builders
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self._builders:
+            raise KeyError(name)
+        df = self._builders[name](self)
+        self[name] = df
+        return df
+
+    def __contains__(self, name) -> bool:
+        return name in self._builders
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def keys(self):
+        return self._builders.keys()
+
+    def items(self):
+        return [(k, self[k]) for k in self._builders]
+
+    def values(self):
+        return [self[k] for k in self._builders]
+
+    def names(self) -> list[str]:
+        return list(self._builders)
+
+
 def build_models(raw: dict[str, DataFrame], scd_hosts: DataFrame | None = None,
-                 scd_listings: DataFrame | None = None) -> dict[str, DataFrame]:
+                 scd_listings: DataFrame | None = None) -> Models:
     """Wire every model from the raw inputs (first snapshot when no history)."""
     from lodgeflow.operators.scd2 import scd2_init
 
-    scd_h = scd_hosts if scd_hosts is not None else scd2_init(raw["hosts"], "id")
-    scd_l = scd_listings if scd_listings is not None else scd2_init(raw["listings"], "id")
-    m: dict[str, DataFrame] = {"scd_raw_hosts": scd_h, "scd_raw_listings": scd_l}
-    m["dim_hosts_cleansed"] = dim_hosts_cleansed(src_hosts(scd_h))
-    m["dim_listings_cleansed"] = dim_listings_cleansed(src_listings(scd_l))
-    m["dim_listings_with_hosts"] = dim_listings_with_hosts(
-        m["dim_listings_cleansed"], m["dim_hosts_cleansed"])
-    m["fct_reviews"] = fct_reviews(src_reviews(raw["reviews"]))
-    m["mart_fullmoon_reviews"] = mart_fullmoon_reviews(m["fct_reviews"], raw["calendar"])
-    m["price_sentiment_correlation"] = price_sentiment_correlation(
-        m["mart_fullmoon_reviews"], m["dim_listings_cleansed"])
-    m["review_sentiment_by_month"] = review_sentiment_by_month(m["fct_reviews"])
-    m["new_listings_time_series"] = new_listings_time_series(m["dim_listings_cleansed"])
-    m["dim_listings_with_hosts_distribution_analysis"] = listings_distribution(
-        m["dim_listings_with_hosts"])
-    return m
+    return Models({
+        "scd_raw_hosts": lambda m: scd_hosts if scd_hosts is not None
+        else scd2_init(raw["hosts"], "id"),
+        "scd_raw_listings": lambda m: scd_listings if scd_listings is not None
+        else scd2_init(raw["listings"], "id"),
+        "dim_hosts_cleansed": lambda m: dim_hosts_cleansed(src_hosts(m["scd_raw_hosts"])),
+        "dim_listings_cleansed": lambda m: dim_listings_cleansed(src_listings(m["scd_raw_listings"])),
+        "dim_listings_with_hosts": lambda m: dim_listings_with_hosts(
+            m["dim_listings_cleansed"], m["dim_hosts_cleansed"]),
+        "fct_reviews": lambda m: fct_reviews(src_reviews(raw["reviews"])),
+        "mart_fullmoon_reviews": lambda m: mart_fullmoon_reviews(m["fct_reviews"], raw["calendar"]),
+        "price_sentiment_correlation": lambda m: price_sentiment_correlation(
+            m["mart_fullmoon_reviews"], m["dim_listings_cleansed"]),
+        "review_sentiment_by_month": lambda m: review_sentiment_by_month(m["fct_reviews"]),
+        "new_listings_time_series": lambda m: new_listings_time_series(m["dim_listings_cleansed"]),
+        "dim_listings_with_hosts_distribution_analysis": lambda m: listings_distribution(
+            m["dim_listings_with_hosts"]),
+    })
