@@ -1,4 +1,4 @@
-"""Ordered pipeline run: snapshot → models → checks → audit.
+"""Ordered build run: snapshot → models → checks → audit.
 
 A plain script replaces the reference's model-graph resolution: the models
 are lazy DataFrames and each materialised table is written once, with an
@@ -128,7 +128,7 @@ def incremental_fct_load(spark: SparkSession, raw_reviews: DataFrame, fct_path:
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m lodgeflow.plans.pipeline SF_DIR OUT_DIR [--profile] [--reload START END]``"""
+    """``python -m lodgeflow.plans.jobs SF_DIR OUT_DIR [--profile] [--reload START END]``"""
     import argparse
 
     from lodgeflow.session import build_session

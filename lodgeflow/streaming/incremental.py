@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lodgeflow.operators.load import write_delete_insert
 from lodgeflow.plans import models as M
-from lodgeflow.plans.pipeline import REVIEW_PARTITION, with_review_partition
+from lodgeflow.plans.jobs import REVIEW_PARTITION, with_review_partition
 from lodgeflow.sources.raw import RAW_REVIEWS_SCHEMA
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.operators.load import write_table
 from lodgeflow.plans import models as M
-from lodgeflow.plans.pipeline import (REVIEW_PARTITION, incremental_fct_load, run_full_build,
+from lodgeflow.plans.jobs import (REVIEW_PARTITION, incremental_fct_load, run_full_build,
                                       with_review_partition)
 from lodgeflow.sources.fixtures import load_raw
 from lodgeflow.sources.raw import read_calendar, read_source
@@ -84,7 +84,7 @@ def test_clustered_write(spark, scratch):
 
 
 def test_profile_history_appends_once_per_day(spark, scratch):
-    from lodgeflow.plans.pipeline import run_profiles
+    from lodgeflow.plans.jobs import run_profiles
     m = M.build_models(load_raw(spark, SF))
     hist = f"{scratch}/profiles"
     run_profiles(spark, m, hist, as_of="2024-01-03 10:00:00")
