@@ -83,17 +83,7 @@ def greatest_strict(*cols: ColumnOrName) -> Column:
     return F.when(any_null, F.lit(None)).otherwise(F.greatest(*cs))
 
 
-# --- P11–P13 / X3 ----------------------------------------------------------
-def bucket(rules: Sequence[tuple[Column, str]], else_: str) -> Column:
-    """Chained CASE WHEN: first matching predicate wins, else ``else_``.
-
-    A predicate that evaluates to NULL does not match, so NULL inputs fall
-    through to ``else_`` exactly like SQL CASE.
-    """
-    expr = None
-    for pred, label in rules:
-        expr = F.when(pred, F.lit(label)) if expr is None else expr.when(pred, F.lit(label))
-    return F.lit(else_) if expr is None else expr.otherwise(F.lit(else_))
+# P11–P13 / X3 (CASE WHEN tiers) live in functions.tiers.
 
 
 # --- P15 ---------------------------------------------------------------------

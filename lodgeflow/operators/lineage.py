@@ -20,6 +20,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgeflow.functions.tiers import tier
 from lodgeflow.session import reliable_checkpoint
 
 # Names excluded by default (matched at the start of the name).
@@ -85,52 +86,43 @@ def transitive_closure(edges: DataFrame, prepared: bool = False) -> DataFrame:
         depth += 1
 
 
-# Thresholds and labels of the impact classification.
-def _criticality(total: Column) -> Column:
-    return (F.when(total == 0, "leaf").when(total == 1, "low_impact")
-            .when(total <= 3, "medium_impact").when(total <= 7, "high_impact")
-            .otherwise("critical"))
-
-
-def _impact_level(total: Column) -> Column:
-    return (F.when(total > 10, "CRITICAL").when(total > 7, "VERY_HIGH").when(total > 3, "HIGH")
-            .when(total > 1, "MEDIUM").when(total > 0, "LOW").otherwise("NONE"))
-
-
-def _risk(total: Column, depth: Column) -> Column:
-    base = (F.when(total > 10, 10).when(total > 7, 8).when(total > 3, 6)
-            .when(total > 1, 4).when(total > 0, 2).otherwise(0))
-    return base + F.least(depth, F.lit(3))
-
-
-def _business(total: Column) -> Column:
-    return (F.when(total > 7, "Business Critical").when(total > 5, "High Business Value")
-            .when(total > 3, "Moderate Business Value").when(total > 1, "Supporting Role")
-            .when(total > 0, "Limited Scope").otherwise("End Consumer"))
-
-
-def _fanout(direct: Column) -> Column:
-    return (F.when(direct > 3, "High Fanout").when(direct > 1, "Medium Fanout")
-            .when(direct > 0, "Low Fanout").otherwise("No Fanout"))
-
-
-def _chain(depth: Column) -> Column:
-    return (F.when(depth > 2, "Deep Chain").when(depth > 1, "Medium Chain")
-            .when(depth > 0, "Shallow Chain").otherwise("No Chain"))
+# The impact classification. Counts are non-negative integers;
+# each table is read top-down, first matching rule wins (see functions.tiers).
+CRITICALITY = ((("<=", 0, "leaf"), ("<=", 1, "low_impact"), ("<=", 3, "medium_impact"),
+                ("<=", 7, "high_impact")), "critical")
+IMPACT_LEVEL = (((">", 10, "CRITICAL"), (">", 7, "VERY_HIGH"), (">", 3, "HIGH"),
+                 (">", 1, "MEDIUM"), (">", 0, "LOW")), "NONE")
+RISK_BASE = (((">", 10, 10), (">", 7, 8), (">", 3, 6), (">", 1, 4), (">", 0, 2)), 0)
+RISK_DEPTH_CAP = 3
+BUSINESS = (((">", 7, "Business Critical"), (">", 5, "High Business Value"),
+             (">", 3, "Moderate Business Value"), (">", 1, "Supporting Role"),
+             (">", 0, "Limited Scope")), "End Consumer")
+FANOUT = (((">", 3, "High Fanout"), (">", 1, "Medium Fanout"), (">", 0, "Low Fanout")),
+          "No Fanout")
+CHAIN = (((">", 2, "Deep Chain"), (">", 1, "Medium Chain"), (">", 0, "Shallow Chain")),
+         "No Chain")
+# Our own wording; ``{spread}`` expands to SPREAD with (total, depth).
+SPREAD = "%d downstream models over %d levels"
+DESCRIPTION = (((">", 10, "Foundation model: {spread}; change only with full regression testing"),
+                (">", 7, "Wide reach: {spread}; coordinate changes with all owners"),
+                (">", 3, "Moderate reach: {spread}; plan changes carefully"),
+                (">", 1, "Small reach: {spread}; change scope is manageable"),
+                (">", 0, "Single dependent model")),
+               "Leaf model: changes affect only itself")
+
+
+def _described(text: str, spread: Column) -> Column:
+    if "{spread}" not in text:
+        return F.lit(text)
+    head, tail = text.split("{spread}")
+    return F.concat(F.lit(head), spread, F.lit(tail))
 
 
 def _description(total: Column, depth: Column) -> Column:
-    spread = F.format_string("%d downstream models over %d levels", total, depth)
-    return (F.when(total > 10, F.concat(F.lit("Foundation model: "), spread,
-                                        F.lit("; change only with full regression testing")))
-            .when(total > 7, F.concat(F.lit("Wide reach: "), spread,
-                                      F.lit("; coordinate changes with all owners")))
-            .when(total > 3, F.concat(F.lit("Moderate reach: "), spread,
-                                      F.lit("; plan changes carefully")))
-            .when(total > 1, F.concat(F.lit("Small reach: "), spread,
-                                      F.lit("; change scope is manageable")))
-            .when(total > 0, F.lit("Single dependent model"))
-            .otherwise(F.lit("Leaf model: changes affect only itself")))
+    spread = F.format_string(SPREAD, total, depth)
+    rules, default = DESCRIPTION
+    return tier(total, [(op, b, _described(t, spread)) for op, b, t in rules],
+                _described(default, spread))
 
 
 def impact(edges: DataFrame, nodes: DataFrame | None = None,
@@ -172,12 +164,12 @@ def impact(edges: DataFrame, nodes: DataFrame | None = None,
     return j.select(
         F.col("name").alias("model_name"), d.alias("direct_downstream_count"),
         t.alias("total_downstream_count"), *lists,
-        _criticality(t).alias("model_criticality"), depth.alias("max_downstream_depth"),
-        _impact_level(t).alias("downstream_impact_level"),
+        tier(t, *CRITICALITY).alias("model_criticality"), depth.alias("max_downstream_depth"),
+        tier(t, *IMPACT_LEVEL).alias("downstream_impact_level"),
         _description(t, depth).alias("impact_description"),
-        _risk(t, depth).alias("change_risk_score"),
-        _business(t).alias("business_impact_category"),
-        _fanout(d).alias("fanout_pattern"), _chain(depth).alias("chain_pattern"),
+        (tier(t, *RISK_BASE) + F.least(depth, F.lit(RISK_DEPTH_CAP))).alias("change_risk_score"),
+        tier(t, *BUSINESS).alias("business_impact_category"),
+        tier(d, *FANOUT).alias("fanout_pattern"), tier(depth, *CHAIN).alias("chain_pattern"),
         ts.alias("analyzed_at"))
 
 

@@ -12,22 +12,23 @@ from typing import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeflow.functions.columns import (bucket, decode_flag, default_if_null,
+from lodgeflow.functions.columns import (decode_flag, default_if_null,
                                          greatest_strict, month_start, parse_money,
                                          replace_value, surrogate_key)
+from lodgeflow.functions.tiers import tier
 from lodgeflow.operators.joins import broadcast_if_small
 from lodgeflow.operators.quantiles import exact_percentiles
 from lodgeflow.operators.scd2 import current_rows
 from lodgeflow.sources.raw import month_calendar
 
-# Fixed values of the cleansing rules.
+# Fixed values of the cleansing and bucketing rules (tier tables: first
+# matching rule wins, NULL takes the default — see functions.tiers).
 ANONYMOUS_HOST = "Anonymous"
-NIGHTS_BUCKETS = (  # (low, high, label), inclusive bounds
-    (1, 1, "1 night"), (2, 3, "2-3 nights"), (4, 7, "4-7 nights"),
-    (8, 14, "8-14 nights"), (15, 30, "15-30 nights"))
-NIGHTS_ELSE = "30+ nights"
-STAY_SHORT_MAX, STAY_MEDIUM_MAX = 3, 14
-PRICE_BUDGET_BELOW, PRICE_MID_MAX = 50, 150
+NIGHTS_CATEGORY = ((("==", 1, "1 night"), ("between", (2, 3), "2-3 nights"),
+                    ("between", (4, 7), "4-7 nights"), ("between", (8, 14), "8-14 nights"),
+                    ("between", (15, 30), "15-30 nights")), "30+ nights")
+STAY_TYPE = ((("<=", 3, "Short-term"), ("<=", 14, "Medium-term")), "Long-term")
+PRICE_CATEGORY = ((("<", 50, "Budget"), ("between", (50, 150), "Mid-range")), "Premium")
 
 
 # --- staging (P1–P3, S3) ------------------------------------------------------
@@ -184,18 +185,11 @@ def new_listings_time_series(listings: DataFrame) -> DataFrame:
 
 def listings_distribution(dlwh: DataFrame) -> DataFrame:
     """Bucket minimum nights, stay length and price."""
-    mn = F.col("minimum_nights")
-    price = F.col("price")
     return dlwh.select(
         "*",
-        bucket([((mn == 1) if lo == hi else mn.between(lo, hi), label)
-                for lo, hi, label in NIGHTS_BUCKETS], NIGHTS_ELSE)
-        .alias("minimum_nights_category"),
-        bucket([(mn <= STAY_SHORT_MAX, "Short-term"), (mn <= STAY_MEDIUM_MAX, "Medium-term")],
-               "Long-term").alias("stay_duration_type"),
-        bucket([(price < PRICE_BUDGET_BELOW, "Budget"),
-                (price.between(PRICE_BUDGET_BELOW, PRICE_MID_MAX), "Mid-range")],
-               "Premium").alias("price_category"))
+        tier(F.col("minimum_nights"), *NIGHTS_CATEGORY).alias("minimum_nights_category"),
+        tier(F.col("minimum_nights"), *STAY_TYPE).alias("stay_duration_type"),
+        tier(F.col("price"), *PRICE_CATEGORY).alias("price_category"))
 
 
 def fullmoon_sentiment(mart: DataFrame) -> DataFrame:

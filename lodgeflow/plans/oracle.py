@@ -7,6 +7,9 @@ SQL over the pre-registered views (customer, orders, lineitem, events).
 
 from __future__ import annotations
 
+from lodgeflow.functions.tiers import sql_literal, sql_tier
+from lodgeflow.operators import lineage as G
+from lodgeflow.plans import models as M
 from lodgeflow.plans import registry as R
 
 NULL_TOKEN = "__null__"
@@ -74,16 +77,9 @@ mart AS (
     ON CAST(f.review_date AS DATE) = m.d),
 dist AS (
   SELECT *,
-         CASE WHEN minimum_nights = 1 THEN '1 night'
-              WHEN minimum_nights BETWEEN 2 AND 3 THEN '2-3 nights'
-              WHEN minimum_nights BETWEEN 4 AND 7 THEN '4-7 nights'
-              WHEN minimum_nights BETWEEN 8 AND 14 THEN '8-14 nights'
-              WHEN minimum_nights BETWEEN 15 AND 30 THEN '15-30 nights'
-              ELSE '30+ nights' END AS minimum_nights_category,
-         CASE WHEN minimum_nights <= 3 THEN 'Short-term'
-              WHEN minimum_nights <= 14 THEN 'Medium-term' ELSE 'Long-term' END AS stay_duration_type,
-         CASE WHEN price < 50 THEN 'Budget' WHEN price BETWEEN 50 AND 150 THEN 'Mid-range'
-              ELSE 'Premium' END AS price_category
+         {sql_tier("minimum_nights", *M.NIGHTS_CATEGORY)} AS minimum_nights_category,
+         {sql_tier("minimum_nights", *M.STAY_TYPE)} AS stay_duration_type,
+         {sql_tier("price", *M.PRICE_CATEGORY)} AS price_category
   FROM dim_lwh),
 series_months AS (
   SELECT CAST(date_trunc('month', CAST(created_at AS DATE)) AS DATE) AS listing_month,
@@ -255,6 +251,13 @@ b AS (SELECT CAST(date AS DATE) AS review_day, count(*) AS reviews,
       FROM raw_reviews WHERE date >= {_ts(_DI_LO)} AND date < {_ts(_DI_HI)} GROUP BY 1)
 """
 
+def _describe_sql(text: str) -> str:
+    if "{spread}" not in text:
+        return sql_literal(text)
+    head, tail = text.split("{spread}")
+    return f"{sql_literal(head)} || printf('{G.SPREAD}', t, depth) || {sql_literal(tail)}"
+
+
 _LINEAGE = f"""
 , edges AS (
   SELECT DISTINCT 'customer#' || CAST(o_custkey AS VARCHAR) AS parent,
@@ -274,26 +277,14 @@ m AS (SELECT n.name, coalesce(d.direct, 0) AS d, coalesce(t.total, 0) AS t,
              coalesce(t.max_depth, 0) AS depth
       FROM nodes n LEFT JOIN dir d ON d.parent = n.name LEFT JOIN tot t ON t.src = n.name)
 SELECT name AS model_name, d AS direct_downstream_count, t AS total_downstream_count,
-  CASE WHEN t = 0 THEN 'leaf' WHEN t = 1 THEN 'low_impact' WHEN t <= 3 THEN 'medium_impact'
-       WHEN t <= 7 THEN 'high_impact' ELSE 'critical' END AS model_criticality,
+  {sql_tier("t", *G.CRITICALITY)} AS model_criticality,
   CAST(depth AS BIGINT) AS max_downstream_depth,
-  CASE WHEN t > 10 THEN 'CRITICAL' WHEN t > 7 THEN 'VERY_HIGH' WHEN t > 3 THEN 'HIGH'
-       WHEN t > 1 THEN 'MEDIUM' WHEN t > 0 THEN 'LOW' ELSE 'NONE' END AS downstream_impact_level,
-  CASE WHEN t > 10 THEN 'Foundation model: ' || printf('%d downstream models over %d levels', t, depth) || '; change only with full regression testing'
-       WHEN t > 7 THEN 'Wide reach: ' || printf('%d downstream models over %d levels', t, depth) || '; coordinate changes with all owners'
-       WHEN t > 3 THEN 'Moderate reach: ' || printf('%d downstream models over %d levels', t, depth) || '; plan changes carefully'
-       WHEN t > 1 THEN 'Small reach: ' || printf('%d downstream models over %d levels', t, depth) || '; change scope is manageable'
-       WHEN t > 0 THEN 'Single dependent model'
-       ELSE 'Leaf model: changes affect only itself' END AS impact_description,
-  CAST((CASE WHEN t > 10 THEN 10 WHEN t > 7 THEN 8 WHEN t > 3 THEN 6 WHEN t > 1 THEN 4
-        WHEN t > 0 THEN 2 ELSE 0 END) + least(depth, 3) AS BIGINT) AS change_risk_score,
-  CASE WHEN t > 7 THEN 'Business Critical' WHEN t > 5 THEN 'High Business Value'
-       WHEN t > 3 THEN 'Moderate Business Value' WHEN t > 1 THEN 'Supporting Role'
-       WHEN t > 0 THEN 'Limited Scope' ELSE 'End Consumer' END AS business_impact_category,
-  CASE WHEN d > 3 THEN 'High Fanout' WHEN d > 1 THEN 'Medium Fanout' WHEN d > 0 THEN 'Low Fanout'
-       ELSE 'No Fanout' END AS fanout_pattern,
-  CASE WHEN depth > 2 THEN 'Deep Chain' WHEN depth > 1 THEN 'Medium Chain'
-       WHEN depth > 0 THEN 'Shallow Chain' ELSE 'No Chain' END AS chain_pattern,
+  {sql_tier("t", *G.IMPACT_LEVEL)} AS downstream_impact_level,
+  {sql_tier("t", *G.DESCRIPTION, render=_describe_sql)} AS impact_description,
+  CAST({sql_tier("t", *G.RISK_BASE)} + least(depth, {G.RISK_DEPTH_CAP}) AS BIGINT) AS change_risk_score,
+  {sql_tier("t", *G.BUSINESS)} AS business_impact_category,
+  {sql_tier("d", *G.FANOUT)} AS fanout_pattern,
+  {sql_tier("depth", *G.CHAIN)} AS chain_pattern,
   {_ts(R.LINEAGE_AS_OF)} AS analyzed_at
 FROM m
 """

@@ -103,3 +103,20 @@ def test_truncate_period_week_starts_monday(spark):
 def test_count_when_is_null_on_empty(spark):
     df = spark.createDataFrame([], "x bigint")
     assert df.agg(C.count_when(F.col("x") > 0)).collect()[0][0] is None
+
+
+def test_tier_tables_render_the_same_in_spark_and_sql(spark):
+    import duckdb
+
+    from lodgeflow.functions.tiers import sql_tier, tier
+    from lodgeflow.operators import lineage as G
+    from lodgeflow.plans import models as M
+    values = [None, -1, 0, 1, 2, 3, 4, 5, 7, 8, 10, 11, 14, 15, 30, 31, 49, 50, 150, 151]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    for table in (M.NIGHTS_CATEGORY, M.STAY_TYPE, M.PRICE_CATEGORY, G.CRITICALITY,
+                  G.IMPACT_LEVEL, G.RISK_BASE, G.BUSINESS, G.FANOUT, G.CHAIN):
+        got = [r[0] for r in df.select(tier(F.col("v"), *table)).collect()]
+        con = duckdb.connect()
+        sql = "SELECT " + sql_tier("v", *table) + " FROM (SELECT unnest(?::BIGINT[]) AS v)"
+        want = [r[0] for r in con.execute(sql, [values]).fetchall()]
+        assert got == want, table
