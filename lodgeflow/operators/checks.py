@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from lodgeflow.functions.columns import (any_null, count_when, full_match, hour_diff,
                                          try_parse_boolean, try_parse_double)
 from lodgeflow.operators.load import schema_diff_fields
-from lodgeflow.operators.quantiles import exact_percentiles
+from lodgeflow.operators.quantiles import approx_percentiles, exact_percentiles
 from lodgeflow.sources.raw import month_calendar
 
 
@@ -148,11 +148,12 @@ def agg_between(df: DataFrame, col: str, fn: str, min_value=None, max_value=None
 
 
 def quantile_between(df: DataFrame, col: str, quantile: float, min_value=None,
-                     max_value=None) -> DataFrame:
-    """Q18: exact continuous quantile outside the range (parallel exact
-    percentile; one row when failing)."""
-    q = exact_percentiles(df.select(F.lit(0).alias("__all"), F.col(col)), "__all", col, None,
-                          [quantile], prefix="quantile_value")
+                     max_value=None, approx: bool = False) -> DataFrame:
+    """Q18: continuous quantile outside the range (one row when failing).
+    Exact by default (parallel exact percentile); ``approx`` uses a sketch."""
+    base = df.select(F.lit(0).alias("__all"), F.col(col))
+    q = (approx_percentiles(base, "__all", col, [quantile], prefix="quantile_value") if approx
+         else exact_percentiles(base, "__all", col, None, [quantile], prefix="quantile_value"))
     return between(q.select(F.col("quantile_value0").alias("quantile_value")), "quantile_value",
                    min_value, max_value)
 

@@ -89,3 +89,14 @@ def exact_percentiles(values: DataFrame, group: str, x: str, w: str | None,
     ranked, _ = rank_ranges(v, group, "__x", "__w")
     aggs, outs = pick_aggs("__x", "__w", probs, prefix)
     return ranked.groupBy(group).agg(*aggs).select(group, *outs)
+
+
+def approx_percentiles(values: DataFrame, group: str, x: str, probs: Sequence[float],
+                       accuracy: int = 10_000, prefix: str = "q") -> DataFrame:
+    """``(group, q0, …)`` from ``percentile_approx`` (a mergeable sketch per
+    group, one pass, bounded memory): rank error at most ``1 / accuracy`` of
+    the group size. For dashboards over very large columns where exactness is
+    not required; exact results come from ``exact_percentiles``."""
+    q = F.percentile_approx(F.col(x).cast("double"), [float(p) for p in probs], accuracy)
+    return values.groupBy(group).agg(q.alias("__q")).select(
+        group, *[F.col("__q")[i].alias(f"{prefix}{i}") for i in range(len(probs))])

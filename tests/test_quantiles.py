@@ -30,3 +30,19 @@ def test_unweighted_and_nulls(spark):
     df = spark.createDataFrame([(1, 1.0), (1, None), (1, 3.0), (1, 2.0)], "g int, x double")
     r = exact_percentiles(df, "g", "x", None, [0.5, 0.25]).collect()[0]
     assert (r.q0, r.q1) == (2.0, 1.5)
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    from lodgeflow.operators.quantiles import approx_percentiles
+    df = spark.range(10000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS x")
+    approx = {r.g: r.q0 for r in approx_percentiles(df, "g", "x", [0.5]).collect()}
+    exact = {r.g: r.q0 for r in exact_percentiles(df, "g", "x", None, [0.5]).collect()}
+    for g in exact:
+        assert abs(approx[g] - exact[g]) <= 10000 / 10000 * 3 + 1
+
+
+def test_quantile_check_approx_mode(spark):
+    from lodgeflow.operators import checks as C
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
+    assert C.quantile_between(df, "x", 0.99, 50, 500, approx=True).count() == 0
+    assert C.quantile_between(df, "x", 0.99, 100, 500, approx=True).count() == 1
