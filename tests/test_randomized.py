@@ -94,3 +94,85 @@ def test_lineage_random_graphs_match_bfs(spark):
     got = {r.model_name: (r.direct_downstream_count, r.total_downstream_count,
                           r.max_downstream_depth) for r in G.impact(df, exclude_patterns=()).collect()}
     assert got == python_impact(edges)
+
+
+def test_anomaly_scores_match_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    from lodgeflow.operators import anomaly as A
+    rng = random.Random(3)
+    rows = []
+    for day in range(40):
+        for dim in ("a", "b", None):
+            if rng.random() < 0.1:
+                continue                                            # a missing day → zero
+            n = rng.randint(5, 15) + (40 if (dim == "a" and day == 30) else 0)
+            rows += [(T0 + dt.timedelta(days=day, hours=rng.randint(0, 23)), dim)] * n
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, d string")
+    got = {(r.bucket, r.d): (r.row_count, r.training_count, r.z_score, r.anomaly)
+           for r in A.anomaly_scores(df, "ts", ["d"], spike_pct=5, drop_pct=5).collect()}
+
+    pdf = pd.DataFrame(rows, columns=["ts", "d"])
+    pdf["bucket"] = pdf["ts"].dt.date
+    pdf["d"] = pdf["d"].fillna("<null>")
+    days = pd.date_range(pdf["bucket"].min(), pdf["bucket"].max()).date
+    want = {}
+    for dim in pdf["d"].unique():
+        counts = pdf[pdf["d"] == dim].groupby("bucket").size().reindex(days, fill_value=0)
+        prev = counts.shift(1)
+        avg = prev.rolling(14, min_periods=1).mean()
+        sd = prev.rolling(14, min_periods=2).std()
+        cnt = prev.rolling(14, min_periods=1).count()
+        for day, n, a, s, c in zip(days, counts, avg, sd, cnt):
+            if c < 7:
+                continue
+            z = (n - a) / s if s > 0 else None
+            pct = (n - a) * 100 / a if a else None
+            flat = not (s > 0)
+            spike = n > a and (flat or z > 3) and (pct is None or pct > 5)
+            drop = n < a and (flat or z < -3) and (pct is None or -pct > 5)
+            key = (day, None if dim == "<null>" else dim)
+            want[key] = (int(n), int(c), None if z is None else round(z, 4),
+                         "spike" if spike else ("drop" if drop else None))
+    assert set(got) == set(want)
+    for k in want:
+        g, w = got[k], want[k]
+        assert g[:2] == w[:2] and g[3] == w[3], k
+        assert (g[2] is None and w[2] is None) or abs(g[2] - w[2]) < 1e-3, k
+    assert any(v[3] == "spike" for v in got.values())
+
+
+def test_column_profile_matches_pandas(spark):
+    import pandas as pd
+
+    from lodgeflow.operators import profile as P
+    rng = random.Random(9)
+    words = ["a", "b b", " ", "", "x1", "123", "Zz", None]
+    rows = [(rng.choice([None, rng.randint(-5, 5)]), rng.choice(words),
+             rng.choice([None, rng.random() * 100])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "i bigint, s string, f double")
+    got = {r.column_name: r for r in P.column_profile(df).collect()}
+    pdf = pd.DataFrame(rows, columns=["i", "s", "f"])
+    for c in ("i", "s", "f"):
+        col = pdf[c]
+        assert got[c].null_count == int(col.isna().sum())
+        assert got[c].distinct_count == int(col.dropna().nunique())
+    for c in ("i", "f"):
+        x = pdf[c].dropna().astype(float)
+        r = got[c]
+        assert r.min == x.min() and r.max == x.max()
+        assert abs(r.avg - x.mean()) < 1e-9 and abs(r.stddev - x.std()) < 1e-9
+        q = x.quantile([0.25, 0.5, 0.75]).tolist()
+        assert [r.p25, r.median, r.p75] == [round(v, 12) for v in q] or \
+            all(abs(a - b) < 1e-9 for a, b in zip([r.p25, r.median, r.p75], q))
+        assert r.outlier_count == int(((x - x.mean()).abs() > 3 * x.std()).sum())
+    s = pdf["s"].dropna()
+    r = got["s"]
+    assert r.empty_count == int((s == "").sum())
+    assert r.whitespace_only_count == int(((s.str.strip(" ") == "") & (s != "")).sum())
+    assert r.numeric_pattern_count == int(s.str.fullmatch(r"[0-9]+").sum())
+    assert r.alpha_pattern_count == int(s.str.fullmatch(r"[A-Za-z\s]+").sum())
+    counts = s.value_counts()
+    assert r.mode == sorted(counts[counts == counts.max()].index)[0]
+    assert abs(r.avg_length - s.str.len().mean()) < 1e-9
