@@ -34,6 +34,15 @@ from lodgeflow.operators.quantiles import pick_aggs, rank_ranges
 from lodgeflow.session import path_exists, reliable_checkpoint
 
 DAY_SUFFIX = "#day"
+# Columns each family-specific aggregate adds (NULL when the table has no such column).
+_FAMILY_OUTPUTS = {
+    "string": [("mode", "string"), ("min_length", "int"), ("max_length", "int"),
+               ("avg_length", "double"), ("empty_count", "bigint"),
+               ("whitespace_only_count", "bigint"), ("numeric_pattern_count", "bigint"),
+               ("alpha_pattern_count", "bigint")],
+    "temporal": [("min_text", "string"), ("max_text", "string")],
+    "boolean": [("true_count", "bigint"), ("false_count", "bigint")],
+}
 ROW_KEY = "#row"
 # The profiler's text patterns and thresholds.
 NUMERIC_PATTERN = "^[0-9]+$"
@@ -156,11 +165,11 @@ def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = Tr
     per column, computed from one scan of ``df``."""
     cols = column_families(df, exclude)
     # The only scan of ``df``. The value counts are read by several
-    # aggregates below, so they are persisted (memory, spilling to disk; lost
-    # blocks are recomputed from the scan) while the small per-column frame
-    # is computed and checkpointed; then the cache is released. Eager: this
-    # call runs the profile.
-    vc = value_counts(df, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    # aggregates below, so they are staged on local disk (streamed back, never
+    # re-cached whole on the heap; lost blocks are recomputed from the scan)
+    # while the small per-column frame is computed and checkpointed; then the
+    # staged copy is released. Eager: this call runs the profile.
+    vc = value_counts(df, cols).persist(StorageLevel.DISK_ONLY)
     held = [vc]
     try:
         return reliable_checkpoint(_frame_from_counts(vc, cols, held, numeric))
@@ -173,23 +182,40 @@ def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
                        held: list[DataFrame], with_numeric: bool = True) -> DataFrame:
     v, cnt = F.col("v"), F.col("cnt")
     nn = v.isNotNull()
+    names = lambda fam: [n for n, f in cols if f == fam]
+    # Counts every column needs: fixed-width buffers, hash aggregation.
     stats = vc.groupBy("column_name").agg(
         F.sum(cnt).alias("total_rows"),
         F.coalesce(F.sum(F.when(~nn, cnt)), F.lit(0)).alias("null_count"),
-        F.count(v).alias("distinct_count"),
-        F.min_by(v, F.when(nn, F.struct((-cnt).alias("c"), v.alias("v")))).alias("mode"),
-        F.min(F.when(nn, F.length(v))).alias("min_length"),
-        F.max(F.when(nn, F.length(v))).alias("max_length"),
-        (F.sum(F.when(nn, F.length(v) * cnt)) / F.sum(F.when(nn, cnt))).alias("avg_length"),
-        F.sum(F.when(v == "", cnt).otherwise(0)).alias("empty_count"),
-        F.sum(F.when((F.trim(v) == "") & (v != ""), cnt).otherwise(0)).alias("whitespace_only_count"),
-        F.sum(F.when(full_match(v, NUMERIC_PATTERN), cnt).otherwise(0)).alias("numeric_pattern_count"),
-        F.sum(F.when(full_match(v, ALPHA_PATTERN), cnt).otherwise(0)).alias("alpha_pattern_count"),
+        F.count(v).alias("distinct_count"))
+    # Family-specific metrics run only over that family's value counts, so
+    # unique ids and row hashes never go through string or regex work.
+    family_aggs = {
+        "string": [
+            F.min_by(v, F.when(nn, F.struct((-cnt).alias("c"), v.alias("v")))).alias("mode"),
+            F.min(F.when(nn, F.length(v))).alias("min_length"),
+            F.max(F.when(nn, F.length(v))).alias("max_length"),
+            (F.sum(F.when(nn, F.length(v) * cnt)) / F.sum(F.when(nn, cnt))).alias("avg_length"),
+            F.sum(F.when(v == "", cnt).otherwise(0)).alias("empty_count"),
+            F.sum(F.when((F.trim(v) == "") & (v != ""), cnt).otherwise(0))
+            .alias("whitespace_only_count"),
+            F.sum(F.when(full_match(v, NUMERIC_PATTERN), cnt).otherwise(0))
+            .alias("numeric_pattern_count"),
+            F.sum(F.when(full_match(v, ALPHA_PATTERN), cnt).otherwise(0))
+            .alias("alpha_pattern_count")],
         # text of dates/timestamps orders like the values (4-digit years)
-        F.min(v).alias("min_text"), F.max(v).alias("max_text"),
-        F.sum(F.when(v == "true", cnt).otherwise(0)).alias("true_count"),
-        F.sum(F.when(v == "false", cnt).otherwise(0)).alias("false_count"),
-    )
+        "temporal": [F.min(v).alias("min_text"), F.max(v).alias("max_text")],
+        "boolean": [F.sum(F.when(v == "true", cnt).otherwise(0)).alias("true_count"),
+                    F.sum(F.when(v == "false", cnt).otherwise(0)).alias("false_count")],
+    }
+    for fam, aggs in family_aggs.items():
+        members = names(fam)
+        if members:
+            part = vc.filter(F.col("column_name").isin(*members)).groupBy("column_name").agg(*aggs)
+            stats = stats.join(part, "column_name", "left")
+        else:
+            stats = stats.select("*", *[F.lit(None).cast(t).alias(n)
+                                        for n, t in _FAMILY_OUTPUTS[fam]])
     days = (stats.filter(F.col("column_name").endswith(DAY_SUFFIX))
             .select(F.expr(f"substring(column_name, 1, length(column_name) - {len(DAY_SUFFIX)})")
                     .alias("column_name"), F.col("distinct_count").alias("distinct_dates")))

@@ -39,7 +39,7 @@ def rank_ranges(values: DataFrame, group: str, x: str, w: str,
              .repartitionByRange("g", "x")
              .select("*", F.spark_partition_id().alias("pid")))
     if persist:
-        parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
+        parts = parts.persist(StorageLevel.DISK_ONLY)
     # (group, partition) rows: bounded by partitions × groups
     pstats = parts.groupBy("g", "pid").agg(F.sum("w").alias("pw"), F.min("x").alias("pmin"))
     by_g = Window.partitionBy("g")

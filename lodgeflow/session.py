@@ -93,13 +93,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
 
-    The rows are persisted (memory, spilling to disk) while the checkpoint is
-    written, so the plan runs once instead of once for the count and again
-    for the write; the persisted copy is released afterwards. The result
-    keeps ``df``'s output partitioning.
+    The rows are staged on local disk while the checkpoint is written, so
+    the plan runs once instead of once for the count and again for the
+    write; the staged copy is released afterwards. ``DISK_ONLY`` streams
+    blocks back instead of re-caching a whole spilled block on the heap. The
+    result keeps ``df``'s output partitioning.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    staged = df.persist(StorageLevel.DISK_ONLY)
     try:
         return staged.checkpoint(eager=True)
     finally:
