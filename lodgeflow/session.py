@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on. ANSI stays on: the money cast (P7) must
@@ -91,20 +91,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder and cut its lineage.
-
-    The rows are staged on local disk while the checkpoint is written, so
-    the plan runs once instead of once for the count and again for the
-    write; the staged copy is released afterwards. ``DISK_ONLY`` streams
-    blocks back instead of re-caching a whole spilled block on the heap. The
-    result keeps ``df``'s output partitioning.
+    """Materialise ``df`` as a table in the shared checkpoint folder and return
+    a DataFrame that reads it back, which cuts the lineage.
+
+    A written table (rather than ``Dataset.checkpoint``) runs the plan once,
+    lets AQE coalesce the output to right-sized files (a persisted plan keeps
+    every shuffle partition), and stores the rows columnar and compressed.
+    The folder is the one named by ``spark.checkpoint.dir`` — shared storage
+    on a cluster, so the result survives lost executors; treat it as scratch
+    space, like Spark's own checkpoint files.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    staged = df.persist(StorageLevel.DISK_ONLY)
-    try:
-        return staged.checkpoint(eager=True)
-    finally:
-        staged.unpersist(blocking=False)
+    folder = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{folder}/lodgeflow-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
