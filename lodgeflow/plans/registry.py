@@ -98,7 +98,9 @@ def q_increment_since_last(spark, sf):
 
 def q_increment_window(spark, sf):
     fct = _fct(spark, sf)
-    return load.select_increment(fct, fct.limit(0), "review_date", *WINDOW)
+    # the existing table: everything before the window; the window is reloaded
+    target = fct.filter(F.col("review_date") < F.lit(WINDOW[0]).cast("timestamp_ntz"))
+    return load.select_increment(fct, target, "review_date", *WINDOW)
 
 
 def _delete_insert_inputs(spark, sf):
