@@ -18,6 +18,7 @@ from lodgeflow.operators.load import (audited_write, reconcile_schema, select_in
                                       write_delete_insert)
 from lodgeflow.operators.scd2 import scd2_apply
 from lodgeflow.plans import models as M
+from lodgeflow.session import release_checkpoints
 from lodgeflow.sources.fixtures import load_raw
 
 # Materialised models, in dependency order (views stay lazy).
@@ -93,6 +94,7 @@ def run_full_build(spark: SparkSession, sf_dir: str, out_dir: str,
         audited_write(df, f"{out_dir}/{name}", name, audit, invocation_id, **kw)
     if profile:
         run_profiles(spark, m, f"{out_dir}/_profiles", as_of=as_of)
+        release_checkpoints(spark)     # the profile history is written; scratch can go
     return C.run_checks(spark, default_suite(raw, m), f"{out_dir}/_failures")
 
 
@@ -145,6 +147,7 @@ def main(argv: list[str] | None = None) -> None:
     if a.reload:
         incremental_fct_load(spark, load_raw(spark, a.sf_dir)["reviews"],
                              f"{a.out_dir}/fct_reviews", *a.reload)
+    release_checkpoints(spark)
 
 
 if __name__ == "__main__":

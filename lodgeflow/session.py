@@ -104,9 +104,32 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     folder = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{folder}/lodgeflow-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.parquet(path)
 
 
+# Tables written by ``reliable_checkpoint`` in this process, oldest first.
+_WRITTEN: list[str] = []
+
+
+def release_checkpoints(spark: SparkSession) -> int:
+    """Delete the checkpoint tables this process wrote; returns how many.
+
+    Call it once the job's outputs are written: DataFrames returned by
+    ``reliable_checkpoint`` read those tables and must not be used afterwards.
+    """
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return 0
+    conf = spark._jsc.hadoopConfiguration()
+    released = 0
+    while _WRITTEN:
+        jpath = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if jpath.getFileSystem(conf).delete(jpath, True):
+            released += 1
+    return released
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its file system (local, HDFS, object stores)."""
     jvm = getattr(spark, "_jvm", None)

@@ -96,3 +96,14 @@ def test_profile_history_appends_once_per_day(spark, scratch):
     assert h.count() == 10
     fct = h.filter("model_name = 'fct_reviews'").select("data_type", "sample_percentage").distinct().collect()
     assert [(r.data_type, r.sample_percentage) for r in fct] == [("sampled", 50.0)]
+
+
+def test_release_checkpoints_removes_scratch_tables(spark):
+    from lodgeflow.session import path_exists, release_checkpoints, reliable_checkpoint
+    release_checkpoints(spark)
+    df = reliable_checkpoint(spark.range(10))
+    assert df.count() == 10
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert path_exists(spark, path)
+    assert release_checkpoints(spark) == 1
+    assert not path_exists(spark, path)
