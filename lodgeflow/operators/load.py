@@ -214,23 +214,18 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
-def audited_write(df: DataFrame, path: str, step: str, audit_path: str,
-                  invocation_id: str | None = None, **write_kwargs) -> dict:
-    """Write ``df`` and append one audit row for the step.
-
-    Rows are counted with ``df.observe`` during the write itself, so the
-    audit costs no second pass over the data.
-    """
+def audited(spark: SparkSession, step: str, audit_path: str, run, invocation_id: str | None = None) -> dict:
+    """Run ``run()`` (which may return the rows it affected) and append one
+    audit row — invocation id, step, status, rows, start/end, seconds, error.
+    A failing step is recorded, then re-raised."""
     import datetime as dt
 
     invocation_id = invocation_id or uuid.uuid4().hex
-    obs = Observation(f"audit_{step}_{uuid.uuid4().hex[:8]}")
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     t0 = time.perf_counter()
     status, error, rows = "success", None, None
     try:
-        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **write_kwargs)
-        rows = int(obs.get["rows"])
+        rows = run()
     except Exception as exc:  # noqa: BLE001 — recorded, then re-raised
         status, error = "error", f"{type(exc).__name__}: {exc}"[:1000]
         raise
@@ -239,6 +234,22 @@ def audited_write(df: DataFrame, path: str, step: str, audit_path: str,
         record = {"invocation_id": invocation_id, "step": step, "status": status,
                   "rows_affected": rows, "started_at": started, "finished_at": finished,
                   "execution_seconds": round(time.perf_counter() - t0, 3), "error": error}
-        df.sparkSession.createDataFrame([record], AUDIT_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(audit_path)
+        spark.createDataFrame([record], AUDIT_SCHEMA).coalesce(1) \
+            .write.mode("append").parquet(audit_path)
     return record
+
+
+def audited_write(df: DataFrame, path: str, step: str, audit_path: str,
+                  invocation_id: str | None = None, **write_kwargs) -> dict:
+    """Write ``df`` and append one audit row for the step.
+
+    Rows are counted with ``df.observe`` during the write itself, so the
+    audit costs no second pass over the data.
+    """
+    obs = Observation(f"audit_{step}_{uuid.uuid4().hex[:8]}")
+
+    def run() -> int:
+        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **write_kwargs)
+        return int(obs.get["rows"])
+
+    return audited(df.sparkSession, step, audit_path, run, invocation_id)

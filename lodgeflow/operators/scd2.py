@@ -101,7 +101,10 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str,
 
 
 def current_rows(history: DataFrame) -> DataFrame:
-    """S3: the open version of every key (``valid_to IS NULL``)."""
+    """S3: the open version of every key (``valid_to IS NULL``); on a history
+    table written by ``scd2_snapshot`` this prunes to the open partition."""
+    if "closed_run" in history.columns:
+        return history.filter(F.col("closed_run") == OPEN_PARTITION)
     return history.filter(F.col("valid_to").isNull())
 
 
@@ -118,3 +121,42 @@ def single_active_version(history: DataFrame, key: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("active_versions"))
             .filter(F.col("active_versions") > 1)
             .select(F.col(key).alias("offending_id"), "active_versions"))
+
+
+# --- the history table sink ------------------------------------------------------
+OPEN_PARTITION = "open"
+
+
+def scd2_snapshot(spark, path: str, current: DataFrame, key: str, updated_at: str = "updated_at",
+                  as_of=None, run_id: str | None = None,
+                  invalidate_hard_deletes: bool = True) -> int:
+    """Apply one snapshot to the history table at ``path``.
+
+    The table is partitioned by ``closed_run``: open versions live in the
+    ``open`` partition, versions closed by a run in that run's partition. A
+    run reads only the open partition (partition pruning), so its cost grows
+    with the current entities, not with the accumulated history; closed
+    versions are written once and never rewritten. The run's closed versions
+    and the new open partition go out in one dynamic-overwrite write, so
+    repeating a run (same ``run_id``) is idempotent. Returns the number of
+    versions written (the open partition plus the versions this run closed).
+    """
+    import uuid
+
+    from pyspark.sql import Observation
+
+    from lodgeflow.session import path_exists, reliable_checkpoint
+
+    run = run_id or str(as_of or "")[:10] or "run"
+    if not path_exists(spark, path):
+        out = scd2_init(current, key, updated_at).withColumn("closed_run", F.lit(OPEN_PARTITION))
+    else:
+        open_ = current_rows(spark.read.parquet(path)).drop("closed_run")
+        moved = scd2_apply(open_, current, key, updated_at, as_of, invalidate_hard_deletes)
+        closed = F.when(F.col("valid_to").isNull(), F.lit(OPEN_PARTITION)).otherwise(F.lit(run))
+        # the open partition is read and rewritten: materialise first
+        out = reliable_checkpoint(moved.withColumn("closed_run", closed))
+    obs = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
+    (out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("closed_run").parquet(path))
+    return int(obs.get["rows"])

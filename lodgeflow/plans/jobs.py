@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from lodgeflow.operators import checks as C
 from lodgeflow.operators import profile as P
-from lodgeflow.operators.load import (audited_write, reconcile_schema, select_increment,
+from lodgeflow.operators.load import (audited, audited_write, reconcile_schema, select_increment,
                                       write_delete_insert)
-from lodgeflow.operators.scd2 import scd2_apply
+from lodgeflow.operators.scd2 import scd2_snapshot
 from lodgeflow.plans import models as M
 from lodgeflow.session import release_checkpoints
 from lodgeflow.sources.fixtures import load_raw
@@ -79,11 +79,14 @@ def run_full_build(spark: SparkSession, sf_dir: str, out_dir: str,
     (and, with ``profile``, append today's profiles to ``_profiles``)."""
     invocation_id = invocation_id or uuid.uuid4().hex
     raw = load_raw(spark, sf_dir)
-    hist_h = scd2_apply(None, raw["hosts"], "id")
-    hist_l = scd2_apply(None, raw["listings"], "id")
     audit = f"{out_dir}/_audit"
-    audited_write(hist_h, f"{out_dir}/scd_raw_hosts", "scd_raw_hosts", audit, invocation_id)
-    audited_write(hist_l, f"{out_dir}/scd_raw_listings", "scd_raw_listings", audit, invocation_id)
+    run_id = invocation_id
+    for name, source in (("scd_raw_hosts", raw["hosts"]), ("scd_raw_listings", raw["listings"])):
+        # history accumulates across builds; each build reads only the open versions
+        audited(spark, name, audit,
+                lambda n=name, src=source: scd2_snapshot(spark, f"{out_dir}/{n}", src, "id",
+                                                          as_of=as_of, run_id=run_id),
+                invocation_id)
     m = M.build_models(raw, spark.read.parquet(f"{out_dir}/scd_raw_hosts"),
                        spark.read.parquet(f"{out_dir}/scd_raw_listings"))
     for name in TABLES:

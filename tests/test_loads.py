@@ -153,3 +153,25 @@ def test_scd2_registered_scenario_invariants(spark):
                        & (F.col("a.valid_from") < F.coalesce(F.col("b.valid_to"), F.lit(D(9999, 1, 1))))
                        & (F.col("b.valid_from") < F.coalesce(F.col("a.valid_to"), F.lit(D(9999, 1, 1))))))
     assert overlap.count() == 0
+
+
+def test_scd2_snapshot_table_matches_in_memory_history(spark, scratch):
+    path = f"{scratch}/hist"
+    v1 = snap(spark, [(1, "a", D(2020, 1, 1)), (2, "b", D(2020, 1, 1)), (3, "c", D(2020, 1, 1))])
+    v2 = snap(spark, [(1, "a2", D(2020, 2, 1)), (2, "b~", D(2020, 1, 1)), (4, "d", D(2020, 2, 1))])
+    v3 = snap(spark, [(1, "a3", D(2020, 3, 1)), (3, "c3", D(2020, 3, 1)), (4, "d", D(2020, 2, 1))])
+    runs = [(v1, "2020-01-15 00:00:00", "r1"), (v2, "2020-02-15 00:00:00", "r2"),
+            (v3, "2020-03-15 00:00:00", "r3")]
+    hist = None
+    for df, as_of, run in runs:
+        S.scd2_snapshot(spark, path, df, "id", as_of=as_of, run_id=run)
+        hist = S.scd2_apply(hist, df, "id", as_of=as_of)
+    S.scd2_snapshot(spark, path, v3, "id", as_of="2020-03-15 00:00:00", run_id="r3")  # rerun
+    table = spark.read.parquet(path)
+    cols = ("id", "v", "valid_from", "valid_to", "scd_id")
+    assert rows(table, *cols) == rows(hist, *cols)
+    assert rows(S.current_rows(table), "id", "v") == [(1, "a3"), (3, "c3"), (4, "d")]
+    parts = {r.closed_run for r in table.select("closed_run").distinct().collect()}
+    assert parts == {"open", "r2", "r3"}
+    plan = S.current_rows(table)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(closed_run" in plan and "(closed_run" in plan and "= open)" in plan
