@@ -289,7 +289,6 @@ SELECT name AS model_name, d AS direct_downstream_count, t AS total_downstream_c
 FROM m
 """
 
-_D2 = lambda cols: ", ".join(cols)
 
 _DIM_LWH_OUT = ("listing_id, listing_name, room_type, minimum_nights, CAST(price AS DOUBLE) AS price, "
                 "host_id, host_name, host_is_superhost, created_at, updated_at")
