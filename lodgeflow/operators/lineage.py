@@ -144,16 +144,18 @@ def impact(edges: DataFrame, nodes: DataFrame | None = None,
         kept = keep_nodes(nodes, exclude_patterns)
         e = prepare_edges(kept_edges(edges, kept))
     closure = transitive_closure(e, prepared=True)
-    direct = e.groupBy(F.col("parent").alias("name")).agg(
-        F.count(F.lit(1)).alias("direct_downstream_count"),
-        *([F.array_join(F.sort_array(F.collect_list("child")), ", ")
-           .alias("direct_downstream_models")] if with_lists else []))
-    total = closure.groupBy(F.col("src").alias("name")).agg(
+    # Level 1 of the closure is the (distinct) edge set, so the direct and the
+    # total counts come out of one aggregation over the closure.
+    first = F.col("depth") == 1
+    stats = closure.groupBy(F.col("src").alias("name")).agg(
+        F.count(F.when(first, F.lit(1))).alias("direct_downstream_count"),
         F.count(F.lit(1)).alias("total_downstream_count"),
         F.max("depth").alias("max_downstream_depth"),
-        *([F.array_join(F.sort_array(F.collect_list("dst")), ", ")
+        *([F.array_join(F.sort_array(F.collect_list(F.when(first, F.col("dst")))), ", ")
+           .alias("direct_downstream_models"),
+           F.array_join(F.sort_array(F.collect_list("dst")), ", ")
            .alias("all_downstream_models")] if with_lists else []))
-    j = kept.join(direct, "name", "left").join(total, "name", "left")
+    j = kept.join(stats, "name", "left")
     d = F.coalesce(F.col("direct_downstream_count"), F.lit(0)).cast("bigint")
     t = F.coalesce(F.col("total_downstream_count"), F.lit(0)).cast("bigint")
     depth = F.coalesce(F.col("max_downstream_depth"), F.lit(0)).cast("int")
