@@ -301,11 +301,12 @@ def run_checks(spark: SparkSession, suite: Sequence[Check],
                .when(F.col("severity") == "warn", F.lit("warn"))
                .otherwise(F.lit("fail")))
     results = counts.select("*", status.alias("status"))
-    if failures_path:
-        results = results.cache()
-        rows = results.filter(F.col("failures") > 0).select("check_name").collect()
-        failed = {r.check_name for r in rows}  # one name per check: bounded
-        for c in suite:
-            if c.name in failed:
-                c.build().write.mode("overwrite").parquet(f"{failures_path}/{c.name}")
-    return results
+    if not failures_path:
+        return results
+    # one row per check: bounded by the suite, so it is fine on the driver
+    rows = results.collect()
+    failed = {r.check_name for r in rows if r.failures > 0}
+    for c in suite:
+        if c.name in failed:
+            c.build().write.mode("overwrite").parquet(f"{failures_path}/{c.name}")
+    return spark.createDataFrame(rows, RESULT_SCHEMA)
