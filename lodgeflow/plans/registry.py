@@ -270,6 +270,11 @@ def q_sample_hash(spark, sf):
     return profile.sample_rows(load_raw(spark, sf)["listings"], 50, method="hash", key="id")
 
 
+def q_sample_bernoulli(spark, sf):
+    # random by design (fixed seed): rows-only in the oracle
+    return profile.sample_rows(load_raw(spark, sf)["listings"], 50, seed=42)
+
+
 # --- anomalies ---------------------------------------------------------------------------
 def q_volume_scores(spark, sf):
     return anomaly.anomaly_scores(table(spark, sf, "events"), "ts")
@@ -347,6 +352,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_quality": q_profile_quality,
     "profile_wide": q_profile_wide,
     "sample_hash": q_sample_hash,
+    "sample_bernoulli": q_sample_bernoulli,
     "lineage_impact": q_lineage_impact,
 }
 
