@@ -160,7 +160,45 @@ def _numeric_stats(vc: DataFrame, numeric: list[str]) -> tuple[DataFrame, list[D
     return stats, [parts, moments]
 
 
-def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = True) -> DataFrame:
+def _numeric_stats_approx(df: DataFrame, vc: DataFrame, numeric: list[str],
+                          accuracy: int = 10_000) -> tuple[DataFrame, list[DataFrame]]:
+    """Like ``_numeric_stats`` but with sketch percentiles: one narrow extra
+    scan of the numeric columns (``percentile_approx``, bounded memory, rank
+    error ≤ 1/accuracy) instead of sorting every distinct value. Moments and
+    outliers stay exact (sums over the value counts, shifted by the
+    approximate median)."""
+    x, cnt = F.col("x"), F.col("cnt")
+    probs = [float(p) for p in PERCENTILES]
+    sketch = df.agg(*[F.percentile_approx(_q(c).cast("double"), probs, accuracy).alias(f"q{i}")
+                      for i, c in enumerate(numeric)])
+    q = sketch.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"q{i}").alias("q"))
+        for i, c in enumerate(numeric)])).alias("e")).select("e.column_name", "e.q")
+    nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
+             .select("column_name", F.col("v").cast("double").alias("x"), "cnt")
+    # one row per numeric column: bounded by the schema width
+    shifted = nums.join(F.broadcast(q), "column_name")
+    d = x - F.col("q")[1]
+    n = F.col("n")
+    variance = (F.col("s2") - F.col("s1") * F.col("s1") / n) / F.nullif(n - 1, F.lit(0))
+    variance = F.when(variance < 0, F.lit(0.0)).otherwise(variance)
+    moments = shifted.groupBy("column_name").agg(
+        F.min(x).alias("min"), F.max(x).alias("max"), F.sum(cnt).alias("n"),
+        F.first(F.col("q")).alias("q"), F.sum(cnt * d).alias("s1"), F.sum(cnt * d * d).alias("s2")
+    ).select("column_name", "min", "max", (F.col("q")[1] + F.col("s1") / n).alias("avg"),
+             variance.alias("variance"), F.sqrt(variance).alias("stddev"),
+             F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p75"))
+    outliers = (nums.join(F.broadcast(moments.select("column_name", "avg", "stddev")), "column_name")
+                .groupBy("column_name")
+                .agg(F.sum(F.when(F.abs(x - F.col("avg")) > OUTLIER_SIGMAS * F.col("stddev"), cnt)
+                           .otherwise(F.lit(0))).cast("bigint").alias("outlier_count")))
+    return moments.join(outliers, "column_name").select(
+        "column_name", "min", "max", "avg", "stddev", "variance", "p25", "median", "p75",
+        "outlier_count"), []
+
+
+def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = True,
+                  approx_percentiles: bool = False) -> DataFrame:
     """Every metric of every column (plus the ``#row`` pseudo-column), one row
     per column, computed from one scan of ``df``."""
     cols = column_families(df, exclude)
@@ -172,14 +210,16 @@ def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = Tr
     vc = value_counts(df, cols).persist(StorageLevel.DISK_ONLY)
     held = [vc]
     try:
-        return reliable_checkpoint(_frame_from_counts(vc, cols, held, numeric))
+        approx_source = df if approx_percentiles else None
+        return reliable_checkpoint(_frame_from_counts(vc, cols, held, numeric, approx_source))
     finally:
         for h in held:
             h.unpersist(blocking=False)
 
 
 def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
-                       held: list[DataFrame], with_numeric: bool = True) -> DataFrame:
+                       held: list[DataFrame], with_numeric: bool = True,
+                       approx_source: DataFrame | None = None) -> DataFrame:
     v, cnt = F.col("v"), F.col("cnt")
     nn = v.isNotNull()
     names = lambda fam: [n for n, f in cols if f == fam]
@@ -225,7 +265,8 @@ def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
            .join(days, "column_name", "left").select("*", family.alias("family")))
     numeric = [n for n, f in cols if f == "numeric"] if with_numeric else []
     if numeric:
-        stats, persisted = _numeric_stats(vc, numeric)
+        stats, persisted = (_numeric_stats_approx(approx_source, vc, numeric)
+                            if approx_source is not None else _numeric_stats(vc, numeric))
         held.extend(persisted)
         out = out.join(stats, "column_name", "left")
     else:
@@ -255,10 +296,11 @@ def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
 
 
 def column_profile(df: DataFrame, exclude: Sequence[str] = (),
-                   advanced: bool = True, numeric: bool = True) -> DataFrame:
+                   advanced: bool = True, numeric: bool = True,
+                   approx_percentiles: bool = False) -> DataFrame:
     """One row per profiled column with every metric that applies to it
     (``numeric=False`` skips moments, percentiles and outliers)."""
-    res = profile_frame(df, exclude, numeric).filter(F.col("family") != "row")
+    res = profile_frame(df, exclude, numeric, approx_percentiles).filter(F.col("family") != "row")
     if not advanced:
         res = res.select("column_name", "family", "total_rows", "null_count", "distinct_count",
                          "min_length", "max_length", "avg_length", "min", "max", "avg",
@@ -343,13 +385,13 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
                   advanced: bool = True, exclude: Sequence[str] = (),
                   freshness_hours: float = 24, date_col: str | None = None,
                   frequency: str = "daily", as_of=None, env: str = "dev",
-                  sample_seed: int = 42) -> DataFrame:
+                  sample_seed: int = 42, approx_percentiles: bool = False) -> DataFrame:
     """One wide row per run: header, row metrics, ``<col>_<metric>`` columns,
     freshness and a change hash — one scan of the table, then one aggregate
     over the per-column frame (a row per column)."""
     base = sample_rows(df, sample_pct, sample_seed) if sample_pct else df
     cols = column_families(base, exclude)
-    frame = profile_frame(base, exclude)
+    frame = profile_frame(base, exclude, approx_percentiles=approx_percentiles)
     aggs = _table_aggs(base, cols, date_col, as_of, freshness_hours, advanced)
     hash_parts = [F.col("total_rows"), F.col("distinct_rows")]
     for n, f in cols:

@@ -176,3 +176,18 @@ def test_column_profile_matches_pandas(spark):
     counts = s.value_counts()
     assert r.mode == sorted(counts[counts == counts.max()].index)[0]
     assert abs(r.avg_length - s.str.len().mean()) < 1e-9
+
+
+def test_profile_approx_percentiles_close_and_moments_exact(spark):
+    from lodgeflow.operators import profile as P
+    rng = random.Random(21)
+    rows = [(rng.randint(0, 1000), rng.random() * 50) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "i bigint, f double")
+    exact = {r.column_name: r for r in P.column_profile(df).collect()}
+    approx = {r.column_name: r for r in P.column_profile(df, approx_percentiles=True).collect()}
+    for c, spread in (("i", 1000), ("f", 50)):
+        e, a = exact[c], approx[c]
+        assert (a.min, a.max, a.outlier_count) == (e.min, e.max, e.outlier_count)
+        assert abs(a.avg - e.avg) < 1e-9 and abs(a.stddev - e.stddev) < 1e-9
+        for qa, qe in ((a.p25, e.p25), (a.median, e.median), (a.p75, e.p75)):
+            assert abs(qa - qe) <= spread * 0.01
