@@ -6,6 +6,7 @@ stays inside Catalyst and whole-stage codegen; there are no Python UDFs.
 
 from __future__ import annotations
 
+import datetime as _dt
 import re
 from functools import reduce
 from typing import Iterable, Sequence
@@ -159,6 +160,21 @@ def hour_diff(start: ColumnOrName, end: ColumnOrName) -> Column:
                             F.date_trunc("HOUR", _c(end)))
 
 
+# --- X20 ----------------------------------------------------------------------
+def as_timestamp(value=None) -> Column:
+    """An ``as_of`` parameter as a TIMESTAMP_NTZ column: a Column, a
+    datetime/date, or text; ``None`` means now (``CURRENT_TIMESTAMP``)."""
+    if value is None:
+        return F.localtimestamp()
+    if isinstance(value, Column):
+        return value.cast("timestamp_ntz")
+    if isinstance(value, _dt.datetime):
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat()
+    return F.lit(str(value)).cast("timestamp_ntz")
+
+
 # --- X14 ----------------------------------------------------------------------
 def truncate_period(c: ColumnOrName, period: str) -> Column:
     """``DATE_TRUNC(period, c)`` for hour/day/week/month; weeks start Monday."""

@@ -8,7 +8,6 @@ executes them, records a results table and stores the failing rows.
 
 from __future__ import annotations
 
-import datetime as _dt
 from dataclasses import dataclass, field
 from typing import Callable, Sequence
 
@@ -16,22 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeflow.functions.columns import (any_null, count_when, full_match, hour_diff,
+from lodgeflow.functions.columns import (any_null, as_timestamp, count_when, full_match, hour_diff,
                                          try_parse_boolean, try_parse_double)
 from lodgeflow.operators.load import schema_diff_fields
 from lodgeflow.operators.quantiles import approx_percentiles, exact_percentiles
 from lodgeflow.sources.raw import month_calendar
 
 
-def _ts(value) -> Column:
-    if value is None:
-        return F.localtimestamp()
-    if isinstance(value, Column):
-        return value.cast("timestamp_ntz")
-    if isinstance(value, _dt.datetime):
-        value = value.isoformat(sep=" ")
-    return F.lit(str(value)).cast("timestamp_ntz")
-
 
 # --- generic column checks -----------------------------------------------------
 def unique(df: DataFrame, col: str) -> DataFrame:
@@ -166,7 +156,7 @@ def freshness(df: DataFrame, ts_col: str, as_of=None, warn_after_hours: float =
     its row) unless it passes.
     """
     latest = df.agg(F.max(ts_col).alias("max_loaded_at"))
-    age = hour_diff(F.col("max_loaded_at"), _ts(as_of))
+    age = hour_diff(F.col("max_loaded_at"), as_timestamp(as_of))
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
                .when(age > error_after_hours, F.lit("error"))
                .when(age > warn_after_hours, F.lit("warn"))

@@ -19,7 +19,6 @@ that small frame, and ``merge_profile_history`` appends runs incrementally
 
 from __future__ import annotations
 
-import datetime as _dt
 from typing import Sequence
 
 from pyspark import StorageLevel
@@ -27,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeflow.functions.columns import (full_match, hour_diff, row_text,
+from lodgeflow.functions.columns import (as_timestamp, full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
 from lodgeflow.operators.load import merge_upsert, reconcile_schema, skip_existing, write_table
 from lodgeflow.operators.quantiles import pick_aggs, rank_ranges
@@ -335,7 +334,7 @@ def _table_aggs(df: DataFrame, cols: list[tuple[str, str]], date_col: str | None
                      pick(n, "false_count").alias(f"{n}_false_count")]
     if date_col:
         latest = pick(date_col, "latest").cast(types[date_col])
-        hours = hour_diff(latest, _as_ts(as_of))
+        hours = hour_diff(latest, as_timestamp(as_of))
         aggs += [hours.alias("hours_since_update"),
                  F.when(hours > freshness_hours, "STALE").otherwise("FRESH").alias("freshness_status"),
                  latest.alias("latest_record_date")]
@@ -356,15 +355,6 @@ def table_metrics(df: DataFrame, exclude: Sequence[str] = (), date_col: str | No
     return frame.agg(*_table_aggs(df, cols, date_col, as_of, freshness_hours))
 
 
-def _as_ts(value) -> Column:
-    if value is None:
-        return F.localtimestamp()
-    if isinstance(value, Column):
-        return value
-    if isinstance(value, _dt.datetime):
-        value = value.isoformat(sep=" ")
-    return F.lit(str(value)).cast("timestamp_ntz")
-
 
 # --- wide row (PR1a–PR1k) --------------------------------------------------------
 WIDE_METRICS = {
@@ -401,7 +391,7 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
                  for m in metrics]
         hash_parts += [F.col(f"{n}_null_count"), F.col(f"{n}_distinct_count")]
     wide = frame.agg(*aggs)
-    now = _as_ts(as_of)
+    now = as_timestamp(as_of)
     pdate = truncate_period(now, frequency)
     header = [
         pdate.alias("profile_date"), F.lit(model_name).alias("model_name"),

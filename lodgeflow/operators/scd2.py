@@ -13,25 +13,14 @@ source on the key (a single shuffle on the key); closed versions never move.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeflow.functions.columns import surrogate_key
+from lodgeflow.functions.columns import as_timestamp, surrogate_key
 
 SCD_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
 
 
-def _ts(value) -> Column:
-    if value is None:
-        return F.localtimestamp()
-    if isinstance(value, Column):
-        return value.cast("timestamp_ntz")
-    if isinstance(value, (_dt.date, _dt.datetime)):
-        value = value.isoformat(sep=" ") if isinstance(value, _dt.datetime) else value.isoformat()
-    return F.lit(str(value)).cast("timestamp_ntz")
-
 
 def scd2_init(current: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
     """First snapshot: every source row becomes an open version."""
@@ -75,7 +64,7 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str,
     deleted = has_h & ~has_s
     close_at = F.when(newer, s_ts)
     if invalidate_hard_deletes:
-        close_at = close_at.when(deleted, _ts(as_of))
+        close_at = close_at.when(deleted, as_timestamp(as_of))
 
     old_version = F.struct(
         *[F.col(f"h__{c}").alias(c) for c in src_cols],
@@ -110,7 +99,7 @@ def current_rows(history: DataFrame) -> DataFrame:
 
 def as_of_view(history: DataFrame, ts) -> DataFrame:
     """Versions valid at ``ts``: ``valid_from <= ts < coalesce(valid_to, ∞)``."""
-    t = _ts(ts)
+    t = as_timestamp(ts)
     return history.filter((F.col("valid_from") <= t)
                           & (F.col("valid_to").isNull() | (t < F.col("valid_to"))))
 
