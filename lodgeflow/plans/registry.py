@@ -1,7 +1,9 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
-Every query reads the driver's tables through the fixture mapping
-(``sources.fixtures``) and runs the library operator over the whole tables.
+Every query reads the driver's tables — through the fixture mapping
+(``sources.fixtures``) where the marketplace's raw tables are needed, directly
+for ``events`` and the lineage graph — and runs the library operator over the
+whole tables.
 Outputs are normalised to the types both Spark and DuckDB produce
 (decimals → double, small integers → bigint) so the oracle can hash them.
 """
