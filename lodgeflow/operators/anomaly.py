@@ -1,8 +1,11 @@
-"""Volume and dimension anomaly detection over daily buckets.
+"""Volume and dimension anomaly detection over time buckets.
 
-1. rows per day (and per dimension value) — a partial aggregate, so hot
-   days/values are combined map-side;
-2. zero-filled between the first and last day of the data, per value;
+Buckets are one day by default (the reference's setting); ``period`` also
+accepts ``hour`` and ``week``.
+
+1. rows per bucket (and per dimension value) — a partial aggregate, so hot
+   buckets/values are combined map-side;
+2. zero-filled between the first and last bucket of the data, per value;
 3. days inside the detection delay before ``as_of`` are dropped;
 4. each bucket is scored against the trailing ``training`` buckets
    (exclusive of itself) with a window over the *aggregated* series;
@@ -17,19 +20,29 @@ import datetime as _dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeflow.sources.raw import day_calendar
 
 
-def bucket_counts(df: DataFrame, ts_col: str, dims: Sequence[str] = ()) -> DataFrame:
-    """Rows per (day, *dims)."""
-    return (df.groupBy(F.to_date(F.col(ts_col)).alias("bucket"), *dims)
+PERIODS = ("hour", "day", "week")
+
+
+def _bucket(ts: Column, period: str) -> Column:
+    if period not in PERIODS:
+        raise ValueError(f"period must be one of {PERIODS}, not {period!r}")
+    # day buckets stay DATEs; hour and week buckets are truncated timestamps
+    return F.to_date(ts) if period == "day" else F.date_trunc(period, ts)
+
+
+def bucket_counts(df: DataFrame, ts_col: str, dims: Sequence[str] = (),
+                  period: str = "day") -> DataFrame:
+    """Rows per (bucket, *dims)."""
+    return (df.groupBy(_bucket(F.col(ts_col), period).alias("bucket"), *dims)
             .agg(F.count(F.lit(1)).alias("row_count")))
 
 
-def zero_fill(counts: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
+def zero_fill(counts: DataFrame, dims: Sequence[str] = (), period: str = "day") -> DataFrame:
     """Every day between the global first and last bucket, per dimension value.
 
     The bounds are scalar subqueries; each distinct dimension value expands
@@ -38,7 +51,8 @@ def zero_fill(counts: DataFrame, dims: Sequence[str] = ()) -> DataFrame:
     lo = counts.select(F.min("bucket")).scalar()
     hi = counts.select(F.max("bucket")).scalar()
     keys = counts.select(*dims).distinct() if dims else counts.sparkSession.range(1).select()
-    grid = keys.select(*dims, day_calendar(lo, hi, "bucket"))
+    step = F.expr(f"INTERVAL 1 {period.upper()}")
+    grid = keys.select(*dims, F.explode(F.sequence(lo, hi, step)).alias("bucket"))
     cond = [F.col("g.bucket") == F.col("c.bucket")] + [
         F.col(f"g.{d}").eqNullSafe(F.col(f"c.{d}")) for d in dims]
     joined = grid.alias("g").join(counts.alias("c"), reduce(lambda a, b: a & b, cond), "left")
@@ -90,12 +104,14 @@ def score_series(series: DataFrame, dims: Sequence[str] = (), training: int = 14
 
 
 def anomaly_scores(df: DataFrame, ts_col: str, dims: Sequence[str] = (), as_of=None,
-                   detection_delay_days: int = 0, **kw) -> DataFrame:
-    """Zero-filled, delay-trimmed, scored daily series of ``df``."""
-    series = zero_fill(bucket_counts(df, ts_col, dims), dims)
+                   detection_delay_days: int = 0, period: str = "day", **kw) -> DataFrame:
+    """Zero-filled, delay-trimmed, scored series of ``df`` in ``period`` buckets."""
+    series = zero_fill(bucket_counts(df, ts_col, dims, period), dims, period)
     if as_of is not None and detection_delay_days:
         cutoff = F.date_sub(_as_date(as_of), detection_delay_days)
-        series = series.filter(F.col("bucket") < cutoff)  # whole days before the delay
+        # whole buckets before the delay
+        bucket_day = F.col("bucket") if period == "day" else F.to_date(F.col("bucket"))
+        series = series.filter(bucket_day < cutoff)
     return score_series(series, dims, **kw)
 
 

@@ -81,7 +81,3 @@ def month_calendar(bounds: DataFrame, lo: str = "min_month",
         F.explode(F.sequence(F.col(lo), F.col(hi),
                              F.expr("INTERVAL 1 MONTH"))).alias(out))
 
-
-def day_calendar(lo: Column, hi: Column, out: str = "bucket") -> Column:
-    """Exploded sequence of days between two DATE expressions."""
-    return F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias(out)

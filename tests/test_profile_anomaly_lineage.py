@@ -207,3 +207,16 @@ def test_distinct_rows_strict_and_reference(spark):
     df = spark.createDataFrame([("a", "bc"), ("ab", "c"), ("a", "bc")], "a string, b string")
     assert tuple(P.distinct_rows(df).collect()[0]) == (3, 1)
     assert tuple(P.distinct_rows(df, strict=True).collect()[0]) == (3, 2)
+
+
+def test_hourly_buckets(spark):
+    rows = []
+    for h in range(30):
+        n = 20 if h == 25 else 4
+        rows += [(dt.datetime(2024, 1, 1) + dt.timedelta(hours=h, minutes=5), None)] * n
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, d string")
+    got = A.anomaly_scores(df, "ts", period="hour").collect()
+    assert len(got) == 30 - 7
+    assert [r.bucket for r in got if r.anomaly] == [dt.datetime(2024, 1, 2, 1)]
+    weekly = A.zero_fill(A.bucket_counts(df, "ts", period="week"), period="week").collect()
+    assert [r.row_count for r in weekly] == [len(rows)]
