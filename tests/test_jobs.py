@@ -107,3 +107,15 @@ def test_release_checkpoints_removes_scratch_tables(spark):
     assert path_exists(spark, path)
     assert release_checkpoints(spark) == 1
     assert not path_exists(spark, path)
+
+
+def test_partitioned_rebuild_rebalances_and_replaces(spark, scratch):
+    import glob
+    df = spark.range(0, 20000, 1, 16).select((F.col("id") % 5).alias("p"), "id")
+    path = f"{scratch}/t"
+    write_table(df, path, partition_by=["p"])
+    files = glob.glob(f"{path}/p=*/*.parquet")
+    assert len({f.split("/")[-2] for f in files}) == 5
+    assert len(files) < 16 * 5                 # not one file per writing task per partition
+    write_table(df.filter("p < 2"), path, partition_by=["p"])   # full rebuild drops stale partitions
+    assert sorted(r.p for r in spark.read.parquet(path).select("p").distinct().collect()) == [0, 1]
