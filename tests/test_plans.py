@@ -1,8 +1,8 @@
 """Physical-plan guards for every registered query (sf0.001).
 
 No query may plan a Cartesian product or a broadcast nested-loop join (the
-shape of a cross join); the flagship must prune and push down at the scan
-and combine rows before its first shuffle.
+shape of a cross join) or evaluate Python per row; the flagship must prune
+and push down at the scan and combine rows before its first shuffle.
 """
 
 import pytest
@@ -25,6 +25,7 @@ def test_no_cross_join_shapes(spark, key):
     plan = physical_plan(E.queries()[key](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+    assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan   # JVM-side only
 
 
 def test_flagship_prunes_pushes_and_combines_early(spark):
