@@ -15,7 +15,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 SPACES = " \t\n\x0b\f\r"
 _TO_SPACE = {ord(c): " " for c in SPACES}
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,8 +38,10 @@ def split_words(text: str) -> list[str]:
     return [w for w in text.translate(_TO_SPACE).split(" ") if w]
 
 
-def lower_ascii(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+def lower_words(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text with A-Z lower-cased: ``bytes`` lower-cases and
+    splits by exactly these ASCII characters."""
+    return text.lower().split()
 
 
 def with_row_number(df: DataFrame, name: str = "row_id") -> DataFrame:

@@ -5,18 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodgeflow.llm import mixing, warc
+from lodgeflow.llm import mixing, near_dedup, packing, quality, warc
 from lodgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_json() -> str:
+    """The public 49k word vocabulary; read on the driver, sent to the tasks."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
 def op1_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf, "documents"), tokenizer_json())
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
+def op4_quality_trees(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf, "documents"))
 
@@ -24,6 +47,9 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": op1_warc_revisits,
+        "op3_pack_sequences": op3_pack_sequences,
+        "op4_quality_trees": op4_quality_trees,
+        "op9_near_duplicates": op9_near_duplicates,
         "op10_mix_sources": op10_mix_sources,
     }
 
