@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import mixing, near_dedup, packing, quality, warc
+from lodgeflow.llm import mixing, near_dedup, packing, quality, warc, weighted_sampling
 from lodgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op1_warc_revisits(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_weighted_sampling(spark: SparkSession, sf: str) -> DataFrame:
+    return weighted_sampling.fingerprint_documents(table(spark, sf, "documents"))
+
+
 def op3_pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf, "documents"), tokenizer_json())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
@@ -47,6 +51,7 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": op1_warc_revisits,
+        "op2_weighted_sampling": op2_weighted_sampling,
         "op3_pack_sequences": op3_pack_sequences,
         "op4_quality_trees": op4_quality_trees,
         "op9_near_duplicates": op9_near_duplicates,
