@@ -51,9 +51,19 @@ def with_row_number(df: DataFrame, name: str = "row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write to the shared scratch folder and read back (cuts the lineage)."""
-    return reliable_checkpoint(df)
+    """Write to the shared scratch folder and read back (cuts the lineage). The
+    shuffle files of the write go as soon as it ends: nothing reads them again."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return reliable_checkpoint(df)
+    finally:
+        conf.set(_CLEANUP, before)
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:

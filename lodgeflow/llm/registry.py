@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import mixing, near_dedup, packing, quality, warc, weighted_sampling
+from lodgeflow.llm import (line_dedup, mixing, near_dedup, outliers, packing, personal, quality, warc,
+                           weighted_sampling)
 from lodgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,18 @@ def op4_quality_trees(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op5_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    return personal.find_personal(table(spark, sf, "documents"))
+
+
+def op6_robust_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    return outliers.judge(table(spark, sf, "documents"))
+
+
+def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
 
@@ -54,6 +67,9 @@ def queries() -> dict[str, Query]:
         "op2_weighted_sampling": op2_weighted_sampling,
         "op3_pack_sequences": op3_pack_sequences,
         "op4_quality_trees": op4_quality_trees,
+        "op5_personal_data": op5_personal_data,
+        "op6_robust_outliers": op6_robust_outliers,
+        "op7_line_dedup": op7_line_dedup,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_mix_sources": op10_mix_sources,
     }
