@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import (line_dedup, mixing, near_dedup, outliers, packing, personal, quality, warc,
-                           weighted_sampling)
+from lodgeflow.llm import (line_dedup, lm_scoring, mixing, near_dedup, outliers, packing, personal, quality,
+                           warc, weighted_sampling)
 from lodgeflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf, "documents"))
 
 
+def op8_recurrent_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf, "documents"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op5_personal_data": op5_personal_data,
         "op6_robust_outliers": op6_robust_outliers,
         "op7_line_dedup": op7_line_dedup,
+        "op8_recurrent_scores": op8_recurrent_scores,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_mix_sources": op10_mix_sources,
     }
