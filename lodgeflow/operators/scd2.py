@@ -7,13 +7,18 @@ History layout: the source columns plus
 * ``valid_from``      start of validity (= updated_at)
 * ``valid_to``        end of validity, NULL while the version is open
 
-One run is one full-outer join of the *open* versions with the current
-source on the key (a single shuffle on the key); closed versions never move.
+One run is one full-outer join on the key (a single shuffle) of the current
+source with the version each key holds: its open one or, for a key that is
+missing from the source, its last closed one. All other versions never move.
+
+Rows without a key cannot be tracked and are left out (the not_null check on
+the source reports them). A key that occurs several times in one snapshot is
+an error unless ``duplicates="newest"`` asks for its newest row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodgeflow.functions.columns import as_timestamp, surrogate_key
@@ -21,11 +26,14 @@ from lodgeflow.functions.columns import as_timestamp, surrogate_key
 SCD_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
 
 
+class DuplicateSnapshotKeyError(ValueError):
+    """Raised when a snapshot repeats a key."""
+
 
 def scd2_init(current: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
-    """First snapshot: every source row becomes an open version."""
+    """First snapshot: every source row with a key becomes an open version."""
     ts = F.col(updated_at).cast("timestamp_ntz")
-    return current.select(
+    return current.filter(F.col(key).isNotNull()).select(
         "*",
         surrogate_key(F.col(key), F.col(updated_at)).alias("scd_id"),
         ts.alias("scd_updated_at"),
@@ -34,59 +42,104 @@ def scd2_init(current: DataFrame, key: str, updated_at: str = "updated_at") -> D
     )
 
 
+def one_row_per_key(current: DataFrame, key: str, updated_at: str, duplicates: str) -> DataFrame:
+    """Keyed rows of a snapshot; ``raise`` stops on a repeated key, ``newest``
+    keeps the row with the latest ``updated_at`` (ties: the greatest row)."""
+    keyed = current.filter(F.col(key).isNotNull())
+    if duplicates == "raise":
+        repeated = keyed.groupBy(key).count().filter(F.col("count") > 1).limit(1)
+        if not repeated.isEmpty():
+            raise DuplicateSnapshotKeyError(f"the snapshot repeats values of {key!r}")
+        return keyed
+    newest = F.max(F.struct(F.col(updated_at).alias("__at"), F.struct("*").alias("__row"))).alias("__newest")
+    return keyed.groupBy(F.col(key).alias("__key")).agg(newest).select("__newest.__row.*")
+
+
+def _held(history: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(the open or else last version of each key, all other versions)."""
+    order = Window.partitionBy(key).orderBy(F.col("valid_to").desc_nulls_first(), F.col("valid_from").desc_nulls_last())
+    ranked = history.withColumn("__rank", F.row_number().over(order))
+    return ranked.filter("__rank = 1").drop("__rank"), ranked.filter("__rank > 1").drop("__rank")
+
+
 def scd2_apply(history: DataFrame | None, current: DataFrame, key: str,
                updated_at: str = "updated_at", as_of=None,
-               invalidate_hard_deletes: bool = True) -> DataFrame:
+               invalidate_hard_deletes: bool = True, duplicates: str = "raise") -> DataFrame:
     """Return the new history after snapshotting ``current``.
 
     Rules: new key → open version; newer ``updated_at`` (strictly) → close
     the open version at the new ``updated_at`` and open a new one; equal,
     older or NULL ``updated_at`` → unchanged even if other columns differ;
-    key missing from ``current`` → close at ``as_of`` (when
-    ``invalidate_hard_deletes``); a key that comes back after a delete opens
-    a new version. Closed versions are passed through untouched.
+    key missing from ``current`` → close at ``as_of``, or at its own start if
+    that is later (when ``invalidate_hard_deletes``); a key that comes back
+    after a delete opens a new version that starts at its ``updated_at``, or
+    where its last one ended if that is later, with an id of its own. Closed
+    versions are passed through untouched. Columns that the source gained
+    are NULL in older versions, columns it lost are NULL in newer ones.
     """
+    current = one_row_per_key(current, key, updated_at, duplicates)
     if history is None:
         return scd2_init(current, key, updated_at)
-
-    src_cols = [c for c in history.columns if c not in SCD_COLUMNS]
-    closed = history.filter(F.col("valid_to").isNotNull())
-    open_ = history.filter(F.col("valid_to").isNull())
-
-    h = open_.select(*[F.col(c).alias(f"h__{c}") for c in history.columns])
-    s = current.select(*[F.col(c).alias(f"s__{c}") for c in src_cols])
-    j = h.join(s, F.col(f"h__{key}") == F.col(f"s__{key}"), "full_outer")
-
-    has_h = F.col(f"h__{key}").isNotNull()
-    has_s = F.col(f"s__{key}").isNotNull()
-    s_ts = F.col(f"s__{updated_at}").cast("timestamp_ntz")
-    newer = has_h & has_s & (s_ts > F.col("h__valid_from"))
-    deleted = has_h & ~has_s
-    close_at = F.when(newer, s_ts)
-    if invalidate_hard_deletes:
-        close_at = close_at.when(deleted, as_timestamp(as_of))
+    held, rest = _held(history, key)
+    moved = _move(held, current, key, updated_at, as_of, invalidate_hard_deletes)
+    return rest.unionByName(moved.drop("__missing"), allowMissingColumns=True)
+
+
+def _move(held: DataFrame, current: DataFrame, key: str, updated_at: str, as_of,
+          invalidate_hard_deletes: bool) -> DataFrame:
+    """One snapshot over one version per key; ``__missing`` marks the versions of
+    keys that the source does not hold."""
+    old_cols = [c for c in held.columns if c not in SCD_COLUMNS]
+    known = {c.lower() for c in old_cols}
+    src_cols = old_cols + [c for c in current.columns if c.lower() not in known]
+    present = {c.lower(): c for c in current.columns}
+
+    h = held.select(*[F.col(c).alias(f"h__{c}") for c in held.columns], F.lit(True).alias("has_h"))
+    s = current.select(*[F.col(c).alias(f"s__{c.lower()}") for c in current.columns], F.lit(True).alias("has_s"))
+    j = h.join(s, F.col(f"h__{key}") == F.col(f"s__{key.lower()}"), "full_outer")
+
+    has_h, has_s = F.col("has_h").isNotNull(), F.col("has_s").isNotNull()
+    open_ = has_h & F.col("h__valid_to").isNull()
+    s_at = F.col(f"s__{updated_at.lower()}")
+    s_ts = s_at.cast("timestamp_ntz")
+    newer = open_ & has_s & F.coalesce(s_ts > F.col("h__valid_from"), F.lit(False))
+    deleted = open_ & ~has_s & F.lit(invalidate_hard_deletes)
+    back = has_h & ~open_ & has_s
+    close_at = (F.when(newer, s_ts)
+                .when(deleted, F.greatest(as_timestamp(as_of), F.col("h__valid_from")))
+                .otherwise(F.col("h__valid_to")))
+
+    def source(c: str) -> Column:
+        kind = (current.schema[present[c.lower()]] if c.lower() in present else held.schema[c]).dataType
+        return F.col(f"s__{c.lower()}") if c.lower() in present else F.lit(None).cast(kind)
+
+    def before(c: str) -> Column:
+        return F.col(f"h__{c}") if c in old_cols else F.lit(None).cast(current.schema[present[c.lower()]].dataType)
 
     old_version = F.struct(
-        *[F.col(f"h__{c}").alias(c) for c in src_cols],
+        *[before(c).alias(c) for c in src_cols],
         F.col("h__scd_id").alias("scd_id"),
         F.col("h__scd_updated_at").alias("scd_updated_at"),
         F.col("h__valid_from").alias("valid_from"),
-        F.coalesce(close_at, F.col("h__valid_to")).alias("valid_to"),
+        close_at.alias("valid_to"),
+        (~has_s).alias("__missing"),
     )
+    s_key = F.col(f"s__{key.lower()}")
     new_version = F.struct(
-        *[F.col(f"s__{c}").alias(c) for c in src_cols],
-        surrogate_key(F.col(f"s__{key}"), F.col(f"s__{updated_at}")).alias("scd_id"),
+        *[source(c).alias(c) for c in src_cols],
+        F.when(back, surrogate_key(s_key, s_at, F.col("h__scd_id"))).otherwise(surrogate_key(s_key, s_at))
+         .alias("scd_id"),
         s_ts.alias("scd_updated_at"),
-        s_ts.alias("valid_from"),
+        F.when(back, F.greatest(s_ts, F.col("h__valid_to"))).otherwise(s_ts).alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"),
+        F.lit(False).alias("__missing"),
     )
     versions = (
-        F.when(has_h & newer, F.array(old_version, new_version))
+        F.when(newer | back, F.array(old_version, new_version))
          .when(has_h, F.array(old_version))
          .otherwise(F.array(new_version))
     )
-    moved = j.select(F.explode(versions).alias("v")).select("v.*")
-    return closed.unionByName(moved)
+    return j.select(F.explode(versions).alias("v")).select("v.*")
 
 
 def current_rows(history: DataFrame) -> DataFrame:
@@ -114,38 +167,55 @@ def single_active_version(history: DataFrame, key: str) -> DataFrame:
 
 # --- the history table sink ------------------------------------------------------
 OPEN_PARTITION = "open"
+MISSING_PARTITION = "missing"
+
+
+def read_history(spark, path: str) -> DataFrame:
+    """The history table; files written before the source gained a column lack it."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def scd2_snapshot(spark, path: str, current: DataFrame, key: str, updated_at: str = "updated_at",
                   as_of=None, run_id: str | None = None,
-                  invalidate_hard_deletes: bool = True) -> int:
+                  invalidate_hard_deletes: bool = True, duplicates: str = "raise") -> int:
     """Apply one snapshot to the history table at ``path``.
 
-    The table is partitioned by ``closed_run``: open versions live in the
-    ``open`` partition, versions closed by a run in that run's partition. A
-    run reads only the open partition (partition pruning), so its cost grows
-    with the current entities, not with the accumulated history; closed
-    versions are written once and never rewritten. The run's closed versions
-    and the new open partition go out in one dynamic-overwrite write, so
-    repeating a run (same ``run_id``) is idempotent. Returns the number of
-    versions written (the open partition plus the versions this run closed).
+    The table is partitioned by ``closed_run``: open versions live in ``open``,
+    the last versions of keys that the source lost in ``missing``, all other
+    versions in a partition of the run that superseded them, whose name is
+    unique (``run_id`` only begins it), so no run overwrites another's. A run
+    reads and rewrites the first two only (partition pruning): its cost
+    grows with the entities, not with the accumulated history. All goes
+    out in one dynamic-overwrite write; a partition that has become empty
+    is removed after it. Repeating a run changes nothing. Returns the number
+    of versions written.
     """
     import uuid
 
     from pyspark.sql import Observation
 
-    from lodgeflow.session import path_exists, reliable_checkpoint
+    from lodgeflow.session import delete_path, path_exists, reliable_checkpoint
 
-    run = run_id or str(as_of or "")[:10] or "run"
-    if not path_exists(spark, path):
+    current = one_row_per_key(current, key, updated_at, duplicates)
+    first = not path_exists(spark, path)
+    if first:
         out = scd2_init(current, key, updated_at).withColumn("closed_run", F.lit(OPEN_PARTITION))
     else:
-        open_ = current_rows(spark.read.parquet(path)).drop("closed_run")
-        moved = scd2_apply(open_, current, key, updated_at, as_of, invalidate_hard_deletes)
-        closed = F.when(F.col("valid_to").isNull(), F.lit(OPEN_PARTITION)).otherwise(F.lit(run))
-        # the open partition is read and rewritten: materialise first
-        out = reliable_checkpoint(moved.withColumn("closed_run", closed))
+        held = read_history(spark, path).filter(
+            F.col("closed_run").isin(OPEN_PARTITION, MISSING_PARTITION)).drop("closed_run")
+        moved = _move(held, current, key, updated_at, as_of, invalidate_hard_deletes)
+        run = f"{run_id or 'run'}-{uuid.uuid4().hex}"
+        part = (F.when(F.col("valid_to").isNull(), F.lit(OPEN_PARTITION))
+                .when(F.col("__missing"), F.lit(MISSING_PARTITION)).otherwise(F.lit(run)))
+        # the two partitions are read and rewritten: materialise first
+        out = reliable_checkpoint(moved.withColumn("closed_run", part).drop("__missing"))
     obs = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
-    (out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("closed_run").parquet(path))
+    lives_in = lambda p: F.count(F.when(F.col("closed_run") == p, 1))
+    (out.observe(obs, F.count(F.lit(1)).alias("rows"), lives_in(OPEN_PARTITION).alias("open"),
+                 lives_in(MISSING_PARTITION).alias("missing"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("closed_run").parquet(path))
+    if not first:
+        for name in (OPEN_PARTITION, MISSING_PARTITION):
+            if not obs.get[name]:  # dynamic overwrite leaves partitions without rows as they were
+                delete_path(spark, f"{path}/closed_run={name}")
     return int(obs.get["rows"])

@@ -130,14 +130,24 @@ def release_checkpoints(spark: SparkSession) -> int:
     return released
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on its own file system (nothing happens if it is missing)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its file system (local, HDFS, object stores)."""
     jvm = getattr(spark, "_jvm", None)
     if jvm is None:  # Spark Connect: ask the server by listing the path
+        from pyspark.errors import AnalysisException
+
         try:
             spark.read.format("binaryFile").load(path).limit(0).collect()
             return True
-        except Exception:  # noqa: BLE001
-            return False
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" in (exc.getCondition() or ""):
+                return False
+            raise  # any other error says nothing about the path
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     return bool(jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath))

@@ -172,6 +172,57 @@ def test_scd2_snapshot_table_matches_in_memory_history(spark, scratch):
     assert rows(table, *cols) == rows(hist, *cols)
     assert rows(S.current_rows(table), "id", "v") == [(1, "a3"), (3, "c3"), (4, "d")]
     parts = {r.closed_run for r in table.select("closed_run").distinct().collect()}
-    assert parts == {"open", "r2", "r3"}
+    assert {p.split("-")[0] for p in parts} == {"open", "missing", "r2", "r3"}
+    assert len(parts) == 4  # the repeated run closed nothing
     plan = S.current_rows(table)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(closed_run" in plan and "(closed_run" in plan and "= open)" in plan
+
+
+def history(spark, path):
+    return rows(S.read_history(spark, path), "id", "v", "valid_from", "valid_to")
+
+
+def invariants(table):
+    assert table.select("scd_id").distinct().count() == table.count()
+    assert S.single_active_version(table, "id").count() == 0
+    far = F.lit(D(9999, 1, 1))
+    overlap = table.alias("a").join(table.alias("b"), "id").filter(
+        (F.col("a.scd_id") < F.col("b.scd_id")) & (F.col("a.valid_from") < F.coalesce(F.col("b.valid_to"), far))
+        & (F.col("b.valid_from") < F.coalesce(F.col("a.valid_to"), far)))
+    assert overlap.count() == 0
+
+
+def test_snapshots_without_run_id_keep_each_others_history(spark, scratch):
+    path = f"{scratch}/h"
+    S.scd2_snapshot(spark, path, snap(spark, [(1, "a", D(2020, 1, 1)), (2, "b", D(2020, 1, 1))]), "id")
+    S.scd2_snapshot(spark, path, snap(spark, [(1, "a2", D(2020, 1, 2)), (2, "b", D(2020, 1, 1))]), "id")
+    S.scd2_snapshot(spark, path, snap(spark, [(1, "a2", D(2020, 1, 2)), (2, "b2", D(2020, 1, 2))]), "id")
+    assert history(spark, path) == [
+        (1, "a", D(2020, 1, 1), D(2020, 1, 2)), (1, "a2", D(2020, 1, 2), None),
+        (2, "b", D(2020, 1, 1), D(2020, 1, 2)), (2, "b2", D(2020, 1, 2), None)]
+    invariants(S.read_history(spark, path))
+
+
+def test_emptied_source_reappearing_null_and_new_columns(spark, scratch):
+    path, one = f"{scratch}/h", snap(spark, [(1, "a", D(2020, 1, 1)), (None, "n", D(2020, 1, 1))])
+    S.scd2_snapshot(spark, path, one, "id", as_of="2020-01-05 00:00:00")
+    S.scd2_snapshot(spark, path, one.limit(0), "id", as_of="2020-01-10 00:00:00")
+    assert history(spark, path) == [(1, "a", D(2020, 1, 1), D(2020, 1, 10))]
+    S.scd2_snapshot(spark, path, one, "id", as_of="2020-01-15 00:00:00")       # back, with its old updated_at
+    S.scd2_snapshot(spark, path, one.limit(0), "id", as_of="2020-01-20 00:00:00")
+    wider = one.withColumn("extra", F.lit("x"))
+    S.scd2_snapshot(spark, path, wider, "id", as_of="2020-01-25 00:00:00")
+    S.scd2_snapshot(spark, path, wider, "id", as_of="2020-01-26 00:00:00")       # unchanged
+    table = S.read_history(spark, path)
+    assert rows(table, "v", "valid_from", "valid_to", "extra") == [
+        ("a", D(2020, 1, 1), D(2020, 1, 10), None), ("a", D(2020, 1, 10), D(2020, 1, 20), None),
+        ("a", D(2020, 1, 20), None, "x")]
+    invariants(table)
+
+
+def test_repeated_snapshot_keys(spark, scratch):
+    twice = snap(spark, [(1, "a", D(2020, 1, 1)), (1, "b", D(2020, 1, 3)), (1, "c", None)])
+    with pytest.raises(S.DuplicateSnapshotKeyError):
+        S.scd2_snapshot(spark, f"{scratch}/h", twice, "id")
+    S.scd2_snapshot(spark, f"{scratch}/h", twice, "id", duplicates="newest")
+    assert history(spark, f"{scratch}/h") == [(1, "b", D(2020, 1, 3), None)]

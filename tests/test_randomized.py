@@ -25,7 +25,11 @@ def python_scd2(runs, as_ofs):
                     h["valid_to"] = ts
         for k, (_, v, ts) in src.items():
             h = open_.get(k)
-            if h is None or (ts is not None and ts > h["valid_from"]):
+            ended = [x["valid_to"] for x in hist if x["id"] == k]
+            if h is None:                      # new, or back after a delete: never before its last end
+                begin = max([ts, *ended])
+                hist.append({"id": k, "v": v, "updated_at": ts, "valid_from": begin, "valid_to": None})
+            elif ts is not None and ts > h["valid_from"]:
                 hist.append({"id": k, "v": v, "updated_at": ts, "valid_from": ts, "valid_to": None})
     return sorted((h["id"], h["v"], h["valid_from"], h["valid_to"]) for h in hist)
 
