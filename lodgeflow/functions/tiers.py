@@ -2,10 +2,8 @@
 
 A tier table is ``((op, bound, label), ...)`` plus a default label, with
 ``op`` one of ``>``, ``>=``, ``<``, ``<=``, ``==`` or ``between`` (bound is
-``(lo, hi)``, inclusive). The same table renders as a Spark ``when`` chain
-for the library and as a SQL ``CASE`` for the oracle, so every fixed
-threshold lives in one place. A NULL value matches no rule and gets the
-default, as in SQL.
+``(lo, hi)``, inclusive), rendered as a Spark ``when`` chain. A NULL value matches
+no rule and gets the default, as in SQL.
 """
 
 from __future__ import annotations
@@ -34,22 +32,3 @@ def tier(c: Column, tiers: Sequence[Tier], default) -> Column:
                 else expr.when(_pred(c, op, bound), value))
     default = default if isinstance(default, Column) else F.lit(default)
     return default if expr is None else expr.otherwise(default)
-
-
-def sql_literal(v) -> str:
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    return str(v)
-
-
-def sql_tier(expr: str, tiers: Sequence[Tier], default, render=sql_literal) -> str:
-    """The same rules as a SQL ``CASE`` over the SQL expression ``expr``."""
-    parts = ["CASE"]
-    for op, bound, label in tiers:
-        if op == "between":
-            cond = f"{expr} BETWEEN {bound[0]} AND {bound[1]}"
-        else:
-            cond = f"{expr} {'=' if op == '==' else op} {bound}"
-        parts.append(f"WHEN {cond} THEN {render(label)}")
-    parts.append(f"ELSE {render(default)} END")
-    return " ".join(parts)

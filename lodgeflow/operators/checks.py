@@ -8,17 +8,20 @@ executes them, records a results table and stores the failing rows.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
+from decimal import Decimal
 from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodgeflow.functions.columns import (any_null, as_timestamp, count_when, full_match, hour_diff,
+from lodgeflow.functions.columns import (any_null, as_timestamp, count_when, full_match,
                                          try_parse_boolean, try_parse_double)
 from lodgeflow.operators.load import schema_diff_fields
 from lodgeflow.operators.quantiles import approx_percentiles, exact_percentiles
+from lodgeflow.session import delete_path
 from lodgeflow.sources.raw import month_calendar
 
 
@@ -46,7 +49,9 @@ def accepted_values(df: DataFrame, col: str, values: Sequence) -> DataFrame:
 
 def relationships(child: DataFrame, col: str, parent: DataFrame, parent_col: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent."""
-    keys = parent.select(F.col(parent_col).alias("__parent_key")).distinct()
+    # an anti join needs no distinct parent keys, and an aggregate between the
+    # exchange and the join would keep AQE from splitting a hot key
+    keys = parent.select(F.col(parent_col).alias("__parent_key"))
     return (child.filter(F.col(col).isNotNull())
             .join(keys, F.col(col) == F.col("__parent_key"), "left_anti"))
 
@@ -60,7 +65,8 @@ def _share_check(df: DataFrame, pred: Column, percent: float) -> DataFrame:
     """One pass: total and matching counts; fails if matching > percent % of total."""
     counts = df.agg(F.count(F.lit(1)).alias("total_count"),
                     F.coalesce(count_when(pred), F.lit(0)).alias("zero_count"))
-    return counts.filter(F.col("zero_count") > F.lit(percent / 100.0) * F.col("total_count"))
+    # in decimals: a share of exactly the limit passes
+    return counts.filter(F.col("zero_count") * 100 > F.lit(Decimal(str(percent))) * F.col("total_count"))
 
 
 def null_percentage(df: DataFrame, cols: str | Sequence[str], percent: float) -> DataFrame:
@@ -150,13 +156,14 @@ def quantile_between(df: DataFrame, col: str, quantile: float, min_value=None,
 
 def freshness(df: DataFrame, ts_col: str, as_of=None, warn_after_hours: float = 1,
               error_after_hours: float = 24) -> DataFrame:
-    """Q19: age of the newest row in hour boundaries; one row per check.
+    """Q19: elapsed time since the newest row, in hours; one row per check.
 
     ``status`` is ``pass``, ``warn`` or ``error``; the check fails (returns
     its row) unless it passes.
     """
     latest = df.agg(F.max(ts_col).alias("max_loaded_at"))
-    age = hour_diff(F.col("max_loaded_at"), as_timestamp(as_of))
+    seconds = F.timestamp_diff("SECOND", F.col("max_loaded_at").cast("timestamp_ntz"), as_timestamp(as_of))
+    age = seconds / F.lit(3600.0)
     status = (F.when(F.col("max_loaded_at").isNull(), F.lit("error"))
                .when(age > error_after_hours, F.lit("error"))
                .when(age > warn_after_hours, F.lit("warn"))
@@ -252,6 +259,10 @@ def schema_vs_baseline(df: DataFrame, declared: T.StructType) -> DataFrame:
 
 
 # --- runner (W9) ---------------------------------------------------------------------
+class CheckError(RuntimeError):
+    """Raised when checks of severity ``error`` fail and the caller wants to stop."""
+
+
 @dataclass
 class Check:
     name: str
@@ -259,6 +270,9 @@ class Check:
     severity: str = "error"          # "warn" or "error"
     model: str = ""
     tags: tuple[str, ...] = field(default_factory=tuple)
+    #: Row-level checks: the predicate of failing rows and the table it reads.
+    failing: Column | None = None
+    frame: Callable[[], DataFrame] | None = None
 
 
 RESULT_SCHEMA = T.StructType([
@@ -270,33 +284,65 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def run_checks(spark: SparkSession, suite: Sequence[Check],
-               failures_path: str | None = None) -> DataFrame:
+def _counts(suite: Sequence[Check]) -> DataFrame | None:
+    """check_name, failures: the row-level checks of a table in one aggregate, each
+    other check as a one-row aggregate."""
+    parts, by_table = [], {}
+    for c in suite:
+        if c.failing is not None and c.frame is not None:
+            by_table.setdefault(c.model, []).append(c)
+        else:
+            parts.append(c.build().agg(F.count(F.lit(1)).alias("failures"))
+                         .select(F.lit(c.name).alias("check_name"), "failures"))
+    for members in by_table.values():
+        one = members[0].frame().agg(*[F.count(F.when(c.failing, 1)).alias(f"f{i}") for i, c in enumerate(members)])
+        parts.append(one.select(F.explode(F.array(*[
+            F.struct(F.lit(c.name).alias("check_name"), F.col(f"f{i}").alias("failures"))
+            for i, c in enumerate(members)])).alias("r")).select("r.*"))
+    counts = parts[0] if parts else None
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    return counts
+
+
+def run_checks(spark: SparkSession, suite: Sequence[Check], failures_path: str | None = None,
+               results_path: str | None = None, invocation_id: str | None = None,
+               stop_on_error: bool = False) -> DataFrame:
     """Run every check; return (check_name, model, severity, failures, status).
 
-    Failure counts of all checks are computed in one Spark job (a union of
-    one-row aggregates). When ``failures_path`` is given, the failing rows of
-    each failed check are stored under ``<failures_path>/<check_name>``.
+    Row-level checks share one scan per table and all counts come from one Spark
+    job. With ``failures_path`` the failing rows of each failed check are stored
+    under ``<failures_path>/<check_name>``, and what an earlier run left there for a
+    check that passes now is removed. ``results_path`` gets this run's rows
+    appended with the invocation and the time. ``stop_on_error`` raises
+    ``CheckError`` after all that when a check of severity ``error`` failed.
     """
-    parts = [c.build().agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit(c.name).alias("check_name"), F.lit(c.model).alias("model"),
-                     F.lit(c.severity).alias("severity"), "failures")
-             for c in suite]
-    if not parts:
+    counts = _counts(suite)
+    if counts is None:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    counts = parts[0]
-    for p in parts[1:]:
-        counts = counts.unionByName(p)
+    about = spark.createDataFrame([(c.name, c.model, c.severity) for c in suite],
+                                  "check_name string, model string, severity string")
     status = (F.when(F.col("failures") == 0, F.lit("pass"))
                .when(F.col("severity") == "warn", F.lit("warn"))
                .otherwise(F.lit("fail")))
-    results = counts.select("*", status.alias("status"))
-    if not failures_path:
+    results = about.join(counts, "check_name").select(
+        "check_name", "model", "severity", "failures", status.alias("status"))
+    if not (failures_path or results_path or stop_on_error):
         return results
     # one row per check: bounded by the suite, so it is fine on the driver
     rows = results.collect()
+    done = spark.createDataFrame(rows, RESULT_SCHEMA)
+    if results_path:
+        (done.withColumns({"invocation_id": F.lit(invocation_id or uuid.uuid4().hex), "run_at": F.localtimestamp()})
+         .coalesce(1).write.mode("append").parquet(results_path))
     failed = {r.check_name for r in rows if r.failures > 0}
-    for c in suite:
-        if c.name in failed:
-            c.build().write.mode("overwrite").parquet(f"{failures_path}/{c.name}")
-    return spark.createDataFrame(rows, RESULT_SCHEMA)
+    if failures_path:
+        for c in suite:
+            if c.name in failed:
+                c.build().write.mode("overwrite").parquet(f"{failures_path}/{c.name}")
+            else:
+                delete_path(spark, f"{failures_path}/{c.name}")
+    errors = sorted(r.check_name for r in rows if r.status == "fail")
+    if stop_on_error and errors:
+        raise CheckError(f"{len(errors)} checks failed: {', '.join(errors)}")
+    return done

@@ -12,7 +12,7 @@ import time
 import uuid
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,15 +91,16 @@ def merge_upsert(target: DataFrame, batch: DataFrame, key: str,
     kept. Both inputs must have the same columns (see ``reconcile_schema``).
     """
     if check_duplicates:
-        dup = batch.groupBy(key).count().filter(F.col("count") > 1).limit(1)
+        dup = batch.filter(F.col(key).isNotNull()).groupBy(key).count().filter(F.col("count") > 1).limit(1)
         if dup.count() > 0:
             raise DuplicateKeyError(f"batch repeats values of merge key {key!r}")
     excluded = {c.lower() for c in exclude_update}
-    t = target.alias("t")
-    b = batch.alias("b")
+    # markers, not the key, tell which side a row has: a NULL key matches nothing
+    t = target.withColumn("__in_target", F.lit(True)).alias("t")
+    b = batch.withColumn("__in_batch", F.lit(True)).alias("b")
     j = t.join(b, F.col(f"t.{key}") == F.col(f"b.{key}"), "full_outer")
-    matched = F.col(f"t.{key}").isNotNull() & F.col(f"b.{key}").isNotNull()
-    in_batch = F.col(f"b.{key}").isNotNull()
+    in_batch = F.col("b.__in_batch").isNotNull()
+    matched = F.col("t.__in_target").isNotNull() & in_batch
     cols = []
     for c in target.columns:
         if c.lower() in excluded:
@@ -182,22 +183,30 @@ def skip_existing(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 # --- keyed sinks --------------------------------------------------------------
 def write_delete_insert(spark: SparkSession, path: str, batch: DataFrame,
-                        key: str, partition_col: str) -> None:
+                        key: str, partition_col: str, partitions: Column | None = None,
+                        seen: Observation | None = None) -> None:
     """Sink for W3 on a table partitioned by ``partition_col``.
 
     The key must determine the partition (true for review ids, which hash the
     review date), so only the partitions the batch touches are read, merged,
-    checkpointed and overwritten (dynamic partition overwrite).
+    checkpointed and overwritten (dynamic partition overwrite). ``partitions``
+    is a literal condition on ``partition_col`` that holds for every batch row
+    (a window load knows its bounds): it prunes the target's folders at any
+    batch size, where the semi join prunes only a batch small enough to broadcast.
+    ``seen`` observes the ``rows`` written.
     """
+    watched = lambda df: df if seen is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))
     if not path_exists(spark, path):  # first load
-        write_table(batch, path, partition_by=[partition_col])
+        write_table(watched(batch), path, partition_by=[partition_col])
         return
     target = spark.read.parquet(path)
+    if partitions is not None:
+        target = target.filter(partitions)
     touched = batch.select(partition_col).distinct()
     affected = target.join(touched, partition_col, "left_semi")
     merged = delete_insert(affected, batch.select(*target.columns), key)
     merged = reliable_checkpoint(merged).hint("rebalance", partition_col)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (watched(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
@@ -227,7 +236,7 @@ def audited(spark: SparkSession, step: str, audit_path: str, run, invocation_id:
     try:
         rows = run()
     except Exception as exc:  # noqa: BLE001 — recorded, then re-raised
-        status, error = "error", f"{type(exc).__name__}: {exc}"[:1000]
+        status, error = "error", f"{type(exc).__name__}: {exc}"
         raise
     finally:
         finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from lodgeflow.functions.columns import (as_timestamp, full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
-from lodgeflow.operators.load import merge_upsert, reconcile_schema, skip_existing, write_table
+from lodgeflow.operators.load import skip_existing, write_table
 from lodgeflow.operators.quantiles import pick_aggs, rank_ranges
 from lodgeflow.session import path_exists, reliable_checkpoint
 
@@ -134,7 +134,7 @@ def _numeric_stats(vc: DataFrame, numeric: list[str]) -> tuple[DataFrame, list[D
     x, cnt = F.col("x"), F.col("cnt")
     nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
              .select("column_name", F.col("v").cast("double").alias("x"), "cnt")
-    ranked, parts = rank_ranges(nums, "column_name", "x", "cnt", persist=True)
+    ranked, parts = rank_ranges(nums, "column_name", "x", "cnt")
     picks, interpolated = pick_aggs("x", "cnt", PERCENTILES)
     d = x - F.col("shift")
     n = F.col("n")
@@ -156,7 +156,7 @@ def _numeric_stats(vc: DataFrame, numeric: list[str]) -> tuple[DataFrame, list[D
     stats = moments.join(outliers, "column_name").select(
         "column_name", "min", "max", "avg", "stddev", "variance", "p25", "median", "p75",
         "outlier_count")
-    return stats, [parts, moments]
+    return stats, [moments]
 
 
 def _numeric_stats_approx(df: DataFrame, vc: DataFrame, numeric: list[str],
@@ -409,25 +409,24 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
 
 def merge_profile_history(history: DataFrame | None, runs: DataFrame,
                           key: str = "profile_run_id") -> DataFrame:
-    """PR1m: append runs not yet recorded, syncing columns, merging on the run id
-    (``profiled_at`` is never updated on a match)."""
+    """PR1m: the history of one model with the runs not yet recorded (in a new run
+    columns may have come or gone; older runs keep theirs)."""
     if history is None:
         return runs
-    fresh = skip_existing(runs, history, key)
-    history, fresh = reconcile_schema(history, fresh, "sync_all_columns")
-    return merge_upsert(history, fresh, key, exclude_update=["profiled_at"])
+    return history.unionByName(skip_existing(runs, history, key), allowMissingColumns=True)
 
 
-def write_profile_history(spark, path: str, runs: DataFrame) -> None:
-    """PR1m sink: merge new runs into the history table at ``path`` and
-    rewrite it clustered by (model_name, profile_date) (W8).
+def read_profile_history(spark, path: str) -> DataFrame:
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
-    The merged result is checkpointed first, because the table being read is
-    the one being overwritten.
-    """
-    history = spark.read.parquet(path) if path_exists(spark, path) else None
-    merged = reliable_checkpoint(merge_profile_history(history, runs))
-    write_table(merged, path, cluster_by=["model_name", "profile_date"])
+
+def write_profile_history(spark, path: str, runs: DataFrame) -> None:
+    """PR1m sink: append the runs not yet recorded to the history at ``path`` (one
+    model's), sorted by (model_name, profile_date). Nothing written is rewritten."""
+    fresh = runs
+    if path_exists(spark, path):
+        fresh = skip_existing(runs, read_profile_history(spark, path), "profile_run_id")
+    write_table(fresh, path, mode="append", cluster_by=["model_name", "profile_date"])
 
 
 def distinct_rows(df: DataFrame, strict: bool = False) -> DataFrame:

@@ -5,41 +5,39 @@ interpolated between the values at ranks ``floor`` and ``ceil``. Spark's
 ``percentile`` aggregate gets there by merging a map of every distinct value
 of a group into one task; here the ranks come from a distributed sort:
 
-1. the ``(group, x, w)`` rows are range-partitioned on ``(group, x)`` —
-   boundaries come from sampling, so partitions stay balanced even when one
-   group or one value range holds most of the rows;
-2. a small table of per-(group, partition) weights gives every range
+1. equal ``(group, x)`` are combined first, so one value that most rows
+   share is a single row from here on;
+2. the distinct values are range-partitioned on ``(group, x)`` — boundaries
+   come from sampling, so partitions stay balanced even when one group or one
+   value range holds most of them — and stored with their partition number,
+   so every later reader sees the same partitions whatever plan it gets;
+3. a small table of per-(group, partition) weights gives every range
    partition its global rank offset, every group its total ``n`` and a
    shift (the lowest value of the partition that holds the middle rank);
-3. a running sum inside each partition (sorted in parallel, spilling) plus
+4. a running sum inside each partition (sorted in parallel, spilling) plus
    the offset gives each row its rank range ``[before, before + w)``;
-4. the values at the wanted ranks are picked with an ordinary (partial)
+5. the values at the wanted ranks are picked with an ordinary (partial)
    aggregate.
 
-Rows with equal ``x`` may appear several times (e.g. one per listing); the
-rank ranges still tile ``[0, n)``, so ties need no pre-aggregation.
+A NULL group is a group like any other: all joins on it are null-safe.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodgeflow.session import reliable_checkpoint
 
-def rank_ranges(values: DataFrame, group: str, x: str, w: str,
-                persist: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(group, x, w, n, shift, before)`` for every row, plus the
-    range-partitioned input. With ``persist`` that input is persisted (the
-    caller releases it with ``unpersist``); otherwise its two readers share
-    the range exchange within the query."""
-    parts = (values.select(F.col(group).alias("g"), F.col(x).alias("x"), F.col(w).alias("w"))
-             .repartitionByRange("g", "x")
-             .select("*", F.spark_partition_id().alias("pid")))
-    if persist:
-        parts = parts.persist(StorageLevel.DISK_ONLY)
+
+def rank_ranges(values: DataFrame, group: str, x: str, w: str) -> tuple[DataFrame, DataFrame]:
+    """``(group, x, w, n, shift, before)`` per distinct value, plus the stored
+    distinct values ``(g, x, w, pid)`` (runs the aggregation of ``values``)."""
+    parts = reliable_checkpoint(
+        values.groupBy(F.col(group).alias("g"), F.col(x).alias("x")).agg(F.sum(w).alias("w"))
+        .repartitionByRange("g", "x").withColumn("pid", F.spark_partition_id()))
     # (group, partition) rows: bounded by partitions × groups
     pstats = parts.groupBy("g", "pid").agg(F.sum("w").alias("pw"), F.min("x").alias("pmin"))
     by_g = Window.partitionBy("g")
@@ -50,12 +48,13 @@ def rank_ranges(values: DataFrame, group: str, x: str, w: str,
         F.sum("pw").over(by_g).alias("n"))
     mid = F.floor((F.col("n") - 1) / 2)
     offsets = offsets.select(
-        "g", "pid", "offset", "n",
+        F.col("g").alias("og"), F.col("pid").alias("opid"), "offset", "n",
         F.max(F.when(F.col("offset") <= mid, F.col("pmin"))).over(by_g).alias("shift"))
     local = Window.partitionBy("g", "pid").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
     # ``offsets`` has at most (partitions + groups) rows; it is joined without
     # a hint, so AQE broadcasts it only when its measured size is small.
-    ranked = parts.join(offsets, ["g", "pid"]).select(
+    same = (F.col("pid") == F.col("opid")) & F.col("g").eqNullSafe(F.col("og"))
+    ranked = parts.join(offsets, same).select(
         F.col("g").alias(group), F.col("x").alias(x), F.col("w").alias(w), "n", "shift",
         (F.col("offset") + F.coalesce(F.sum("w").over(local), F.lit(0))).alias("before"))
     return ranked, parts
@@ -81,7 +80,7 @@ def exact_percentiles(values: DataFrame, group: str, x: str, w: str | None,
     """``(group, q0, q1, …)``: exact continuous percentiles of ``x`` per group,
     each row weighted by ``w`` (1 when ``None``); ``x`` is compared as double.
 
-    Lazy except for the range sampling Spark runs when planning it.
+    Eager up to the table of distinct values, which is stored in the shared folder.
     """
     v = values.select(F.col(group), F.col(x).cast("double").alias("__x"),
                       (F.col(w) if w else F.lit(1)).cast("bigint").alias("__w"))

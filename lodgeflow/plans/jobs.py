@@ -1,25 +1,27 @@
 """Ordered build run: snapshot → models → checks → audit.
 
-A plain script replaces the reference's model-graph resolution: the models
-are lazy DataFrames and each materialised table is written once, with an
-audit row, in dependency order.
+A plain script replaces the reference's model-graph resolution: each materialised
+table is written once, with an audit row, in dependency order, and whatever
+comes after reads the written table.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeflow.operators import checks as C
 from lodgeflow.operators import profile as P
 from lodgeflow.operators.load import (audited, audited_write, reconcile_schema, select_increment,
                                       write_delete_insert)
-from lodgeflow.operators.scd2 import scd2_snapshot
+from lodgeflow.operators.scd2 import read_history, scd2_snapshot
 from lodgeflow.plans import models as M
-from lodgeflow.session import release_checkpoints
+from lodgeflow.plans.suite import SCHEMA_TRACKED, full_suite
+from lodgeflow.session import path_exists, release_checkpoints
 from lodgeflow.sources.fixtures import load_raw
+from lodgeflow.sources.raw import read_calendar, read_source
 
 # Materialised models, in dependency order (views stay lazy).
 TABLES = ("dim_listings_with_hosts", "fct_reviews", "mart_fullmoon_reviews",
@@ -35,70 +37,58 @@ def with_review_partition(fct: DataFrame) -> DataFrame:
     return fct.withColumn(REVIEW_PARTITION, F.date_format("review_date", "yyyy-MM"))
 
 
-def default_suite(raw: dict[str, DataFrame], m: dict[str, DataFrame]) -> list[C.Check]:
-    """The reference's test suite, as checks on our models."""
-    return [
-        C.Check("unique_dim_hosts_host_id", model="dim_hosts_cleansed", build=lambda: C.unique(m["dim_hosts_cleansed"], "host_id")),
-        C.Check("not_null_dim_hosts_host_name", model="dim_hosts_cleansed", build=lambda: C.not_null(m["dim_hosts_cleansed"], "host_name")),
-        C.Check("accepted_values_dim_hosts_is_superhost", model="dim_hosts_cleansed", build=lambda: C.accepted_values(
-            m["dim_hosts_cleansed"], "is_superhost", [True, False])),
-        C.Check("unique_dim_listings_listing_id", model="dim_listings_cleansed", build=lambda: C.unique(m["dim_listings_cleansed"], "listing_id")),
-        C.Check("relationships_dim_listings_host_id", model="dim_listings_cleansed", build=lambda: C.relationships(
-            m["dim_listings_cleansed"], "host_id", m["dim_hosts_cleansed"], "host_id")),
-        C.Check("positive_value_dim_listings_minimum_nights", model="dim_listings_cleansed", build=lambda: C.positive_value(
-            m["dim_listings_cleansed"], "minimum_nights")),
-        C.Check("row_count_dim_listings_with_hosts", model="dim_listings_with_hosts", build=lambda: C.row_count_equals(
-            m["dim_listings_with_hosts"], raw["listings"])),
-        C.Check("p99_price", model="dim_listings_with_hosts", build=lambda: C.quantile_between(
-            m["dim_listings_with_hosts"], "price", 0.99, 50, 500)),
-        C.Check("max_price", model="dim_listings_with_hosts", build=lambda: C.agg_between(
-            m["dim_listings_with_hosts"], "price", "max", max_value=5000), severity="warn"),
-        C.Check("unique_fct_reviews_review_id", model="fct_reviews", build=lambda: C.unique(m["fct_reviews"], "review_id")),
-        C.Check("null_comment_and_sentiment_pct", model="fct_reviews", build=lambda: C.null_percentage(
-            m["fct_reviews"], ["review_text", "review_sentiment"], 5), severity="warn"),
-        C.Check("accepted_values_mart_is_full_moon", model="mart_fullmoon_reviews", build=lambda: C.accepted_values(
-            m["mart_fullmoon_reviews"], "is_full_moon", [True, False])),
-        C.Check("missing_months", model="new_listings_time_series", build=lambda: C.missing_months(
-            m["new_listings_time_series"], "listing_month", m["dim_listings_cleansed"], "created_at")),
-        C.Check("consistent_created_at", model="dim_listings_cleansed", build=lambda: C.created_after_review(
-            m["dim_listings_cleansed"], m["fct_reviews"])),
-        C.Check("no_nulls_in_dim_listings", model="dim_listings_cleansed", build=lambda: C.no_nulls(m["dim_listings_cleansed"])),
-        C.Check("source_listings_price_regex", model="raw_listings", build=lambda: C.matches_regex(
-            raw["listings"], "price", r"^\$[0-9][0-9\.]+$")),
-        C.Check("source_hosts_name_null_pct", model="raw_hosts", build=lambda: C.null_percentage(raw["hosts"], "name", 5),
-                severity="warn"),
-        C.Check("source_listings_host_exists", model="raw_listings", build=lambda: C.relationships(
-            raw["listings"], "host_id", raw["hosts"], "id")),
-    ]
-
-
-def run_full_build(spark: SparkSession, sf_dir: str, out_dir: str,
+def read_declared(spark: SparkSession, hosts: str, listings: str, reviews: str, calendar: str,
+                  fmt: str = "parquet") -> dict[str, DataFrame]:
+    """The declared sources (S1) and the CSV calendar (S2) from their paths."""
+    return {"hosts": read_source(spark, "hosts", hosts, fmt), "listings": read_source(spark, "listings", listings, fmt),
+            "reviews": read_source(spark, "reviews", reviews, fmt), "calendar": read_calendar(spark, calendar)}
+
+
+def run_full_build(spark: SparkSession, raw: dict[str, DataFrame] | str, out_dir: str,
                    invocation_id: str | None = None, profile: bool = False,
-                   as_of=None) -> DataFrame:
-    """Build every table under ``out_dir``, audit each write, run the suite
-    (and, with ``profile``, append today's profiles to ``_profiles``)."""
+                   as_of=None, stop_on_error: bool = False) -> DataFrame:
+    """Build every table under ``out_dir``, audit each write, run the whole suite
+    on the written tables (and, with ``profile``, append today's profiles).
+
+    ``raw`` holds the frames hosts, listings, reviews and calendar
+    (``read_declared``), or is a folder of the fixture tables. With
+    ``stop_on_error`` a failed check of severity ``error`` raises.
+    """
     invocation_id = invocation_id or uuid.uuid4().hex
-    raw = load_raw(spark, sf_dir)
+    if isinstance(raw, str):
+        raw = load_raw(spark, raw)
     audit = f"{out_dir}/_audit"
-    run_id = invocation_id
     for name, source in (("scd_raw_hosts", raw["hosts"]), ("scd_raw_listings", raw["listings"])):
-        # history accumulates across builds; each build reads only the open versions
+        # history accumulates across builds; each build reads only what its keys hold
         audited(spark, name, audit,
                 lambda n=name, src=source: scd2_snapshot(spark, f"{out_dir}/{n}", src, "id",
-                                                          as_of=as_of, run_id=run_id),
+                                                          as_of=as_of, run_id=invocation_id),
                 invocation_id)
-    m = M.build_models(raw, spark.read.parquet(f"{out_dir}/scd_raw_hosts"),
-                       spark.read.parquet(f"{out_dir}/scd_raw_listings"))
+    snapshots = {n: read_history(spark, f"{out_dir}/{n}") for n in ("scd_raw_hosts", "scd_raw_listings")}
+    m = M.build_models(raw, snapshots["scd_raw_hosts"], snapshots["scd_raw_listings"])
     for name in TABLES:
-        df = m[name]
-        kw = {}
+        df, path, kw = m[name], f"{out_dir}/{name}", {}
+        columns = df.columns
         if name == "fct_reviews":
             df, kw = with_review_partition(df), {"partition_by": [REVIEW_PARTITION]}
-        audited_write(df, f"{out_dir}/{name}", name, audit, invocation_id, **kw)
+        audited_write(df, path, name, audit, invocation_id, **kw)
+        m[name] = spark.read.parquet(path).select(*columns)  # later tables and checks read what was written
     if profile:
         run_profiles(spark, m, f"{out_dir}/_profiles", as_of=as_of)
-        release_checkpoints(spark)     # the profile history is written; scratch can go
-    return C.run_checks(spark, default_suite(raw, m), f"{out_dir}/_failures")
+    schemas = f"{out_dir}/_schemas"
+    before = None
+    if path_exists(spark, schemas):
+        known = spark.read.parquet(schemas)
+        before = known.filter(F.col("run_at") == known.select(F.max("run_at")).scalar()).drop("run_at")
+    suite = full_suite(raw, m, snapshots, as_of, before)
+    try:
+        return C.run_checks(spark, suite, f"{out_dir}/_failures", f"{out_dir}/_check_results", invocation_id,
+                            stop_on_error)
+    finally:
+        now = C.schema_snapshot(m[SCHEMA_TRACKED[0]], SCHEMA_TRACKED[0])
+        for name in SCHEMA_TRACKED[1:]:
+            now = now.unionByName(C.schema_snapshot(m[name], name))
+        now.withColumn("run_at", F.localtimestamp()).coalesce(1).write.mode("append").parquet(schemas)
 
 
 # The reference's profiled models: (model, date column, sample percent).
@@ -109,47 +99,71 @@ PROFILED = (("scd_raw_hosts", "updated_at", None), ("scd_raw_listings", "updated
 
 def run_profiles(spark: SparkSession, models: dict[str, DataFrame], history_path: str,
                  as_of=None, env: str = "dev") -> None:
-    """Profile every model once per day and append to the profile history."""
-    runs = None
+    """Profile every model once per day; each model has a history of its own."""
     for name, date_col, pct in PROFILED:
         row = P.profile_table(models[name], name, sample_pct=pct, date_col=date_col,
                               as_of=as_of, env=env)
-        if runs is None:
-            runs = row
-        else:
-            runs = runs.unionByName(row, allowMissingColumns=True)
-    P.write_profile_history(spark, history_path, runs)
+        P.write_profile_history(spark, f"{history_path}/{name}", row)
+
+
+def _window(start, end) -> Column:
+    """Literal bounds of the fact's partitions that [start, end) touches."""
+    return F.col(REVIEW_PARTITION).between(str(start)[:7], str(end)[:7])
 
 
 def incremental_fct_load(spark: SparkSession, raw_reviews: DataFrame, fct_path: str,
-                         start=None, end=None) -> None:
+                         start=None, end=None, audit_path: str | None = None) -> None:
     """The partitioned daily load: window (or since-last) increment → surrogate
-    key → drift check (``fail``) → partition-local delete+insert."""
-    target = spark.read.parquet(fct_path)
+    key → drift check (``fail``) → partition-local delete+insert. A first run
+    loads everything. A window load prunes the fact by literal month bounds."""
     src = with_review_partition(M.fct_reviews(M.src_reviews(raw_reviews)))
+    first = not path_exists(spark, fct_path)
+    target = None if first else spark.read.parquet(fct_path)
     batch = select_increment(src, target, "review_date", start, end)
-    _, batch = reconcile_schema(target, batch, "fail")
-    write_delete_insert(spark, fct_path, batch, "review_id", REVIEW_PARTITION)
+    partitions = None
+    if not first:
+        _, batch = reconcile_schema(target, batch, "fail")
+        if start is not None and end is not None:
+            partitions = _window(start, end)
+
+    def load() -> int:
+        seen = Observation(f"load_{uuid.uuid4().hex[:8]}")
+        write_delete_insert(spark, fct_path, batch, "review_id", REVIEW_PARTITION, partitions, seen)
+        return int(seen.get["rows"])
+
+    if audit_path:
+        audited(spark, "incremental_fct_reviews", audit_path, load)
+    else:
+        load()
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m lodgeflow.plans.jobs SF_DIR OUT_DIR [--profile] [--reload START END]``"""
+    """``python -m lodgeflow.plans.jobs OUT_DIR (--tables DIR | --hosts P --listings P --reviews P --calendar CSV)``"""
     import argparse
 
     from lodgeflow.session import build_session
 
     ap = argparse.ArgumentParser(description="build the marketplace tables")
-    ap.add_argument("sf_dir")
     ap.add_argument("out_dir")
+    ap.add_argument("--tables", metavar="DIR", help="folder of the fixture tables instead of raw sources")
+    for name in ("hosts", "listings", "reviews", "calendar"):
+        ap.add_argument(f"--{name}", metavar="PATH")
+    ap.add_argument("--format", default="parquet", help="format of the raw sources")
     ap.add_argument("--profile", action="store_true", help="append today's profiles")
+    ap.add_argument("--stop-on-error", action="store_true", help="fail when a check of severity error fails")
+    ap.add_argument("--only-increment", action="store_true", help="load new reviews, build nothing else")
     ap.add_argument("--reload", nargs=2, metavar=("START", "END"),
-                    help="after the build, reload reviews in [START, END) incrementally")
+                    help="reload reviews in [START, END); without it an increment loads what is newer")
     a = ap.parse_args(argv)
     spark = build_session()
-    run_full_build(spark, a.sf_dir, a.out_dir, profile=a.profile).show(100, truncate=False)
-    if a.reload:
-        incremental_fct_load(spark, load_raw(spark, a.sf_dir)["reviews"],
-                             f"{a.out_dir}/fct_reviews", *a.reload)
+    raw = load_raw(spark, a.tables) if a.tables else read_declared(
+        spark, a.hosts, a.listings, a.reviews, a.calendar, a.format)
+    if not a.only_increment:
+        run_full_build(spark, raw, a.out_dir, profile=a.profile, stop_on_error=a.stop_on_error
+                       ).show(200, truncate=False)
+    if a.reload or a.only_increment:
+        incremental_fct_load(spark, raw["reviews"], f"{a.out_dir}/fct_reviews", *(a.reload or ()),
+                             audit_path=f"{a.out_dir}/_audit")
     release_checkpoints(spark)
 
 

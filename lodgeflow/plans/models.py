@@ -12,11 +12,10 @@ from typing import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeflow.functions.columns import (decode_flag, default_if_null,
+from lodgeflow.functions.columns import (decode_flag, default_if_null, flag_match,
                                          greatest_strict, month_start, parse_money,
                                          replace_value, surrogate_key)
 from lodgeflow.functions.tiers import tier
-from lodgeflow.operators.joins import broadcast_if_small
 from lodgeflow.operators.quantiles import exact_percentiles
 from lodgeflow.operators.scd2 import current_rows
 from lodgeflow.sources.raw import month_calendar
@@ -100,15 +99,14 @@ def flag_day_after(df: DataFrame, ts_col: str, calendar: DataFrame,
                    flag: str = "is_full_moon") -> DataFrame:
     """TRUE when ``to_date(ts_col)`` is ``offset_days`` after a calendar date.
 
-    The calendar is de-duplicated (so a repeated date cannot multiply rows)
-    and broadcast only after its row count has been checked; the big side is
-    never shuffled.
+    The calendar is de-duplicated, so a repeated date cannot multiply rows.
+    Its join strategy is left to the planner: AQE broadcasts it from its
+    measured bytes, so the big side is not shuffled.
     """
     days = calendar.select(F.date_add(F.col(date_col), offset_days).alias("__event_day")).distinct()
-    days = broadcast_if_small(days)
     joined = df.join(days, F.to_date(F.col(ts_col)) == F.col("__event_day"), "left")
     return joined.select(*[F.col(c) for c in df.columns],
-                         F.col("__event_day").isNotNull().alias(flag))
+                         flag_match("__event_day").alias(flag))
 
 
 def mart_fullmoon_reviews(fct: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -136,17 +134,21 @@ def price_sentiment_correlation(mart: DataFrame, listings: DataFrame) -> DataFra
     # only at the end, so the variance does not suffer from summation order.
     stats = priced.groupBy("review_sentiment").agg(
         F.sum(n).alias("review_count"),
+        F.sum(F.when(p.isNotNull(), n)).alias("priced"),    # reviews of listings without a price only count
         F.sum(p * n).cast("double").alias("s1"),
         F.sum(p * p * n).cast("double").alias("s2"),
         F.min(p).alias("min_price"),
         F.max(p).alias("max_price"))
     median = exact_percentiles(priced, "review_sentiment", "price", "n", [0.5], prefix="median")
-    cnt = F.col("review_count")
+    cnt = F.col("priced")
     mean = F.col("s1") / cnt
     variance = ((F.col("s2") - F.col("s1") * F.col("s1") / cnt)
                 / F.nullif(cnt - 1, F.lit(0)))
-    # one row per sentiment on both sides
-    return (stats.join(median, "review_sentiment").select(
+    # one row per sentiment on both sides; a NULL sentiment is a group, and a
+    # group without any price keeps its row with NULL statistics
+    median = median.withColumnRenamed("review_sentiment", "__sentiment")
+    same = F.col("review_sentiment").eqNullSafe(F.col("__sentiment"))
+    return (stats.join(median, same, "left").select(
                 "review_sentiment", "review_count",
                 F.round(mean, 2).alias("avg_price"),
                 # clamp rounding noise below zero; NULL (one review) stays NULL

@@ -7,9 +7,6 @@ SQL over the pre-registered views (customer, orders, lineitem, events).
 
 from __future__ import annotations
 
-from lodgeflow.functions.tiers import sql_literal, sql_tier
-from lodgeflow.operators import lineage as G
-from lodgeflow.plans import models as M
 from lodgeflow.plans import registry as R
 
 NULL_TOKEN = "__null__"
@@ -49,7 +46,7 @@ raw_reviews AS (
   FROM lineitem),
 moon AS (
   SELECT CAST(DATE '1995-01-16' + CAST(floor(29.530588853::DOUBLE * range) AS INTEGER) AS DATE) AS full_moon_date
-  FROM range(86)),
+  FROM range(-400, 2000)),
 dim_hosts AS (
   SELECT id AS host_id, coalesce(name, 'Anonymous') AS host_name,
          CASE WHEN is_superhost = 't' THEN TRUE ELSE FALSE END AS is_superhost,
@@ -77,9 +74,13 @@ mart AS (
     ON CAST(f.review_date AS DATE) = m.d),
 dist AS (
   SELECT *,
-         {sql_tier("minimum_nights", *M.NIGHTS_CATEGORY)} AS minimum_nights_category,
-         {sql_tier("minimum_nights", *M.STAY_TYPE)} AS stay_duration_type,
-         {sql_tier("price", *M.PRICE_CATEGORY)} AS price_category
+         CASE WHEN minimum_nights = 1 THEN '1 night' WHEN minimum_nights BETWEEN 2 AND 3 THEN '2-3 nights'
+              WHEN minimum_nights BETWEEN 4 AND 7 THEN '4-7 nights' WHEN minimum_nights BETWEEN 8 AND 14 THEN '8-14 nights'
+              WHEN minimum_nights BETWEEN 15 AND 30 THEN '15-30 nights' ELSE '30+ nights' END AS minimum_nights_category,
+         CASE WHEN minimum_nights <= 3 THEN 'Short-term' WHEN minimum_nights <= 14 THEN 'Medium-term'
+              ELSE 'Long-term' END AS stay_duration_type,
+         CASE WHEN price < 50 THEN 'Budget' WHEN price BETWEEN 50 AND 150 THEN 'Mid-range'
+              ELSE 'Premium' END AS price_category
   FROM dim_lwh),
 series_months AS (
   SELECT CAST(date_trunc('month', CAST(created_at AS DATE)) AS DATE) AS listing_month,
@@ -129,7 +130,7 @@ def _ts(x: str) -> str:
 
 
 def _anomaly_sql(dims: list[str], spike: float, drop: float, flagged: bool,
-                 as_of: str | None = None, delay: int = 0) -> str:
+                 as_of: str | None = None, delay: int = 0, source: str = "events") -> str:
     d = ", ".join(dims)
     dsel = (d + ", ") if dims else ""
     keys = f"(SELECT DISTINCT {d} FROM b)" if dims else "(SELECT 1 AS one)"
@@ -144,7 +145,7 @@ def _anomaly_sql(dims: list[str], spike: float, drop: float, flagged: bool,
              "(w.row_count - w.training_avg) / w.training_stddev < -3) AND " \
              f"(w.training_avg = 0 OR -(w.row_count - w.training_avg) * 100.0 / w.training_avg > {drop}))"
     sql = f"""
-, b AS (SELECT CAST(ts AS DATE) AS bucket, {dsel}count(*) AS row_count FROM events GROUP BY ALL),
+, b AS (SELECT CAST(ts AS DATE) AS bucket, {dsel}count(*) AS row_count FROM {source} GROUP BY ALL),
 bounds AS (SELECT min(bucket) AS lo, max(bucket) AS hi FROM b),
 g AS (SELECT k.*, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS bucket
       FROM {keys} k, bounds),
@@ -251,12 +252,33 @@ b AS (SELECT CAST(date AS DATE) AS review_day, count(*) AS reviews,
       FROM raw_reviews WHERE date >= {_ts(_DI_LO)} AND date < {_ts(_DI_HI)} GROUP BY 1)
 """
 
-def _describe_sql(text: str) -> str:
-    if "{spread}" not in text:
-        return sql_literal(text)
-    head, tail = text.split("{spread}")
-    return f"{sql_literal(head)} || printf('{G.SPREAD}', t, depth) || {sql_literal(tail)}"
-
+_IMPACT = f"""
+SELECT name AS model_name, d AS direct_downstream_count, t AS total_downstream_count,
+  CASE WHEN t <= 0 THEN 'leaf' WHEN t <= 1 THEN 'low_impact' WHEN t <= 3 THEN 'medium_impact'
+       WHEN t <= 7 THEN 'high_impact' ELSE 'critical' END AS model_criticality,
+  CAST(depth AS BIGINT) AS max_downstream_depth,
+  CASE WHEN t > 10 THEN 'CRITICAL' WHEN t > 7 THEN 'VERY_HIGH' WHEN t > 3 THEN 'HIGH' WHEN t > 1 THEN 'MEDIUM'
+       WHEN t > 0 THEN 'LOW' ELSE 'NONE' END AS downstream_impact_level,
+  CASE WHEN t > 10 THEN 'Foundation model: ' || printf('%d downstream models over %d levels', t, depth)
+                        || '; change only with full regression testing'
+       WHEN t > 7 THEN 'Wide reach: ' || printf('%d downstream models over %d levels', t, depth)
+                       || '; coordinate changes with all owners'
+       WHEN t > 3 THEN 'Moderate reach: ' || printf('%d downstream models over %d levels', t, depth)
+                       || '; plan changes carefully'
+       WHEN t > 1 THEN 'Small reach: ' || printf('%d downstream models over %d levels', t, depth)
+                       || '; change scope is manageable'
+       WHEN t > 0 THEN 'Single dependent model'
+       ELSE 'Leaf model: changes affect only itself' END AS impact_description,
+  CAST(CASE WHEN t > 10 THEN 10 WHEN t > 7 THEN 8 WHEN t > 3 THEN 6 WHEN t > 1 THEN 4 WHEN t > 0 THEN 2 ELSE 0 END
+       + least(depth, 3) AS BIGINT) AS change_risk_score,
+  CASE WHEN t > 7 THEN 'Business Critical' WHEN t > 5 THEN 'High Business Value'
+       WHEN t > 3 THEN 'Moderate Business Value' WHEN t > 1 THEN 'Supporting Role'
+       WHEN t > 0 THEN 'Limited Scope' ELSE 'End Consumer' END AS business_impact_category,
+  CASE WHEN d > 3 THEN 'High Fanout' WHEN d > 1 THEN 'Medium Fanout' WHEN d > 0 THEN 'Low Fanout'
+       ELSE 'No Fanout' END AS fanout_pattern,
+  CASE WHEN depth > 2 THEN 'Deep Chain' WHEN depth > 1 THEN 'Medium Chain' WHEN depth > 0 THEN 'Shallow Chain'
+       ELSE 'No Chain' END AS chain_pattern,
+  {_ts(R.LINEAGE_AS_OF)} AS analyzed_at"""
 
 _LINEAGE = f"""
 , edges AS (
@@ -276,16 +298,25 @@ dir AS (SELECT parent, count(*) AS direct FROM edges GROUP BY parent),
 m AS (SELECT n.name, coalesce(d.direct, 0) AS d, coalesce(t.total, 0) AS t,
              coalesce(t.max_depth, 0) AS depth
       FROM nodes n LEFT JOIN dir d ON d.parent = n.name LEFT JOIN tot t ON t.src = n.name)
-SELECT name AS model_name, d AS direct_downstream_count, t AS total_downstream_count,
-  {sql_tier("t", *G.CRITICALITY)} AS model_criticality,
-  CAST(depth AS BIGINT) AS max_downstream_depth,
-  {sql_tier("t", *G.IMPACT_LEVEL)} AS downstream_impact_level,
-  {sql_tier("t", *G.DESCRIPTION, render=_describe_sql)} AS impact_description,
-  CAST({sql_tier("t", *G.RISK_BASE)} + least(depth, {G.RISK_DEPTH_CAP}) AS BIGINT) AS change_risk_score,
-  {sql_tier("t", *G.BUSINESS)} AS business_impact_category,
-  {sql_tier("d", *G.FANOUT)} AS fanout_pattern,
-  {sql_tier("depth", *G.CHAIN)} AS chain_pattern,
-  {_ts(R.LINEAGE_AS_OF)} AS analyzed_at
+{_IMPACT}
+FROM m
+"""
+
+# The same measures over the small named graph, with its sorted name lists; one segment's nodes are left out.
+_LINEAGE_NATIONS = f"""
+, edges AS (
+  SELECT 'region_' || CAST(n_regionkey AS VARCHAR) AS parent, 'nation_' || n_name AS child FROM nation
+  UNION
+  SELECT 'nation_' || n_name, concat_ws('_', 'segment', c_mktsegment, n_name)
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_mktsegment <> 'BUILDING'),
+nodes AS (SELECT parent AS name FROM edges UNION SELECT child FROM edges),
+two AS (SELECT a.parent AS src, b.child AS dst FROM edges a JOIN edges b ON a.child = b.parent),
+reach AS (SELECT parent AS src, child AS dst, 1 AS depth FROM edges UNION ALL SELECT src, dst, 2 FROM two),
+m AS (SELECT n.name, count(dst) FILTER (depth = 1) AS d, count(dst) AS t, coalesce(max(depth), 0) AS depth,
+             coalesce(string_agg(dst, ', ' ORDER BY dst) FILTER (depth = 1), '') AS direct_list,
+             coalesce(string_agg(dst, ', ' ORDER BY dst), '') AS all_list
+      FROM nodes n LEFT JOIN reach r ON r.src = n.name GROUP BY n.name)
+{_IMPACT}, direct_list AS direct_downstream_models, all_list AS all_downstream_models
 FROM m
 """
 
@@ -372,20 +403,20 @@ SELECT r.* FROM raw_reviews r WHERE r.listing_id IS NOT NULL
     "check_null_pct_host_name": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
                       CAST(sum(CASE WHEN name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_count FROM raw_hosts)
-WHERE zero_count > (5 / 100.0) * total_count"""),
+WHERE zero_count * 100 > 5 * total_count"""),
     "check_null_pct_comments": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
                       CAST(sum(CASE WHEN comments IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_count FROM raw_reviews)
-WHERE zero_count > (5 / 100.0) * total_count"""),
+WHERE zero_count * 100 > 5 * total_count"""),
     "check_zero_pct_min_nights": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
                       CAST(sum(CASE WHEN minimum_nights = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_count FROM raw_listings)
-WHERE zero_count > (5 / 100.0) * total_count"""),
+WHERE zero_count * 100 > 5 * total_count"""),
     "check_joint_null_pct_reviews": _q("""
 SELECT * FROM (SELECT count(*) AS total_count,
                       CAST(sum(CASE WHEN review_text IS NULL AND review_sentiment IS NULL THEN 1 ELSE 0 END) AS BIGINT)
                         AS zero_count FROM fct)
-WHERE zero_count > (5 / 100.0) * total_count"""),
+WHERE zero_count * 100 > 5 * total_count"""),
     "check_price_parseable": _q("""
 SELECT * FROM raw_listings WHERE TRY_CAST(replace(price, '$', '') AS DOUBLE) IS NULL
    OR TRY_CAST(replace(price, '$', '') AS DOUBLE) < 0"""),
@@ -426,8 +457,7 @@ SELECT * FROM (
          CASE WHEN max_loaded_at IS NULL THEN 'error' WHEN hours_since_load > 24 THEN 'error'
               WHEN hours_since_load > 1 THEN 'warn' ELSE 'pass' END AS status
   FROM (SELECT max(date) AS max_loaded_at,
-               date_diff('hour', date_trunc('hour', max(date)),
-                         date_trunc('hour', {_ts(R.FRESHNESS_AS_OF)})) AS hours_since_load
+               date_diff('second', max(date), {_ts(R.FRESHNESS_AS_OF)}) / 3600.0::DOUBLE AS hours_since_load
         FROM raw_reviews))
 WHERE status <> 'pass'"""),
     "check_distinct_sentiment": _q("""
@@ -445,6 +475,80 @@ SELECT * FROM raw_listings WHERE listing_url IS NOT NULL
   AND NOT regexp_full_match(listing_url, '{R.LISTING_URL_REGEX}')"""),
     "check_regex_price": _q(f"""
 SELECT * FROM raw_listings WHERE price IS NOT NULL AND NOT regexp_full_match(price, '{R.PRICE_REGEX}')"""),
+    "violated_unique": _q("""
+SELECT listing_id AS unique_field, count(*) AS n_records FROM raw_reviews
+WHERE listing_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"""),
+    "violated_accepted_values": _q("""
+SELECT room_type AS value_field, count(*) AS n_records FROM dim_listings
+WHERE room_type IS NOT NULL AND room_type <> 'Private room' GROUP BY 1"""),
+    "violated_zero_pct": _q("""
+SELECT * FROM (SELECT count(*) AS total_count, CAST(sum(CASE WHEN minimum_nights = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_count
+               FROM raw_listings) WHERE zero_count * 100 > 1 * total_count"""),
+    "violated_null_pct": _q("""
+SELECT * FROM (SELECT count(*) AS total_count, CAST(sum(CASE WHEN name IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS zero_count
+               FROM raw_hosts) WHERE zero_count * 100 > 1 * total_count"""),
+    "violated_joint_null_pct": _q("""
+SELECT * FROM (SELECT count(*) AS total_count, CAST(sum(CASE WHEN listing_id % 10 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zero_count
+               FROM fct) WHERE zero_count * 100 > 5 * total_count"""),
+    "violated_price_parses": _q("SELECT * FROM raw_listings"),
+    "violated_boolean_parses": _q("SELECT * FROM raw_hosts WHERE name IS NOT NULL"),
+    "violated_no_nulls": _q("SELECT * FROM raw_hosts WHERE name IS NULL OR is_superhost IS NULL"),
+    "violated_missing_months": _q("""
+SELECT listing_month FROM new_listings WHERE month(listing_month) = 3"""),
+    "violated_sample": _q("""
+SELECT listing_id, listing_name, room_type, minimum_nights, host_id, CAST(price AS DOUBLE) AS price,
+       created_at, updated_at
+FROM dim_listings WHERE minimum_nights < 5 ORDER BY listing_id LIMIT 10"""),
+    "violated_between": _q("SELECT * FROM new_listings WHERE new_listings < 1 OR new_listings > 30"),
+    "violated_max": _q("SELECT * FROM (SELECT CAST(max(price) AS DOUBLE) AS max_value FROM dim_lwh) WHERE max_value > 100"),
+    "violated_min": _q("SELECT * FROM (SELECT min(minimum_nights) AS min_value FROM raw_listings) WHERE min_value < 1"),
+    "violated_quantile": _q("""
+SELECT * FROM (SELECT quantile_cont(CAST(price AS DOUBLE), 0.99) AS quantile_value FROM dim_lwh)
+WHERE quantile_value < 50 OR quantile_value > 100"""),
+    "violated_distinct_count": _q("""
+SELECT * FROM (SELECT count(DISTINCT room_type) AS distinct_count FROM raw_listings) WHERE distinct_count <> 3"""),
+    "violated_row_count": _q("""
+SELECT * FROM (SELECT (SELECT count(*) FROM dim_lwh) AS row_count, (SELECT count(*) FROM raw_hosts) AS other_row_count)
+WHERE row_count <> other_row_count"""),
+    "violated_regex": _q("SELECT * FROM raw_listings WHERE NOT regexp_full_match(listing_url, '\\$[0-9][0-9.]+')"),
+    "violated_relationships": _q("""
+SELECT r.* FROM raw_reviews r
+WHERE NOT EXISTS (SELECT 1 FROM raw_listings l WHERE l.id = r.listing_id AND l.id % 9 <> 0)"""),
+    "violated_single_active": _q("""
+SELECT id AS offending_id, CAST(2 AS BIGINT) AS active_versions FROM scd_hist WHERE valid_to IS NULL AND id % 13 = 0"""),
+    "violated_volume_anomalies": _anomaly_sql([], 10, 5, flagged=True, as_of=R.ANOMALY_AS_OF, delay=1,
+                                              source="(SELECT * FROM events WHERE day(ts) <> 20 OR event_id % 10 = 0)"),
+    "price_by_sentiment_nulls": _q("""
+SELECT s AS review_sentiment, count(*) AS review_count,
+       round(avg(price)::DOUBLE, 2) AS avg_price, round(stddev_samp(price)::DOUBLE, 2) AS price_stddev,
+       round(quantile_cont(CAST(price AS DOUBLE), 0.5), 2) AS median_price,
+       CAST(min(price) AS DOUBLE) AS min_price, CAST(max(price) AS DOUBLE) AS max_price
+FROM (SELECT CASE WHEN f.listing_id % 5 <> 0 THEN f.review_sentiment END AS s,
+             CASE WHEN l.listing_id % 3 <> 0 THEN l.price END AS price
+      FROM mart f JOIN dim_listings l USING (listing_id) WHERE f.is_full_moon)
+GROUP BY 1"""),
+    "scd2_snapshot_table": _q("""
+, c AS (
+  SELECT v1.*, v2.id IS NULL AS gone, v2.updated_at > v1.updated_at AS newer FROM raw_listings v1
+  LEFT JOIN listings_v2 v2 ON v2.id = v1.id)
+SELECT id, listing_url, name, room_type, minimum_nights, host_id, price, created_at, updated_at,
+       updated_at AS scd_updated_at, updated_at AS valid_from,
+       CASE WHEN gone THEN TIMESTAMP '2002-02-01' WHEN newer THEN updated_at + INTERVAL 30 DAY END AS valid_to
+FROM c
+UNION ALL  -- back in the third run with the old date: valid from where it ended
+SELECT id, listing_url, name, room_type, minimum_nights, host_id, price, created_at, updated_at, updated_at,
+       TIMESTAMP '2002-02-01', CAST(NULL AS TIMESTAMP) FROM c WHERE gone
+UNION ALL  -- newer in the second run; the third brings an older date and changes nothing
+SELECT v.*, v.updated_at, v.updated_at, CAST(NULL AS TIMESTAMP) FROM listings_v2 v JOIN c ON c.id = v.id WHERE newer
+UNION ALL  -- new in the second run, missing in the third
+SELECT v.*, v.updated_at, v.updated_at, TIMESTAMP '2002-03-01' FROM listings_v2 v
+WHERE v.id NOT IN (SELECT id FROM raw_listings)"""),
+    "late_calendar": _q("""
+SELECT d.day IS NOT NULL AS is_full_moon, f.review_sentiment, count(*) AS reviews
+FROM fct f LEFT JOIN (SELECT DISTINCT full_moon_date + 1 AS day FROM moon) d
+  ON CAST(f.review_date + INTERVAL 20 YEAR AS DATE) = d.day
+GROUP BY 1, 2"""),
+    "lineage_nations": _q(_LINEAGE_NATIONS),
     "volume_anomaly_scores": _anomaly_sql([], 10, 5, flagged=False),
     "volume_anomalies": _anomaly_sql([], 10, 5, flagged=True, as_of=R.ANOMALY_AS_OF, delay=1),
     "dimension_anomaly_scores": _anomaly_sql(["event_type"], 5, 5, flagged=False),

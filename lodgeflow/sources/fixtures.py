@@ -80,17 +80,13 @@ def raw_reviews(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def event_series(events: DataFrame) -> DataFrame:
-    """The ``events`` table as-is: (ts, event_type, value, …)."""
-    return events
-
-
 def load_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All inputs of the pipeline, derived from the given tables."""
+    reviews = raw_reviews(table(spark, sf_dir, "lineitem"))
     return {
         "hosts": raw_hosts(table(spark, sf_dir, "customer")),
         "listings": raw_listings(table(spark, sf_dir, "orders")),
-        "reviews": raw_reviews(table(spark, sf_dir, "lineitem")),
-        "calendar": moon_calendar(spark),
+        "reviews": reviews,
+        "calendar": moon_calendar(reviews.select(F.to_date("date").alias("day"))),
         "events": table(spark, sf_dir, "events"),
     }

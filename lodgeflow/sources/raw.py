@@ -58,16 +58,16 @@ def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CALENDAR_SCHEMA).option("header", True).csv(path)
 
 
-def moon_calendar(spark: SparkSession, first: str = "1995-01-16",
-                  periods: int = 86) -> DataFrame:
-    """Full-moon dates from a rule: ``first + floor(k * synodic month)``.
-
-    ``periods`` rows; the result is as small as the seed it replaces and is
-    generated in parallel by ``spark.range``.
-    """
-    offset = F.floor(F.lit(SYNODIC_MONTH_DAYS) * F.col("id")).cast("int")
-    return spark.range(periods).select(
-        F.date_add(F.lit(first).cast("date"), offset).alias("full_moon_date"))
+def moon_calendar(days: DataFrame, first: str = "1995-01-16") -> DataFrame:
+    """Full-moon dates from a rule: ``first + floor(k * synodic month)``, for
+    every k (also negative) whose date can matter to the dates in the one column
+    of ``days``. The span comes from the data, so no date lies outside it."""
+    day = F.col(days.columns[0])
+    moons = lambda d: F.floor(F.datediff(d, F.lit(first).cast("date")) / F.lit(SYNODIC_MONTH_DAYS))
+    span = days.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).filter("lo IS NOT NULL")
+    k = span.select(F.explode(F.sequence(moons(F.col("lo")) - 2, moons(F.col("hi")) + 2)).alias("k"))
+    return k.select(F.date_add(F.lit(first).cast("date"),
+                               F.floor(F.lit(SYNODIC_MONTH_DAYS) * F.col("k")).cast("int")).alias("full_moon_date"))
 
 
 def month_calendar(bounds: DataFrame, lo: str = "min_month",

@@ -93,7 +93,8 @@ def test_between_and_aggregates(spark):
 
 def test_freshness_statuses(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 10, 0),)], "ts timestamp_ntz")
-    assert n(C.freshness(df, "ts", "2024-01-01 10:59:00")) == 0          # 0 h
+    assert n(C.freshness(df, "ts", "2024-01-01 11:00:00")) == 0          # exactly 1 h
+    assert C.freshness(df, "ts", "2024-01-01 11:01:00").collect()[0].status == "warn"
     warn = C.freshness(df, "ts", "2024-01-01 12:00:00").collect()
     assert [(r.hours_since_load, r.status) for r in warn] == [(2, "warn")]
     assert C.freshness(df, "ts", "2024-01-02 10:00:00").collect()[0].status == "warn"   # 24 h

@@ -104,8 +104,15 @@ def test_dim_hosts_cleansing(spark):
 
 
 def test_moon_calendar_rule(spark):
-    days = [r[0] for r in moon_calendar(spark, "1995-01-16", 3).collect()]
-    assert days == [dt.date(1995, 1, 16), dt.date(1995, 2, 14), dt.date(1995, 3, 16)]
+    span = spark.createDataFrame([(dt.date(1995, 1, 20),), (None,), (dt.date(1995, 3, 10),)], "d date")
+    days = [r[0] for r in moon_calendar(span).orderBy("full_moon_date").collect()]
+    assert [d for d in days if dt.date(1995, 1, 1) <= d <= dt.date(1995, 3, 31)] == [
+        dt.date(1995, 1, 16), dt.date(1995, 2, 14), dt.date(1995, 3, 16)]
+    assert days[0] < dt.date(1995, 1, 1) and days[-1] > dt.date(1995, 3, 31)
+    late = moon_calendar(spark.createDataFrame([(dt.date(2150, 6, 1),), (dt.date(1700, 6, 1),)], "d date"))
+    years = {r[0].year for r in late.collect()}
+    assert years == set(range(1700, 2151))
+    assert moon_calendar(span.filter("d IS NULL")).count() == 0
 
 
 def test_entry_smoke(spark):

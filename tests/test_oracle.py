@@ -22,8 +22,8 @@ def _keys():
 def test_every_query_has_an_oracle_or_is_metadata_only():
     import __spark_entry__ as E
     rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only <= {"profile_wide", "sample_bernoulli", "check_of_type_price", "check_of_type_listing_month",
-                         "check_schema_vs_baseline_listings", "check_schema_changes_listing_dims"}
+    own = {k for k in rows_only if not k.startswith("op") and k != "pipeline"}
+    assert own <= {"profile_wide", "sample_bernoulli"}
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")

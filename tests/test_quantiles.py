@@ -46,3 +46,21 @@ def test_quantile_check_approx_mode(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "x double")
     assert C.quantile_between(df, "x", 0.99, 50, 500, approx=True).count() == 0
     assert C.quantile_between(df, "x", 0.99, 100, 500, approx=True).count() == 1
+
+
+def test_null_group_hot_value_and_no_exchange_reuse(spark):
+    """The result may not depend on an optimiser rule; a NULL group is a group."""
+    df = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE CAST(id % 3 AS string) END AS g",
+        "CASE WHEN id % 10 < 7 THEN 5.0D ELSE CAST(id AS double) END AS x").repartition(6)
+    plain = df.toPandas()
+    want = {None if g is None else g: float(np.percentile(plain[plain.g.isna() if g is None else plain.g == g].x, 90))
+            for g in (None, "1", "2")}
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    for reuse in ("true", "false"):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        try:
+            got = {r.g: r.q0 for r in exact_percentiles(df, "g", "x", None, [0.9]).collect()}
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", before)
+        assert got == pytest.approx(want)
