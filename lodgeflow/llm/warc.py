@@ -112,18 +112,19 @@ def _parse(content: bytes) -> Iterator[tuple[dict, bytes]]:
 
     def more() -> bool:
         nonlocal at, unzip
-        while at < len(content) or unzip.unconsumed_tail:
+        while True:
             if unzip.eof:  # a file may hold several gzip members
                 at -= len(unzip.unused_data)
                 unzip = zlib.decompressobj(wbits=31)
-            piece = unzip.unconsumed_tail or content[at:at + (1 << 18)]
-            if not unzip.unconsumed_tail:
+            piece = unzip.unconsumed_tail
+            if not piece:
+                piece = content[at:at + (1 << 18)]
                 at += len(piece)
-            got = unzip.decompress(piece, 1 << 20)
-            buffer.extend(got)
-            if got:
+            if not piece:
+                return False
+            if got := unzip.decompress(piece, 1 << 20):
+                buffer.extend(got)
                 return True
-        return False
 
     while True:
         while (cut := buffer.find(end)) < 0:
