@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.session import ensure_checkpoint_dir, reliable_checkpoint
+from lodgeflow.session import ensure_checkpoint_dir
 
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,13 +57,14 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def stored(df: DataFrame) -> DataFrame:
     """Write to the shared scratch folder and read back (cuts the lineage). The
     shuffle files of the write go as soon as it ends: nothing reads them again."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP, "false")
-    conf.set(_CLEANUP, "true")
+    spark = df.sparkSession
+    path, before = scratch_path(spark, "stored"), spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
     try:
-        return reliable_checkpoint(df)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
-        conf.set(_CLEANUP, before)
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
