@@ -197,16 +197,20 @@ def _numeric_stats_approx(df: DataFrame, vc: DataFrame, numeric: list[str],
 
 
 def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = True,
-                  approx_percentiles: bool = False) -> DataFrame:
-    """Every metric of every column (plus the ``#row`` pseudo-column), one row
-    per column, computed from one scan of ``df``."""
-    cols = column_families(df, exclude)
+                  approx_percentiles: bool = False, families: Sequence[str] | None = None,
+                  row_hash: bool = True) -> DataFrame:
+    """Every metric of every column (plus, with ``row_hash``, the ``#row``
+    pseudo-column), one row per column, computed from one scan of ``df`` that
+    reads only the columns of the wanted ``families`` (default: all)."""
+    cols = [(n, f) for n, f in column_families(df, exclude) if families is None or f in families]
+    if not cols:
+        raise ValueError(f"the table has no column of the families {families!r}")
     # The only scan of ``df``. The value counts are read by several
     # aggregates below, so they are staged on local disk (streamed back, never
     # re-cached whole on the heap; lost blocks are recomputed from the scan)
     # while the small per-column frame is computed and checkpointed; then the
     # staged copy is released. Eager: this call runs the profile.
-    vc = value_counts(df, cols).persist(StorageLevel.DISK_ONLY)
+    vc = value_counts(df, cols, row_hash).persist(StorageLevel.DISK_ONLY)
     held = [vc]
     try:
         approx_source = df if approx_percentiles else None
@@ -296,10 +300,11 @@ def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
 
 def column_profile(df: DataFrame, exclude: Sequence[str] = (),
                    advanced: bool = True, numeric: bool = True,
-                   approx_percentiles: bool = False) -> DataFrame:
+                   approx_percentiles: bool = False, families: Sequence[str] | None = None) -> DataFrame:
     """One row per profiled column with every metric that applies to it
-    (``numeric=False`` skips moments, percentiles and outliers)."""
-    res = profile_frame(df, exclude, numeric, approx_percentiles).filter(F.col("family") != "row")
+    (``numeric=False`` skips moments, percentiles and outliers; ``families``
+    limits the scan to the columns of some families). Whole rows are not hashed."""
+    res = profile_frame(df, exclude, numeric, approx_percentiles, families, row_hash=False)
     if not advanced:
         res = res.select("column_name", "family", "total_rows", "null_count", "distinct_count",
                          "min_length", "max_length", "avg_length", "min", "max", "avg",

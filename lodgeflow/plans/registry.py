@@ -299,9 +299,10 @@ def _lwh(spark, sf):
     return _models(spark, sf)["dim_listings_with_hosts"]
 
 
-def _col_profile(spark, sf, numeric=False):
-    # numeric moments/percentiles only where the query reports them
-    return profile.column_profile(_lwh(spark, sf), numeric=numeric)
+def _col_profile(spark, sf, *families, numeric=False):
+    # only the columns of the wanted families are read; numeric moments and
+    # percentiles only where the query reports them
+    return profile.column_profile(_lwh(spark, sf), numeric=numeric, families=families or None)
 
 
 def q_profile_rows(spark, sf):
@@ -310,7 +311,7 @@ def q_profile_rows(spark, sf):
 
 
 def q_profile_numeric(spark, sf):
-    p = _col_profile(spark, sf, numeric=True).filter(F.col("family") == "numeric")
+    p = _col_profile(spark, sf, "numeric", numeric=True)
     return p.select("column_name", "min", "max", F.round("avg", 6).alias("avg"),
                     F.round("stddev", 6).alias("stddev"), F.round("variance", 2).alias("variance"),
                     F.round("p25", 6).alias("p25"), F.round("median", 6).alias("median"),
@@ -318,14 +319,14 @@ def q_profile_numeric(spark, sf):
 
 
 def q_profile_string(spark, sf):
-    p = _col_profile(spark, sf).filter(F.col("family") == "string")
+    p = _col_profile(spark, sf, "string")
     return p.select("column_name", "min_length", "max_length",
                     F.round("avg_length", 6).alias("avg_length"), "mode", "empty_count",
                     "whitespace_only_count", "numeric_pattern_count", "alpha_pattern_count")
 
 
 def q_profile_dates(spark, sf):
-    p = _col_profile(spark, sf).filter(F.col("family") == "temporal")
+    p = _col_profile(spark, sf, "temporal")
     return p.select("column_name", "earliest", "latest",
                     day_diff(F.to_date("earliest"), F.to_date("latest")).alias("date_range_days"),
                     "distinct_dates",
@@ -334,7 +335,7 @@ def q_profile_dates(spark, sf):
 
 
 def q_profile_boolean(spark, sf):
-    p = _col_profile(spark, sf).filter(F.col("family") == "boolean")
+    p = _col_profile(spark, sf, "boolean")
     return p.select("column_name", "true_count", "false_count")
 
 
