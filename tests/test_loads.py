@@ -100,6 +100,13 @@ def test_audited_write_records_rows(spark, scratch):
     assert [(a.invocation_id, a.step, a.rows_affected) for a in audit] == [("inv-1", "step1", 7)]
 
 
+def test_merge_keeps_null_key_rows(spark):
+    target = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    batch = spark.createDataFrame([("a", 10), (None, 20), (None, 30)], "k string, v int")
+    got = sorted((tuple(r) for r in L.merge_upsert(target, batch, "k").collect()), key=repr)
+    assert got == sorted([("a", 10), (None, 2), (None, 20), (None, 30)], key=repr)
+
+
 # --- SCD-2 --------------------------------------------------------------------------
 def snap(spark, data):
     return spark.createDataFrame(data, "id bigint, v string, updated_at timestamp_ntz")

@@ -4,6 +4,8 @@ import os
 
 import pytest
 
+from lodgeflow.plans import oracle as O
+from lodgeflow.plans import registry as R
 from tests.oracle_compare import canon, duck
 
 SF = "/root/testdata/sf0.001"
@@ -15,24 +17,21 @@ def con():
 
 
 def _keys():
-    import __spark_entry__ as E
-    return sorted(E.oracle_sql())
+    return sorted(O.oracle_sql())
 
 
 def test_every_query_has_an_oracle_or_is_metadata_only():
+    assert set(R.queries()) - set(O.oracle_sql()) <= {"profile_wide", "sample_bernoulli"}
     import __spark_entry__ as E
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    own = {k for k in rows_only if not k.startswith("op") and k != "pipeline"}
-    assert own <= {"profile_wide", "sample_bernoulli"}
+    assert set(R.queries()) <= set(E.queries()) and set(O.oracle_sql()) <= set(E.oracle_sql())
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 @pytest.mark.parametrize("key", _keys())
 def test_matches_duckdb(spark, con, key):
-    import __spark_entry__ as E
-    df = E.queries()[key](spark, SF)
+    df = R.queries()[key](spark, SF)
     sn, sr = canon(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(E.oracle_sql()[key])
+    cur = con.execute(O.oracle_sql()[key])
     dn, dr = canon([d[0] for d in cur.description], cur.fetchall())
     assert sn == dn
     assert len(sr) == len(dr)
@@ -46,10 +45,9 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "b
 @pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
 @pytest.mark.parametrize("key", _keys())
 def test_column_types_match_duckdb(spark, con, key):
-    import __spark_entry__ as E
-    df = E.queries()[key](spark, SF)
+    df = R.queries()[key](spark, SF)
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
                    for f in df.schema.fields}
-    rel = con.sql(E.oracle_sql()[key])
+    rel = con.sql(O.oracle_sql()[key])
     duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
     assert spark_types == duck_types

@@ -1,4 +1,4 @@
-"""Physical-plan guards for every registered query (sf0.001).
+"""Physical-plan guards for every registered marketplace query (sf0.001).
 
 No query may plan a Cartesian product or a broadcast nested-loop join (the
 shape of a cross join) or evaluate Python per row; the flagship must prune
@@ -7,6 +7,8 @@ and push down at the scan and combine rows before its first shuffle.
 
 import pytest
 
+from lodgeflow.plans import registry as R
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -15,22 +17,19 @@ def physical_plan(df) -> str:
 
 
 def _keys():
-    import __spark_entry__ as E
-    return sorted(E.queries())
+    return sorted(R.queries())
 
 
 @pytest.mark.parametrize("key", _keys())
 def test_no_cross_join_shapes(spark, key):
-    import __spark_entry__ as E
-    plan = physical_plan(E.queries()[key](spark, SF))
+    plan = physical_plan(R.queries()[key](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan   # JVM-side only
 
 
 def test_flagship_prunes_pushes_and_combines_early(spark):
-    import __spark_entry__ as E
-    df = E.queries()["price_by_sentiment"](spark, SF)
+    df = R.queries()["price_by_sentiment"](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     lineitem_scan = [line for line in plan.splitlines() if "lineitem" in line and "FileScan" in line]
     assert lineitem_scan, plan
