@@ -120,8 +120,9 @@ def _places(known: _Places, words: list[bytes]) -> np.ndarray:
 
 def learn_vocabulary(counts: DataFrame, documents: int, hot: int = HOT, symbols: int = SYMBOLS) -> Vocabulary:
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(hot).toPandas()  # HOT rows at most
-    return Vocabulary(_Places(zip(map(bytes, top["word"]), range(len(top)))), top["c"].to_numpy(np.int64),
+    top = counts.orderBy(F.desc("c"), "word").limit(hot).toArrow()  # HOT rows at most
+    return Vocabulary(_Places(zip(top.column("word").to_pylist(), range(len(top)))),
+                      top.column("c").to_numpy().astype(np.int64),
                       int(tokens) + documents, int(distinct) + (1 if documents else 0), documents,
                       min(len(top), symbols - 2))
 
