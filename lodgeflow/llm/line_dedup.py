@@ -26,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeflow.llm.common import stored, text_of, words_native
+from lodgeflow.llm.common import stored, text_of
 from lodgeflow.llm.shingles import mixed, word_hashes
 
 LEAST_WORDS = 5
@@ -37,34 +38,96 @@ NEAR_WORDS = 8
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_LOW64 = (1 << 64) - 1
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """place (last, doc_id, text_hash, line), words per line with enough of them."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line", "x"))
-    rows = rows.select(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "line").alias("place"),
-                       words_native(F.lower("x")).alias("words"))
-    return rows.filter(F.size("words") >= LEAST_WORDS)
+_PLACE = "last boolean, doc_id long, text_hash long"
 
 
-def _half_keys(words: Column) -> Column:
+def line_words(line: bytes) -> list[bytes]:
+    """Words of a lower-cased line."""
+    return line.split()
+
+
+def half_keys(words: list[bytes]) -> list[int]:
     """Keys of the first and last halves, for partners that are not longer and that
     have one word more."""
-    n = F.size(words)
+    n = len(words)
+    if n < NEAR_WORDS:
+        return []
     keys = []
     for longer in (n, n + 1):
-        half = F.floor((longer - 1) / 2).cast("int")
-        keys += [F.xxhash64(F.lit("first"), longer, F.array_join(F.slice(words, F.lit(1), half), " ")),
-                 F.xxhash64(F.lit("last"), longer, F.array_join(F.slice(words, n - half + 1, half), " "))]
-    return F.when(n >= NEAR_WORDS, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
+        half = (longer - 1) // 2
+        keys.append(xxhash.xxh3_64_intdigest(b" ".join(words[:half]), seed=2 * longer) - (1 << 63))
+        keys.append(xxhash.xxh3_64_intdigest(b" ".join(words[n - half:]), seed=2 * longer + 1) - (1 << 63))
+    return keys
+
+
+def _lowered_lines(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8", "surrogatepass").split(b"\n")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """last, doc_id, text_hash (what names a document) and text."""
+    return docs.select(F.col("doc_id").isNull().alias("last"), F.col("doc_id").cast("long").alias("doc_id"),
+                       F.xxhash64(text_of()).alias("text_hash"), text_of().alias("text"))
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
-    """place, h, g (128 bits of the line) and half keys."""
-    line = F.array_join("words", " ")
-    return _lines(docs).select("place", F.xxhash64(line).alias("h"), F.xxhash64(F.lit(7), line).alias("g"),
-                               _half_keys(F.col("words")).alias("halves"))
+    """place (last, doc_id, text_hash, line), h, g (128 bits of the line) and half keys, per
+    line with enough words."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, number, h, g, halves, ends = [], [], [], [], [], [0]
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                for k, line in enumerate(_lowered_lines(text)):
+                    words = line_words(line)
+                    if len(words) >= LEAST_WORDS:
+                        digest = xxhash.xxh3_128_intdigest(b" ".join(words))
+                        at.append(i)
+                        number.append(k)
+                        h.append((digest & _LOW64) - (1 << 63))
+                        g.append((digest >> 64) - (1 << 63))
+                        halves += half_keys(words)
+                        ends.append(len(halves))
+            rows = batch.select(["last", "doc_id", "text_hash"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(number, pa.int32()), pa.array(h, pa.int64()), pa.array(g, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(halves, pa.int64()))],
+                ["last", "doc_id", "text_hash", "line", "h", "g", "halves"])
+
+    found = _keyed(docs).mapInArrow(emit, _PLACE + ", line int, h long, g long, halves array<long>")
+    return found.select(F.struct("last", "doc_id", "text_hash", "line").alias("place"), "h", "g", "halves")
+
+
+def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """h, g, place and normalised text of the chosen lines; documents are joined, not lines."""
+    lists = chosen.groupBy("first.last", "first.doc_id", "first.text_hash").agg(
+        F.collect_list(F.struct("first.line", "h", "g")).alias("wanted"))  # a document's own lines only
+    doc = lambda d: d.withColumn("k0", F.coalesce("doc_id", F.lit(0)))
+    joined = doc(_keyed(docs)).join(doc(lists).drop("doc_id"), ["k0", "last", "text_hash"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, number, h, g, lines = [], [], [], [], []
+            for i, (text, wanted) in enumerate(zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist())):
+                own = _lowered_lines(text)
+                for w in wanted:
+                    at.append(i)
+                    number.append(w["line"])
+                    h.append(w["h"])
+                    g.append(w["g"])
+                    lines.append(b" ".join(line_words(own[w["line"]])))
+            rows = batch.select(["last", "doc_id", "text_hash"]).take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.array(number, pa.int32()), pa.array(h, pa.int64()), pa.array(g, pa.int64()),
+                 pa.array(lines, pa.binary())], ["last", "doc_id", "text_hash", "place", "h", "g", "line"])
+
+    found = joined.select("last", "doc_id", "text_hash", "text", "wanted").mapInArrow(
+        cut, _PLACE + ", place int, h long, g long, line binary")
+    return found.select(F.struct("last", "doc_id", "text_hash", F.col("place").alias("line")).alias("place"),
+                        "h", "g", "line").dropDuplicates(["h", "g"])
 
 
 def _candidates(groups: DataFrame) -> DataFrame:
@@ -75,7 +138,7 @@ def _candidates(groups: DataFrame) -> DataFrame:
     return groups.join(near, "h").select("h", "g", "first")
 
 
-VARIANTS = "h long, g long, key long, role string"
+VARIANTS = "no long, key long, role string"
 
 
 def variant_keys(words: list[bytes]) -> tuple[int, np.ndarray, np.ndarray]:
@@ -93,34 +156,34 @@ def variant_keys(words: list[bytes]) -> tuple[int, np.ndarray, np.ndarray]:
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """Rows (h, g, key, role): whole, fewer (deletion variants), placed."""
+    """Rows (no, key, role): whole, fewer (deletion variants), placed."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(h, g, key, role):
+        def batch_of(no, key, role):
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(h)), pa.array(np.concatenate(g)), pa.array(np.concatenate(key)),
-                 pa.array(np.concatenate(role)).dictionary_encode().cast(pa.string())], ["h", "g", "key", "role"])
+                [pa.array(np.concatenate(no)), pa.array(np.concatenate(key)),
+                 pa.array(np.concatenate(role)).dictionary_encode().cast(pa.string())], ["no", "key", "role"])
 
         for batch in batches:
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: tuple[list, list, list] = ([], [], [])
             held = 0
-            for h, g, line in zip(*[batch.column(c).to_pylist() for c in ("h", "g", "line")]):
-                whole, fewer, placed = variant_keys(line.encode("utf-8").split(b" "))
+            for no, line in zip(batch.column("no").to_pylist(), batch.column("line").to_pylist()):
+                whole, fewer, placed = variant_keys(line.split(b" "))
                 keys = np.concatenate([[whole], fewer, placed])
-                for column, value in zip(out, (np.full(len(keys), h), np.full(len(keys), g), keys, np.repeat(
+                for column, value in zip(out, (np.full(len(keys), no), keys, np.repeat(
                         ["whole", "fewer", "placed"], [1, len(fewer), len(placed)]))):
                     column.append(value)
                 held += len(keys)
                 if held > 100_000:
                     yield batch_of(*out)
-                    out, held = ([], [], [], []), 0
+                    out, held = ([], [], []), 0
             if held:
                 yield batch_of(*out)
 
-    return lines.select("h", "g", "line").mapInArrow(emit, VARIANTS)
+    return lines.select("no", "line").mapInArrow(emit, VARIANTS)
 
 
-def within_one(a: list[str], b: list[str]) -> bool:
+def within_one(a: list, b: list) -> bool:
     """Word edit distance of at most one."""
     if abs(len(a) - len(b)) > 1:
         return False
@@ -133,49 +196,37 @@ def within_one(a: list[str], b: list[str]) -> bool:
 def _near(lines: DataFrame) -> DataFrame:
     """(h, g) of lines that have an earlier line within the edit bound.
 
-    lines: h, g, first, line (stored)."""
-    found = _variants(lines).join(lines.select("h", "g", "first"), ["h", "g"])
-    me = F.struct("first", "h", "g")
-    by_role = lambda r: F.min(F.when(F.col("role") == r, me)).alias(r)
-    same = F.when(F.col("role") == "placed", "placed").otherwise("inserted").alias("kind")
-    keys = (found.groupBy("key", same).agg(by_role("whole"), by_role("fewer"), by_role("placed"),
-                                           F.min("h").alias("lo"), F.max("h").alias("hi"))
-            .filter("lo <> hi").drop("lo", "hi"))
-    keys = stored(keys)
-    met = found.withColumn("kind", F.when(F.col("role") == "placed", "placed").otherwise("inserted")).join(
-        keys, ["key", "kind"])
+    lines: no (rises with the place), h, g, line (stored)."""
+    found = _variants(lines).withColumn(
+        "kind", F.when(F.col("role") == "placed", "placed").otherwise("inserted"))
+    by_role = lambda r: F.min(F.when(F.col("role") == r, F.col("no"))).alias(r)
+    keys = stored(found.groupBy("key", "kind").agg(
+        by_role("whole"), by_role("fewer"), by_role("placed"), F.min("no").alias("lo"), F.max("no").alias("hi"))
+        .filter("lo <> hi").drop("lo", "hi"))
     partner = (F.when(F.col("role") == "placed", F.col("placed")).when(F.col("role") == "whole", F.col("fewer"))
                .otherwise(F.col("whole")))
-    best = (met.withColumn("partner", partner).filter("partner.first < first")
-            .groupBy("h", "g").agg(F.min("partner").alias("p")))
-    text = lines.select("h", "g", "line")
-    pairs = best.join(text, ["h", "g"]).select("h", "g", F.col("line").alias("mine"), F.col("p.h").alias("ph"),
-                                               F.col("p.g").alias("pg"))
-    other = text.select(F.col("h").alias("ph"), F.col("g").alias("pg"), F.col("line").alias("theirs"))
+    best = (found.join(keys, ["key", "kind"]).withColumn("partner", partner).filter("partner < no")
+            .groupBy("no").agg(F.min("partner").alias("partner")))
+    pairs = best.join(lines.select("no", "h", "g", F.col("line").alias("mine")), "no")
+    other = lines.select(F.col("no").alias("partner"), F.col("line").alias("theirs"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [within_one(a.split(" "), b.split(" ")) for a, b in
+            keep = [within_one(a.split(b" "), b.split(b" ")) for a, b in
                     zip(batch.column("mine").to_pylist(), batch.column("theirs").to_pylist())]
             yield batch.select(["h", "g"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(other, ["ph", "pg"]).select("h", "g", "mine", "theirs").mapInArrow(verify, "h long, g long")
+    return pairs.join(other, "partner").select("h", "g", "mine", "theirs").mapInArrow(verify, "h long, g long")
 
 
 def lines_to_drop(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, drop (line numbers) of documents that lose lines."""
-    hashed = _hashed(docs)
-    slim = stored(hashed)
+    slim = stored(_hashed(docs))
     groups = stored(slim.groupBy("h", "g").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"),
                                                F.first("halves").alias("halves")))
     chosen = stored(_candidates(groups))
-    text = _lines(docs).select("place", F.array_join("words", " ").alias("line"))
-    here = lambda c: [F.coalesce(F.col(f"{c}.doc_id"), F.lit(0)), F.col(f"{c}.last"), F.col(f"{c}.text_hash"),
-                      F.col(f"{c}.line")]
-    names = ["k0", "k1", "k2", "k3"]
-    text = text.select("line", *[c.alias(n) for c, n in zip(here("place"), names)])
-    chosen = chosen.select("h", "g", "first", *[c.alias(n) for c, n in zip(here("first"), names)])
-    lines = stored(text.join(chosen, names).select("h", "g", "first", "line").dropDuplicates(["h", "g"]))
+    # sorted by place, so that the number of a line tells which came first
+    lines = stored(_texts(docs, chosen).orderBy("place").withColumn("no", F.monotonically_increasing_id()))
     near = stored(_near(lines))
     decided = (groups.select("h", "g", "first", "n").join(near.withColumn("near", F.lit(True)), ["h", "g"], "left")
                .filter("n > 1 OR near").select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near")))
