@@ -4,12 +4,15 @@
    minima, one key per band, and a digest of the whole set.
 2. Documents with equal sets form a class; only one document of each goes on.
 3. Classes that share a band key are candidates. Within a bucket each class is
-   compared with the bucket's least class only (a star); after that, classes that
-   still lie in different components are compared pairwise where their set sizes
-   allow the similarity. So a bucket of copies costs one comparison per member,
-   and no candidate link between components is left out.
-4. Signatures of a pair are compared first (a pair more than six standard
-   errors below the threshold goes), then the full sets.
+   compared with the bucket's least class only (a star). Members that are still outside
+   their bucket's largest component are then compared with some of its members,
+   (``TURNS`` times, with new ones); at last, classes that still lie in different
+   components are compared pairwise where their set sizes allow the similarity. So
+   a bucket of copies costs a few comparisons per member, and no candidate link
+   between components is left out.
+4. Pairs whose counts of shingles per hash cell bound their overlap too low go (this
+   loses no link), then pairs whose signatures agree more than six standard errors
+   too seldom; the rest is compared by full sets.
 5. Components by alternating large-star and small-star.
 
 Defined cases: null text is empty; documents without words are linked with
@@ -37,6 +40,11 @@ PERCENT = 75
 BANDS = 32
 ROWS = 4
 BLOCK = 4096
+#: Further pivots per bucket, and how often they are drawn.
+PIVOTS = 8
+TURNS = 1
+#: Cells that a set's shingles are counted in, to bound what two sets share.
+CELLS = 128
 
 _random = np.random.default_rng(20240117)
 _A = _random.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -63,10 +71,12 @@ def signatures(rows: DataFrame) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, bands, marks = [], [], [], []
+            sizes, keys, bands, marks, spread = [], [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 found = shingle_set(text, SHINGLE)
                 sizes.append(len(found))
+                spread.append(np.bincount((found >> np.uint64(50)).astype(np.int64) % CELLS, minlength=CELLS)
+                              .astype(np.int32) if len(found) else None)
                 if len(found):
                     least = minima(found)
                     keys.append(xxhash.xxh3_128_digest(found.tobytes()))
@@ -79,11 +89,19 @@ def signatures(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_id"), batch.column("doc_id"), batch.column("text_hash"),
                  pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary())],
-                ["row_id", "doc_id", "text_hash", "n_shingles", "set_key", "bands", "marks"])
+                 pa.array(bands, pa.list_(pa.int64())), pa.array(marks, pa.binary()),
+                 pa.array(spread, pa.list_(pa.int32()))],
+                ["row_id", "doc_id", "text_hash", "n_shingles", "set_key", "bands", "marks", "spread"])
 
     return rows.mapInArrow(sign, "row_id long, doc_id long, text_hash long, n_shingles long, set_key binary, "
-                                 "bands array<long>, marks binary")
+                                 "bands array<long>, marks binary, spread array<int>")
+
+
+def _can_share_enough(a: str, b: str) -> Column:
+    """False only for sets that cannot be similar enough: what they share is at most
+    the sum over cells of the smaller count."""
+    most = F.aggregate(F.zip_with(F.col(f"{a}spread"), F.col(f"{b}spread"), lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    return (100 + PERCENT) * most >= PERCENT * (F.col(f"{a}n_shingles") + F.col(f"{b}n_shingles"))
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -94,10 +112,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
     def alike(left: Column, right: Column) -> Column:
         return F.pandas_udf(_agreement, "double")(left, right) >= F.lit(floor)
 
-    marks = classes.select("node", "marks")
-    near = (pairs.join(marks.select(F.col("node").alias("u"), F.col("marks").alias("mu")), "u")
-            .join(marks.select(F.col("node").alias("v"), F.col("marks").alias("mv")), "v")
-            .filter(alike(F.col("mu"), F.col("mv"))).select("u", "v"))
+    side = lambda c: classes.select(F.col("node").alias(c), *[
+        F.col(x).alias(f"{c}_{x}") for x in ("marks", "spread", "n_shingles")])
+    near = (pairs.join(side("u"), "u").join(side("v"), "v").filter(_can_share_enough("u_", "v_"))
+            .filter(alike(F.col("u_marks"), F.col("v_marks"))).select("u", "v"))
     full = (near.join(texts.select(F.col("node").alias("u"), F.col("text").alias("tu")), "u")
             .join(texts.select(F.col("node").alias("v"), F.col("text").alias("tv")), "v"))
 
@@ -131,7 +149,7 @@ def find_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     classes = signed.filter("n_shingles > 0").groupBy("set_key").agg(
         F.min(first).alias("first"), F.min("row_id").alias("node"))
     classes = stored(classes.join(  # the bands of one member of each class
-        signed.select(F.col("row_id").alias("node"), "n_shingles", "bands", "marks"), "node"))
+        signed.select(F.col("row_id").alias("node"), "n_shingles", "bands", "marks", "spread"), "node"))
 
     members = stored(classes.select("node", "n_shingles", F.explode("bands").alias("key"))
                      .join(_shared_keys(classes), "key"))
@@ -143,10 +161,13 @@ def find_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     star = members.filter("node <> pivot AND " + _SIZES.format(a="n_shingles", b="pivot_size")).select(
         F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    links = stored(_verified(star, classes, texts))
-    tied = connected_components(links)
-    links = links.unionByName(stored(_verified(_open_pairs(members, tied, star), classes, texts)))
-    tied = connected_components(links)
+    tied = connected_components(stored(_verified(star, classes, texts)))
+    done = star
+    for turn in range(TURNS):
+        pairs = stored(_pivot_pairs(members, tied, turn).join(done, ["u", "v"], "left_anti"))
+        tied = _joined(tied, stored(_verified(pairs, classes, texts)))
+        done = done.unionByName(pairs)
+    tied = _joined(tied, stored(_verified(_open_pairs(members, classes, tied, done), classes, texts)))
 
     rooted = classes.join(tied, "node", "left").select(
         "set_key", "first", F.coalesce("root", "node").alias("root"))
@@ -166,15 +187,48 @@ def _shared_keys(classes: DataFrame) -> DataFrame:
             .select("key", F.col("p.node").alias("pivot"), F.col("p.n_shingles").alias("pivot_size")))
 
 
-def _open_pairs(members: DataFrame, tied: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs within a bucket that lie in different components and were not compared."""
+def _joined(tied: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: only the roots they tie are worked on."""
+    at = lambda c: tied.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    rooted = links.join(at("u"), "u", "left").join(at("v"), "v", "left").select(
+        F.coalesce("root_u", "u").alias("u"), F.coalesce("root_v", "v").alias("v"))
+    over = connected_components(rooted).select(F.col("node").alias("root"), F.col("root").alias("over"))
+    alone = links.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(tied, "node", "left_anti")
+    nodes = tied.unionByName(alone.withColumn("root", F.col("node")))
+    return stored(nodes.join(over, "root", "left").select("node", F.coalesce("over", "root").alias("root")))
+
+
+def _open_members(members: DataFrame, tied: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several components, with root."""
     placed = members.join(tied, "node", "left").select(
         "key", "node", "n_shingles", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-    open_ = stored(placed.join(mixed.select("key"), "key"))
+    return stored(placed.join(mixed.select("key"), "key"))
+
+
+def _pivot_pairs(members: DataFrame, tied: DataFrame, turn: int) -> DataFrame:
+    """In each open bucket, members outside its largest component against some of that
+    component: copies of a large group that missed the first pivot find another."""
+    open_ = _open_members(members, tied)
+    sizes = tied.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    sized = open_.join(sizes, "root", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+    pick = lambda i: F.min(F.struct(
+        (-F.col("size")).alias("s"), "root", F.xxhash64("node", F.lit(turn * PIVOTS + i)).alias("h"), "node", "n_shingles"))
+    pivots = sized.groupBy("key").agg(F.array(*[pick(i) for i in range(PIVOTS)]).alias("p")).select(
+        "key", F.explode(F.array_distinct("p")).alias("p"))
+    pairs = open_.join(pivots, "key").filter(
+        "root <> p.root AND " + _SIZES.format(a="n_shingles", b="p.n_shingles"))
+    return pairs.select(F.greatest("node", F.col("p.node")).alias("u"), F.least("node", F.col("p.node")).alias("v")).distinct()
+
+
+def _open_pairs(members: DataFrame, classes: DataFrame, tied: DataFrame, done: DataFrame) -> DataFrame:
+    """Pairs within a bucket that lie in different components, can be similar enough and
+    were not compared."""
+    open_ = _open_members(members, tied).join(classes.select("node", "spread"), "node")
     a, b = open_.alias("a"), open_.alias("b")
     pairs = a.join(b, F.col("a.key") == F.col("b.key")).filter(
-        "a.node > b.node AND a.root <> b.root AND " + _SIZES.format(a="a.n_shingles", b="b.n_shingles"))
+        F.expr("a.node > b.node AND a.root <> b.root AND " + _SIZES.format(a="a.n_shingles", b="b.n_shingles"))
+        & _can_share_enough("a.", "b."))
     pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
     return pairs.join(done, ["u", "v"], "left_anti")
 
