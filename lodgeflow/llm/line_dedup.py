@@ -1,8 +1,8 @@
 """Operator 7: line deduplication by a deletion-neighbourhood join.
 
 Lines are compared as lower-cased words; the edit bound is one word inserted,
-deleted or replaced (none for lines under ``NEAR_WORDS``; lines under
-``LEAST_WORDS`` are never touched). Of equal lines the earliest (by doc_id, then
+deleted or replaced (none for lines under ``NEAR_WORDS``). Every line with a word is
+compared; only lines without one stay as they are. Of equal lines the earliest (by doc_id, then
 line number) stays; a line within the bound of an earlier one goes as well.
 
 1. Lines are hashed; equal lines are reduced to their earliest place.
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lodgeflow.llm.common import stored, text_of
 from lodgeflow.llm.shingles import mixed, word_hashes
 
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 NEAR_WORDS = 8
 
 _BASE = 0x9E3779B97F4A7C15
@@ -75,7 +75,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _hashed(docs: DataFrame) -> DataFrame:
     """place (last, doc_id, text_hash, line), h, g (128 bits of the line) and half keys, per
-    line with enough words."""
+    line with a word."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -198,6 +198,20 @@ def test_lines_equal_brute_force(spark):
     check(spark, spark.createDataFrame([(90 - i, t) for i, t in edit_lines()], "doc_id long, text string"))
 
 
+def dropped(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_dedup.dedup_lines(df).collect()}
+
+
+def test_short_lines_repeat_once(spark):
+    texts = ["Yes\n\nread more here", "yes\nno\n\n", "READ  more here\nread more", "没有空格的一行\n又一行", "没有空格的一行",
+             "read more here\nread more there"]
+    assert dropped(spark, texts) == {
+        0: (texts[0], 0), 1: ("no\n\n", 1), 2: ("read more", 1), 3: (texts[3], 0), 4: ("", 1), 5: ("read more there", 1)}
+    df = spark.createDataFrame([(1, "Title\n\nby Someone"), (2, "Title\n\nby Someone")], "doc_id long, text string")
+    assert [r["doc_id"] for r in line_dedup.drop_duplicate_lines(df).collect()] == [1]  # no stub is left
+
+
 def test_lines_edges(spark):
     df = awkward(spark).filter("doc_id IS NULL OR doc_id <> 10")
     check(spark, df)
