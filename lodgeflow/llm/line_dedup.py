@@ -1,8 +1,9 @@
 """Operator 7: line deduplication by a deletion-neighbourhood join.
 
-Lines are compared as lower-cased words; the edit bound is one word inserted,
-deleted or replaced (none for lines under ``NEAR_WORDS``). Every line with a word is
-compared; only lines without one stay as they are. Of equal lines the earliest (by doc_id, then
+Lines are compared as lower-cased words; the edit bound is one word inserted, deleted
+or replaced that is at most a fifth of the shorter line (so lines under ``NEAR_WORDS``
+go by equality: any two lines of one word are one replacement apart). Every line with
+a word is compared; only lines without one stay as they are. Of equal lines the earliest (by doc_id, then
 line number) stays; a line within the bound of an earlier one goes as well.
 
 1. Lines are hashed; equal lines are reduced to their earliest place.
@@ -34,7 +35,7 @@ from lodgeflow.llm.common import stored, text_of
 from lodgeflow.llm.shingles import mixed, word_hashes
 
 LEAST_WORDS = 1
-NEAR_WORDS = 8
+NEAR_WORDS = 5  # one word is at most a fifth of the shorter line
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)

@@ -212,6 +212,24 @@ def test_short_lines_repeat_once(spark):
     assert [r["doc_id"] for r in line_dedup.drop_duplicate_lines(df).collect()] == [1]  # no stub is left
 
 
+def test_lines_within_a_fifth_equal_brute_force(spark):
+    """The bound written out: equal, or one edit that is at most a fifth of the shorter line."""
+    rng, texts = np.random.default_rng(7), []
+    for n in range(1, 12):
+        line = [f"n{n}w{i}" for i in range(n)]
+        at = int(rng.integers(0, n))
+        texts += [line, line[:at] + ["new"] + line[at + 1:], line[:at] + line[at + 1:], line[:at] + ["more"] + line[at:]]
+        texts += [[f"f{i}" for i in range(n)], [f"f{i}" for i in range(n)][::-1]]
+    texts = [" ".join(t) for t in texts]
+    lines = [t.split() for t in texts]
+    gone = [any(a == b or 5 * distance(a, b) <= min(len(a), len(b)) and distance(a, b) <= 1 for b in lines[:i])
+            for i, a in enumerate(lines)]
+    got = dropped(spark, texts)
+    assert [got[i][1] for i in range(len(texts))] == [int(g and bool(a)) for g, a in zip(gone, lines)]
+    assert dropped(spark, ["a b c d e f g h", "a b c d e f g", "v w x y z", "v w x y q"]) == {
+        0: ("a b c d e f g h", 0), 1: ("", 1), 2: ("v w x y z", 0), 3: ("", 1)}
+
+
 def test_lines_edges(spark):
     df = awkward(spark).filter("doc_id IS NULL OR doc_id <> 10")
     check(spark, df)
