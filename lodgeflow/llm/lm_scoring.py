@@ -7,10 +7,10 @@
 3. The model knows the ``SYMBOLS`` most frequent words, the end, and one symbol for all
    other words, whose counts spell out which one it is:
    (c + 1) / (their tokens + their number + 1). The softmax starts from the
-   counts of the whole corpus. Training documents in a hash-chosen share
-   ``SHARE`` are dealt to shards; each shard trains its own copy by truncated
-   backpropagation and the copies are averaged, ``ROUNDS`` times, each on a share of
-   its own. So what is learnt from grows with the corpus.
+   counts of the whole corpus. In each of ``ROUNDS`` rounds a share of the training
+   documents, chosen by the hash of doc_id and text, is dealt to shards; each shard
+   trains its own copy by truncated backpropagation and the copies are averaged. There
+   are as many shares as rounds, so every training document is learnt from.
 4. Documents are scored whole: the state runs on from window to window.
 
 Defined cases: null and empty texts are the end token alone; a null doc_id is not held
@@ -38,7 +38,7 @@ SYMBOLS = 4096
 CLASSES = 64
 HIDDEN = 32
 ROUNDS = 2
-SHARE = 16  # one document in so many trains the model in a round
+SHARE = ROUNDS  # one document in so many trains the model in a round: all of them in the end
 SHARD_TOKENS = 1_000_000
 RATE = 0.004
 
@@ -139,6 +139,11 @@ def _unpack(data: np.ndarray, like: recurrent.Parameters) -> recurrent.Parameter
     return out
 
 
+def _row_hash(*more):
+    """Of the whole row: documents without a doc_id would all be in one share and shard."""
+    return F.xxhash64("doc_id", "text", *more)
+
+
 def train_round(texts: DataFrame, words, model: _Model, shards: int) -> None:
     """texts: doc_id, text. Trains a copy per shard and sets the model to their mean,
     weighted by symbols."""
@@ -168,8 +173,8 @@ def train_round(texts: DataFrame, words, model: _Model, shards: int) -> None:
                                              ["symbols", "parameters"])
 
     kind = "symbols long, parameters binary"
-    dealt = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(shards)))
-    fitted = dealt.repartition(shards, "shard").sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").mapInArrow(fit, kind)
+    dealt = texts.withColumn("shard", F.pmod(_row_hash(F.lit(3)), F.lit(shards)))
+    fitted = dealt.repartition(shards, "shard").sortWithinPartitions(_row_hash(), "doc_id", "text").mapInArrow(fit, kind)
     copies = fitted.repartition(8).mapInArrow(add, kind).collect()  # eight partial means
     weight = sum(r["symbols"] for r in copies)
     if weight:
@@ -179,6 +184,8 @@ def train_round(texts: DataFrame, words, model: _Model, shards: int) -> None:
 
 def score_documents(docs: DataFrame, rounds: int = ROUNDS, share: int = SHARE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document row."""
+    if share > rounds:
+        raise ValueError("fewer rounds than shares: some training documents would not be learnt from")
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     teaching = rows.filter(~_held_out())
@@ -188,7 +195,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, share: int = SHARE) -
     model = _Model(vocabulary)
     shards = max(6, round(vocabulary.tokens / share / SHARD_TOKENS))
     for k in range(rounds):
-        train_round(teaching.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == k), words, model, shards)
+        train_round(teaching.filter(F.pmod(_row_hash(), F.lit(share)) == k), words, model, shards)
     send = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

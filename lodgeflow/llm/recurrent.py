@@ -177,6 +177,7 @@ class Adam:
         self.rate, self.t = rate, 0
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
+        self.spare = {k: np.empty_like(v) for k, v in p.items()}
 
     def apply(self, p: Parameters, grad: Parameters, clip: float = 1.0) -> None:
         norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
@@ -184,10 +185,19 @@ class Adam:
         self.t += 1
         fix = np.float32(self.rate * np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t))
         for k, g in grad.items():
+            m, v, x = self.m[k], self.v[k], self.spare[k]  # in place: no new arrays per step
             g = g * shrink
-            self.m[k] += np.float32(0.1) * (g - self.m[k])
-            self.v[k] += np.float32(0.001) * (g * g - self.v[k])
-            p[k] -= fix * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-7))
+            np.subtract(g, m, out=x)
+            x *= np.float32(0.1)
+            m += x
+            np.multiply(g, g, out=x)
+            x -= v
+            x *= np.float32(0.001)
+            v += x
+            np.sqrt(v, out=x)
+            x += np.float32(1e-7)
+            np.divide(fix * m, x, out=x)
+            p[k] -= x
 
 
 def train(p: Parameters, layout: Layout, texts: list[np.ndarray], first: int, optimiser: Adam,

@@ -207,5 +207,18 @@ def test_base_scores_equal_brute_force(spark, monkeypatch, hot):
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def test_every_training_document_is_learnt_from(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(lm_scoring, "train_round", lambda texts, *rest: rounds.append(texts.collect()))
+    rows = [(i if i % 4 else None, f"text {i}") for i in range(400)]
+    lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in sum(rounds, [])))) == sorted(
+        map(repr, (r for r in rows if not held(r[0]))))
+    assert all(any(r["doc_id"] is None for r in taught) for taught in rounds)  # they are dealt out too
+    with pytest.raises(ValueError):
+        lm_scoring.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), rounds=1, share=2)
+
+
 def test_scores_of_nothing(spark):
     assert lm_scoring.score_documents(nothing(spark)).count() == 0
