@@ -230,6 +230,50 @@ FROM dim_lwh""")
     return _q("\n UNION ALL ".join(parts))
 
 
+def _profile_wide() -> str:
+    """One row over the whole review fact: totals, every column's metrics, freshness."""
+    row = "concat(" + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in FCT_COLUMNS) + ")"
+    hours = f"date_diff('hour', max(review_date), {_ts(R.FRESHNESS_AS_OF)})"
+    parts = [f"""'fct_reviews' AS model_name, NULL::DOUBLE AS sample_percentage, 'full' AS data_type,
+       {len(FCT_COLUMNS)}::BIGINT AS total_columns, count(*) AS total_rows, count(DISTINCT {row}) AS distinct_rows,
+       round((count(*) - count(DISTINCT {row})) * 100.0 / nullif(count(*), 0), 2)::DOUBLE AS duplicate_rate,
+       min(review_date) AS review_date_earliest, max(review_date) AS review_date_latest,
+       date_diff('day', CAST(min(review_date) AS DATE), CAST(max(review_date) AS DATE)) AS review_date_date_range_days,
+       count(DISTINCT CAST(review_date AS DATE)) AS review_date_distinct_dates,
+       round(count(*) / nullif(count(DISTINCT CAST(review_date AS DATE)), 0), 2) AS review_date_records_per_day_avg,
+       {hours} AS hours_since_update, CASE WHEN {hours} > 24 THEN 'STALE' ELSE 'FRESH' END AS freshness_status,
+       max(review_date) AS latest_record_date"""]
+    for c in FCT_COLUMNS:
+        parts.append(f"""
+       CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}_null_count,
+       count(DISTINCT {c}) AS {c}_distinct_count,
+       round(count({c}) * 100.0 / nullif(count(*), 0), 2)::DOUBLE AS {c}_completeness_rate,
+       round(count(DISTINCT {c}) * 100.0 / nullif(count(*), 0), 2)::DOUBLE AS {c}_uniqueness_rate,
+       CASE WHEN count(DISTINCT {c}) = count(*) THEN 'UNIQUE' WHEN count(DISTINCT {c}) = 1 THEN 'CONSTANT'
+            WHEN count(DISTINCT {c}) <= 10 THEN 'LOW_CARDINALITY'
+            WHEN count(DISTINCT {c}) <= 100 THEN 'MEDIUM_CARDINALITY'
+            ELSE 'HIGH_CARDINALITY' END AS {c}_cardinality_category""")
+    for c in ("review_id", "reviewer_name", "review_text", "review_sentiment"):
+        parts.append(f"""
+       min(length({c})) AS {c}_min_length, max(length({c})) AS {c}_max_length, round(avg(length({c})), 6) AS {c}_avg_length,
+       (SELECT {c} FROM fct WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} ASC LIMIT 1) AS {c}_mode,
+       CAST(sum(CASE WHEN {c} = '' THEN 1 ELSE 0 END) AS BIGINT) AS {c}_empty_count,
+       CAST(sum(CASE WHEN trim({c}) = '' AND {c} <> '' THEN 1 ELSE 0 END) AS BIGINT) AS {c}_whitespace_only_count,
+       CAST(sum(CASE WHEN regexp_full_match({c}, '[0-9]+') THEN 1 ELSE 0 END) AS BIGINT) AS {c}_numeric_pattern_count,
+       CAST(sum(CASE WHEN regexp_full_match({c}, '[A-Za-z\\s]+') THEN 1 ELSE 0 END) AS BIGINT) AS {c}_alpha_pattern_count""")
+    x = "CAST(listing_id AS DOUBLE)"
+    parts.append(f"""
+       min({x}) AS listing_id_min, max({x}) AS listing_id_max, round(avg({x}), 6) AS listing_id_avg,
+       round(stddev_samp({x}), 6) AS listing_id_stddev, round(var_samp({x}), 2) AS listing_id_variance,
+       round(quantile_cont({x}, 0.25), 6) AS listing_id_p25, round(quantile_cont({x}, 0.5), 6) AS listing_id_median,
+       round(quantile_cont({x}, 0.75), 6) AS listing_id_p75,
+       (SELECT count(*) FROM fct WHERE abs({x} - (SELECT avg({x}) FROM fct)) > 3 * (SELECT stddev_samp({x}) FROM fct))
+         AS listing_id_outlier_count""")
+    return _q("SELECT " + ",".join(parts) + "\nFROM fct")
+
+
+FCT_COLUMNS = ["review_id", "listing_id", "review_date", "reviewer_name", "review_text", "review_sentiment"]
+
 LWH_COLUMNS = ["listing_id", "listing_name", "room_type", "minimum_nights", "price", "host_id",
                "host_name", "host_is_superhost", "created_at", "updated_at"]
 
@@ -573,6 +617,7 @@ SELECT 'host_is_superhost' AS column_name,
        CAST(sum(CASE WHEN host_is_superhost = FALSE THEN 1 ELSE 0 END) AS BIGINT) AS false_count
 FROM dim_lwh"""),
     "profile_quality": _profile_quality(LWH_COLUMNS),
+    "profile_wide": _profile_wide(),
     "sample_hash": _q("""
 SELECT * FROM raw_listings WHERE substr(md5(CAST(id AS VARCHAR)), 1, 8) < '80000000'"""),
     "lineage_impact": BASE.replace("WITH raw_hosts", "WITH RECURSIVE raw_hosts", 1) + _LINEAGE,

@@ -345,9 +345,18 @@ def q_profile_quality(spark, sf):
         "cardinality_category")
 
 
+# columns that tell runs and engines apart, not data
+RUN_COLUMNS = ("profile_date", "target_environment", "database_type", "profiled_at", "engine_version",
+               "profile_frequency", "profile_run_id", "profile_hash")
+
+
 def q_profile_wide(spark, sf):
-    return profile.profile_table(_fct(spark, sf), "fct_reviews", sample_pct=50,
-                                 date_col="review_date", as_of=FRESHNESS_AS_OF)
+    """The whole table's wide row, without what depends on the run or the engine."""
+    wide = profile.profile_table(_fct(spark, sf), "fct_reviews", date_col="review_date",
+                                 as_of=FRESHNESS_AS_OF).drop(*RUN_COLUMNS)
+    digits = {f"listing_id_{m}": 6 for m in ("avg", "stddev", "p25", "median", "p75")} | {"listing_id_variance": 2} | {
+        f"{c}_avg_length": 6 for c in ("review_id", "reviewer_name", "review_text", "review_sentiment")}
+    return wide.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in wide.columns])
 
 
 def q_sample_hash(spark, sf):

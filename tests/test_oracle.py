@@ -51,3 +51,12 @@ def test_column_types_match_duckdb(spark, con, key):
     rel = con.sql(O.oracle_sql()[key])
     duck_types = {n: str(t) for n, t in zip(rel.columns, rel.types)}
     assert spark_types == duck_types
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="test data not present")
+def test_wide_profile_covers_the_whole_table(spark, con):
+    row = R.queries()["profile_wide"](spark, SF).first()
+    fact = R.queries()["fct_reviews"](spark, SF)
+    assert "profile_wide" in O.oracle_sql() and row["data_type"] == "full"
+    assert row["total_rows"] == fact.count()
+    assert {f"{c}_{m}" for c in fact.columns for m in ("null_count", "distinct_count")} <= set(row.asDict())
