@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeflow.llm import (line_dedup, lm_scoring, mixing, near_dedup, outliers, packing, personal, quality,
-                           warc, weighted_sampling)
-from lodgeflow.llm.common import table
+from lodgeflow.llm import (binary_records, divergence, line_dedup, lm_scoring, mixing, near_dedup, outliers, packing,
+                           personal, quality, warc, weighted_sampling, whitening)
+from lodgeflow.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,19 @@ def op10_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(table(spark, sf, "documents"))
+
+
+def op12_binary_records(spark: SparkSession, sf: str) -> DataFrame:
+    index = binary_records.encode_documents(table(spark, sf, "documents"), scratch_path(spark, "records"), tokenizer_json())
+    return index.select("doc_id", "start", F.col("n_ids").alias("n_tokens"), "ids_crc32")
+
+
+def op13_whitened_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_warc_revisits": op1_warc_revisits,
@@ -77,6 +90,9 @@ def queries() -> dict[str, Query]:
         "op8_recurrent_scores": op8_recurrent_scores,
         "op9_near_duplicates": op9_near_duplicates,
         "op10_mix_sources": op10_mix_sources,
+        "op11_source_divergence": op11_source_divergence,
+        "op12_binary_records": op12_binary_records,
+        "op13_whitened_embeddings": op13_whitened_embeddings,
     }
 
 
@@ -129,5 +145,42 @@ FROM g
 """
 
 
+# Shares of every kept term by every group, densely.
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         coalesce(text, '') AS text FROM documents),
+t AS (
+  SELECT k, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (
+  SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (
+  SELECT t.lang, t.source, t.term, count(*) AS c FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY lang, source),
+s AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.c, 0) AS c,
+         1 + (1000000000::HUGEINT * (coalesce(c.c, 0) + 5)) // (coalesce(n.n, 0) + 5 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.total + 5)) // (l.n + 5 * l.v) AS q
+  FROM g JOIN l USING (lang) JOIN kept USING (lang)
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+  LEFT JOIN n ON n.lang = g.lang AND n.source = g.source),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM s WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_revisits": OP1_SQL, "op10_mix_sources": OP10_SQL}
+    return {"op1_warc_revisits": OP1_SQL, "op10_mix_sources": OP10_SQL, "op11_source_divergence": OP11_SQL}
