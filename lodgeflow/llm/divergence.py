@@ -8,10 +8,10 @@ language gives each kept term the share p = 1 + floor(10^9 (count + 5) / (N + 5
    (lang, term) are listed in one row (a row lists a source once). Rows below the bound go.
 2. Term report: of two terms the one with no smaller count in the group, no greater count
    in the language and the earlier UTF-8 form comes before the other whatever N and V
-   are. So each partition keeps, per group, the terms that fewer than ``RANKS`` others
+   are. So the tasks keep, per batch and group, the terms that fewer than ``RANKS`` others
    dominate (its skyband; dominance is transitive, so it is enough to count dominators among
-   those kept). Skybands are merged in rounds of ``FAN`` partitions, by the same rule, and
-   only what is left in the end is ranked exactly.
+   those kept). Only skybands are shuffled; they are merged in rounds of ``FAN`` partitions, by
+   the same rule, and what is left in the end is ranked exactly.
 3. Pair report: shares of a source that lacks a term are one number, so the sum over all
    kept terms of |p - q| is V |p0 - q0| plus a correction for terms that either source
    has. Sources are numbered per language and dealt to blocks of ``BLOCK``; a task takes
@@ -34,6 +34,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -173,18 +175,36 @@ def _band(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     return frame.iloc[skyband(frame["count"].to_numpy(), frame["total"].to_numpy(), frame["term"].tolist(), k)]
 
 
+def _own_bands(kept: DataFrame, ranks: int) -> DataFrame:
+    """Skybands of every batch of a partition, before anything is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot = TaskContext.get().partitionId()
+        for batch in batches:
+            own = batch.column("own")
+            row, entry = pc.list_parent_indices(own), own.flatten()
+            points = pa.table({"lang": batch.column("lang").take(row), "source": entry.field("source"),
+                               "term": batch.column("term").take(row), "count": entry.field("count"),
+                               "total": batch.column("total").take(row)}).to_pandas()
+            for _, frame in points.groupby(["lang", "source"], sort=False):
+                yield pa.RecordBatch.from_pandas(_band(frame, ranks).assign(slot=slot), preserve_index=False)
+
+    return kept.select("lang", "term", "total", "own").mapInArrow(run, _POINT)
+
+
 def skybands(kept: DataFrame, ranks: int = RANKS) -> DataFrame:
-    """lang, source, term, count, total of every group's skyband."""
-    points = stored(kept.select("lang", F.explode("own").alias("o"), "term", "total", F.spark_partition_id().alias("slot"))
-                    .select("lang", "o.source", "term", "o.count", "total", F.col("slot").cast("long").alias("slot")))
+    """lang, source, term, count, total of every group's skyband, of which up to ``FAN`` parts
+    are left to the ranking: a group with a third of all terms is in no task alone."""
+    points = stored(_own_bands(kept, ranks))
     slots = (points.agg(F.max("slot")).first()[0] or 0) + 1
     while True:
         slot = F.floor(F.col("slot") / FAN).cast("long")
         points = points.groupBy("lang", "source", slot.alias("next")).applyInPandas(
             lambda frame: _band(frame, ranks).assign(slot=frame["slot"] // FAN), _POINT)
+        slots = -(-slots // FAN)
         if slots <= FAN:
             return points.drop("slot")
-        slots, points = -(-slots // FAN), stored(points)
+        points = stored(points)
 
 
 def rank_terms(bands: DataFrame, groups: DataFrame, ranks: int = RANKS) -> DataFrame:
@@ -201,8 +221,9 @@ def _ranked(rows: DataFrame) -> DataFrame:
 
 
 # --- pair report ----------------------------------------------------------------------
-def _chunk_sums(frame: pd.DataFrame) -> pd.DataFrame:
-    """Corrections of a chunk for one pair of blocks: the sum over its terms of |p - q| - |p0 - q0|."""
+def _chunk_sums(frame: pd.DataFrame, size: int) -> pd.DataFrame:
+    """Corrections of a chunk for one pair of blocks of ``size`` sources: the sum over its
+    terms of |p - q| - |p0 - q0|."""
     heads = frame[frame["term"].isna()]
     rows = frame[frame["term"].notna()]
     sides = []
@@ -211,7 +232,7 @@ def _chunk_sums(frame: pd.DataFrame) -> pd.DataFrame:
         head = heads[heads["side"] == side].iloc[0]
         dense = np.tile(np.asarray(head["p"], np.int64), (len(number), 1))
         for term, numbers, p in rows.loc[rows["side"] == side, ["term", "number", "p"]].itertuples(index=False):
-            dense[number[term], np.asarray(numbers) % BLOCK] = p
+            dense[number[term], np.asarray(numbers) % size] = p
         sides.append((np.asarray(head["number"], np.int64), np.asarray(head["p"], np.int64), dense))
     (a, p0, left), (b, q0, right) = sides
     total = np.zeros((len(a), len(b)), np.int64)
@@ -246,7 +267,9 @@ def pair_sums(kept: DataFrame, groups: DataFrame) -> DataFrame:
                     lambda o: F.struct(F.lit(1).alias("side"), o.alias("x"), F.col("block").alias("y")))))
     dealt = rows.select("lang", "term", "chunk", "number", "p", with_others.alias("w")).select(
         "lang", "term", "chunk", "number", "p", "w.*")
-    return (dealt.groupBy("lang", "chunk", "x", "y").applyInPandas(_chunk_sums, "lang string, a long, b long, part long")
+    size = BLOCK
+    return (dealt.groupBy("lang", "chunk", "x", "y")
+            .applyInPandas(lambda frame: _chunk_sums(frame, size), "lang string, a long, b long, part long")
             .groupBy("lang", "a", "b").agg(F.sum("part").alias("part")))
 
 
