@@ -19,7 +19,6 @@ packed each; a null doc_id is carried through; no documents give no pieces.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -28,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.llm.common import stored, text_of, with_row_number
+from lodgeflow.llm.tokens import encoder
 
 WINDOW = 4096
 GRID = 64
@@ -36,98 +36,22 @@ SHARD_DOCS = 20_000
 #: Slack below this many tokens stays padding instead of taking a crumb.
 LEAST_CUT = 16
 END_ID = 2
-#: Chunks of text a generation of a task's memory holds, and those encoded at a time.
-CACHE = 400_000
-JOINED = 1000
 
 PIECES = "row_id long, start long, length long, sequence_id long, offset long"
 
 
-class _Chunks(dict):
-    """Ids of chunks of text in two generations: when the younger is full it becomes the
-    older, and chunks still in use come back from there."""
-
-    def __init__(self):
-        super().__init__()
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        found = self[chunk] = self.older[chunk]
-        return found
-
-    def unknown(self, chunks: set[str]) -> list[str]:
-        return [c for c in chunks if c not in self and c not in self.older]
-
-    def make_room(self, least: int) -> None:
-        if len(self) + least > CACHE:
-            self.older = dict(self)
-            self.clear()
-
-
-def _encoder(tokenizer_json: str):
-    """text -> ids as little-endian uint32 bytes.
-
-    The tokenizer never merges across ASCII white space, so the ids of a text
-    are those of its chunks in order; a bounded memory of chunks saves encoding
-    the same words again. New chunks are encoded many at a time, joined by blanks,
-    and told apart by their offsets; chunks outside Latin-1, which the
-    tokenizer may recompose, are encoded one by one.
-    """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_str(tokenizer_json)
-    tokenizer.encode_special_tokens = True
-    known = _Chunks()
-
-    def learn(chunks: list[str]) -> None:
-        plain, other = [], []
-        for c in chunks:
-            try:
-                c.encode("latin-1")
-                plain.append(c)
-            except UnicodeEncodeError:
-                other.append(c)
-        for chunk, e in zip(other, tokenizer.encode_batch(other, add_special_tokens=False)):
-            known[chunk] = np.asarray(e.ids, "<u4").tobytes()
-        for at in range(0, len(plain), JOINED):
-            part = plain[at:at + JOINED]
-            e = tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids = np.asarray(e.ids, "<u4").tobytes()
-            ends = np.cumsum([len(c) + 1 for c in part])
-            places = np.fromiter((o[0] for o in e.offsets), np.int64, len(e.ids))
-            cuts = (4 * np.searchsorted(places, ends)).tolist()
-            for chunk, begin, end in zip(part, [0, *cuts], cuts):
-                known[chunk] = ids[begin:end]
-
-    def encode(texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            distinct = set(chunks)
-            known.make_room(len(distinct))
-            if new := known.unknown(distinct):
-                learn(new)
-            yield b"".join(map(known.__getitem__, chunks))
-
-    return encode
-
-
-@lru_cache(maxsize=2)
-def _encoder_once(tokenizer_json: str):
-    return _encoder(tokenizer_json)
-
-
 def tokenize(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFrame:
     """row_id, doc_id, doc_tokens, ids per document row."""
     model = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
-    closing = np.asarray([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        run = _encoder_once(model.value)
+        run = encoder(model.value)
         for batch in batches:
-            ids = [x + closing for x in run(batch.column("text").to_pylist())]
+            ids, begins = run.encode(batch.column("text"), end_id)
+            cells = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [
+                None, pa.py_buffer((4 * begins).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_id"), batch.column("doc_id"),
-                 pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column("row_id"), batch.column("doc_id"), pa.array(np.diff(begins)), cells.cast(pa.binary())],
                 ["row_id", "doc_id", "doc_tokens", "ids"])
 
     rows = with_row_number(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")))

@@ -25,13 +25,6 @@ def plain_ids():
     return lambda text: [*t.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
 
 
-def test_chunks_encode_like_whole_texts(plain_ids):
-    encode = packing._encoder(tokenizer_json())
-    texts = ["", " ", "a\x1cb \x0b c d  é x​y  '’s <|endoftext|> İΣΣ don't\r\nfoo", prose(1, 500), "\n\n"]
-    for text, got in zip(texts, encode(texts)):
-        assert np.frombuffer(got, "<u4").tolist() == plain_ids(text)[:-1]
-
-
 def check_packing(df, got, plain_ids, window):
     want = Counter(tuple(plain_ids(r["text"])) for r in df.collect())
     docs, sequences = defaultdict(list), defaultdict(list)
