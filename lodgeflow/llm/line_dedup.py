@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.llm.common import stored, text_of
@@ -36,6 +36,7 @@ from lodgeflow.llm.shingles import mixed, word_hashes
 
 LEAST_WORDS = 1
 NEAR_WORDS = 5  # one word is at most a fifth of the shorter line
+SALTS = 8
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -231,7 +232,10 @@ def lines_to_drop(docs: DataFrame) -> DataFrame:
     near = stored(_near(lines))
     decided = (groups.select("h", "g", "first", "n").join(near.withColumn("near", F.lit(True)), ["h", "g"], "left")
                .filter("n > 1 OR near").select("h", "g", "first", F.coalesce("near", F.lit(False)).alias("near")))
-    dropped = slim.select("place", "h", "g").join(decided, ["h", "g"]).filter("near OR place <> first")
+    # a line that many documents share is dealt to SALTS tasks
+    salted = decided.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dropped = (slim.select("place", "h", "g", F.pmod(F.xxhash64("place"), F.lit(SALTS)).cast("int").alias("salt"))
+               .join(salted, ["h", "g", "salt"]).filter("near OR place <> first"))
     return dropped.groupBy(F.col("place.doc_id").alias("doc_id"), F.col("place.last").alias("last"),
                            F.col("place.text_hash").alias("text_hash")).agg(
         F.collect_set("place.line").alias("drop"))  # a document's own lines only
@@ -245,10 +249,14 @@ def _cut(docs: DataFrame) -> DataFrame:
                        F.col("doc_id").isNull().alias("k1"), F.xxhash64(text_of()).alias("k2"))
     rows = rows.join(gone, ["k0", "k1", "k2"], "left")
     lines = F.split(F.col("row.text"), "\n")
-    # line numbers that stay, by hash, not by searching the list for each line
-    stay = F.array_sort(F.array_except(F.transform(lines, lambda x, i: i), F.col("drop")))
-    kept = F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+
+    def without(own: Column) -> Column:
+        # line numbers that stay, by hash, not by searching the list for each line
+        stay = F.array_sort(F.array_except(F.transform(own, lambda x, i: i), F.col("drop")))
+        return F.array_join(F.transform(stay, lambda i: F.get(own, i)), "\n")
+
+    # the array of one element binds the lines, which a lambda would split again for each line
+    kept = F.when(F.col("drop").isNull(), F.col("row.text")).otherwise(F.transform(F.array(lines), without)[0])
     return rows.select("row", kept.alias("text"), F.coalesce(F.size(lines), F.lit(0)).alias("n_lines"),
                        F.coalesce(F.size("drop"), F.lit(0)).alias("n_dropped"))
 
