@@ -104,7 +104,7 @@ def _matches(kind: str, text: Column) -> Column:
         lengths = F.transform(found, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
         last = lambda gap: F.regexp_extract(F.right(gap, F.lit(REACH)), rf"(?<!{word})({word}++)[{_SPACE}]*+$", 1)
         first = lambda gap: F.regexp_extract(F.left(gap, F.lit(REACH)), rf"^[{_SPACE}]*+({word}++)", 1)
-        rows = _let(_running(lengths), lambda ends: F.transform(found, lambda m, i: F.struct(
+        rows = _let(_let(lengths, _running), lambda ends: F.transform(found, lambda m, i: F.struct(
             (F.get(ends, i) - F.length(m)).alias("start"), F.get(ends, i).alias("end"), F.lit(number).alias("kind"),
             m.alias("token"), F.lower(last(F.get(gaps, i))).alias("before"),
             F.lower(first(F.get(gaps, i + 1))).alias("after"))))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -179,3 +180,13 @@ def test_no_python_in_native_plans(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
     assert math.isfinite(outliers.consistency(0.75))
+
+
+def test_scan_is_linear_in_matches(spark):
+    """16,000 identifier-like words; a quadratic scan took most of a minute."""
+    text = " ".join(f"id{i:05}x" for i in range(16_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    words = personal.scan(df).select("words").first()["words"]
+    assert time.perf_counter() - start < 20
+    assert [text[w["start"]:w["end"]] for w in words] == text.split(" ")
