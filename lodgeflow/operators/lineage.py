@@ -4,12 +4,22 @@ Input: ``edges(parent, child)`` — "child depends on parent" — and optionally
 ``nodes(name)``. Output: one row per kept node with direct and total
 downstream counts, breadth-first depth and the derived categories.
 
-The transitive closure is an iterative semi-naive join: each round joins the
-newest frontier of ``(src, dst, depth)`` pairs with the edges, removes pairs
-already reached (anti join) and stops when nothing new appears, so cycles end
-and the depth recorded is the first-visit (shortest-path) level. Every round
-is written to the shared checkpoint folder, which cuts the lineage and lets
-the loop survive lost executors. There is no round cap.
+Names become numbers once; everything iterative runs on pairs of longs. Every
+round is written to the shared checkpoint folder, which cuts the lineage and
+lets the loops survive lost executors. There is no round cap.
+
+* ``transitive_closure`` keeps first-visit (shortest-path) depths and doubles
+  the reach per round: pairs at distance exactly 2^k are joined with all known
+  pairs, so a path of n steps takes log2(n) rounds, and only pairs whose end has
+  children of its own are carried on.
+* ``strong_components`` finds the cycles: nodes that cannot lie on one are
+  trimmed from both ends, each remaining node picks one child, pointer doubling
+  finds the cycles of these picks, and each is contracted to one node, with those
+  of its children whose steps lead back to it — until nothing is left. A cycle of n
+  nodes takes log2(n) rounds.
+* ``impact(condense=True)`` reports on the graph of components: a cycle of n
+  nodes is one node there instead of n² pairs. Counts stay exact; the depth counts
+  a cycle as one level.
 """
 
 from __future__ import annotations
@@ -30,8 +40,7 @@ DEFAULT_EXCLUDE = ("^profile.*", ".*lineage$")
 def keep_nodes(nodes: DataFrame, exclude_patterns: Sequence[str] = DEFAULT_EXCLUDE,
                name: str = "name") -> DataFrame:
     """Drop names matching any pattern at their start (``re.match``)."""
-    return (nodes.filter(~_excluded(F.col(name), exclude_patterns))
-            .select(F.col(name).alias("name")).distinct())
+    return nodes.filter(~_excluded(F.col(name), exclude_patterns)).select(F.col(name).alias("name"))
 
 
 def _excluded(c: Column, patterns: Sequence[str]) -> Column:
@@ -41,49 +50,141 @@ def _excluded(c: Column, patterns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [c.rlike("^(?:" + p.removeprefix("^") + ")") for p in patterns])
 
 
-def kept_edges(edges: DataFrame, kept: DataFrame) -> DataFrame:
-    """Edges whose both ends are kept nodes, de-duplicated."""
-    k = kept.select(F.col("name").alias("__k"))
-    return (edges.select("parent", "child").distinct()
-            .join(k, F.col("parent") == F.col("__k"), "left_semi")
-            .join(k, F.col("child") == F.col("__k"), "left_semi"))
+def number_nodes(names: DataFrame) -> DataFrame:
+    """``(name, id)`` per distinct name, stored."""
+    return reliable_checkpoint(names.select("name").distinct().withColumn("id", F.monotonically_increasing_id()))
 
 
-def prepare_edges(edges: DataFrame) -> DataFrame:
-    """Distinct edges, checkpointed once (every round and the counts reuse them).
+def kept_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Distinct numbered edges ``(u, v)`` whose both ends are among ``nodes(name, id)``,
+    stored. The joins that number the ends drop the other edges; neither side is
+    pre-partitioned, so AQE can split a hub that holds a third of all edges."""
+    end = lambda name, id_: nodes.select(F.col("name").alias(name), F.col("id").alias(id_))
+    return reliable_checkpoint(edges.select("parent", "child").join(end("parent", "u"), "parent")
+                               .join(end("child", "v"), "child").select("u", "v").distinct())
 
-    They are deliberately *not* pre-partitioned on ``parent``: a join side
-    that is not shuffled cannot be split by AQE, and a hub node holding a
-    third of all edges would then land in one task. Each round shuffles both
-    sides instead, so skewed parents are split at runtime.
-    """
-    return reliable_checkpoint(edges.select("parent", "child").distinct())
 
+def transitive_closure(links: DataFrame) -> DataFrame:
+    """G1c/G1d: ``(src, dst, depth)`` for every reachable pair of the distinct edges
+    ``(u, v)`` with its first-visit depth (a node on a cycle reaches itself).
 
-def transitive_closure(edges: DataFrame, prepared: bool = False) -> DataFrame:
-    """G1c/G1d: every (src, dst) reachable, with its first-visit depth.
+    After round k all pairs up to distance 2^(k+1) are known: a farther pair has a
+    middle at distance exactly 2^k from its source, and what lies beyond the middle is
+    known. Each round writes its new pairs once. ``open`` tells whether the end has
+    children: others cannot be a middle, so a graph whose paths have ended costs no
+    further round."""
+    parents = links.select(F.col("u").alias("v"), F.lit(True).alias("open")).distinct()
+    found = [reliable_checkpoint(links.join(parents, "v", "left").select(
+        F.col("u").alias("src"), F.col("v").alias("dst"), F.lit(1).alias("depth"),
+        F.coalesce("open", F.lit(False)).alias("open")))]
+    reach = 1
+    while not found[-1].filter(F.col("open") & (F.col("depth") == reach)).isEmpty():
+        known = reduce(DataFrame.unionByName, found)
+        # the pairs at distance ``reach`` are all in the newest part
+        near = found[-1].filter(F.col("open") & (F.col("depth") == reach)).select("src", F.col("dst").alias("middle"))
+        beyond = known.select(F.col("src").alias("middle"), "dst", "depth", "open")
+        step = near.join(beyond, "middle").groupBy("src", "dst").agg(
+            (F.min("depth") + reach).alias("depth"), F.first("open").alias("open"))
+        found.append(reliable_checkpoint(step.join(known.select("src", "dst"), ["src", "dst"], "left_anti")))
+        reach *= 2
+    return reduce(DataFrame.unionByName, found).drop("open")
 
-    Each round joins the newest frontier with the checkpointed edges. Each
-    BFS level is checkpointed once and the result is the union of the levels
-    (nothing already written is rewritten).
-    """
-    e = edges if prepared else prepare_edges(edges)
-    levels = [e.select(F.col("parent").alias("src"), F.col("child").alias("dst"),
-                       F.lit(1).alias("depth"))]
-    frontier = levels[0]
-    depth = 1
+
+def _trimmed(links: DataFrame) -> DataFrame:
+    """Edges left when nodes without a parent or without a child are taken away, again
+    and again: what is left lies on cycles or between them."""
+    count = links.count()
+    while count:
+        has_child = links.select(F.col("u").alias("v")).distinct()
+        has_parent = links.select(F.col("v").alias("u")).distinct()
+        links = reliable_checkpoint(links.join(has_child, "v", "left_semi").join(has_parent, "u", "left_semi")
+                                    .select("u", "v"))
+        before, count = count, links.count()
+        if count == before:
+            break
+    return links
+
+
+def _picked_cycles(links: DataFrame, turn: int) -> DataFrame:
+    """``(node, label)`` of nodes found to share a cycle; label: one of its nodes.
+
+    Each node follows one child of its own (picked by a hash that changes with the turn);
+    pointer doubling takes everyone onto a cycle of these picks. A child of a cycle whose
+    own steps lead back to that cycle lies on a cycle with it as well."""
+    picks = links.groupBy(F.col("u").alias("node")).agg(F.min_by("v", F.xxhash64("v", F.lit(turn))).alias("next"))
+    jumps = reliable_checkpoint(picks.select("node", "next", F.col("next").alias("least"), F.lit(True).alias("changed")))
+    images = None
     while True:
-        step = (frontier.alias("f").join(e.alias("e"), F.col("f.dst") == F.col("e.parent"))
-                .select(F.col("f.src").alias("src"), F.col("e.child").alias("dst")).distinct())
-        seen = reduce(DataFrame.unionByName, [lv.select("src", "dst") for lv in levels])
-        new = reliable_checkpoint(
-            step.join(seen, ["src", "dst"], "left_anti")
-            .select("src", "dst", F.lit(depth + 1).alias("depth")))
-        if new.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
-        levels.append(new)
-        frontier = new
-        depth += 1
+        ahead = jumps.select(F.col("node").alias("next"), F.col("next").alias("then"), F.col("least").alias("later"))
+        jumps = reliable_checkpoint(jumps.join(ahead, "next").select(
+            "node", F.col("then").alias("next"), F.least("least", "later").alias("least"),
+            (F.col("later") < F.col("least")).alias("changed")))
+        now = jumps.agg(F.count_distinct("next").alias("images"), F.count_if("changed").alias("changes")).first()
+        # where 2^k steps lead no longer shrinks: it is the cycles; no least node changes:
+        # each has seen all that lies before it
+        if now["changes"] == 0 and now["images"] == images:
+            break
+        images = now["images"]
+    on_cycle = jumps.join(jumps.select(F.col("next").alias("node")).distinct(), "node", "left_semi").select(
+        "node", F.col("least").alias("label"))
+    basin = jumps.select("node", "next").join(on_cycle.withColumnRenamed("node", "next"), "next").select(
+        F.col("node").alias("v"), "label")
+    beside = (links.join(on_cycle.select(F.col("node").alias("u"), F.col("label").alias("from")), "u")
+              .join(basin, "v").filter("label = from").select(F.col("v").alias("node"), "label"))
+    return on_cycle.unionByName(beside).distinct()
+
+
+def strong_components(links: DataFrame) -> DataFrame:
+    """``(node, component)`` of the nodes that share a cycle with another node; the
+    component is a node of it. Edges ``(u, v)``."""
+    rest = reliable_checkpoint(links.filter("u <> v").select("u", "v"))
+    of = None
+    turn = 0
+    while True:
+        rest = _trimmed(rest)
+        if rest.isEmpty():
+            break
+        cycles = reliable_checkpoint(_picked_cycles(rest, turn))
+        rest = reliable_checkpoint(_relabelled(rest, cycles.select("node", F.col("label").alias("component")))
+                                   .filter("u <> v").distinct())
+        if of is None:
+            of = cycles.select("node", F.col("label").alias("component"))
+        else:  # components found before may be nodes of the new cycles
+            label = cycles.select(F.col("node").alias("component"), "label")
+            older = of.join(label, "component", "left").select(
+                "node", F.coalesce("label", "component").alias("component"))
+            newer = cycles.join(of.select("node"), "node", "left_anti").select("node", F.col("label").alias("component"))
+            of = reliable_checkpoint(older.unionByName(newer))
+        turn += 1
+    if of is None:
+        return links.select(F.col("u").alias("node"), F.col("v").alias("component")).limit(0)
+    return of
+
+
+def _relabelled(links: DataFrame, of: DataFrame) -> DataFrame:
+    """Edges between components (nodes outside them stand for themselves)."""
+    for end in ("u", "v"):
+        own = of.select(F.col("node").alias(end), "component")
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    return links.select("u", "v")
+
+
+def _condensed_reach(links: DataFrame) -> DataFrame:
+    """``(id, total, depth)`` of nodes with descendants, by the graph of components."""
+    of = reliable_checkpoint(strong_components(links))
+    sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    between = reliable_checkpoint(_relabelled(links, of).filter("u <> v").distinct())
+    pairs = transitive_closure(between).join(
+        sizes.withColumnRenamed("component", "dst"), "dst", "left").select(
+        "src", F.coalesce("size", F.lit(1)).alias("size"), "depth")
+    # a component's own nodes, and a node with an edge to itself, are reached in one step
+    alone = links.filter("u = v").select(F.col("u").alias("component")).join(
+        of.select(F.col("node").alias("component")), "component", "left_anti").withColumn("size", F.lit(1).cast("long"))
+    own = sizes.unionByName(alone).select(F.col("component").alias("src"), "size", F.lit(1).alias("depth"))
+    reach = pairs.unionByName(own).groupBy("src").agg(F.sum("size").alias("total"), F.max("depth").alias("depth"))
+    ids = links.select(F.col("u").alias("id")).distinct()
+    return (ids.join(of.withColumnRenamed("node", "id"), "id", "left")
+            .withColumn("src", F.coalesce("component", "id")).join(reach, "src").select("id", "total", "depth"))
 
 
 # The impact classification. Counts are non-negative integers;
@@ -127,38 +228,42 @@ def _description(total: Column, depth: Column) -> Column:
 
 def impact(edges: DataFrame, nodes: DataFrame | None = None,
            exclude_patterns: Sequence[str] = DEFAULT_EXCLUDE, with_lists: bool = False,
-           as_of=None) -> DataFrame:
+           as_of=None, condense: bool = False) -> DataFrame:
     """One row per kept node with its downstream impact metrics.
 
     ``with_lists`` adds comma lists of direct and all downstream names,
     sorted. A list gathers a node's whole downstream set into one row, so
     use it for model-sized graphs only; the counts are always distributed.
+    ``condense`` works on the graph of strong components: for graphs with long
+    cycles, whose pairs grow with the square of their length. Counts are the same;
+    the depth then takes a cycle as one level.
     """
-    if nodes is None:
-        # every endpoint is a node: only the name patterns can drop an edge
-        ok = lambda c: ~_excluded(F.col(c), exclude_patterns)
-        e = prepare_edges(edges.select("parent", "child").filter(ok("parent") & ok("child")))
-        kept = (e.select(F.col("parent").alias("name"))
-                .unionByName(e.select(F.col("child").alias("name"))).distinct())
+    if with_lists and condense:
+        raise ValueError("lists name every pair, which condensing spares")
+    if nodes is None:  # every endpoint is a node
+        nodes = edges.select(F.col("parent").alias("name")).unionByName(edges.select(F.col("child").alias("name")))
+        nodes = nodes.filter("name IS NOT NULL")
+    kept = number_nodes(keep_nodes(nodes, exclude_patterns))
+    links = kept_edges(edges, kept)
+    direct = links.groupBy(F.col("u").alias("id")).agg(F.count(F.lit(1)).alias("direct"))
+    if condense:
+        stats = _condensed_reach(links).join(direct, "id")
     else:
-        kept = keep_nodes(nodes, exclude_patterns)
-        e = prepare_edges(kept_edges(edges, kept))
-    closure = transitive_closure(e, prepared=True)
-    # Level 1 of the closure is the (distinct) edge set, so the direct and the
-    # total counts come out of one aggregation over the closure.
-    first = F.col("depth") == 1
-    stats = closure.groupBy(F.col("src").alias("name")).agg(
-        F.count(F.when(first, F.lit(1))).alias("direct_downstream_count"),
-        F.count(F.lit(1)).alias("total_downstream_count"),
-        F.max("depth").alias("max_downstream_depth"),
-        *([F.array_join(F.sort_array(F.collect_list(F.when(first, F.col("dst")))), ", ")
-           .alias("direct_downstream_models"),
-           F.array_join(F.sort_array(F.collect_list("dst")), ", ")
-           .alias("all_downstream_models")] if with_lists else []))
-    j = kept.join(stats, "name", "left")
-    d = F.coalesce(F.col("direct_downstream_count"), F.lit(0)).cast("bigint")
-    t = F.coalesce(F.col("total_downstream_count"), F.lit(0)).cast("bigint")
-    depth = F.coalesce(F.col("max_downstream_depth"), F.lit(0)).cast("int")
+        closure = transitive_closure(links)
+        lists = []
+        if with_lists:
+            closure = closure.join(kept.select(F.col("id").alias("dst"), F.col("name").alias("dst_name")), "dst")
+            lists = [F.array_join(F.sort_array(F.collect_list(F.when(F.col("depth") == 1, F.col("dst_name")))), ", ")
+                     .alias("direct_downstream_models"),
+                     F.array_join(F.sort_array(F.collect_list("dst_name")), ", ").alias("all_downstream_models")]
+        # level 1 of the closure is the edge set: direct and total counts from one aggregation
+        stats = closure.groupBy(F.col("src").alias("id")).agg(
+            F.count(F.when(F.col("depth") == 1, F.lit(1))).alias("direct"), F.count(F.lit(1)).alias("total"),
+            F.max("depth").alias("depth"), *lists)
+    j = kept.join(stats, "id", "left")
+    d = F.coalesce(F.col("direct"), F.lit(0)).cast("bigint")
+    t = F.coalesce(F.col("total"), F.lit(0)).cast("bigint")
+    depth = F.coalesce(F.col("depth"), F.lit(0)).cast("int")
     lists = ([F.coalesce(F.col("direct_downstream_models"), F.lit("")).alias("direct_downstream_models"),
               F.coalesce(F.col("all_downstream_models"), F.lit("")).alias("all_downstream_models")]
              if with_lists else [])
