@@ -1,47 +1,38 @@
 """Table profiler (PR1a–PR1m) and sampling.
 
-Plan. One scan of the table: every row is unpivoted to
-``(column_name, value_text)`` and grouped to ``(column_name, value_text, cnt)``.
-The partial aggregate combines hot values map-side before the shuffle, and
-every metric — NULL and distinct counts, mode, string lengths and patterns,
-earliest/latest, true/false counts, numeric moments, exact percentiles
-(from running counts over the sorted values), 3σ outliers — is computed from that
-compact table instead of the raw rows. Two pseudo-columns ride along:
-``<col>#day`` (the calendar day of a date column, for distinct days) and
-``#row`` (an md5 of the whole row text, for whole-row distinct counts; the
-hash keeps the shuffle key narrow).
+Nothing is turned into text and no value is shuffled for what an aggregate can
+say where the rows lie:
+
+* one native aggregate over the table gives counts, bounds in the columns' own
+  types, lengths, patterns, sums, and frequent-items sketches: a row per task;
+* distinct counts shuffle 128-bit hashes of fixed width, each value once per task;
+* modes are recounted among the sketches' candidates and proven, or counted by
+  hash where no value stands out (``operators.frequent``);
+* percentiles refine histograms in place (``operators.quantiles``), per type, so
+  whole numbers beyond 2^53 and decimals stay exact;
+* outliers take one more aggregate with the mean and deviation known.
 
 ``profile_frame`` is the long per-column result; ``profile_table`` pivots it
 to the reference's one-wide-row-per-run shape with one more aggregate over
 that small frame, and ``merge_profile_history`` appends runs incrementally
-(W7 → W6 → W4).
+(W7 → W6 → W4). ``operators.profile_store`` keeps mergeable profiles per partition.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgeflow.functions.columns import (as_timestamp, full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
+from lodgeflow.operators.frequent import exact_modes, read_sketches, sketch_aggs, value_key
 from lodgeflow.operators.load import skip_existing, write_table
-from lodgeflow.operators.quantiles import pick_aggs, rank_ranges
+from lodgeflow.operators.quantiles import exact_percentiles
 from lodgeflow.session import path_exists, reliable_checkpoint
 
-DAY_SUFFIX = "#day"
-# Columns each family-specific aggregate adds (NULL when the table has no such column).
-_FAMILY_OUTPUTS = {
-    "string": [("mode", "string"), ("min_length", "int"), ("max_length", "int"),
-               ("avg_length", "double"), ("empty_count", "bigint"),
-               ("whitespace_only_count", "bigint"), ("numeric_pattern_count", "bigint"),
-               ("alpha_pattern_count", "bigint")],
-    "temporal": [("min_text", "string"), ("max_text", "string")],
-    "boolean": [("true_count", "bigint"), ("false_count", "bigint")],
-}
 ROW_KEY = "#row"
 # The profiler's text patterns and thresholds.
 NUMERIC_PATTERN = "^[0-9]+$"
@@ -99,212 +90,170 @@ def sample_rows(df: DataFrame, pct: float, seed: int = 42, method: str = "bernou
     raise ValueError(f"unknown sampling method {method!r}")
 
 
-# --- the single pass: value counts --------------------------------------------------
-def value_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool = True) -> DataFrame:
-    """``(column_name, v, cnt)`` for every profiled column, NULL as ``v IS NULL``.
-
-    Temporal columns add a ``<col>#day`` entry (their calendar day) and, with
-    ``row_hash``, a ``#row`` entry carries the md5 of the whole row text, so
-    whole-row distinct counts come out of the same pass.
-    """
-    entries = []
+# --- one aggregate over the table ---------------------------------------------------
+def column_aggs(i: int, name: str, family: str) -> list[Column]:
+    """What one pass can say about column ``i``: fixed-width partial results."""
+    c = _q(name)
+    said = {"filled": F.count(c)}
+    if family == "string":
+        said |= {"min_length": F.min(F.length(c)), "max_length": F.max(F.length(c)),
+                 "length": F.sum(F.length(c).cast("bigint")),
+                 "empty": F.count_if(c == ""), "blank": F.count_if((F.trim(c) == "") & (c != "")),
+                 "digits": F.count_if(full_match(c, NUMERIC_PATTERN)), "letters": F.count_if(full_match(c, ALPHA_PATTERN))}
+    elif family == "boolean":
+        said |= {"true": F.count_if(c), "false": F.count_if(~c)}
+    elif family in ("numeric", "temporal"):
+        said |= {"min": F.min(c).cast("string"), "max": F.max(c).cast("string")}
+    return [x.alias(f"{k}{i}") for k, x in said.items()]
+
+
+def _moment_aggs(i: int, name: str, kind: T.DataType) -> list[Column]:
+    """Mean (of an exact sum, but for floating point) and sample variance."""
+    c = _q(name)
+    whole = c.cast("decimal(20,0)") if isinstance(kind, T.IntegralType) else c
+    mean = F.avg(c) if isinstance(kind, (T.DoubleType, T.FloatType)) else F.sum(whole).cast("double") / F.count(c)
+    return [mean.alias(f"avg{i}"), F.var_samp(c.cast("double")).alias(f"variance{i}")]
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool) -> dict[str, int]:
+    """Distinct non-NULL values per column, distinct days per date column (``(name, "day")``),
+    and distinct rows (``ROW_KEY``), by 128-bit hashes."""
+    keys: list[tuple] = []
+    cells = []
     for name, fam in cols:
-        entries.append(F.struct(F.lit(name).alias("column_name"),
-                                _q(name).cast("string").alias("v")))
-        if fam == "temporal":
-            entries.append(F.struct(F.lit(name + DAY_SUFFIX).alias("column_name"),
-                                    F.to_date(_q(name)).cast("string").alias("v")))
+        c = _q(name)
+        for key, value in ((name, c.cast("string") if fam == "other" else c),
+                           *([((name, "day"), F.to_date(c))] if fam == "temporal" else [])):
+            cells.append(F.when(c.isNotNull(), F.struct(F.lit(len(keys)).alias("k"), *_halves(value))))
+            keys.append(key)
     if row_hash:
-        entries.append(F.struct(F.lit(ROW_KEY).alias("column_name"),
-                                F.md5(row_text([_q(n) for n, _ in cols])).alias("v")))
-    long = df.select(F.explode(F.array(*entries)).alias("e")).select("e.column_name", "e.v")
-    return long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
+        cells.append(F.struct(F.lit(len(keys)).alias("k"), *_halves(row_text([_q(n) for n, _ in cols]))))
+        keys.append(ROW_KEY)
+    seen = df.select(F.explode(F.array(*cells)).alias("e")).filter("e IS NOT NULL").select("e.*").distinct()
+    counts = {r["k"]: r["n"] for r in seen.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per column
+    return {key: counts.get(k, 0) for k, key in enumerate(keys)}
+
+
+def _halves(value: Column) -> list[Column]:
+    return [h.alias(n) for h, n in zip(value_key(value), "ab")]
+
+
+def _percentiles(df: DataFrame, numeric: list[str]) -> dict[str, tuple]:
+    """Exact percentiles per numeric column; columns of one type go together."""
+    kinds: dict[str, list[str]] = {}
+    for n in numeric:
+        t = df.schema[n].dataType
+        kinds.setdefault("bigint" if isinstance(t, T.IntegralType) else
+                         "double" if isinstance(t, (T.DoubleType, T.FloatType)) else t.simpleString(), []).append(n)
+    out = {}
+    for kind, names in kinds.items():
+        cells = F.array(*[F.struct(F.lit(n).alias("c"), _q(n).cast(kind).alias("x")) for n in names])
+        values = df.select(F.explode(cells).alias("e")).select("e.c", "e.x")
+        for r in exact_percentiles(values, "c", "x", None, PERCENTILES, stored=True).collect():  # one per column
+            out[r["c"]] = (r["q0"], r["q1"], r["q2"])
+    return out
 
 
-def _numeric_stats(vc: DataFrame, numeric: list[str]) -> tuple[DataFrame, list[DataFrame]]:
-    """Moments, exact percentiles and 3σ outliers of every numeric column.
-
-    The distinct ``(x, cnt)`` values get global rank ranges from a parallel
-    range sort (``quantiles.rank_ranges``); one aggregate then picks the
-    percentiles and sums ``x − shift`` and its square — with the shift at the
-    median-holding partition, ``(mean − shift)² ≤ variance`` and the one-pass
-    variance keeps full precision. Outliers (``|x − mean| > 3σ``) take one
-    more parallel pass. Returns the stats and the persisted frames to release.
-    """
-    x, cnt = F.col("x"), F.col("cnt")
-    nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
-             .select("column_name", F.col("v").cast("double").alias("x"), "cnt")
-    ranked, parts = rank_ranges(nums, "column_name", "x", "cnt")
-    picks, interpolated = pick_aggs("x", "cnt", PERCENTILES)
-    d = x - F.col("shift")
-    n = F.col("n")
-    variance = (F.col("s2") - F.col("s1") * F.col("s1") / n) / F.nullif(n - 1, F.lit(0))
-    variance = F.when(variance < 0, F.lit(0.0)).otherwise(variance)   # rounding noise
-    moments = ranked.groupBy("column_name").agg(
-        F.min(x).alias("min"), F.max(x).alias("max"), F.first("n").alias("n"),
-        F.first("shift").alias("shift"), F.sum(cnt * d).alias("s1"),
-        F.sum(cnt * d * d).alias("s2"), *picks).select(
-        "column_name", "min", "max", (F.col("shift") + F.col("s1") / n).alias("avg"),
-        variance.alias("variance"), F.sqrt(variance).alias("stddev"),
-        *[q.alias(a) for q, a in zip(interpolated, ("p25", "median", "p75"))])
-    moments = moments.persist(StorageLevel.MEMORY_AND_DISK)
-    # one row per profiled column: bounded by the schema width
-    outliers = (parts.join(F.broadcast(moments.select(F.col("column_name").alias("g"), "avg", "stddev")), "g")
-                .groupBy(F.col("g").alias("column_name"))
-                .agg(F.sum(F.when(F.abs(F.col("x") - F.col("avg")) > OUTLIER_SIGMAS * F.col("stddev"),
-                                  F.col("w")).otherwise(F.lit(0))).cast("bigint").alias("outlier_count")))
-    stats = moments.join(outliers, "column_name").select(
-        "column_name", "min", "max", "avg", "stddev", "variance", "p25", "median", "p75",
-        "outlier_count")
-    return stats, [moments]
-
-
-def _numeric_stats_approx(df: DataFrame, vc: DataFrame, numeric: list[str],
-                          accuracy: int = 10_000) -> tuple[DataFrame, list[DataFrame]]:
-    """Like ``_numeric_stats`` but with sketch percentiles: one narrow extra
-    scan of the numeric columns (``percentile_approx``, bounded memory, rank
-    error ≤ 1/accuracy) instead of sorting every distinct value. Moments and
-    outliers stay exact (sums over the value counts, shifted by the
-    approximate median)."""
-    x, cnt = F.col("x"), F.col("cnt")
-    probs = [float(p) for p in PERCENTILES]
-    sketch = df.agg(*[F.percentile_approx(_q(c).cast("double"), probs, accuracy).alias(f"q{i}")
-                      for i, c in enumerate(numeric)])
-    q = sketch.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"q{i}").alias("q"))
-        for i, c in enumerate(numeric)])).alias("e")).select("e.column_name", "e.q")
-    nums = vc.filter(F.col("column_name").isin(*numeric) & F.col("v").isNotNull()) \
-             .select("column_name", F.col("v").cast("double").alias("x"), "cnt")
-    # one row per numeric column: bounded by the schema width
-    shifted = nums.join(F.broadcast(q), "column_name")
-    d = x - F.col("q")[1]
-    n = F.col("n")
-    variance = (F.col("s2") - F.col("s1") * F.col("s1") / n) / F.nullif(n - 1, F.lit(0))
-    variance = F.when(variance < 0, F.lit(0.0)).otherwise(variance)
-    moments = shifted.groupBy("column_name").agg(
-        F.min(x).alias("min"), F.max(x).alias("max"), F.sum(cnt).alias("n"),
-        F.first(F.col("q")).alias("q"), F.sum(cnt * d).alias("s1"), F.sum(cnt * d * d).alias("s2")
-    ).select("column_name", "min", "max", (F.col("q")[1] + F.col("s1") / n).alias("avg"),
-             variance.alias("variance"), F.sqrt(variance).alias("stddev"),
-             F.col("q")[0].alias("p25"), F.col("q")[1].alias("median"), F.col("q")[2].alias("p75"))
-    outliers = (nums.join(F.broadcast(moments.select("column_name", "avg", "stddev")), "column_name")
-                .groupBy("column_name")
-                .agg(F.sum(F.when(F.abs(x - F.col("avg")) > OUTLIER_SIGMAS * F.col("stddev"), cnt)
-                           .otherwise(F.lit(0))).cast("bigint").alias("outlier_count")))
-    return moments.join(outliers, "column_name").select(
-        "column_name", "min", "max", "avg", "stddev", "variance", "p25", "median", "p75",
-        "outlier_count"), []
+# One row per column; what does not apply to a family is NULL.
+_FRAME = ("column_name string, family string, total_rows bigint, null_count bigint, distinct_count bigint, "
+          "mode string, min_length int, max_length int, avg_length double, empty_count bigint, "
+          "whitespace_only_count bigint, numeric_pattern_count bigint, alpha_pattern_count bigint, "
+          "min_exact string, max_exact string, avg double, stddev double, variance double, p25 double, median double, "
+          "p75 double, outlier_count bigint, distinct_dates bigint, true_count bigint, false_count bigint")
 
 
 def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = True,
                   approx_percentiles: bool = False, families: Sequence[str] | None = None,
-                  row_hash: bool = True) -> DataFrame:
+                  row_hash: bool = True, stored: bool = False) -> DataFrame:
     """Every metric of every column (plus, with ``row_hash``, the ``#row``
-    pseudo-column), one row per column, computed from one scan of ``df`` that
-    reads only the columns of the wanted ``families`` (default: all)."""
+    pseudo-column), one row per column; only the columns of the wanted
+    ``families`` (default: all) are read.
+
+    Eager. The columns are read a few times, so they are stored first unless
+    ``stored`` says that ``df`` is a table that is cheap to read again. The
+    driver sees one row per column.
+    """
     cols = [(n, f) for n, f in column_families(df, exclude) if families is None or f in families]
     if not cols:
         raise ValueError(f"the table has no column of the families {families!r}")
-    # The only scan of ``df``. The value counts are read by several
-    # aggregates below, so they are staged on local disk (streamed back, never
-    # re-cached whole on the heap; lost blocks are recomputed from the scan)
-    # while the small per-column frame is computed and checkpointed; then the
-    # staged copy is released. Eager: this call runs the profile.
-    vc = value_counts(df, cols, row_hash).persist(StorageLevel.DISK_ONLY)
-    held = [vc]
-    try:
-        approx_source = df if approx_percentiles else None
-        return reliable_checkpoint(_frame_from_counts(vc, cols, held, numeric, approx_source))
-    finally:
-        for h in held:
-            h.unpersist(blocking=False)
-
-
-def _frame_from_counts(vc: DataFrame, cols: list[tuple[str, str]],
-                       held: list[DataFrame], with_numeric: bool = True,
-                       approx_source: DataFrame | None = None) -> DataFrame:
-    v, cnt = F.col("v"), F.col("cnt")
-    nn = v.isNotNull()
-    names = lambda fam: [n for n, f in cols if f == fam]
-    # Counts every column needs: fixed-width buffers, hash aggregation.
-    stats = vc.groupBy("column_name").agg(
-        F.sum(cnt).alias("total_rows"),
-        F.coalesce(F.sum(F.when(~nn, cnt)), F.lit(0)).alias("null_count"),
-        F.count(v).alias("distinct_count"))
-    # Family-specific metrics run only over that family's value counts, so
-    # unique ids and row hashes never go through string or regex work.
-    family_aggs = {
-        "string": [
-            F.min_by(v, F.when(nn, F.struct((-cnt).alias("c"), v.alias("v")))).alias("mode"),
-            F.min(F.when(nn, F.length(v))).alias("min_length"),
-            F.max(F.when(nn, F.length(v))).alias("max_length"),
-            (F.sum(F.when(nn, F.length(v) * cnt)) / F.sum(F.when(nn, cnt))).alias("avg_length"),
-            F.sum(F.when(v == "", cnt).otherwise(0)).alias("empty_count"),
-            F.sum(F.when((F.trim(v) == "") & (v != ""), cnt).otherwise(0))
-            .alias("whitespace_only_count"),
-            F.sum(F.when(full_match(v, NUMERIC_PATTERN), cnt).otherwise(0))
-            .alias("numeric_pattern_count"),
-            F.sum(F.when(full_match(v, ALPHA_PATTERN), cnt).otherwise(0))
-            .alias("alpha_pattern_count")],
-        # text of dates/timestamps orders like the values (4-digit years)
-        "temporal": [F.min(v).alias("min_text"), F.max(v).alias("max_text")],
-        "boolean": [F.sum(F.when(v == "true", cnt).otherwise(0)).alias("true_count"),
-                    F.sum(F.when(v == "false", cnt).otherwise(0)).alias("false_count")],
-    }
-    for fam, aggs in family_aggs.items():
-        members = names(fam)
-        if members:
-            part = vc.filter(F.col("column_name").isin(*members)).groupBy("column_name").agg(*aggs)
-            stats = stats.join(part, "column_name", "left")
-        else:
-            stats = stats.select("*", *[F.lit(None).cast(t).alias(n)
-                                        for n, t in _FAMILY_OUTPUTS[fam]])
-    days = (stats.filter(F.col("column_name").endswith(DAY_SUFFIX))
-            .select(F.expr(f"substring(column_name, 1, length(column_name) - {len(DAY_SUFFIX)})")
-                    .alias("column_name"), F.col("distinct_count").alias("distinct_dates")))
-    pairs = [x for n, f in cols for x in (F.lit(n), F.lit(f))] + [F.lit(ROW_KEY), F.lit("row")]
-    family = F.create_map(*pairs)[F.col("column_name")]
-    out = (stats.filter(~F.col("column_name").endswith(DAY_SUFFIX))
-           .join(days, "column_name", "left").select("*", family.alias("family")))
-    numeric = [n for n, f in cols if f == "numeric"] if with_numeric else []
-    if numeric:
-        stats, persisted = (_numeric_stats_approx(approx_source, vc, numeric)
-                            if approx_source is not None else _numeric_stats(vc, numeric))
-        held.extend(persisted)
-        out = out.join(stats, "column_name", "left")
-    else:
-        for c in ("min", "max", "avg", "stddev", "variance", "p25", "median", "p75"):
-            out = out.withColumn(c, F.lit(None).cast("double"))
-        out = out.withColumn("outlier_count", F.lit(None).cast("bigint"))
+    df = df.select(*[_q(n) for n, _ in cols])
+    if not stored:
+        df = reliable_checkpoint(df)
+    kinds = {n: df.schema[n].dataType for n, _ in cols}
+    strings = [n for n, f in cols if f == "string"]
+    numbers = [n for n, f in cols if f == "numeric"] if numeric else []
+    probs = [float(p) for p in PERCENTILES]
+    aggs = [a for i, (n, f) in enumerate(cols) for a in column_aggs(i, n, f)]
+    aggs += [a for i, (n, _) in enumerate(cols) if n in numbers for a in _moment_aggs(i, n, kinds[n])]
+    if approx_percentiles:
+        aggs += [F.percentile_approx(_q(n).cast("double"), probs, 10_000).alias(f"q{i}")
+                 for i, (n, _) in enumerate(cols) if n in numbers]
+    said = df.agg(F.count(F.lit(1)).alias("rows"), *aggs, *sketch_aggs(strings)).first()
+    rows = said["rows"]
+    distinct = distinct_counts(df, cols, row_hash)
+    modes = ({r["column_name"]: r["mode"] for r in
+              exact_modes(df, strings, named=read_sketches(said, strings), rows=rows).collect()} if strings and rows else {})
+    found = {} if approx_percentiles or not numbers else _percentiles(df, numbers)
+    at = {n: i for i, (n, _) in enumerate(cols)}
+
+    def outliers(n: str) -> Column:
+        mean, variance = said[f"avg{at[n]}"], said[f"variance{at[n]}"]
+        if variance is None:  # fewer than two values
+            return F.lit(0).cast("bigint")
+        return F.count_if(F.abs(_q(n).cast("double") - F.lit(mean)) > F.lit(OUTLIER_SIGMAS * variance ** 0.5))
+
+    outside = df.agg(*[outliers(n).alias(f"o{at[n]}") for n in numbers]).first() if numbers else ()
+    out = []
+    for i, (n, f) in enumerate(cols):
+        say = lambda key, row=said: row[f"{key}{i}"] if f"{key}{i}" in row else None  # noqa: B023, E731
+        filled = said[f"filled{i}"]
+        variance = say("variance")
+        quartiles = found.get(n) or say("q") or (None, None, None)
+        out.append((n, f, rows, rows - filled, distinct[n], modes.get(n), say("min_length"), say("max_length"),
+                    say("length") / filled if f == "string" and filled else None, say("empty"), say("blank"),
+                    say("digits"), say("letters"), say("min"), say("max"), say("avg"),
+                    None if variance is None else variance ** 0.5, variance, *quartiles, say("o", outside),
+                    distinct.get((n, "day")), say("true"), say("false")))
+    if row_hash:
+        out.append((ROW_KEY, "row", rows, 0, distinct[ROW_KEY], *[None] * 20))
+    return _with_rates(df.sparkSession.createDataFrame(out if rows else [], _FRAME))
+
+
+def _with_rates(frame: DataFrame) -> DataFrame:
     total, distinct = F.col("total_rows"), F.col("distinct_count")
-    fam = F.col("family")
-    category = (F.when(distinct == total, "UNIQUE").when(distinct == 1, "CONSTANT")
-                .when(distinct <= LOW_CARDINALITY_MAX, "LOW_CARDINALITY")
-                .when(distinct <= MEDIUM_CARDINALITY_MAX, "MEDIUM_CARDINALITY")
-                .otherwise("HIGH_CARDINALITY"))
-    return out.select(
+    of = lambda family, c: F.when(F.col("family") == family, c)
+    return frame.select(
         "column_name", "family", "total_rows", "null_count", "distinct_count",
         F.round(safe_divide((total - F.col("null_count")) * 100.0, total), 2).alias("completeness_rate"),
         F.round(safe_divide(distinct * 100.0, total), 2).alias("uniqueness_rate"),
-        category.alias("cardinality_category"),
-        *[F.when(fam == "string", F.col(c)).alias(c) for c in
-          ("mode", "min_length", "max_length", "avg_length", "empty_count",
-           "whitespace_only_count", "numeric_pattern_count", "alpha_pattern_count")],
-        *[F.when(fam == "numeric", F.col(c)).alias(c) for c in
-          ("min", "max", "avg", "stddev", "variance", "p25", "median", "p75", "outlier_count")],
-        F.when(fam == "temporal", F.col("min_text").cast("timestamp_ntz")).alias("earliest"),
-        F.when(fam == "temporal", F.col("max_text").cast("timestamp_ntz")).alias("latest"),
-        "distinct_dates",
-        *[F.when(fam == "boolean", F.col(c)).alias(c) for c in ("true_count", "false_count")])
+        cardinality(distinct, total).alias("cardinality_category"),
+        "mode", "min_length", "max_length", "avg_length", "empty_count", "whitespace_only_count",
+        "numeric_pattern_count", "alpha_pattern_count",
+        of("numeric", F.col("min_exact")).cast("double").alias("min"),
+        of("numeric", F.col("max_exact")).cast("double").alias("max"),
+        "avg", "stddev", "variance", "p25", "median", "p75", "outlier_count",
+        of("temporal", F.col("min_exact")).cast("timestamp_ntz").alias("earliest"),
+        of("temporal", F.col("max_exact")).cast("timestamp_ntz").alias("latest"),
+        "distinct_dates", "true_count", "false_count", "min_exact", "max_exact")
+
+
+def cardinality(distinct: Column, total: Column) -> Column:
+    """X-rule of the profile: the class of a column by its distinct values."""
+    return (F.when(distinct == total, "UNIQUE").when(distinct == 1, "CONSTANT")
+            .when(distinct <= LOW_CARDINALITY_MAX, "LOW_CARDINALITY")
+            .when(distinct <= MEDIUM_CARDINALITY_MAX, "MEDIUM_CARDINALITY")
+            .otherwise("HIGH_CARDINALITY"))
 
 
 def column_profile(df: DataFrame, exclude: Sequence[str] = (),
                    advanced: bool = True, numeric: bool = True,
-                   approx_percentiles: bool = False, families: Sequence[str] | None = None) -> DataFrame:
+                   approx_percentiles: bool = False, families: Sequence[str] | None = None,
+                   stored: bool = False) -> DataFrame:
     """One row per profiled column with every metric that applies to it
     (``numeric=False`` skips moments, percentiles and outliers; ``families``
-    limits the scan to the columns of some families). Whole rows are not hashed."""
-    res = profile_frame(df, exclude, numeric, approx_percentiles, families, row_hash=False)
+    limits the scan to the columns of some families). Whole rows are not hashed.
+    ``min_exact`` and ``max_exact`` are the bounds as text, in the column's own type."""
+    res = profile_frame(df, exclude, numeric, approx_percentiles, families, row_hash=False, stored=stored)
     if not advanced:
         res = res.select("column_name", "family", "total_rows", "null_count", "distinct_count",
                          "min_length", "max_length", "avg_length", "min", "max", "avg",
@@ -351,12 +300,12 @@ def _table_aggs(df: DataFrame, cols: list[tuple[str, str]], date_col: str | None
 
 
 def table_metrics(df: DataFrame, exclude: Sequence[str] = (), date_col: str | None = None,
-                  as_of=None, freshness_hours: float = 24) -> DataFrame:
+                  as_of=None, freshness_hours: float = 24, stored: bool = False) -> DataFrame:
     """One row: totals, whole-row distinct count and duplicate rate, typed
     earliest/latest per date column, true/false counts per boolean column,
-    freshness — from the same single pass as the column metrics."""
+    freshness — from the column metrics."""
     cols = column_families(df, exclude)
-    frame = profile_frame(df, exclude, numeric=False)
+    frame = profile_frame(df, exclude, numeric=False, stored=stored)
     return frame.agg(*_table_aggs(df, cols, date_col, as_of, freshness_hours))
 
 
@@ -380,20 +329,22 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
                   advanced: bool = True, exclude: Sequence[str] = (),
                   freshness_hours: float = 24, date_col: str | None = None,
                   frequency: str = "daily", as_of=None, env: str = "dev",
-                  sample_seed: int = 42, approx_percentiles: bool = False) -> DataFrame:
-    """One wide row per run: header, row metrics, ``<col>_<metric>`` columns,
-    freshness and a change hash — one scan of the table, then one aggregate
-    over the per-column frame (a row per column)."""
+                  sample_seed: int = 42, approx_percentiles: bool = False, stored: bool = False) -> DataFrame:
+    """One wide row per run: header, row metrics, ``<col>_<metric>`` columns
+    (bounds of numbers in the column's own type), freshness and a change hash —
+    one aggregate over the per-column frame (a row per column)."""
     base = sample_rows(df, sample_pct, sample_seed) if sample_pct else df
     cols = column_families(base, exclude)
-    frame = profile_frame(base, exclude, approx_percentiles=approx_percentiles)
+    frame = profile_frame(base, exclude, approx_percentiles=approx_percentiles, stored=stored)
     aggs = _table_aggs(base, cols, date_col, as_of, freshness_hours, advanced)
     hash_parts = [F.col("total_rows"), F.col("distinct_rows")]
     for n, f in cols:
         metrics = WIDE_METRICS[f] if advanced else tuple(m for m in WIDE_METRICS[f] if m in BASIC_METRICS)
         metrics = metrics + (QUALITY_METRICS if advanced else ()) + UNIVERSAL_METRICS
-        aggs += [F.max(F.when(F.col("column_name") == n, F.col(m))).alias(f"{n}_{m}")
-                 for m in metrics]
+        own = {"min": "min_exact", "max": "max_exact"} if f == "numeric" else {}
+        for m in metrics:
+            value = F.max(F.when(F.col("column_name") == n, F.col(own.get(m, m))))
+            aggs.append((value.cast(base.schema[n].dataType) if m in own else value).alias(f"{n}_{m}"))
         hash_parts += [F.col(f"{n}_null_count"), F.col(f"{n}_distinct_count")]
     wide = frame.agg(*aggs)
     now = as_timestamp(as_of)
@@ -409,7 +360,8 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
         F.lit("sampled" if sample_pct else "full").alias("data_type"),
         F.lit(len(cols)).alias("total_columns"),
     ]
-    return wide.select(*header, "*", F.xxhash64(*hash_parts).alias("profile_hash"))
+    change = F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("NULL")) for p in hash_parts]))
+    return wide.select(*header, "*", change.alias("profile_hash"))
 
 
 def merge_profile_history(history: DataFrame | None, runs: DataFrame,

@@ -99,10 +99,10 @@ PROFILED = (("scd_raw_hosts", "updated_at", None), ("scd_raw_listings", "updated
 
 def run_profiles(spark: SparkSession, models: dict[str, DataFrame], history_path: str,
                  as_of=None, env: str = "dev") -> None:
-    """Profile every model once per day; each model has a history of its own."""
+    """Profile every stored model once per day; each model has a history of its own."""
     for name, date_col, pct in PROFILED:
         row = P.profile_table(models[name], name, sample_pct=pct, date_col=date_col,
-                              as_of=as_of, env=env)
+                              as_of=as_of, env=env, stored=pct is None)
         P.write_profile_history(spark, f"{history_path}/{name}", row)
 
 

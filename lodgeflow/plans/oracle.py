@@ -234,7 +234,13 @@ def _profile_wide() -> str:
     """One row over the whole review fact: totals, every column's metrics, freshness."""
     row = "concat(" + ", ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in FCT_COLUMNS) + ")"
     hours = f"date_diff('hour', max(review_date), {_ts(R.FRESHNESS_AS_OF)})"
-    parts = [f"""'fct_reviews' AS model_name, NULL::DOUBLE AS sample_percentage, 'full' AS data_type,
+    changes = ", ".join(f"count(*) - count({c}), count(DISTINCT {c})" for c in FCT_COLUMNS)
+    parts = [f"""'fct_reviews' AS model_name, date_trunc('day', {_ts(R.FRESHNESS_AS_OF)}) AS profile_date,
+       'dev' AS target_environment, 'spark' AS database_type, {_ts(R.FRESHNESS_AS_OF)} AS profiled_at,
+       'daily' AS profile_frequency,
+       'dev_fct_reviews_' || strftime(date_trunc('day', {_ts(R.FRESHNESS_AS_OF)}), '%Y%m%d%H') AS profile_run_id,
+       md5(concat_ws('|', count(*), count(DISTINCT {row}), {changes})) AS profile_hash,
+       NULL::DOUBLE AS sample_percentage, 'full' AS data_type,
        {len(FCT_COLUMNS)}::BIGINT AS total_columns, count(*) AS total_rows, count(DISTINCT {row}) AS distinct_rows,
        round((count(*) - count(DISTINCT {row})) * 100.0 / nullif(count(*), 0), 2)::DOUBLE AS duplicate_rate,
        min(review_date) AS review_date_earliest, max(review_date) AS review_date_latest,
@@ -263,7 +269,7 @@ def _profile_wide() -> str:
        CAST(sum(CASE WHEN regexp_full_match({c}, '[A-Za-z\\s]+') THEN 1 ELSE 0 END) AS BIGINT) AS {c}_alpha_pattern_count""")
     x = "CAST(listing_id AS DOUBLE)"
     parts.append(f"""
-       min({x}) AS listing_id_min, max({x}) AS listing_id_max, round(avg({x}), 6) AS listing_id_avg,
+       min(listing_id) AS listing_id_min, max(listing_id) AS listing_id_max, round(avg({x}), 6) AS listing_id_avg,
        round(stddev_samp({x}), 6) AS listing_id_stddev, round(var_samp({x}), 2) AS listing_id_variance,
        round(quantile_cont({x}, 0.25), 6) AS listing_id_p25, round(quantile_cont({x}, 0.5), 6) AS listing_id_median,
        round(quantile_cont({x}, 0.75), 6) AS listing_id_p75,
@@ -274,6 +280,39 @@ def _profile_wide() -> str:
 
 FCT_COLUMNS = ["review_id", "listing_id", "review_date", "reviewer_name", "review_text", "review_sentiment"]
 
+FCT_STRINGS = ["review_id", "reviewer_name", "review_text", "review_sentiment"]
+
+
+def _profile_incremental() -> str:
+    """One row per column of the review fact, from all its rows."""
+    month = "strftime(review_date, '%Y-%m')"
+    parts = []
+    for c in FCT_COLUMNS:
+        text, number = c in FCT_STRINGS, c == "listing_id"
+        either = lambda yes, sql, kind: f"{sql}" if yes else f"NULL::{kind}"
+        parts.append(f"""
+SELECT '{c}' AS column_name, count(*) AS total_rows, count(*) - count({c}) AS null_count,
+       round(count({c}) * 100.0 / nullif(count(*), 0), 2)::DOUBLE AS completeness_rate,
+       CASE WHEN count(DISTINCT {c}) = count(*) THEN 'UNIQUE' WHEN count(DISTINCT {c}) = 1 THEN 'CONSTANT'
+            WHEN count(DISTINCT {c}) <= 10 THEN 'LOW_CARDINALITY' WHEN count(DISTINCT {c}) <= 100 THEN 'MEDIUM_CARDINALITY'
+            ELSE 'HIGH_CARDINALITY' END AS cardinality_category,
+       {either(text, f"min(length({c}))", "BIGINT")} AS min_length, {either(text, f"max(length({c}))", "BIGINT")} AS max_length,
+       {either(text, f"round(avg(length({c})), 6)", "DOUBLE")} AS avg_length,
+       {either(number, f"round(avg({c}), 6)", "DOUBLE")} AS avg,
+       {either(number, f"min({c})", "BIGINT")} AS min, {either(number, f"max({c})", "BIGINT")} AS max,
+       count(DISTINCT {month}) FILTER ({month} < '{R.STORE_FIRST_RUN_END}') AS first_run_months,
+       count(DISTINCT {month}) FILTER ({month} >= '{R.STORE_FIRST_RUN_END}') AS second_run_months
+FROM fct""")
+    return _q("\n UNION ALL ".join(parts))
+
+
+def _column_modes(cols: list[str]) -> str:
+    return _q("\n UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, mode, mode_count FROM (
+  SELECT {c} AS mode, count(*) AS mode_count FROM fct WHERE {c} IS NOT NULL GROUP BY 1
+  ORDER BY mode_count DESC, mode LIMIT 1)""" for c in cols))
+
+
 LWH_COLUMNS = ["listing_id", "listing_name", "room_type", "minimum_nights", "price", "host_id",
                "host_name", "host_is_superhost", "created_at", "updated_at"]
 
@@ -346,6 +385,25 @@ m AS (SELECT n.name, coalesce(d.direct, 0) AS d, coalesce(t.total, 0) AS t,
 FROM m
 """
 
+# A customer and their orders reach each other, and all parts of these orders; the depth takes a cycle as one level.
+_LINEAGE_CYCLES = f"""
+, of_customer AS (SELECT o_custkey AS c, count(DISTINCT o_orderkey) + 1 AS members FROM orders GROUP BY 1),
+parts AS (SELECT o_custkey AS c, count(DISTINCT l_partkey) AS parts FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1),
+lines AS (SELECT l_orderkey AS o, count(DISTINCT l_partkey) AS own FROM lineitem GROUP BY 1),
+m AS (
+  SELECT 'customer#' || CAST(c AS VARCHAR) AS name, members - 1 AS d, members + coalesce(parts, 0) AS t, 1 AS depth
+  FROM of_customer LEFT JOIN parts USING (c)
+  UNION ALL
+  SELECT DISTINCT 'order#' || CAST(o_orderkey AS VARCHAR), 1 + coalesce(own, 0), members + coalesce(parts, 0), 1
+  FROM orders JOIN of_customer k ON k.c = o_custkey LEFT JOIN parts p ON p.c = o_custkey LEFT JOIN lines ON o = o_orderkey
+  UNION ALL
+  SELECT 'order#' || CAST(o AS VARCHAR), own, own, 1 FROM lines WHERE o NOT IN (SELECT o_orderkey FROM orders)
+  UNION ALL
+  SELECT DISTINCT 'part#' || CAST(l_partkey AS VARCHAR), 0, 0, 0 FROM lineitem)
+{_IMPACT}
+FROM m
+"""
+
 # The same measures over the small named graph, with its sorted name lists; one segment's nodes are left out.
 _LINEAGE_NATIONS = f"""
 , edges AS (
@@ -593,6 +651,7 @@ FROM fct f LEFT JOIN (SELECT DISTINCT full_moon_date + 1 AS day FROM moon) d
   ON CAST(f.review_date + INTERVAL 20 YEAR AS DATE) = d.day
 GROUP BY 1, 2"""),
     "lineage_nations": _q(_LINEAGE_NATIONS),
+    "lineage_cycles": _q(_LINEAGE_CYCLES),
     "volume_anomaly_scores": _anomaly_sql([], 10, 5, flagged=False),
     "volume_anomalies": _anomaly_sql([], 10, 5, flagged=True, as_of=R.ANOMALY_AS_OF, delay=1),
     "dimension_anomaly_scores": _anomaly_sql(["event_type"], 5, 5, flagged=False),
@@ -618,6 +677,15 @@ SELECT 'host_is_superhost' AS column_name,
 FROM dim_lwh"""),
     "profile_quality": _profile_quality(LWH_COLUMNS),
     "profile_wide": _profile_wide(),
+    "profile_big_integers": f"""
+WITH b AS (SELECT l_orderkey * {R.BIG_FACTOR}::BIGINT + {R.BIG_BASE}::BIGINT AS big FROM lineitem),
+r AS (SELECT big, row_number() OVER (ORDER BY big) - 1 AS k, count(*) OVER () AS n FROM b)
+SELECT 'big' AS column_name, min(big) AS min, max(big) AS max, count(DISTINCT big) AS distinct_count,
+       max(big) FILTER (k = CAST(floor(0.25::DOUBLE * (n - 1)) AS BIGINT)) AS p25_low,
+       max(big) FILTER (k = CAST(floor(0.5::DOUBLE * (n - 1)) AS BIGINT)) AS median_low,
+       max(big) FILTER (k = CAST(floor(0.75::DOUBLE * (n - 1)) AS BIGINT)) AS p75_low FROM r""",
+    "profile_incremental": _profile_incremental(),
+    "column_modes": _column_modes(FCT_STRINGS),
     "sample_hash": _q("""
 SELECT * FROM raw_listings WHERE substr(md5(CAST(id AS VARCHAR)), 1, 8) < '80000000'"""),
     "lineage_impact": BASE.replace("WITH raw_hosts", "WITH RECURSIVE raw_hosts", 1) + _LINEAGE,

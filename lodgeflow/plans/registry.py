@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodgeflow.functions.columns import day_diff
-from lodgeflow.operators import anomaly, checks, lineage, load, profile, scd2
+from lodgeflow.operators import anomaly, checks, frequent, lineage, load, profile, profile_store, quantiles, scd2
 from lodgeflow.plans import models as M
+from lodgeflow.plans.jobs import REVIEW_PARTITION, with_review_partition
 from lodgeflow.plans.suite import PRICE_REGEX, ROOM_TYPES, SENTIMENTS
 from lodgeflow.sources.fixtures import load_raw, table
-from lodgeflow.session import ensure_checkpoint_dir
+from lodgeflow.session import ensure_checkpoint_dir, reliable_checkpoint
 from lodgeflow.sources.raw import moon_calendar
 
 # Fixed parameters of the registered scenarios.
@@ -345,20 +346,59 @@ def q_profile_quality(spark, sf):
         "cardinality_category")
 
 
-# columns that tell runs and engines apart, not data
-RUN_COLUMNS = ("profile_date", "target_environment", "database_type", "profiled_at", "engine_version",
-               "profile_frequency", "profile_run_id", "profile_hash")
-
-
 def q_profile_wide(spark, sf):
-    """The whole table's wide row, without what depends on the run or the engine."""
+    """The whole table's wide row, without the engine's version."""
     wide = profile.profile_table(_fct(spark, sf), "fct_reviews", date_col="review_date",
-                                 as_of=FRESHNESS_AS_OF).drop(*RUN_COLUMNS)
+                                 as_of=FRESHNESS_AS_OF).drop("engine_version")
     digits = {f"listing_id_{m}": 6 for m in ("avg", "stddev", "p25", "median", "p75")} | {"listing_id_variance": 2} | {
         f"{c}_avg_length": 6 for c in ("review_id", "reviewer_name", "review_text", "review_sentiment")}
     return wide.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in wide.columns])
 
 
+# beyond the whole numbers a double can hold; different for every order
+BIG_FACTOR, BIG_BASE = 10_000_000_000_001, 9_007_199_254_740_993
+
+
+def q_profile_big_integers(spark, sf):
+    """Bounds and quartiles of whole numbers beyond 2^53, to the last digit."""
+    big = table(spark, sf, "lineitem").select((F.col("l_orderkey") * BIG_FACTOR + BIG_BASE).alias("big"))
+    bounds = profile.column_profile(big, numeric=False).select(
+        "column_name", F.col("min_exact").cast("bigint").alias("min"), F.col("max_exact").cast("bigint").alias("max"),
+        "distinct_count")
+    values = reliable_checkpoint(big.select(F.lit("big").alias("g"), F.col("big").alias("x"), F.lit(1).cast("bigint").alias("w")))
+    ranks = quantiles.select_ranks(values, profile.PERCENTILES)
+    lower = [F.max(F.when(F.col("k") == F.floor(F.lit(p) * (F.col("n") - 1)), F.col("value"))).alias(name)
+             for p, name in zip(profile.PERCENTILES, ("p25_low", "median_low", "p75_low"))]
+    return bounds.join(ranks.groupBy(F.col("g").alias("column_name")).agg(*lower), "column_name")
+
+
+STORE_FIRST_RUN_END = "1997-01"
+
+
+def q_profile_incremental(spark, sf):
+    """The review fact's profile from a store of mergeable partition profiles: a first run over
+    the months before ``STORE_FIRST_RUN_END``, a second one that adds only the rest."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/profiled-{uuid.uuid4().hex}"
+    load.write_table(with_review_partition(_fct(spark, sf)), f"{folder}/fct", partition_by=[REVIEW_PARTITION])
+    fct = spark.read.parquet(f"{folder}/fct")
+    store, month = f"{folder}/store", F.col(REVIEW_PARTITION)
+    profile_store.profile_new_partitions(spark, store, fct.filter(month < STORE_FIRST_RUN_END), REVIEW_PARTITION, "1")
+    profile_store.profile_new_partitions(spark, store, fct, REVIEW_PARTITION, "2")
+    runs = spark.read.parquet(store).groupBy("column_name").agg(
+        F.count_if(F.col("run") == "1").alias("first_run_months"), F.count_if(F.col("run") == "2").alias("second_run_months"))
+    merged = profile_store.merged_profile(spark, store, fct).select(
+        "column_name", "total_rows", "null_count", "completeness_rate", "cardinality_category",
+        "min_length", "max_length", F.round("avg_length", 6).alias("avg_length"), F.round("avg", 6).alias("avg"),
+        F.when(F.col("family") == "numeric", F.col("min_exact")).cast("bigint").alias("min"),
+        F.when(F.col("family") == "numeric", F.col("max_exact")).cast("bigint").alias("max"))
+    return merged.join(runs, "column_name")
+
+
+def q_column_modes(spark, sf):
+    """Most frequent value and its count per text column of the reviews."""
+    return frequent.exact_modes(_fct(spark, sf), ["review_id", "reviewer_name", "review_text", "review_sentiment"])
+
+
 def q_sample_hash(spark, sf):
     return profile.sample_rows(load_raw(spark, sf)["listings"], 50, method="hash", key="id")
 
@@ -403,6 +443,20 @@ def q_lineage_impact(spark, sf):
     return lineage.impact(dependency_edges(spark, sf), as_of=LINEAGE_AS_OF)
 
 
+def cyclic_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """A graph with cycles derived from the data: a customer and their orders depend on each
+    other, parts on orders."""
+    forth = dependency_edges(spark, sf)
+    back = table(spark, sf, "orders").select(
+        F.concat(F.lit("order#"), F.col("o_orderkey").cast("string")).alias("parent"),
+        F.concat(F.lit("customer#"), F.col("o_custkey").cast("string")).alias("child"))
+    return forth.unionByName(back)
+
+
+def q_lineage_cycles(spark, sf):
+    return lineage.impact(cyclic_edges(spark, sf), as_of=LINEAGE_AS_OF, condense=True)
+
+
 # --- the table -------------------------------------------------------------------------------
 def _scd(fn):
     return lambda spark, sf: fn(scd_listings_history(spark, sf))
@@ -450,9 +504,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_boolean": q_profile_boolean,
     "profile_quality": q_profile_quality,
     "profile_wide": q_profile_wide,
+    "profile_big_integers": q_profile_big_integers,
+    "profile_incremental": q_profile_incremental,
+    "column_modes": q_column_modes,
     "sample_hash": q_sample_hash,
     "sample_bernoulli": q_sample_bernoulli,
     "lineage_impact": q_lineage_impact,
+    "lineage_cycles": q_lineage_cycles,
 }
 
 
