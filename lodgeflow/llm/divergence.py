@@ -49,7 +49,7 @@ SHARE, PRIOR = 1_000_000_000, 5  # fixed values of the contract
 HELD = 200_000
 FAN = 16
 BLOCK = 128
-CHUNK = 4096
+CHUNK = 1024
 
 _TERM_BYTES = bytes(b if b >= 0x80 or chr(b).isalpha() else 0x20 for b in range(256)).lower()
 
