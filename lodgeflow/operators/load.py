@@ -2,8 +2,8 @@
 
 The operators are pure (``target, batch -> new target``); the sinks write
 them. Plain Parquet has no MERGE, and overwriting a path that is being read
-fails, so keyed sinks checkpoint the new content to the shared checkpoint
-folder first and then overwrite only the touched partitions.
+fails, so keyed sinks stage the new content of the touched partitions beside
+the old one, commit it by a marker and move it into place (``operators.commit``).
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodgeflow.operators.commit import folders, partition_folder, recover, replace_partitions
 from lodgeflow.session import path_exists, reliable_checkpoint
 
 
@@ -27,18 +28,53 @@ class DuplicateKeyError(ValueError):
     """Raised by ``merge_upsert`` when the batch repeats a key."""
 
 
+# --- W8 --------------------------------------------------------------------
+ZORDER_BITS = 8
+
+
+def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS) -> Column:
+    """A number whose order keeps rows near that are near in each of ``columns``: the bits of
+    their range ranks, interleaved. Ranks come from ``2^bits − 1`` approximate quantiles per
+    column (one aggregate; sketches merge), so skewed values spread evenly; NULL ranks last."""
+    share = [k / 2 ** bits for k in range(1, 2 ** bits)]
+    as_number = lambda c: (F.col(c) if isinstance(df.schema[c].dataType, T.NumericType)
+                           else F.unix_micros(F.col(c).cast("timestamp"))).cast("double")
+    found = df.agg(*[F.percentile_approx(as_number(c), share, 10 * 2 ** bits).alias(f"b{i}")
+                     for i, c in enumerate(columns)]).first()
+
+    def rank_of(c: str, bounds: list) -> Column:
+        x = as_number(c)
+        known = F.array(*[F.lit(float(b)) for b in sorted(set(bounds))]).cast("array<double>")
+        below = F.size(F.filter(known, lambda b: b < x))
+        return F.when(x.isNull(), F.lit(2 ** bits - 1)).otherwise(below).cast("bigint")
+
+    key = F.lit(0).cast("bigint")
+    for i, c in enumerate(columns):
+        rank = rank_of(c, found[f"b{i}"] or [])
+        for k in range(bits):
+            bit = F.shiftright(rank, k).bitwiseAND(F.lit(1).cast("bigint"))
+            key = key.bitwiseOR(F.shiftleft(bit, k * len(columns) + i))
+    return key
+
+
 # --- W1 --------------------------------------------------------------------
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: Sequence[str] | None = None,
-                cluster_by: Sequence[str] | None = None, fmt: str = "parquet") -> None:
+                cluster_by: Sequence[str] | None = None, fmt: str = "parquet",
+                zorder_by: Sequence[str] | None = None) -> None:
     """Full rebuild sink. ``cluster_by`` (W8) range-partitions and sorts the
     rows on those columns so files hold narrow, sorted key ranges and
-    Parquet min/max statistics can skip them. With ``partition_by`` alone the
+    Parquet min/max statistics can skip them; ``zorder_by`` does so on an interleaved
+    key of several columns (numbers, dates or timestamps), so that a filter on any one
+    of them skips files. With ``partition_by`` alone the
     rows are rebalanced on the partition columns first (one shuffle; AQE
     splits a hot partition value and merges small ones), so each directory
     gets a few right-sized files instead of one per writing task."""
     out = df
-    if cluster_by:
+    if zorder_by:
+        keyed = out.withColumn("__z", zorder_key(out, zorder_by))
+        out = keyed.repartitionByRange("__z").sortWithinPartitions("__z").drop("__z")
+    elif cluster_by:
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     elif partition_by:
         out = out.hint("rebalance", *partition_by)
@@ -58,8 +94,8 @@ def select_increment(source: DataFrame, target: DataFrame | None, date_col: str,
     * otherwise *since last*: ``date_col > max(target.date_col)``. The
       maximum is a scalar subquery pushed into the scan as a runtime filter.
       An empty target has a NULL maximum and loads nothing, and rows of the
-      last loaded date that arrive late are skipped — reload a window to
-      repair them.
+      last loaded date that arrive late are skipped — ``select_changed_days``
+      finds them, or reload a window to repair them.
     """
     if target is None:
         return source
@@ -71,6 +107,70 @@ def select_increment(source: DataFrame, target: DataFrame | None, date_col: str,
     return source.filter(c > high_water)
 
 
+def day_checksums(df: DataFrame, date_col: str, columns: Sequence[str]) -> DataFrame:
+    """``(day, rows, sum_a, sum_b)``: what the rows of a day add up to, in any order. Two sums of
+    independent 64-bit row hashes; a task hands on one row per day, whatever it read."""
+    cells = [F.col(c) for c in columns]
+    whole = lambda h: F.sum(h.cast("decimal(20,0)"))
+    return df.groupBy(F.to_date(date_col).alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), whole(F.xxhash64(*cells)).alias("sum_a"),
+        whole(F.xxhash64(F.lit("second half"), *cells)).alias("sum_b"))
+
+
+def differing_days(source: DataFrame, target: DataFrame, date_col: str) -> DataFrame:
+    """``(day)`` of the days whose rows are not the same on both sides (late, changed, removed
+    or repeated rows), a NULL day included. The columns of the target are compared."""
+    columns = [c for c in target.columns if c.lower() in {x.lower() for x in source.columns}]
+    side = lambda df, p: day_checksums(df, date_col, columns).select(
+        *[F.col(c).alias(p + c) for c in ("day", "rows", "sum_a", "sum_b")])
+    j = side(source, "s_").join(side(target, "t_"), F.col("s_day").eqNullSafe(F.col("t_day")), "full_outer")
+    same = F.lit(True)
+    for c in ("rows", "sum_a", "sum_b"):
+        same = same & F.col(f"s_{c}").eqNullSafe(F.col(f"t_{c}"))
+    return j.filter(~same).select(F.coalesce("s_day", "t_day").alias("day"))
+
+
+def select_changed_days(source: DataFrame, target: DataFrame, date_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``source`` on the days that differ from ``target``, and these days (stored):
+    an increment that finds late and changed rows wherever they are, without a window."""
+    days = reliable_checkpoint(differing_days(source, target, date_col))
+    day = days.select(F.col("day").alias("__day"))
+    return source.join(day, F.to_date(date_col).eqNullSafe(F.col("__day")), "left_semi"), days
+
+
+def replace_days(target: DataFrame, batch: DataFrame, days: DataFrame, date_col: str) -> DataFrame:
+    """``target`` with all rows of ``days`` replaced by ``batch``."""
+    day = days.select(F.col("day").alias("__day"))
+    kept = target.join(day, F.to_date(date_col).eqNullSafe(F.col("__day")), "left_anti")
+    return kept.unionByName(batch.select(*target.columns))
+
+
+def write_changed_days(spark: SparkSession, path: str, source: DataFrame, date_col: str, partition_col: str) -> int:
+    """Sink: make the table at ``path`` equal ``source`` on every day that differs; returns the
+    number of such days. Partitions without such a day are not rewritten; a partition that
+    becomes empty is removed. ``partition_col`` must follow from the date."""
+    recover(spark, path, drop_uncommitted=True)
+    if not folders(spark, path, f"{partition_col}="):
+        write_table(source, path, partition_by=[partition_col])
+        return source.select(F.to_date(date_col)).distinct().count()
+    target = spark.read.parquet(path)
+    batch, days = select_changed_days(source, target, date_col)
+    day = days.select(F.col("day").alias("__day"))
+    same_day = F.to_date(date_col).eqNullSafe(F.col("__day"))
+    # one row per partition of the table
+    touched = {r[0] for df in (target, batch) for r in df.join(day, same_day, "left_semi")
+               .select(partition_col).distinct().collect()}
+    if touched:
+        known = [t for t in touched if t is not None]
+        inside = F.col(partition_col).isin(known) if known else F.lit(False)
+        inside = inside | F.col(partition_col).isNull() if None in touched else inside
+        new = replace_days(target.filter(inside), batch, days, date_col)
+        left = {r[0] for r in new.select(partition_col).distinct().collect()}
+        gone = [partition_folder(spark, partition_col, t) for t in touched - left]
+        replace_partitions(new.hint("rebalance", partition_col), path, [partition_col], lambda: gone)
+    return days.count()
+
+
 # --- W3 ---------------------------------------------------------------------
 def delete_insert(target: DataFrame, batch: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Delete target rows whose key occurs in the batch, then insert the batch.
@@ -78,7 +178,7 @@ def delete_insert(target: DataFrame, batch: DataFrame, key: str | Sequence[str])
     Duplicates inside the batch stay; target rows absent from the batch stay.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
+    kept = target.join(batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch)
 
 
@@ -178,7 +278,7 @@ def skip_existing(batch: DataFrame, target: DataFrame, key: str) -> DataFrame:
     SQL ``NOT IN`` returns nothing once the target holds a NULL key; the
     anti join keeps the rows instead. Keys here are never NULL.
     """
-    return batch.join(target.select(key).distinct(), key, "left_anti")
+    return batch.join(target.select(key), key, "left_anti")
 
 
 # --- keyed sinks --------------------------------------------------------------
@@ -189,25 +289,23 @@ def write_delete_insert(spark: SparkSession, path: str, batch: DataFrame,
 
     The key must determine the partition (true for review ids, which hash the
     review date), so only the partitions the batch touches are read, merged,
-    checkpointed and overwritten (dynamic partition overwrite). ``partitions``
-    is a literal condition on ``partition_col`` that holds for every batch row
-    (a window load knows its bounds): it prunes the target's folders at any
-    batch size, where the semi join prunes only a batch small enough to broadcast.
-    ``seen`` observes the ``rows`` written.
+    staged, committed and published (``operators.commit``: a crash leaves the table as
+    it was or as it will be). ``partitions`` is a literal condition on ``partition_col``
+    that holds for every batch row (a load knows its bounds): it prunes the target's
+    folders at any batch size, where the semi join prunes only a batch small enough to
+    broadcast. ``seen`` observes the ``rows`` written.
     """
     watched = lambda df: df if seen is None else df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if not path_exists(spark, path):  # first load
+    recover(spark, path, drop_uncommitted=True)
+    if not folders(spark, path, f"{partition_col}="):  # first load
         write_table(watched(batch), path, partition_by=[partition_col])
         return
     target = spark.read.parquet(path)
     if partitions is not None:
         target = target.filter(partitions)
-    touched = batch.select(partition_col).distinct()
-    affected = target.join(touched, partition_col, "left_semi")
-    merged = delete_insert(affected, batch.select(*target.columns), key)
-    merged = reliable_checkpoint(merged).hint("rebalance", partition_col)
-    (watched(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    affected = target.join(batch.select(partition_col), partition_col, "left_semi")
+    merged = delete_insert(affected, batch.select(*target.columns), key).hint("rebalance", partition_col)
+    replace_partitions(watched(merged), path, [partition_col])
 
 
 # --- W9 helpers live in checks; W10 ------------------------------------------

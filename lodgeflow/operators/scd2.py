@@ -13,21 +13,28 @@ missing from the source, its last closed one. All other versions never move.
 
 Rows without a key cannot be tracked and are left out (the not_null check on
 the source reports them). A key that occurs several times in one snapshot is
-an error unless ``duplicates="newest"`` asks for its newest row.
+an error unless ``duplicates="newest"`` asks for its newest row. A change feed,
+which holds several versions of a key on purpose, goes through ``scd2_feed``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lodgeflow.functions.columns import as_timestamp, surrogate_key
+from lodgeflow.operators.commit import folders, recover, replace_partitions
 
 SCD_COLUMNS = ("scd_id", "scd_updated_at", "valid_from", "valid_to")
 
 
+REPEATED = "the snapshot repeats values of"
+
+
 class DuplicateSnapshotKeyError(ValueError):
-    """Raised when a snapshot repeats a key."""
+    """Raised by the sink when a snapshot repeats a key."""
 
 
 def scd2_init(current: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
@@ -43,23 +50,24 @@ def scd2_init(current: DataFrame, key: str, updated_at: str = "updated_at") -> D
 
 
 def one_row_per_key(current: DataFrame, key: str, updated_at: str, duplicates: str) -> DataFrame:
-    """Keyed rows of a snapshot; ``raise`` stops on a repeated key, ``newest``
-    keeps the row with the latest ``updated_at`` (ties: the greatest row)."""
+    """Keyed rows of a snapshot; ``raise`` makes the job that reads them fail on a repeated
+    key, ``newest`` keeps the row with the latest ``updated_at`` (ties: the greatest row).
+
+    Both need the rows by key, as the join with the history does, so they cost no
+    shuffle and no job of their own."""
     keyed = current.filter(F.col(key).isNotNull())
     if duplicates == "raise":
-        repeated = keyed.groupBy(key).count().filter(F.col("count") > 1).limit(1)
-        if not repeated.isEmpty():
-            raise DuplicateSnapshotKeyError(f"the snapshot repeats values of {key!r}")
-        return keyed
+        repeated = F.raise_error(F.lit(f"{REPEATED} {key!r}")).cast("boolean")
+        counted = keyed.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(key)))
+        return counted.filter(F.when(F.col("__rows") > 1, repeated).otherwise(F.lit(True))).drop("__rows")
     newest = F.max(F.struct(F.col(updated_at).alias("__at"), F.struct("*").alias("__row"))).alias("__newest")
     return keyed.groupBy(F.col(key).alias("__key")).agg(newest).select("__newest.__row.*")
 
 
-def _held(history: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(the open or else last version of each key, all other versions)."""
+def _ranked(history: DataFrame, key: str) -> DataFrame:
+    """``__rank`` 1: the open or else last version of each key."""
     order = Window.partitionBy(key).orderBy(F.col("valid_to").desc_nulls_first(), F.col("valid_from").desc_nulls_last())
-    ranked = history.withColumn("__rank", F.row_number().over(order))
-    return ranked.filter("__rank = 1").drop("__rank"), ranked.filter("__rank > 1").drop("__rank")
+    return history.withColumn("__rank", F.row_number().over(order))
 
 
 def scd2_apply(history: DataFrame | None, current: DataFrame, key: str,
@@ -76,29 +84,30 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str,
     where its last one ended if that is later, with an id of its own. Closed
     versions are passed through untouched. Columns that the source gained
     are NULL in older versions, columns it lost are NULL in newer ones.
+    The history is read once: versions that do not move pass through the join.
     """
     current = one_row_per_key(current, key, updated_at, duplicates)
     if history is None:
         return scd2_init(current, key, updated_at)
-    held, rest = _held(history, key)
-    moved = _move(held, current, key, updated_at, as_of, invalidate_hard_deletes)
-    return rest.unionByName(moved.drop("__missing"), allowMissingColumns=True)
+    return _move(_ranked(history, key), current, key, updated_at, as_of, invalidate_hard_deletes).drop("__missing")
 
 
 def _move(held: DataFrame, current: DataFrame, key: str, updated_at: str, as_of,
           invalidate_hard_deletes: bool) -> DataFrame:
-    """One snapshot over one version per key; ``__missing`` marks the versions of
-    keys that the source does not hold."""
-    old_cols = [c for c in held.columns if c not in SCD_COLUMNS]
+    """One snapshot over one version per key (others, of a ``__rank`` above 1, stay);
+    ``__missing`` marks the versions of keys that the source does not hold."""
+    rank = F.col("__rank") if "__rank" in held.columns else F.lit(1)
+    held = held.select("*", (rank == 1).alias("has_h")).drop("__rank")
+    old_cols = [c for c in held.columns if c not in (*SCD_COLUMNS, "has_h")]
     known = {c.lower() for c in old_cols}
     src_cols = old_cols + [c for c in current.columns if c.lower() not in known]
     present = {c.lower(): c for c in current.columns}
 
-    h = held.select(*[F.col(c).alias(f"h__{c}") for c in held.columns], F.lit(True).alias("has_h"))
+    h = held.select(*[F.col(c).alias(f"h__{c}") for c in held.columns if c != "has_h"], "has_h")
     s = current.select(*[F.col(c).alias(f"s__{c.lower()}") for c in current.columns], F.lit(True).alias("has_s"))
-    j = h.join(s, F.col(f"h__{key}") == F.col(f"s__{key.lower()}"), "full_outer")
+    j = h.join(s, (F.col(f"h__{key}") == F.col(f"s__{key.lower()}")) & F.col("has_h"), "full_outer")
 
-    has_h, has_s = F.col("has_h").isNotNull(), F.col("has_s").isNotNull()
+    old, has_h, has_s = F.col("has_h").isNotNull(), F.coalesce("has_h", F.lit(False)), F.col("has_s").isNotNull()
     open_ = has_h & F.col("h__valid_to").isNull()
     s_at = F.col(f"s__{updated_at.lower()}")
     s_ts = s_at.cast("timestamp_ntz")
@@ -122,7 +131,7 @@ def _move(held: DataFrame, current: DataFrame, key: str, updated_at: str, as_of,
         F.col("h__scd_updated_at").alias("scd_updated_at"),
         F.col("h__valid_from").alias("valid_from"),
         close_at.alias("valid_to"),
-        (~has_s).alias("__missing"),
+        (has_h & ~has_s).alias("__missing"),
     )
     s_key = F.col(f"s__{key.lower()}")
     new_version = F.struct(
@@ -136,12 +145,62 @@ def _move(held: DataFrame, current: DataFrame, key: str, updated_at: str, as_of,
     )
     versions = (
         F.when(newer | back, F.array(old_version, new_version))
-         .when(has_h, F.array(old_version))
+         .when(old, F.array(old_version))
          .otherwise(F.array(new_version))
     )
     return j.select(F.explode(versions).alias("v")).select("v.*")
 
 
+def scd2_feed(history: DataFrame | None, feed: DataFrame, key: str, updated_at: str = "updated_at") -> DataFrame:
+    """Return the new history after a change feed that may hold several versions of a key.
+
+    Every version later than the key's held one becomes a version of its own: it starts at
+    its ``updated_at`` and ends where the next one starts; the held version ends where the
+    first one starts. Of rows with equal key and ``updated_at`` the greatest counts; older,
+    equal or NULL times change nothing (a key that is only known without a time opens one
+    version without a start). A key that was closed opens again with its state at the
+    time it was closed, or at its first later version. A feed names changes only, so a key
+    that it lacks stays as it is. Feeding the same rows again changes nothing.
+
+    A key's versions of one feed are sorted in one task (which spills): as many as
+    the key had changes since the last run.
+    """
+    at = F.col(updated_at).cast("timestamp_ntz")
+    keyed = feed.filter(F.col(key).isNotNull()).withColumn("__start", at)
+    row = F.max(F.struct(*[F.col(c) for c in feed.columns])).alias("__row")
+    keyed = keyed.groupBy(F.col(key).alias("__key"), "__start").agg(row)
+    if history is None:
+        held = None
+        joined = keyed.withColumns({"__from": F.lit(None).cast("timestamp_ntz"), "__to": F.lit(None).cast("timestamp_ntz"),
+                                    "__id": F.lit(None).cast("string"), "__held": F.lit(False)})
+    else:
+        held = _ranked(history, key)
+        last = held.filter("__rank = 1").select(
+            F.col(key).alias("__key"), F.col("valid_from").alias("__from"), F.col("valid_to").alias("__to"),
+            F.col("scd_id").alias("__id"), F.lit(True).alias("__held"))
+        joined = keyed.join(last, "__key", "left").withColumn("__held", F.coalesce("__held", F.lit(False)))
+    # an unknown start is earlier than any time, and a held version without a start gives way to any
+    later = (F.col("__start").isNotNull()
+             & (F.col("__from").isNull() | (F.col("__start") > F.col("__from"))))
+    fresh = joined.filter(~F.col("__held") | later)
+    start = F.greatest("__start", "__to")  # a closed key opens where it ended at the earliest
+    by_key = Window.partitionBy("__key")
+    in_order = by_key.orderBy(F.col("__opens").asc_nulls_first(), F.col("__start").asc_nulls_first())
+    chain = (fresh.withColumn("__opens", start).withColumn("__next", F.lead("__opens").over(in_order))
+             # what a later version replaces at once was never valid; a time beats none
+             .filter(F.col("__next").isNull() | (F.col("__opens") < F.col("__next"))))
+    opened = chain.select(
+        "__row.*", F.when(F.col("__to").isNotNull(), surrogate_key(F.col("__key"), F.col("__start"), F.col("__id")))
+        .otherwise(surrogate_key(F.col("__key"), F.col(f"__row.{updated_at}"))).alias("scd_id"),
+        F.col("__start").alias("scd_updated_at"), F.col("__opens").alias("valid_from"), F.col("__next").alias("valid_to"))
+    if held is None:
+        return opened
+    first = chain.groupBy("__key").agg(F.min("__opens").alias("__first"))
+    old = held.join(first, (F.col(key) == F.col("__key")) & (F.col("__rank") == 1), "left").withColumn(
+        "valid_to", F.coalesce("valid_to", "__first")).drop("__rank", "__key", "__first")
+    return old.unionByName(opened, allowMissingColumns=True)
+
+
 def current_rows(history: DataFrame) -> DataFrame:
     """S3: the open version of every key (``valid_to IS NULL``); on a history
     table written by ``scd2_snapshot`` this prunes to the open partition."""
@@ -171,7 +230,9 @@ MISSING_PARTITION = "missing"
 
 
 def read_history(spark, path: str) -> DataFrame:
-    """The history table; files written before the source gained a column lack it."""
+    """The history table; files written before the source gained a column lack it. A run that
+    was committed but not published (see ``operators.commit``) is published first."""
+    recover(spark, path)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
@@ -185,19 +246,15 @@ def scd2_snapshot(spark, path: str, current: DataFrame, key: str, updated_at: st
     versions in a partition of the run that superseded them, whose name is
     unique (``run_id`` only begins it), so no run overwrites another's. A run
     reads and rewrites the first two only (partition pruning): its cost
-    grows with the entities, not with the accumulated history. All goes
-    out in one dynamic-overwrite write; a partition that has become empty
-    is removed after it. Repeating a run changes nothing. Returns the number
-    of versions written.
+    grows with the entities, not with the accumulated history. The new partitions
+    are staged, committed by a marker and published, those that became empty
+    removed with them: a crash leaves the table as it was or as it will be, and
+    the next reader or run finishes the rest. Repeating a run changes nothing.
+    Returns the number of versions written.
     """
-    import uuid
-
-    from pyspark.sql import Observation
-
-    from lodgeflow.session import delete_path, path_exists, reliable_checkpoint
-
+    recover(spark, path, drop_uncommitted=True)
     current = one_row_per_key(current, key, updated_at, duplicates)
-    first = not path_exists(spark, path)
+    first = not folders(spark, path, "closed_run=")
     if first:
         out = scd2_init(current, key, updated_at).withColumn("closed_run", F.lit(OPEN_PARTITION))
     else:
@@ -207,15 +264,16 @@ def scd2_snapshot(spark, path: str, current: DataFrame, key: str, updated_at: st
         run = f"{run_id or 'run'}-{uuid.uuid4().hex}"
         part = (F.when(F.col("valid_to").isNull(), F.lit(OPEN_PARTITION))
                 .when(F.col("__missing"), F.lit(MISSING_PARTITION)).otherwise(F.lit(run)))
-        # the two partitions are read and rewritten: materialise first
-        out = reliable_checkpoint(moved.withColumn("closed_run", part).drop("__missing"))
+        out = moved.withColumn("closed_run", part).drop("__missing")
     obs = Observation(f"scd2_{uuid.uuid4().hex[:8]}")
     lives_in = lambda p: F.count(F.when(F.col("closed_run") == p, 1))
-    (out.observe(obs, F.count(F.lit(1)).alias("rows"), lives_in(OPEN_PARTITION).alias("open"),
-                 lives_in(MISSING_PARTITION).alias("missing"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("closed_run").parquet(path))
-    if not first:
-        for name in (OPEN_PARTITION, MISSING_PARTITION):
-            if not obs.get[name]:  # dynamic overwrite leaves partitions without rows as they were
-                delete_path(spark, f"{path}/closed_run={name}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), lives_in(OPEN_PARTITION).alias("open"),
+                      lives_in(MISSING_PARTITION).alias("missing"))
+    try:
+        replace_partitions(out, path, ["closed_run"], lambda: [
+            f"closed_run={p}" for p in (OPEN_PARTITION, MISSING_PARTITION) if not obs.get[p]])
+    except Exception as e:  # noqa: BLE001 — named for what it is, or raised as it came
+        if REPEATED in str(e):
+            raise DuplicateSnapshotKeyError(f"{REPEATED} {key!r}") from e
+        raise
     return int(obs.get["rows"])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.operators import checks as C
 from lodgeflow.operators import profile as P
+from lodgeflow.operators.commit import folders, recover
 from lodgeflow.operators.load import (audited, audited_write, reconcile_schema, select_increment,
                                       write_delete_insert)
 from lodgeflow.operators.scd2 import read_history, scd2_snapshot
@@ -115,16 +116,27 @@ def incremental_fct_load(spark: SparkSession, raw_reviews: DataFrame, fct_path:
                          start=None, end=None, audit_path: str | None = None) -> None:
     """The partitioned daily load: window (or since-last) increment → surrogate
     key → drift check (``fail``) → partition-local delete+insert. A first run
-    loads everything. A window load prunes the fact by literal month bounds."""
+    loads everything. Both kinds of load prune the fact by literal month bounds; a
+    since-last load reads the greatest date from the last month alone."""
     src = with_review_partition(M.fct_reviews(M.src_reviews(raw_reviews)))
-    first = not path_exists(spark, fct_path)
-    target = None if first else spark.read.parquet(fct_path)
-    batch = select_increment(src, target, "review_date", start, end)
+    recover(spark, fct_path, drop_uncommitted=True)
+    months = [m.split("=", 1)[1] for m in folders(spark, fct_path, f"{REVIEW_PARTITION}=")]
+    target = spark.read.parquet(fct_path) if months else None
     partitions = None
-    if not first:
+    if target is None:
+        batch = src
+    elif start is not None and end is not None:
+        batch = select_increment(src, target, "review_date", start, end)
+        partitions = _window(start, end)
+    else:
+        # the greatest date lies in the last month; as a literal it prunes both sides
+        last = max((m for m in months if not m.startswith("__HIVE")), default=None)
+        newest = None if last is None else target.filter(F.col(REVIEW_PARTITION) == last).agg(
+            F.max("review_date").cast("string")).first()[0]
+        batch = src.filter(F.col("review_date") > F.lit(newest).cast("timestamp_ntz"))
+        partitions = F.col(REVIEW_PARTITION) >= F.lit(str(newest)[:7])
+    if target is not None:
         _, batch = reconcile_schema(target, batch, "fail")
-        if start is not None and end is not None:
-            partitions = _window(start, end)
 
     def load() -> int:
         seen = Observation(f"load_{uuid.uuid4().hex[:8]}")

@@ -462,6 +462,59 @@ SELECT * FROM fct WHERE review_date >
   (SELECT max(review_date) FROM fct WHERE review_date < {_ts(R.SINCE_LAST_TARGET_END)})"""),
     "increment_window": _q(f"""
 SELECT * FROM fct WHERE review_date >= {_ts(_WIN_LO)} AND review_date < {_ts(_WIN_HI)}"""),
+    "increment_changed_days": _q(f"""
+SELECT * FROM fct WHERE review_date >= {_ts(R.SINCE_LAST_TARGET_END)} OR CAST(review_date AS DATE) IN (
+  SELECT CAST(review_date AS DATE) FROM fct
+  WHERE (day(review_date) = 5 AND listing_id % 37 = 0) OR (day(review_date) = 11 AND listing_id % 43 = 0)
+     OR (day(review_date) = 9 AND listing_id % 41 = 0 AND review_sentiment <> upper(review_sentiment)))"""),
+    "changed_days_table": _q("SELECT * FROM fct"),
+    "scd2_feed": _q("""
+, of_feed AS (
+  SELECT *, 0 AS days, price AS p FROM raw_listings
+  UNION ALL SELECT l.*, n, '$' || n || '.00' FROM raw_listings l, (VALUES (1), (2), (3)) v(n) WHERE id % 10 = 0
+  UNION ALL SELECT *, 5, '$9.00' FROM raw_listings WHERE id % 5 = 0
+  UNION ALL SELECT * REPLACE (id + (SELECT max(id) FROM raw_listings) + 1 AS id), 0, price FROM raw_listings WHERE id % 101 = 0
+  UNION ALL SELECT * REPLACE (id + (SELECT max(id) FROM raw_listings) + 1 AS id), 1, '$7.00' FROM raw_listings WHERE id % 101 = 0),
+v AS (SELECT * EXCLUDE (days, p) REPLACE (p AS price, updated_at + days * INTERVAL 1 DAY AS updated_at) FROM of_feed)
+SELECT *, updated_at AS scd_updated_at, updated_at AS valid_from,
+       lead(updated_at) OVER (PARTITION BY id ORDER BY updated_at) AS valid_to FROM v"""),
+    "sink_full_rebuild": _q("SELECT *, strftime(review_date, '%Y-%m') AS review_month FROM fct"),
+    "sink_since_last": _q("SELECT * FROM fct"),
+    "sink_schema_drift": _q("""
+, h AS (SELECT count(*) AS rows, count(host_name) AS names, count(is_superhost) AS superhosts,
+               count(is_superhost) FILTER (host_id % 2 = 0) AS even_superhosts,
+               count(host_name) FILTER (host_id % 2 = 1) AS odd_names FROM dim_hosts)
+SELECT 'ignore' AS policy, rows, names, even_superhosts AS superhosts, -1::BIGINT AS lengths FROM h
+UNION ALL SELECT 'append_new_columns', rows, names, even_superhosts, odd_names FROM h
+UNION ALL SELECT 'sync_all_columns', rows, names, -1::BIGINT, odd_names FROM h"""),
+    "sink_clustered": _q("""
+SELECT 'listings' AS name, count(*) AS rows, count(DISTINCT listing_id) AS keys, CAST(sum(listing_id) AS BIGINT) AS total FROM dim_listings
+UNION ALL
+SELECT 'reviews', count(*), count(DISTINCT review_id), CAST(sum(listing_id) AS BIGINT) FROM fct"""),
+    "sink_checks": _q("""
+, f AS (
+  SELECT 'one_listing_per_host' AS check_name, 'listings' AS model, 'warn' AS severity,
+         (SELECT count(*) FROM (SELECT host_id FROM raw_listings WHERE host_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS failures
+  UNION ALL SELECT 'positive_host', 'listings', 'error', (SELECT count(*) FROM raw_listings WHERE host_id < 1)
+  UNION ALL SELECT 'long_stay', 'dim_listings', 'error', (SELECT count(*) FROM dim_listings WHERE minimum_nights > 20)
+  UNION ALL SELECT 'no_stay', 'dim_listings', 'error', (SELECT count(*) FROM dim_listings WHERE minimum_nights < 1))
+SELECT check_name, model, severity, failures,
+       CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status,
+       'run' AS invocation_id, CASE WHEN check_name IN ('one_listing_per_host', 'long_stay') THEN failures END AS stored FROM f"""),
+    "sink_audit": _q("""
+SELECT 'run' AS invocation_id, 'hosts' AS step, 'success' AS status, count(*) AS rows_affected, TRUE AS timed, FALSE AS failed FROM raw_hosts
+UNION ALL SELECT 'run', 'again', 'error', NULL, TRUE, TRUE"""),
+    "sources_declared": _q(f"""
+SELECT 'hosts' AS source, count(*) AS rows, count(id) AS c0, count(name) AS c1, count(is_superhost) AS c2, count(created_at) AS c3,
+       count(updated_at) AS c4, strftime(max(created_at), '%Y-%m-%d %H:%M:%S') AS greatest FROM raw_hosts
+UNION ALL
+SELECT 'listings', count(*), count(id), count(listing_url), count(name), count(room_type), count(minimum_nights), max(room_type) FROM raw_listings
+UNION ALL
+SELECT 'reviews', count(*), count(listing_id), count(date), count(reviewer_name), count(comments), count(sentiment),
+       strftime(max(date), '%Y-%m-%d %H:%M:%S') FROM raw_reviews
+UNION ALL
+SELECT 'calendar', count(*), count(full_moon_date), NULL, NULL, NULL, NULL, strftime(max(full_moon_date), '%Y-%m-%d') FROM moon
+WHERE year(full_moon_date) = {R.MOON_YEAR}"""),
     "delete_insert": _q(_DI + """
 SELECT * FROM t WHERE review_id NOT IN (SELECT review_id FROM b)
 UNION ALL SELECT * FROM b"""),

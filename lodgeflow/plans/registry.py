@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,11 +21,11 @@ from pyspark.sql import types as T
 from lodgeflow.functions.columns import day_diff
 from lodgeflow.operators import anomaly, checks, frequent, lineage, load, profile, profile_store, quantiles, scd2
 from lodgeflow.plans import models as M
-from lodgeflow.plans.jobs import REVIEW_PARTITION, with_review_partition
+from lodgeflow.plans.jobs import REVIEW_PARTITION, incremental_fct_load, with_review_partition
 from lodgeflow.plans.suite import PRICE_REGEX, ROOM_TYPES, SENTIMENTS
 from lodgeflow.sources.fixtures import load_raw, table
 from lodgeflow.session import ensure_checkpoint_dir, reliable_checkpoint
-from lodgeflow.sources.raw import moon_calendar
+from lodgeflow.sources.raw import moon_calendar, read_calendar, read_source
 
 # Fixed parameters of the registered scenarios.
 SINCE_LAST_TARGET_END = "1998-01-01 00:00:00"
@@ -107,6 +108,139 @@ def q_increment_window(spark, sf):
     return load.select_increment(fct, target, "review_date", *WINDOW)
 
 
+def _late_target(fct: DataFrame) -> DataFrame:
+    """The fact as a since-last load has left it: without rows that came late, with texts that
+    have changed since and with rows that the source has dropped."""
+    day, key = F.dayofmonth("review_date"), F.col("listing_id")
+    loaded = fct.filter(F.col("review_date") < F.lit(SINCE_LAST_TARGET_END).cast("timestamp_ntz"))
+    kept = loaded.filter(~((day == 5) & (key % 37 == 0)))
+    old = kept.withColumn("review_sentiment", F.when((day == 9) & (key % 41 == 0), F.upper("review_sentiment"))
+                          .otherwise(F.col("review_sentiment")))
+    dropped = loaded.filter((day == 11) & (key % 43 == 0)).withColumn("review_text", F.lit("dropped by the source"))
+    return old.unionByName(dropped)
+
+
+def q_increment_changed_days(spark, sf):
+    """Rows on the days that differ between source and target, found by day checksums."""
+    fct = _fct(spark, sf)
+    return load.select_changed_days(fct, _late_target(fct), "review_date")[0]
+
+
+def q_changed_days_table(spark, sf):
+    """The target after the checksum load: it equals the source again."""
+    fct = with_review_partition(_fct(spark, sf))
+    path = _scratch(spark, "fct")
+    load.write_table(with_review_partition(_late_target(_fct(spark, sf))), path, partition_by=[REVIEW_PARTITION])
+    load.write_changed_days(spark, path, fct, "review_date", REVIEW_PARTITION)
+    return spark.read.parquet(path).drop(REVIEW_PARTITION)
+
+
+def _scratch(spark: SparkSession, kind: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+# --- sinks and sources: written, read back --------------------------------------------
+def q_sink_full_rebuild(spark, sf):
+    """The fact written twice over, partitioned by month."""
+    path, fct = _scratch(spark, "w1"), with_review_partition(_fct(spark, sf))
+    load.write_table(fct.filter(F.col("listing_id") % 2 == 0), path, partition_by=[REVIEW_PARTITION])
+    load.write_table(fct, path, partition_by=[REVIEW_PARTITION])
+    return spark.read.parquet(path).withColumn(REVIEW_PARTITION, F.col(REVIEW_PARTITION).cast("string"))
+
+
+def q_sink_since_last(spark, sf):
+    """A first load of older reviews, then a since-last load of all."""
+    path, raw = _scratch(spark, "w3"), load_raw(spark, sf)["reviews"]
+    before = F.col("date") < F.lit(SINCE_LAST_TARGET_END).cast("timestamp_ntz")
+    incremental_fct_load(spark, raw.filter(before), path)
+    incremental_fct_load(spark, raw, path)
+    return spark.read.parquet(path).drop(REVIEW_PARTITION)
+
+
+def q_sink_schema_drift(spark, sf):
+    """A batch with a new and without an old column, under each policy that goes on."""
+    m = _models(spark, sf)["dim_hosts_cleansed"]
+    target, batch = m.filter("host_id % 2 = 0"), m.filter("host_id % 2 = 1").withColumn(
+        "name_length", F.length("host_name").cast("bigint")).drop("is_superhost")
+    out = None
+    for policy in ("ignore", "append_new_columns", "sync_all_columns"):
+        path = _scratch(spark, "w6")
+        old, new = load.reconcile_schema(target, batch, policy)
+        load.write_table(old.unionByName(new), path)
+        back = spark.read.parquet(path)
+        has = lambda c: F.count(c) if c in back.columns else F.lit(-1)  # noqa: E731, B023
+        row = back.agg(F.lit(policy).alias("policy"), F.count(F.lit(1)).alias("rows"), F.count("host_name").alias("names"),
+                       has("is_superhost").cast("bigint").alias("superhosts"), has("name_length").cast("bigint").alias("lengths"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_sink_clustered(spark, sf):
+    """Listings clustered by range, and reviews on an interleaved key of two columns."""
+    listings, reviews = _scratch(spark, "w8"), _scratch(spark, "w8z")
+    load.write_table(_models(spark, sf)["dim_listings_cleansed"], listings, cluster_by=["host_id", "listing_id"])
+    load.write_table(_fct(spark, sf), reviews, zorder_by=["listing_id", "review_date"])
+    per = lambda path, name, key: spark.read.parquet(path).agg(
+        F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("keys"),
+        F.sum("listing_id").alias("total"))
+    return per(listings, "listings", "listing_id").unionByName(per(reviews, "reviews", "review_id"))
+
+
+def q_sink_checks(spark, sf):
+    """Checks run as one job; results and failing rows stored and read back."""
+    raw = load_raw(spark, sf)
+    m, path = M.build_models(raw), _scratch(spark, "w9")
+    nights = F.col("minimum_nights")
+    suite = [checks.Check("one_listing_per_host", lambda: checks.unique(raw["listings"], "host_id"), "warn", "listings"),
+             checks.Check("positive_host", lambda: checks.positive_value(raw["listings"], "host_id"), "error", "listings"),
+             checks.Check("long_stay", lambda: m["dim_listings_cleansed"].filter(nights > 20), "error", "dim_listings",
+                          failing=nights > 20, frame=lambda: m["dim_listings_cleansed"]),
+             checks.Check("no_stay", lambda: m["dim_listings_cleansed"].filter(nights < 1), "error", "dim_listings",
+                          failing=nights < 1, frame=lambda: m["dim_listings_cleansed"])]
+    checks.run_checks(spark, suite, f"{path}/failures", f"{path}/results", "run")
+    stored = None
+    for name in ("one_listing_per_host", "long_stay"):
+        one = spark.read.parquet(f"{path}/failures/{name}").agg(F.lit(name).alias("check_name"), F.count(F.lit(1)).alias("stored"))
+        stored = one if stored is None else stored.unionByName(one)
+    results = spark.read.parquet(f"{path}/results").drop("run_at")
+    return results.join(stored, "check_name", "left")
+
+
+def q_sink_audit(spark, sf):
+    """Audit rows of two writes, one of which fails."""
+    path, hosts = _scratch(spark, "w10"), load_raw(spark, sf)["hosts"]
+    load.audited_write(hosts, f"{path}/hosts", "hosts", f"{path}/audit", "run")
+    try:
+        load.audited_write(hosts, f"{path}/hosts", "again", f"{path}/audit", "run", mode="errorifexists")
+    except AnalysisException:  # the table is there: recorded and raised
+        pass
+    audit = spark.read.parquet(f"{path}/audit")
+    return audit.select("invocation_id", "step", "status", "rows_affected",
+                        (F.col("execution_seconds") >= 0).alias("timed"), F.col("error").isNotNull().alias("failed"))
+
+
+MOON_YEAR = 1997
+
+
+def q_sources_declared(spark, sf):
+    """Raw tables and calendar written as JSON and CSV, read by their declared schemas
+    (of the calendar the moons of one year, as its span follows the data's own dates)."""
+    path, raw = _scratch(spark, "raw"), load_raw(spark, sf)
+    out = None
+    for name in ("hosts", "listings", "reviews"):
+        raw[name].withColumn("undeclared", F.lit(1)).write.json(f"{path}/{name}")
+        back = read_source(spark, name, f"{path}/{name}", "json")
+        one = back.agg(F.lit(name).alias("source"), F.count(F.lit(1)).alias("rows"),
+                       *[F.count(c).alias(f"c{i}") for i, c in enumerate(back.columns[:5])],
+                       F.max(back.columns[1 if name == "reviews" else 3]).cast("string").alias("greatest"))
+        out = one if out is None else out.unionByName(one)
+    moon_calendar(raw["reviews"].select(F.to_date("date").alias("day"))).write.option("header", True).csv(f"{path}/moon")
+    moons = read_calendar(spark, f"{path}/moon").filter(F.year("full_moon_date") == MOON_YEAR).agg(
+        F.lit("calendar").alias("source"), F.count(F.lit(1)).alias("rows"), F.count("full_moon_date").alias("c0"),
+        *[F.lit(None).cast("bigint").alias(f"c{i}") for i in range(1, 5)], F.max("full_moon_date").cast("string").alias("greatest"))
+    return out.unionByName(moons)
+
+
 def _delete_insert_inputs(spark, sf):
     fct = _fct(spark, sf)
     target = fct.filter(F.col("review_date") < F.lit(DELETE_INSERT_TARGET_END).cast("timestamp_ntz"))
@@ -273,6 +407,37 @@ def q_scd2_snapshot_table(spark, sf):
     return scd2.read_history(spark, path).drop("closed_run", "scd_id")
 
 
+def listing_feed(raw_listings: DataFrame, run: int) -> DataFrame:
+    """A change feed over the listings. Run 1: three versions of every tenth listing. Run 2: a
+    later version of every fifth, versions that are known or too old, and new listings of
+    two versions each."""
+    k, day = F.col("id"), lambda n: F.col("updated_at") + F.expr(f"INTERVAL {n} DAYS")
+
+    def version(of: DataFrame, days: int, price: str) -> DataFrame:
+        return of.withColumns({"updated_at": day(days), "price": F.lit(price)})
+
+    tenth = raw_listings.filter(k % 10 == 0)
+    if run == 1:
+        parts = [version(tenth, n, f"${n}.00") for n in (2, 1, 3)]
+    else:
+        new = raw_listings.filter(k % 101 == 0).withColumn("id", k + raw_listings.select(F.max("id")).scalar() + 1)
+        parts = [version(raw_listings.filter(k % 5 == 0), 5, "$9.00"), version(tenth, 2, "$0.50"),
+                 version(raw_listings.filter(k % 7 == 0), -1, "$0.25"), new, version(new, 1, "$7.00")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p.select(*out.columns))
+    return out
+
+
+def q_scd2_feed(spark, sf):
+    """Three runs: all listings, then two change feeds with several versions of a key."""
+    raw = load_raw(spark, sf)["listings"]
+    history = scd2.scd2_feed(None, raw, "id")
+    for run in (1, 2):
+        history = reliable_checkpoint(scd2.scd2_feed(history, listing_feed(raw, run), "id"))
+    return history.drop("scd_id")
+
+
 def q_late_calendar(spark, sf):
     """Full-moon flags of reviews moved twenty years on."""
     reviews = load_raw(spark, sf)["reviews"].withColumn("date", F.col("date") + F.expr("INTERVAL 20 YEARS"))
@@ -478,6 +643,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_fullmoon_reviews": _model("mart_fullmoon_reviews"),
     "increment_since_last": q_increment_since_last,
     "increment_window": q_increment_window,
+    "increment_changed_days": q_increment_changed_days,
+    "changed_days_table": q_changed_days_table,
+    "scd2_feed": q_scd2_feed,
+    "sink_full_rebuild": q_sink_full_rebuild,
+    "sink_since_last": q_sink_since_last,
+    "sink_schema_drift": q_sink_schema_drift,
+    "sink_clustered": q_sink_clustered,
+    "sink_checks": q_sink_checks,
+    "sink_audit": q_sink_audit,
+    "sources_declared": q_sources_declared,
     "delete_insert": q_delete_insert,
     "merge_upsert": q_merge_upsert,
     "skip_existing": q_skip_existing,
