@@ -2,13 +2,20 @@
 
 DataFrame functions only. Word and line statistics are worked out inside each row.
 Per language and source a minimum-covariance-determinant estimate is fitted to
-transformed statistics: starting from medians and quartile ranges, each
-concentration step keeps the ``HALF`` share of documents nearest by Mahalanobis
-distance and re-estimates mean and covariance from them; a reweighting step
-follows. Documents beyond the chi-square ``TAIL`` of their group are rejected.
+transformed statistics. It has ``STARTS`` deterministic starts, all around the medians:
+quartile ranges alone, the correlation of bounded (tanh) values, and that of
+spatial signs. A concentration step keeps the ``HALF`` share of documents nearest by
+Mahalanobis distance and re-estimates mean and covariance from them, which never
+raises the determinant; after ``TRIALS`` steps the start of the least determinant goes on
+for ``STEPS`` more. A reweighting step follows. Documents beyond the chi-square ``TAIL``
+of their group are rejected.
+
+No direction gets less variance than the floors in ``VECTOR``, which only matters where a
+group hardly varies: a floor is the least a pivot of the Cholesky factor may be, nothing is
+added to other covariances.
 
 The transformed vectors are stored once; each step aggregates moments (map-side
-first) and joins one row per group and salt, so a source with a third of all
+first) and joins one row per group, start and salt, so a source with a third of all
 documents is neither gathered nor joined in one task.
 
 Defined cases: null text has no words and fails the base rule; a null lang or
@@ -35,7 +42,7 @@ MOST_REPEATED = 20  # percent of words
 #: Transformed statistics with the least standard deviation they are given.
 VECTOR = {"v_words": 0.5, "v_length": 0.1, "v_symbols": 0.05, "v_lines": 0.15, "v_repeats": 0.1, "v_distinct": 0.05}
 HALF = 0.75
-STEPS = 3
+STARTS, TRIALS, STEPS = 3, 2, 2
 TAIL = 1e-6
 LEAST = 200
 SALTS = 32
@@ -128,7 +135,7 @@ def _salted(params: DataFrame) -> DataFrame:
 
 def _distance(stats: DataFrame, params: DataFrame) -> DataFrame:
     """Adds d2, the squared Mahalanobis distance by the group's mean and whitening factor."""
-    near = stats.join(_salted(params), ["g", "salt"])
+    near = stats.join(_salted(params), [k for k in ("g", "start", "salt") if k == "salt" or k in params.columns])
     parts = []
     for i in range(D):
         z = sum(((F.col(NAMES[j]) - F.col(f"m{j}")) * F.col(f"w{i}{j}") for j in range(i + 1)), F.lit(0.0))
@@ -136,51 +143,99 @@ def _distance(stats: DataFrame, params: DataFrame) -> DataFrame:
     return near.withColumn("d2", sum(parts, F.lit(0.0)))
 
 
-def _moments(rows: DataFrame, factor: float) -> DataFrame:
-    """Mean and whitening factor (inverse Cholesky) per group of the given rows."""
+PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
+
+
+def _moments(rows: DataFrame, factor: float, keys: list[str]) -> DataFrame:
+    """Estimate (see ``_factored``) of the given rows per key."""
     sums = [F.sum(NAMES[i]).alias(f"s{i}") for i in range(D)]
-    sums += [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}{j}") for i in range(D) for j in range(i + 1)]
-    t = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *sums)
-    t = t.select("g", "n", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(D)],
-                 *[c for c in t.columns if c.startswith("s")])
-    cov = {(i, j): F.lit(factor) * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
-           + (F.lit(VECTOR[NAMES[i]] ** 2) if i == j else F.lit(0.0)) for i in range(D) for j in range(i + 1)}
-    t = stored(t.select("g", "n", *[f"m{i}" for i in range(D)], *[c.alias(f"c{i}{j}") for (i, j), c in cov.items()]))
+    sums += [F.sum(F.col(NAMES[i]) * F.col(NAMES[j])).alias(f"s{i}{j}") for i, j in PAIRS]
+    t = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *sums)
+    mean = lambda i: F.col(f"s{i}") / F.col("n")
+    return _factored(t.select(*keys, "n", *[mean(i).alias(f"m{i}") for i in range(D)], *[
+        (F.lit(factor) * (F.col(f"s{i}{j}") / F.col("n") - mean(i) * mean(j))).alias(f"c{i}{j}") for i, j in PAIRS]), keys)
+
+
+def _factored(t: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n, mean m, inverse Cholesky factor w and logarithm of the determinant, from means
+    and covariances; pivots below the floors are raised to them."""
+    t = stored(t)
     for i in range(D):  # Cholesky rows; a column per entry keeps the expressions short
         for j in range(i):
             inner = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
             t = t.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - inner) / F.col(f"l{j}{j}"))
         inner = sum((F.col(f"l{i}{k}") * F.col(f"l{i}{k}") for k in range(i)), F.lit(0.0))
-        t = t.withColumn(f"l{i}{i}", F.sqrt(F.greatest(F.col(f"c{i}{i}") - inner, F.lit(VECTOR[NAMES[i]] ** 2 / 4))))
+        t = t.withColumn(f"l{i}{i}", F.sqrt(F.greatest(F.col(f"c{i}{i}") - inner, F.lit(VECTOR[NAMES[i]] ** 2))))
     t = stored(t)
     for i in range(D):
         for j in range(i):
             inner = sum((F.col(f"l{i}{k}") * F.col(f"w{k}{j}") for k in range(j, i)), F.lit(0.0))
             t = t.withColumn(f"w{i}{j}", -inner / F.col(f"l{i}{i}"))
         t = t.withColumn(f"w{i}{i}", 1 / F.col(f"l{i}{i}"))
-    kept = [f"m{i}" for i in range(D)] + [f"w{i}{j}" for i in range(D) for j in range(i + 1)]
-    return stored(t.select("g", "n", *kept))
+    log_det = sum((2 * F.log(f"l{i}{i}") for i in range(D)), F.lit(0.0))
+    kept = [f"m{i}" for i in range(D)] + [f"w{i}{j}" for i, j in PAIRS]
+    return stored(t.select(*keys, "n", *kept, log_det.alias("log_det")))
 
 
-def _start(usable: DataFrame) -> DataFrame:
-    """Medians and quartile ranges as a first, diagonal estimate."""
+def _starts(usable: DataFrame) -> DataFrame:
+    """One estimate per group and start, around the medians."""
     q = usable.groupBy("g").agg(F.count(F.lit(1)).alias("n"), *[
         F.percentile_approx(v, [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i, v in enumerate(NAMES)])
     spread = lambda i: F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(VECTOR[NAMES[i]]))
-    return stored(q.select("g", "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(D)], *[
-        (1 / spread(i) if i == j else F.lit(0.0)).alias(f"w{i}{j}") for i in range(D) for j in range(i + 1)]))
+    q = stored(q.select("g", "n", *[F.col(f"q{i}")[1].alias(f"m{i}") for i in range(D)],
+                        *[spread(i).alias(f"d{i}") for i in range(D)]))
+    z = usable.join(_salted(q.drop("n")), ["g", "salt"]).select(
+        "g", *[((F.col(NAMES[i]) - F.col(f"m{i}")) / F.col(f"d{i}")).alias(f"z{i}") for i in range(D)])
+    length = F.sqrt(sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(D)), F.lit(0.0)))
+    z = z.select("g", *[F.tanh(f"z{i}").alias(f"t{i}") for i in range(D)],
+                 *[(F.col(f"z{i}") / F.greatest(length, F.lit(1e-9))).alias(f"u{i}") for i in range(D)])
+    second = z.groupBy("g").agg(*[F.avg(F.col(f"{v}{i}") * F.col(f"{v}{j}")).alias(f"{v}{i}{j}") for v in "tu" for i, j in PAIRS],
+                                *[F.avg(f"t{i}").alias(f"a{i}") for i in range(D)])
+    t = q.join(second, "g")
+    bounded = lambda i, j: F.col(f"t{i}{j}") - F.col(f"a{i}") * F.col(f"a{j}")
+    signs = lambda i, j: F.col(f"u{i}{j}")
+
+    def correlated(of, i: int, j: int) -> Column:
+        if i == j:
+            return F.lit(1.0)
+        size = F.sqrt(of(i, i) * of(j, j))
+        return F.when(size > 1e-12, F.greatest(F.least(of(i, j) / size, F.lit(0.99)), F.lit(-0.99))).otherwise(0.0)
+
+    kinds = [lambda i, j: F.lit(1.0 if i == j else 0.0), lambda i, j: correlated(bounded, i, j), lambda i, j: correlated(signs, i, j)]
+    out = None
+    for start, kind in enumerate(kinds):
+        one = t.select("g", F.lit(start).alias("start"), "n", *[f"m{i}" for i in range(D)], *[
+            (kind(i, j) * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"c{i}{j}") for i, j in PAIRS])
+        out = one if out is None else out.unionByName(one)
+    return _factored(out, ["g", "start"])
+
+
+def _concentrated(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """One concentration step per group and start."""
+    near = _distance(rows, params)
+    edge = near.groupBy("g", "start").agg(F.percentile_approx("d2", HALF, 1000).alias("edge"))
+    inside = _distance(rows, params.join(edge, ["g", "start"])).filter("d2 <= edge")
+    return _moments(inside, consistency(HALF), ["g", "start"])
+
+
+def least_determinant(usable: DataFrame) -> DataFrame:
+    """Raw estimate per group g of rows with vectors and salt: the best start, concentrated."""
+    params = _starts(usable)
+    every = usable.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(STARTS - 1))))
+    for _ in range(TRIALS):
+        params = _concentrated(every, params)
+    best = params.groupBy("g").agg(F.min(F.struct("log_det", "start")).alias("b")).select("g", F.col("b.start").alias("start"))
+    params = stored(params.join(best, ["g", "start"]).withColumn("start", F.lit(0)))
+    one = usable.withColumn("start", F.lit(0))
+    for _ in range(STEPS):
+        params = _concentrated(one, params)
+    return params.drop("start")
 
 
 def fit(usable: DataFrame) -> DataFrame:
-    """Reweighted estimate per group g of rows with vectors and salt."""
-    params = _start(usable)
-    for _ in range(STEPS):
-        near = _distance(usable, params)
-        edge = near.groupBy("g").agg(F.percentile_approx("d2", HALF, 1000).alias("edge"))
-        inside = _distance(usable, params.join(edge, "g")).filter("d2 <= edge")
-        params = _moments(inside, consistency(HALF))
-    inside = _distance(usable, params).filter(F.col("d2") <= chi_square_quantile(0.975, D))
-    return _moments(inside, consistency(0.975))
+    """Reweighted estimate per group."""
+    inside = _distance(usable, least_determinant(usable)).filter(F.col("d2") <= chi_square_quantile(0.975, D))
+    return _moments(inside, consistency(0.975), ["g"]).drop("log_det")
 
 
 def _grouped(rows: DataFrame) -> DataFrame:

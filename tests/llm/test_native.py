@@ -6,7 +6,9 @@ import re
 import time
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lodgeflow.llm import mixing, outliers, personal
 from tests.llm.fixtures import awkward, nothing, prose
@@ -98,6 +100,69 @@ def test_outliers_rejects_the_odd_and_keeps_the_rest(spark):
     assert not any(r["kept"] for r in got if r["doc_id"] >= 1000)
 
 
+def plain_mcd(x, floors, rng, tries=200):
+    """Least log-determinant of random starts with concentration steps to the end, by numpy."""
+    h, best = math.ceil(outliers.HALF * len(x)), math.inf
+    for _ in range(tries):
+        own = x[rng.choice(len(x), x.shape[1] + 2, replace=False)]
+        before = math.inf
+        while True:
+            mean, cov = own.mean(axis=0), np.cov(own.T, bias=True) + 1e-9 * np.eye(x.shape[1])
+            distance = np.einsum("ij,jk,ik->i", x - mean, np.linalg.inv(cov), x - mean)
+            own = x[np.argsort(distance, kind="stable")[:h]]
+            size = np.linalg.slogdet(np.cov(own.T, bias=True) * outliers.consistency(outliers.HALF))[1]
+            if size >= before - 1e-9:
+                break
+            before = size
+        best = min(best, before)
+    return best
+
+
+def test_least_determinant_equals_many_random_starts(spark):
+    """Two groups, a fifth of each far off in a cloud of its own and correlated columns."""
+    rng = np.random.default_rng(4)
+    rows, want = [], {}
+    for g in ("2a", "2b"):
+        mix = rng.normal(size=(6, 6)) + 2 * np.eye(6)
+        x = rng.normal(size=(300, 6)) @ mix * 3
+        x[:60] = rng.normal(size=(60, 6)) * 0.5 + 90
+        want[g] = plain_mcd(x, None, rng)
+        rows += [(g, i % outliers.SALTS, *map(float, v)) for i, v in enumerate(x)]
+    usable = spark.createDataFrame(rows, "g string, salt int, " + ", ".join(f"{n} double" for n in outliers.NAMES))
+    raw = {r["g"]: r for r in outliers.least_determinant(usable).collect()}
+    for g in want:
+        assert raw[g]["log_det"] <= want[g] + 0.05
+    # the clouds are beyond the cut-off of the reweighted estimate, the rest is not
+    far = outliers._distance(usable, outliers.fit(usable)).collect()
+    cut = outliers.chi_square_quantile(1 - outliers.TAIL, 6)
+    assert [r["d2"] > cut for r in far] == [r["v_words"] > 80 for r in far]
+
+
+def test_concentration_never_raises_the_determinant(spark):
+    rng = np.random.default_rng(8)
+    x = rng.standard_t(2, size=(400, 6)) * 4
+    usable = spark.createDataFrame([("2", i % outliers.SALTS, *map(float, v)) for i, v in enumerate(x)],
+                                   "g string, salt int, " + ", ".join(f"{n} double" for n in outliers.NAMES))
+    params = outliers._starts(usable)
+    every = usable.withColumn("start", F.explode(F.sequence(F.lit(0), F.lit(outliers.STARTS - 1))))
+    sizes = []
+    for _ in range(4):
+        params = outliers._concentrated(every, params)
+        sizes.append({r["start"]: r["log_det"] for r in params.collect()})
+    assert all(b[k] <= a[k] + 1e-6 for a, b in zip(sizes, sizes[1:]) for k in a)
+
+
+def test_floors_are_a_least_not_an_addend(spark):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 6)) * 3
+    x[:, 2] = 0.25  # a statistic that does not vary at all
+    usable = spark.createDataFrame([("2", i % outliers.SALTS, *map(float, v)) for i, v in enumerate(x)],
+                                   "g string, salt int, " + ", ".join(f"{n} double" for n in outliers.NAMES))
+    r = outliers._moments(usable, 1.0, ["g"]).first()
+    cov = np.cov(np.delete(x, 2, axis=1).T, bias=True)
+    assert r["log_det"] == pytest.approx(np.linalg.slogdet(cov)[1] + 2 * math.log(outliers.VECTOR["v_symbols"]))
+
+
 def test_outliers_edges(spark):
     got = outliers.judge(awkward(spark)).collect()
     assert len(got) == awkward(spark).count()
