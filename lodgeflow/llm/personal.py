@@ -1,11 +1,12 @@
 """Operator 5: personal data by bootstrapped contextual extraction.
 
-DataFrame functions only. Seeds are base matches (email, ip, card, phone). The word
-before and the word after an entity are its lexical patterns. A pattern's score is
-the weight of the known identifiers next to it over all occurrences of its word in
-the corpus; an identifier-like word next to scored patterns gets
-``1 - product(1 - score)``; both sides are scored in turns for ``ROUNDS`` rounds, and
-words above ``ACCEPT`` add spans of the kind their patterns know.
+DataFrame functions only. Seeds are base matches (email, ip, card, phone). An entity's
+lexical patterns are the word before it, the word after it, and both as a pair. A pattern
+needs ``SUPPORT`` different seeds; its score for a kind is the weight of the known identifiers
+of that kind in its place over all identifier-like words that stand there. Patterns of at
+least ``SCORE`` count; an identifier-like word in such places gets ``1 - product(1 - score)``.
+Both sides are scored in turns for ``ROUNDS`` rounds, and words of at least ``ACCEPT``
+add spans of the kind their patterns know.
 
 Positions are counted inside each row: text between matches and the matches have
 known lengths, and running sums over blocks of lengths give the offsets. All
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeflow.llm.common import stored, text_of, with_row_number, words_native
+from lodgeflow.llm.common import stored, text_of, with_row_number
 
 KINDS = ["email", "ip", "card", "phone"]
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -42,7 +43,7 @@ REACH = 100
 ROUNDS = 3
 SUPPORT = 5  # different seeds a pattern needs
 SCORE = 0.5  # patterns below it count nothing
-ACCEPT = 0.8
+ACCEPT = 0.6
 LEAST_CHARS = 5  # of a discovered word
 
 
@@ -137,33 +138,45 @@ def _occurrences(scanned: DataFrame) -> DataFrame:
     return rows.filter(~touched).drop("reached", "coming").withColumn("token", F.lower("token"))
 
 
-def discover(docs: DataFrame, scanned: DataFrame) -> DataFrame:
-    """row_id, start, end, kind of the words that the patterns reveal."""
-    seen = stored(_occurrences(scanned))
-    sides = F.explode(F.array(F.struct(F.lit("L").alias("side"), F.col("before").alias("cue")),
-                              F.struct(F.lit("R").alias("side"), F.col("after").alias("cue")))).alias("p")
-    edges = (seen.select("token", "kind", sides).select("token", "kind", "p.*").filter("cue <> ''")
-             .groupBy("side", "cue", "token", "kind").agg(F.count(F.lit(1)).alias("n")))
-    edges = stored(edges)
-    supported = (edges.filter(F.col("kind") < len(KINDS)).groupBy("side", "cue")
-                 .agg(F.count_distinct("token").alias("seeds")).filter(F.col("seeds") >= SUPPORT))
-    every_word = (docs.select(F.explode(words_native(F.lower(text_of()))).alias("cue"))
-                  .groupBy("cue").agg(F.count(F.lit(1)).alias("total")))
-    patterns = stored(supported.join(every_word, "cue").select("side", "cue", "total"))
-    edges = stored(edges.join(patterns, ["side", "cue"]))
-    seeds = edges.filter(F.col("kind") < len(KINDS)).select("token", F.col("kind").alias("as_kind"),
-                                                            F.lit(1.0).alias("weight")).distinct()
-    known, wanted = seeds, edges.filter(F.col("kind") == len(KINDS))
+def _places(seen: DataFrame) -> DataFrame:
+    """token, kind, side, cue: the patterns an entity or word stands in."""
+    before, after = F.col("before"), F.col("after")
+    place = lambda side, cue: F.struct(F.lit(side).alias("side"), cue.alias("cue"))
+    sides = F.array(place("L", before), place("R", after),
+                    place("B", F.when((before != "") & (after != ""), F.concat_ws(" ", before, after)).otherwise("")))
+    return seen.select("token", "kind", F.explode(sides).alias("p")).select("token", "kind", "p.*").filter("cue <> ''")
+
+
+def score_words(places: DataFrame) -> DataFrame:
+    """token, as_kind, weight of the accepted words: patterns and words scored in turns.
+    ``places``: token, kind, side, cue (kind ``len(KINDS)``: identifier-like, unknown)."""
+    unknown = len(KINDS)
+    supported = (places.filter(F.col("kind") < unknown).groupBy("side", "cue")
+                 .agg(F.count_distinct("token").alias("seeds")).filter(F.col("seeds") >= SUPPORT).select("side", "cue"))
+    edges = stored(places.join(stored(supported), ["side", "cue"], "left_semi")
+                   .groupBy("side", "cue", "token", "kind").agg(F.count(F.lit(1)).alias("n")))
+    totals = stored(edges.groupBy("side", "cue").agg(F.sum("n").alias("total")))
+    seeds = edges.filter(F.col("kind") < unknown).select("token", F.col("kind").alias("as_kind"),
+                                                         F.lit(1.0).alias("weight")).distinct()
+    known, wanted = seeds, edges.filter(F.col("kind") == unknown)
     for _ in range(ROUNDS):
         scores = (edges.join(known, "token").groupBy("side", "cue", "as_kind")
-                  .agg((F.sum(F.col("n") * F.col("weight")) / F.max("total")).alias("score"))
+                  .agg(F.sum(F.col("n") * F.col("weight")).alias("mass")).join(totals, ["side", "cue"])
+                  .select("side", "cue", "as_kind", (F.col("mass") / F.col("total")).alias("score"))
                   .filter(F.col("score") >= SCORE))
         told = (wanted.join(scores, ["side", "cue"]).groupBy("token", "as_kind")
                 .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias("weight")))
         best = told.groupBy("token").agg(F.max(F.struct("weight", -F.col("as_kind"))).alias("b")).select(
             "token", (-F.col("b.col2")).alias("as_kind"), F.col("b.weight").alias("weight"))
         found = stored(best.filter(F.col("weight") >= ACCEPT))
-        known = seeds.unionByName(found)
+        known = seeds.unionByName(found.join(seeds.select("token"), "token", "left_anti"))
+    return found
+
+
+def discover(scanned: DataFrame) -> DataFrame:
+    """row_id, start, end, kind of the words that the patterns reveal."""
+    seen = stored(_occurrences(scanned))
+    found = score_words(_places(seen))
     return seen.filter(F.col("kind") == len(KINDS)).join(found, "token").select(
         "row_id", "start", "end", F.col("as_kind").alias("kind"))
 
@@ -178,7 +191,7 @@ def _spans(items: Column) -> Column:
 def find_personal(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans per document row."""
     scanned = scan(docs)
-    more = (discover(docs, scanned).groupBy("row_id")  # a document's own spans only
+    more = (discover(scanned).groupBy("row_id")  # a document's own spans only
             .agg(F.collect_list(F.struct("start", "end", "kind")).alias("more")))
     base = F.transform("base", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind")))
     rows = scanned.select("row_id", "doc_id", base.alias("base")).join(more, "row_id", "left")

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import time
 from collections import Counter
@@ -236,6 +237,73 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[101]["spans"] == ""
 
 
+def test_a_third_of_the_identifiers_unseen(spark):
+    """A cue with two thirds known numbers yields the others, whatever follows them."""
+    known = [(i, f"{prose(i, 8)} phone: +4369912{i:05d} {prose(i + 400, 6)}") for i in range(60)]
+    unseen = [(100 + i, f"{prose(100 + i, 8)} phone: 0699/12{i:05d} {prose(i + 600, 6)}") for i in range(30)]
+    # one cue for two kinds tells nothing
+    mixed = [(200 + i, f"{prose(200 + i, 5)} contact {c} {prose(i + 800, 3)}") for i, c in enumerate(
+        [f"a{k}@mail.example" for k in range(8)] + [f"10.0.0.{k}" for k in range(8)] + ["ticket-4711-x", "ticket-4712-x"])]
+    rows = known + unseen + mixed
+    got = {r["doc_id"]: r["spans"] for r in personal.find_personal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in unseen:
+        at = text.index("0699/")
+        assert got[i] == f"phone:{at}:{at + 12}"
+    assert got[216] == got[217] == ""
+
+
+def plain_scores(places):
+    """The rounds by plain loops: token -> (kind, weight)."""
+    unknown = len(personal.KINDS)
+    seeds = {}
+    for token, kind, side, cue in places:
+        if kind < unknown:
+            seeds.setdefault((side, cue), set()).add(token)
+    patterns = {p for p, s in seeds.items() if len(s) >= personal.SUPPORT}
+    edges = Counter((p, token, kind) for token, kind, *p in map(list, places) for p in [tuple(p)] if p in patterns)
+    total = Counter()
+    for (p, _, _), n in edges.items():
+        total[p] += n
+    sure = {(t, k): 1.0 for _, t, k in edges if k < unknown}
+    known, found = dict(sure), {}
+    for _ in range(personal.ROUNDS):
+        mass = Counter()
+        for (p, t, _), n in edges.items():
+            for (token, kind), weight in known.items():
+                if token == t:
+                    mass[p, kind] += n * weight
+        scores = {x: m / total[x[0]] for x, m in mass.items() if m / total[x[0]] >= personal.SCORE}
+        left = Counter()
+        for p, t, k in edges:
+            if k == unknown:
+                for (q, kind), s in scores.items():
+                    if q == p:
+                        left[t, kind] += math.log(max(1 - s, 1e-9))
+        found = {}
+        for (t, kind), x in left.items():
+            if 1 - math.exp(x) >= personal.ACCEPT - 1e-12:
+                found[t] = max(found.get(t, (0, 0)), (1 - math.exp(x), -kind))
+        known = dict(sure) | {(t, -k): w for t, (w, k) in found.items() if not any(u == t for u, _ in sure)}
+    return {t: (-k, w) for t, (w, k) in found.items()}
+
+
+def test_scores_equal_plain_loops(spark):
+    rng = random.Random(12)
+    for _ in range(3):
+        places = []
+        for side, cue, kind, share in (("L", "a", 0, 0.7), ("L", "b", 1, 0.55), ("R", "c", 0, 0.6), ("B", "a c", 0, 0.8), ("L", "d", 3, 0.3)):
+            for _ in range(40):
+                seen = rng.random() < share
+                token = f"{'s' if seen else 'u'}{rng.randrange(25)}"
+                places.append((token, kind if seen else len(personal.KINDS), side, cue))
+        got = {r["token"]: (r["as_kind"], r["weight"]) for r in personal.score_words(
+            spark.createDataFrame(places, "token string, kind int, side string, cue string")).collect()}
+        want = plain_scores(places)
+        assert {t: k for t, (k, _) in got.items()} == {t: k for t, (k, _) in want.items()} and want
+        for t in want:
+            assert got[t][1] == pytest.approx(want[t][1])
+
+
 def test_personal_empty(spark):
     assert personal.find_personal(nothing(spark)).count() == 0
 
