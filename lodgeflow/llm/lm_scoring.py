@@ -144,6 +144,10 @@ def _row_hash(*more):
     return F.xxhash64("doc_id", "text", *more)
 
 
+#: Trained copies averaged by one task.
+FAN_IN = 8
+
+
 def train_round(texts: DataFrame, words, model: _Model, shards: int) -> None:
     """texts: doc_id, text. Trains a copy per shard and sets the model to their mean,
     weighted by symbols."""
@@ -175,7 +179,12 @@ def train_round(texts: DataFrame, words, model: _Model, shards: int) -> None:
     kind = "symbols long, parameters binary"
     dealt = texts.withColumn("shard", F.pmod(_row_hash(F.lit(3)), F.lit(shards)))
     fitted = dealt.repartition(shards, "shard").sortWithinPartitions(_row_hash(), "doc_id", "text").mapInArrow(fit, kind)
-    copies = fitted.repartition(8).mapInArrow(add, kind).collect()  # eight partial means
+    # a tree of means: a task takes about FAN_IN copies, whatever the number of shards
+    copies, n = stored(fitted), shards
+    while n > FAN_IN:
+        n = -(-n // FAN_IN)
+        copies = stored(copies.repartition(n).mapInArrow(add, kind))
+    copies = copies.collect()  # FAN_IN rows at most
     weight = sum(r["symbols"] for r in copies)
     if weight:
         mean = sum(np.frombuffer(r["parameters"], "<f4").astype(float) * (r["symbols"] / weight) for r in copies)
