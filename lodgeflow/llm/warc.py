@@ -4,10 +4,11 @@ Record heads (page, payload digest) are reduced to the smallest page_id per
 digest; pages join these originals on (digest, salt), so a payload that a third
 of all pages share is spread over ``SALTS`` keys. Each page becomes one WARC/1.1
 record, a ``response`` with its payload or a ``revisit`` that only refers to the
-original, and Spark's text sink writes the archives: the blank lines that end a
-record are its line separator, and tasks commit their files as for any table, so
-lost executors leave no half archives. ``read_archives`` parses the files record by
-record and verifies every payload against its digest.
+original, compressed as a gzip member of its own. A task joins members to files of
+about ``FILE_BYTES``, and Spark's text sink writes a file per row: its line separator is
+an empty gzip member, and tasks commit their files as for any table, so lost
+executors leave no half archives. ``read_archives`` takes a file (bounded in bytes) per
+row, parses it record by record and verifies every payload against its digest.
 
 Defined cases: null html is an empty payload; payloads under ``MIN_BYTES`` are
 always responses; a row with null page_id is never an original (it revisits one
@@ -18,6 +19,7 @@ percent-encoded; no pages give an empty archive.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -30,10 +32,12 @@ from lodgeflow.llm.common import scratch_path, text_of
 
 MIN_BYTES = 100
 SALTS = 16
-#: Bounds the size of one archive file.
-RECORDS_PER_FILE = 4000
+#: Compressed bytes of an archive file; a longer record has a file of its own.
+FILE_BYTES = 32 << 20
+LEVEL = 6
 CRLF = "\r\n"
 END = CRLF + CRLF
+NOTHING = gzip.compress(b"", mtime=0)  # an empty member closes a file
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SCHEMA = ("page_id long, url string, payload_bytes long, payload_digest string, record_type string, "
           "refers_to long, record_id string")
@@ -97,16 +101,33 @@ def records(resolved: DataFrame, date: str) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
-                   min_bytes: int = MIN_BYTES) -> str:
-    """Write gzip-compressed archives below ``path``."""
-    (records(resolve(pages, min_bytes), date).write
-     .option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE)
+                   min_bytes: int = MIN_BYTES, file_bytes: int = FILE_BYTES) -> str:
+    """Write gzip-compressed archives below ``path``, a member per record."""
+    size = file_bytes
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, used = [], 0
+        for batch in batches:
+            for record in batch.column("value"):
+                member = gzip.compress(record.as_py() + END.encode(), LEVEL, mtime=0)
+                if held and used + len(member) > size:
+                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
+                    held, used = [], 0
+                held.append(member)
+                used += len(member)
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
+
+    files = records(resolve(pages, min_bytes), date).select(F.col("value").cast("binary").alias("value"))
+    (files.mapInArrow(join, "value binary").select(F.col("value").cast("string").alias("value")).write
+     .option("lineSep", NOTHING.decode("latin-1")).option("encoding", "ISO-8859-1").option("maxRecordsPerFile", 1)
      .text(path))
     return path
 
 
 def _parse(content: bytes) -> Iterator[tuple[dict, bytes]]:
-    """(headers, block) per record; holds one record and 1 MB of input at a time."""
+    """(headers, block) per record of a file's bytes; holds one record and 1 MB of what is
+    unpacked at a time."""
     buffer, at, unzip = bytearray(), 0, zlib.decompressobj(wbits=31)
     end = END.encode()
 

@@ -48,6 +48,36 @@ def test_archives_hold_each_payload_once(spark, scratch):
     assert b"\r\nInjected: 1" not in raw
 
 
+def members(data):
+    """Unpacked gzip members, one by one."""
+    import zlib
+
+    out = []
+    while data:
+        unzip = zlib.decompressobj(wbits=31)
+        out.append(unzip.decompress(data))
+        data = unzip.unused_data
+    return out
+
+
+def test_files_are_bounded_in_bytes_and_records_are_members(spark, scratch):
+    import glob
+    import os
+
+    rows = [(i, f"http://x/{i}", prose(i, 200)) for i in range(60)] + [(99, "long", prose(99, 9000))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    warc.write_archives(df, f"{scratch}/a", file_bytes=6000)
+    files = glob.glob(f"{scratch}/a/part-*")
+    sizes = sorted(os.path.getsize(f) for f in files)
+    assert len(files) > 4 and sizes[-2] <= 6000 + len(warc.NOTHING) < sizes[-1]  # the long page's own file
+    parts = [m for f in files for m in members(open(f, "rb").read())]
+    records = [m for m in parts if m]
+    assert len(records) == 61 and len(parts) == 61 + len(files)
+    assert all(m.startswith(b"WARC/1.1\r\n") and m.endswith(b"\r\n\r\n") for m in records)
+    got = warc.read_archives(spark, f"{scratch}/a").select("page_id", "payload_digest").collect()
+    assert {r["page_id"]: r["payload_digest"] for r in got} == {i: hashlib.sha256(t.encode()).hexdigest() for i, _, t in rows}
+
+
 def test_damage_is_noticed():
     import pytest
     body = b"WARC/1.1\r\nContent-Length: 10\r\n\r\nabc\r\n\r\n"
