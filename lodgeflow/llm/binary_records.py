@@ -28,6 +28,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lodgeflow.llm.checksums import crc32c, masked
 from lodgeflow.llm.common import stored, text_of, with_row_number
-from lodgeflow.llm.tokens import encoder, vocabulary_size
+from lodgeflow.llm.tokens import encoder, parts, vocabulary_size
 
 END_ID = 1
 FILE_BYTES = 32 << 20
@@ -83,7 +84,7 @@ def write_records(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
         def row():
             return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], ["value"])
 
-        for batch in batches:
+        for batch in chain.from_iterable(map(parts, batches)):
             ids, begins = run.encode(batch.column("text"), end_id)
             doc_ids, at = batch.column("doc_id").to_pylist(), 0
             while at < len(doc_ids):

@@ -19,6 +19,7 @@ packed each; a null doc_id is carried through; no documents give no pieces.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeflow.llm.common import stored, text_of, with_row_number
-from lodgeflow.llm.tokens import encoder
+from lodgeflow.llm.tokens import encoder, parts
 
 WINDOW = 4096
 GRID = 64
@@ -46,7 +47,7 @@ def tokenize(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> Data
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = encoder(model.value)
-        for batch in batches:
+        for batch in chain.from_iterable(map(parts, batches)):
             ids, begins = run.encode(batch.column("text"), end_id)
             cells = pa.LargeBinaryArray.from_buffers(pa.large_binary(), batch.num_rows, [
                 None, pa.py_buffer((4 * begins).astype(np.int64)), pa.py_buffer(ids.astype("<u4"))])

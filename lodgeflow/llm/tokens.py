@@ -15,15 +15,17 @@ For other tokenizers nothing is cut: whole texts are encoded.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text worked on at a time, pieces remembered before a task starts afresh, and
 #: pieces joined for one call of the tokenizer.
-SLICE = 4 << 20
-REMEMBERED = 600_000
+SLICE = 2 << 20
+REMEMBERED = 400_000
 JOINED = 1000
 WORD_END = "</w>"
 
@@ -141,8 +143,11 @@ class TextEncoder:
             start = stops[after - 1]
             start = start + (kind[start] == SPACE)
             end = np.append(stops, len(raw))[after]
-            depth = np.bincount(start, minlength=len(raw) + 1) - np.bincount(end, minlength=len(raw) + 1)
-            kind[np.cumsum(depth[:-1]) > 0] = ODD
+            depth = np.zeros(len(raw) + 1, np.int8)
+            start, first = np.unique(start, return_index=True)  # each word once
+            depth[start] += 1
+            depth[end[first]] -= 1
+            kind[np.cumsum(depth[:-1], dtype=np.int8) > 0] = ODD
         edge[1:-1] |= kind[1:] != kind[:-1]
         lowered = raw + ((kind == LETTER) & (raw >= 0x41) & (raw <= 0x5A)) * np.uint8(0x20)
         cuts = np.flatnonzero(edge)
@@ -216,6 +221,17 @@ class TextEncoder:
         self.pool.append(ids)
 
 
+def parts(batch: pa.RecordBatch, column: str = "text", size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``size`` bytes of text each (one row at least)."""
+    bytes_of = np.cumsum(np.asarray(pc.binary_length(batch.column(column)), np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = bytes_of[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(bytes_of, done + size, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 @lru_cache(maxsize=2)
 def encoder(tokenizer_json: str) -> TextEncoder:
     """The encoder of this worker process, with the pieces it has met."""
