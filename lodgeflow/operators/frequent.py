@@ -101,12 +101,16 @@ def _best(counts: DataFrame) -> DataFrame:
         F.min_by("v", F.struct((-F.col("n")).alias("n"), "v")).alias("mode"), F.max("n").alias("mode_count"))
 
 
-def counted_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Modes by counting every value's 128-bit hash."""
+def counted_modes(df: DataFrame, columns: Sequence[str], most: dict[str, int] | None = None) -> DataFrame:
+    """Modes by counting every value's 128-bit hash; ``most`` passes on counts that are known."""
     keys = lambda c: [k.alias(n) for k, n in zip(value_key(c), "ab")]
     counts = _long(df, columns, keys).groupBy("column_name", "a", "b").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.groupBy("column_name").agg(F.max("n").alias("mode_count"))
-    ties = counts.join(top, "column_name").filter("n = mode_count").select("column_name", "a", "b", "mode_count")
+    if most is None:
+        top = counts.groupBy("column_name").agg(F.max("n").alias("most"))
+        ties = counts.join(top, "column_name").filter("n = most")
+    else:
+        known = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(most[c]))])
+        ties = counts.filter(F.col("n") == known[F.col("column_name")])
     cells = _long(df, columns, lambda c: [*keys(c), _text(c)])
     return cells.join(ties, ["column_name", "a", "b"]).groupBy("column_name").agg(
-        F.min("v").alias("mode"), F.max("mode_count").alias("mode_count"))
+        F.min("v").alias("mode"), F.max("n").alias("mode_count"))

@@ -50,18 +50,31 @@ def _excluded(c: Column, patterns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [c.rlike("^(?:" + p.removeprefix("^") + ")") for p in patterns])
 
 
-def number_nodes(names: DataFrame) -> DataFrame:
-    """``(name, id)`` per distinct name, stored."""
-    return reliable_checkpoint(names.select("name").distinct().withColumn("id", F.monotonically_increasing_id()))
-
-
-def kept_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def number_nodes(names: DataFrame) -> tuple[DataFrame, bool]:
+    """``(name, id)`` per distinct name, stored, and whether ids are hashes of the names: then
+    an edge's ends are numbered without a join. Only where two names share a 64-bit hash
+    are running numbers given instead."""
+    nodes = reliable_checkpoint(names.select("name").distinct().withColumn("id", F.xxhash64("name")))
+    shared = nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if shared.isEmpty():
+        return nodes, True
+    return reliable_checkpoint(nodes.select("name", F.monotonically_increasing_id().alias("id"))), False
+
+
+def kept_edges(edges: DataFrame, nodes: DataFrame, hashed: bool, every_end_kept: bool = False) -> DataFrame:
     """Distinct numbered edges ``(u, v)`` whose both ends are among ``nodes(name, id)``,
-    stored. The joins that number the ends drop the other edges; neither side is
-    pre-partitioned, so AQE can split a hub that holds a third of all edges."""
-    end = lambda name, id_: nodes.select(F.col("name").alias(name), F.col("id").alias(id_))
-    return reliable_checkpoint(edges.select("parent", "child").join(end("parent", "u"), "parent")
-                               .join(end("child", "v"), "child").select("u", "v").distinct())
+    stored. No side is pre-partitioned, so AQE can split a hub that holds a third of all
+    edges."""
+    edges = edges.select("parent", "child")
+    if not hashed:
+        end = lambda name, id_: nodes.select(F.col("name").alias(name), F.col("id").alias(id_))
+        edges = edges.join(end("parent", "u"), "parent").join(end("child", "v"), "child")
+        return reliable_checkpoint(edges.select("u", "v").distinct())
+    links = edges.select(F.xxhash64("parent").alias("u"), F.xxhash64("child").alias("v")).distinct()
+    if not every_end_kept:
+        for c in ("u", "v"):
+            links = links.join(nodes.select(F.col("id").alias(c)), c, "left_semi")
+    return reliable_checkpoint(links.select("u", "v"))
 
 
 def transitive_closure(links: DataFrame) -> DataFrame:
@@ -240,11 +253,14 @@ def impact(edges: DataFrame, nodes: DataFrame | None = None,
     """
     if with_lists and condense:
         raise ValueError("lists name every pair, which condensing spares")
-    if nodes is None:  # every endpoint is a node
-        nodes = edges.select(F.col("parent").alias("name")).unionByName(edges.select(F.col("child").alias("name")))
-        nodes = nodes.filter("name IS NOT NULL")
-    kept = number_nodes(keep_nodes(nodes, exclude_patterns))
-    links = kept_edges(edges, kept)
+    every_end = nodes is None
+    if every_end:  # every endpoint is a node: only the name patterns can drop an edge
+        ok = lambda c: F.col(c).isNotNull() & ~_excluded(F.col(c), exclude_patterns)
+        ends = lambda c: edges.select(F.col(c).alias("name"))
+        nodes = ends("parent").unionByName(ends("child")).filter("name IS NOT NULL")
+        edges = edges.filter(ok("parent") & ok("child"))
+    kept, hashed = number_nodes(keep_nodes(nodes, exclude_patterns))
+    links = kept_edges(edges, kept, hashed, every_end)
     direct = links.groupBy(F.col("u").alias("id")).agg(F.count(F.lit(1)).alias("direct"))
     if condense:
         stats = _condensed_reach(links).join(direct, "id")

@@ -4,10 +4,9 @@ Nothing is turned into text and no value is shuffled for what an aggregate can
 say where the rows lie:
 
 * one native aggregate over the table gives counts, bounds in the columns' own
-  types, lengths, patterns, sums, and frequent-items sketches: a row per task;
-* distinct counts shuffle 128-bit hashes of fixed width, each value once per task;
-* modes are recounted among the sketches' candidates and proven, or counted by
-  hash where no value stands out (``operators.frequent``);
+  types, lengths, patterns and sums: a row per task;
+* distinct counts, and the greatest count of a value, shuffle 128-bit hashes of fixed
+  width, each value once per task; the mode's text is then looked up by its hash;
 * percentiles refine histograms in place (``operators.quantiles``), per type, so
   whole numbers beyond 2^53 and decimals stay exact;
 * outliers take one more aggregate with the mean and deviation known.
@@ -28,7 +27,7 @@ from pyspark.sql import types as T
 
 from lodgeflow.functions.columns import (as_timestamp, full_match, hour_diff, row_text,
                                          safe_divide, truncate_period)
-from lodgeflow.operators.frequent import exact_modes, read_sketches, sketch_aggs, value_key
+from lodgeflow.operators.frequent import counted_modes, value_key
 from lodgeflow.operators.load import skip_existing, write_table
 from lodgeflow.operators.quantiles import exact_percentiles
 from lodgeflow.session import path_exists, reliable_checkpoint
@@ -115,10 +114,11 @@ def _moment_aggs(i: int, name: str, kind: T.DataType) -> list[Column]:
     return [mean.alias(f"avg{i}"), F.var_samp(c.cast("double")).alias(f"variance{i}")]
 
 
-def distinct_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool) -> dict[str, int]:
-    """Distinct non-NULL values per column, distinct days per date column (``(name, "day")``),
-    and distinct rows (``ROW_KEY``), by 128-bit hashes."""
-    keys: list[tuple] = []
+def value_tops(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool) -> dict:
+    """Per column, per date column's days (``(name, "day")``) and for rows (``ROW_KEY``), by
+    128-bit hashes: ``distinct`` non-NULL values, the greatest count ``most`` of one, how
+    many values ``tie`` at it and the hash (``a``, ``b``) of one of these."""
+    keys: list = []
     cells = []
     for name, fam in cols:
         c = _q(name)
@@ -129,9 +129,33 @@ def distinct_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bo
     if row_hash:
         cells.append(F.struct(F.lit(len(keys)).alias("k"), *_halves(row_text([_q(n) for n, _ in cols]))))
         keys.append(ROW_KEY)
-    seen = df.select(F.explode(F.array(*cells)).alias("e")).filter("e IS NOT NULL").select("e.*").distinct()
-    counts = {r["k"]: r["n"] for r in seen.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}  # one per column
-    return {key: counts.get(k, 0) for k, key in enumerate(keys)}
+    counts = (df.select(F.explode(F.array(*cells)).alias("e")).filter("e IS NOT NULL").select("e.*")
+              .groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    # (a, b) is one value's where nothing ties; fixed-width aggregates, so nothing is sorted
+    by_count = counts.groupBy("k", "n").agg(F.count(F.lit(1)).alias("tie"), F.min("a").alias("a"), F.min("b").alias("b"))
+    tops = by_count.groupBy("k").agg(F.sum("tie").alias("distinct"), F.max(F.struct("n", "tie", "a", "b")).alias("top"))
+    found = {r["k"]: (r["distinct"], r["top"]["n"], r["top"]["tie"], r["top"]) for r in tops.collect()}  # one per column
+    return {key: found.get(k, (0, 0, 0, None)) for k, key in enumerate(keys)}
+
+
+def distinct_counts(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool) -> dict:
+    return {key: top[0] for key, top in value_tops(df, cols, row_hash).items()}
+
+
+def _modes(df: DataFrame, strings: list[str], tops: dict) -> dict[str, str]:
+    """Most frequent value per text column (ties: the least)."""
+    unique = [c for c in strings if tops[c][1] == 1]          # every value ties
+    single = [c for c in strings if tops[c][1] > 1 and tops[c][2] == 1]
+    tied = [c for c in strings if tops[c][1] > 1 and tops[c][2] > 1]
+    aggs = [F.min(_q(c)).alias(c) for c in unique]
+    for c in single:
+        a, b = value_key(_q(c))
+        key = tops[c][3]
+        aggs.append(F.min(F.when((a == key["a"]) & (b == key["b"]), _q(c))).alias(c))
+    out = df.agg(*aggs).first().asDict() if aggs else {}
+    if tied:
+        out |= {r["column_name"]: r["mode"] for r in counted_modes(df, tied, {c: tops[c][1] for c in tied}).collect()}
+    return out
 
 
 def _halves(value: Column) -> list[Column]:
@@ -188,11 +212,11 @@ def profile_frame(df: DataFrame, exclude: Sequence[str] = (), numeric: bool = Tr
     if approx_percentiles:
         aggs += [F.percentile_approx(_q(n).cast("double"), probs, 10_000).alias(f"q{i}")
                  for i, (n, _) in enumerate(cols) if n in numbers]
-    said = df.agg(F.count(F.lit(1)).alias("rows"), *aggs, *sketch_aggs(strings)).first()
+    said = df.agg(F.count(F.lit(1)).alias("rows"), *aggs).first()
     rows = said["rows"]
-    distinct = distinct_counts(df, cols, row_hash)
-    modes = ({r["column_name"]: r["mode"] for r in
-              exact_modes(df, strings, named=read_sketches(said, strings), rows=rows).collect()} if strings and rows else {})
+    tops = value_tops(df, cols, row_hash)
+    distinct = {key: top[0] for key, top in tops.items()}
+    modes = _modes(df, strings, tops)
     found = {} if approx_percentiles or not numbers else _percentiles(df, numbers)
     at = {n: i for i, (n, _) in enumerate(cols)}
 
@@ -348,7 +372,7 @@ def profile_table(df: DataFrame, model_name: str, sample_pct: float | None = Non
         hash_parts += [F.col(f"{n}_null_count"), F.col(f"{n}_distinct_count")]
     wide = frame.agg(*aggs)
     now = as_timestamp(as_of)
-    pdate = truncate_period(now, frequency)
+    pdate = truncate_period(now, frequency).cast("timestamp_ntz")
     header = [
         pdate.alias("profile_date"), F.lit(model_name).alias("model_name"),
         F.lit(env).alias("target_environment"), F.lit("spark").alias("database_type"),

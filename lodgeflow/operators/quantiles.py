@@ -35,7 +35,7 @@ from lodgeflow.session import reliable_checkpoint
 
 #: Buckets of a pass, and the rows of a range that may be sorted in one task.
 BUCKETS = 4096
-SORTED = 65_536
+SORTED = 1 << 20
 
 
 def _above(x: Column, lo: Column, hi: Column, kind: T.DataType) -> Column:
@@ -111,7 +111,10 @@ def select_ranks(values: DataFrame, probs: Sequence[float]) -> DataFrame:
         held = _held(wanted.filter("lo <> hi"), parts).select(
             "g", "n", "k", F.col("next_lo").alias("lo"), F.col("next_hi").alias("hi"),
             F.col("start").alias("before"), F.col("next_rows").alias("rows"))
-        wanted = reliable_checkpoint(wanted.filter("lo = hi").select(*columns).unionByName(held))
+        wanted = wanted.filter("lo = hi").select(*columns).unionByName(held)
+        if most <= SORTED:  # every open range has been sorted
+            break
+        wanted = reliable_checkpoint(wanted)
     return wanted.select("g", "k", "n", F.col("lo").alias("value"))
 
 
