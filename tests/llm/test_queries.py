@@ -18,8 +18,8 @@ def test_matches_duckdb(spark, key):
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon([d[0] for d in cur.description], cur.fetchall())
 
 
-def test_ten_queries_and_five_stages():
-    assert sorted(int(k[2:].split("_")[0]) for k in registry.queries()) == list(range(1, 11))
+def test_thirteen_queries_and_five_stages():
+    assert sorted(int(k[2:].split("_")[0]) for k in registry.queries()) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality_classifier", "line_dedup", "near_dedup", "mix_sources", "pack_sequences"]
 
