@@ -17,12 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text worked on at a time, pieces remembered before a task starts afresh, and
+#: Bytes of text worked on at a time, pieces remembered before rare ones are forgotten, and
 #: pieces joined for one call of the tokenizer.
 SLICE = 2 << 20
 REMEMBERED = 400_000
@@ -72,11 +73,29 @@ class TextEncoder:
         self.size = max(vocabulary.values(), default=-1) + 1
         self.ends = np.zeros(self.size, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
+        # words of small ASCII letters go to the model at once if nothing comes before it for them
+        self.model = self.tokenizer.model
+        self.direct = all([t.id for t in self.model.tokenize(w)] == self.tokenizer.encode(w, add_special_tokens=False).ids
+                          for w in ("a", "the", "zyxwvutsrqponmlkjihgfedcba", "straightforwardly"))
+        #: Pieces by number, in the order of the arrays: where their ids begin, how many, and
+        #: in how many slices they have been met lately.
         self.known: dict[bytes, int] = {}
-        self.pool, self.starts, self.counts = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int64)
+        self.pool, self.starts, self.counts, self.uses = (_Grown(t) for t in (np.uint32, np.int64, np.int64, np.int32))
+
+    def _forget_rare(self) -> None:
+        """Keeps pieces met again, half of ``REMEMBERED`` at most."""
+        uses, names = self.uses.values[:self.uses.size], list(self.known)
+        most = REMEMBERED // 2
+        least = max(2, int(np.partition(uses, -most)[-most]) + 1 if len(uses) > most else 2)
+        kept = np.flatnonzero(uses >= least)
+        start, count = self.starts.values[kept], self.counts.values[kept]
+        before = np.cumsum(count) - count
+        ids = self.pool.values[np.repeat(start - before, count) + np.arange(int(count.sum()))]
+        uses = uses[kept] // 2
+        self.known = {names[i]: k for k, i in enumerate(kept.tolist())}
+        self.pool, self.starts, self.counts, self.uses = (_Grown(t) for t in (np.uint32, np.int64, np.int64, np.int32))
+        for column, values in ((self.pool, ids), (self.starts, before), (self.counts, count), (self.uses, uses)):
+            column.append(values)
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) in order and, per text, where its ids begin (one more for the
@@ -167,18 +186,23 @@ class TextEncoder:
         found = np.fromiter((known.get(p, -1) for p in pieces), np.int64, len(pieces))
         new = np.flatnonzero(found < 0)
         if len(new) and len(known) + len(new) > REMEMBERED:
-            self._forget()
-            found[:], new = -1, np.arange(len(pieces))
+            self._forget_rare()
+            known = self.known
+            found = np.fromiter((known.get(p, -1) for p in pieces), np.int64, len(pieces))
+            new = np.flatnonzero(found < 0)
         if len(new):
             for kind in (SPACE, LETTER, OTHER, ODD):
                 some = new[kinds[new] == kind]
                 self._learn([pieces[i] for i in some.tolist()], kind)
-            known = self.known
             found[new] = np.fromiter((known[pieces[i]] for i in new.tolist()), np.int64, len(new))
+        self.uses.values[found] += 1
         return found
 
     def _learn(self, pieces: list[bytes], kind: int) -> None:
         if kind == LETTER:
+            if self.direct:
+                self._learn_plain([p for p in pieces if p.isascii()])
+                pieces = [p for p in pieces if not p.isascii()]
             for at in range(0, len(pieces), JOINED):
                 self._learn_words(pieces[at:at + JOINED])
             return
@@ -196,6 +220,13 @@ class TextEncoder:
         for (piece, _), e in zip(other, self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)):
             self._keep([piece], np.asarray(e.ids, np.uint32), np.array([len(e.ids)], np.int64))
 
+    def _learn_plain(self, pieces: list[bytes]) -> None:
+        """Words of small ASCII letters."""
+        tokenize = self.model.tokenize
+        found = [[t.id for t in tokenize(p.decode())] for p in pieces]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        self._keep(pieces, np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts)
+
     def _learn_words(self, pieces: list[bytes]) -> None:
         """Pieces that are one word each: a word's ids end with one that ends words."""
         e, = self.tokenizer.encode_batch_fast([b" ".join(pieces).decode("utf-8")], add_special_tokens=False)
@@ -218,6 +249,7 @@ class TextEncoder:
         self.known.update(zip(pieces, range(at, at + len(pieces))))
         self.starts.append(self.pool.size + np.cumsum(counts) - counts)
         self.counts.append(counts)
+        self.uses.append(np.zeros(len(pieces), np.int32))
         self.pool.append(ids)
 
 
