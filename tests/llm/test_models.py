@@ -215,3 +215,20 @@ def test_every_training_document_is_learnt_from(spark, monkeypatch):
 
 def test_scores_of_nothing(spark):
     assert lm_scoring.score_documents(nothing(spark)).count() == 0
+
+
+# --- 8 on held-out documents ------------------------------------------------------
+def held_out_sums(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    return lm_scoring.score_documents(docs).filter("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+
+
+def test_held_out_documents_are_likelier_than_by_counts(spark):
+    r = held_out_sums(spark, "sf0.01")
+    assert r["sum(score)"] > 0.98 * r["sum(base_score)"]  # logarithms: less is better by 2 % at least
+
+
+def test_tree_of_means_is_the_mean(spark, monkeypatch):
+    flat = held_out_sums(spark, "sf0.001")["sum(score)"]
+    monkeypatch.setattr(lm_scoring, "FAN_IN", 2)  # six copies: three levels
+    assert held_out_sums(spark, "sf0.001")["sum(score)"] == pytest.approx(flat, rel=1e-4)
