@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 #: Bytes of text worked on at a time, pieces remembered before rare ones are forgotten, and
 #: pieces joined for one call of the tokenizer.
 SLICE = 2 << 20
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 JOINED = 1000
 WORD_END = "</w>"
 
