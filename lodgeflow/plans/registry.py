@@ -42,11 +42,15 @@ LINEAGE_AS_OF = "2024-01-01 00:00:00"
 LISTING_URL_REGEX = r"^https://example\.com/rooms/[0-9]+$"
 
 
+# whole numbers that a long cannot hold; a double would round them
+WIDE_WHOLE = T.DecimalType(38, 0)
+
+
 def normalise(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
+        if isinstance(f.dataType, (T.DecimalType, T.FloatType)) and f.dataType != WIDE_WHOLE:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
@@ -525,16 +529,21 @@ BIG_FACTOR, BIG_BASE = 10_000_000_000_001, 9_007_199_254_740_993
 
 
 def q_profile_big_integers(spark, sf):
-    """Bounds and quartiles of whole numbers beyond 2^53, to the last digit."""
-    big = table(spark, sf, "lineitem").select((F.col("l_orderkey") * BIG_FACTOR + BIG_BASE).alias("big"))
-    bounds = profile.column_profile(big, numeric=False).select(
-        "column_name", F.col("min_exact").cast("bigint").alias("min"), F.col("max_exact").cast("bigint").alias("max"),
-        "distinct_count")
+    """Bounds and quartiles of whole numbers beyond 2^53, to the last digit: long, as in the
+    SQL, while the greatest fits one, else decimal(38,0)."""
+    key, factor, base = (F.col("l_orderkey").cast("decimal(19,0)"), F.lit(BIG_FACTOR).cast("decimal(14,0)"),
+                         F.lit(BIG_BASE).cast("decimal(16,0)"))  # holds every long key
+    big = table(spark, sf, "lineitem").select((key * factor + base).alias("big"))
+    bounds = profile.column_profile(big, numeric=False, stored=True)
     values = reliable_checkpoint(big.select(F.lit("big").alias("g"), F.col("big").alias("x"), F.lit(1).cast("bigint").alias("w")))
+    least, greatest = values.agg(F.min("x"), F.max("x")).first()
+    fits = least is None or -(1 << 63) <= least and greatest < 1 << 63
+    kind = T.LongType() if fits else WIDE_WHOLE
     ranks = quantiles.select_ranks(values, profile.PERCENTILES)
-    lower = [F.max(F.when(F.col("k") == F.floor(F.lit(p) * (F.col("n") - 1)), F.col("value"))).alias(name)
+    lower = [F.max(F.when(F.col("k") == F.floor(F.lit(p) * (F.col("n") - 1)), F.col("value"))).cast(kind).alias(name)
              for p, name in zip(profile.PERCENTILES, ("p25_low", "median_low", "p75_low"))]
-    return bounds.join(ranks.groupBy(F.col("g").alias("column_name")).agg(*lower), "column_name")
+    return bounds.select("column_name", F.col("min_exact").cast(kind).alias("min"), F.col("max_exact").cast(kind).alias("max"),
+                         "distinct_count").join(ranks.groupBy(F.col("g").alias("column_name")).agg(*lower), "column_name")
 
 
 STORE_FIRST_RUN_END = "1997-01"

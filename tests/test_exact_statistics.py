@@ -191,3 +191,16 @@ def test_changed_partitions_replace_their_state(spark, scratch):
     assert profile_store.profile_new_partitions(spark, f"{scratch}/s", changed, "part_of", "2", ["p"]) == ["p"]
     got = profile_store.merged_profile(spark, f"{scratch}/s", changed).first()
     assert (got.total_rows, got.min_exact, got.max_exact, got.cardinality_category) == (3, "3", "10", "UNIQUE")
+
+
+@pytest.mark.parametrize("keys", [[1, 2, 3, 40, None], [5_000_000, 7, 7, 921_436, 921_437], [2**63 - 1, -2**63, 0, 5, 6]])
+def test_big_integers_beyond_a_long_stay_exact(spark, scratch, keys):
+    """Keys whose large multiples a long cannot hold are profiled to the last digit."""
+    from lodgeflow.plans import registry
+
+    spark.createDataFrame([(k,) for k in keys], "l_orderkey long").write.parquet(f"{scratch}/lineitem.parquet")
+    row = registry.queries()["profile_big_integers"](spark, scratch).first()
+    big = sorted(k * registry.BIG_FACTOR + registry.BIG_BASE for k in keys if k is not None)
+    low = [big[math.floor(p * (len(keys) - 1))] for p in (0.25, 0.5, 0.75)]  # ranks count rows without a key, which come last
+    assert [int(row[c]) for c in ("min", "max", "distinct_count", "p25_low", "median_low", "p75_low")] == [
+        big[0], big[-1], len(set(big)), *low]
