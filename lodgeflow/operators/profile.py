@@ -5,8 +5,9 @@ say where the rows lie:
 
 * one native aggregate over the table gives counts, bounds in the columns' own
   types, lengths, patterns and sums: a row per task;
-* distinct counts, and the greatest count of a value, shuffle 128-bit hashes of fixed
-  width, each value once per task; the mode's text is then looked up by its hash;
+* distinct counts, and the greatest count of a value, shuffle 128-bit keys of fixed
+  width, each value once per task, a column at a time; the mode's text is then looked up
+  by its hash;
 * percentiles refine histograms in place (``operators.quantiles``), per type, so
   whole numbers beyond 2^53 and decimals stay exact;
 * outliers take one more aggregate with the mean and deviation known.
@@ -19,6 +20,7 @@ that small frame, and ``merge_profile_history`` appends runs incrementally
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -116,21 +118,26 @@ def _moment_aggs(i: int, name: str, kind: T.DataType) -> list[Column]:
 
 def value_tops(df: DataFrame, cols: Sequence[tuple[str, str]], row_hash: bool) -> dict:
     """Per column, per date column's days (``(name, "day")``) and for rows (``ROW_KEY``), by
-    128-bit hashes: ``distinct`` non-NULL values, the greatest count ``most`` of one, how
-    many values ``tie`` at it and the hash (``a``, ``b``) of one of these."""
+    128-bit keys (``_halves``): ``distinct`` non-NULL values, the greatest count ``most`` of one,
+    how many values ``tie`` at it and the key (``a``, ``b``) of one of these.
+
+    Each has a scan of its own that reads only its columns, and one shuffle for all: a task
+    gathers the values of one column and one split, so it holds them without spilling."""
     keys: list = []
-    cells = []
+    parts = []
+
+    def add(key, halves: list[Column], there: Column) -> None:
+        parts.append(df.filter(there).select(F.lit(len(keys)).alias("k"), *halves))
+        keys.append(key)
+
     for name, fam in cols:
         c = _q(name)
-        for key, value in ((name, c.cast("string") if fam == "other" else c),
-                           *([((name, "day"), F.to_date(c))] if fam == "temporal" else [])):
-            cells.append(F.when(c.isNotNull(), F.struct(F.lit(len(keys)).alias("k"), *_halves(value))))
-            keys.append(key)
+        add(name, _halves(c.cast("string") if fam == "other" else c, df.schema[name].dataType), c.isNotNull())
+        if fam == "temporal":
+            add((name, "day"), _halves(F.to_date(c)), c.isNotNull())
     if row_hash:
-        cells.append(F.struct(F.lit(len(keys)).alias("k"), *_halves(row_text([_q(n) for n, _ in cols]))))
-        keys.append(ROW_KEY)
-    counts = (df.select(F.explode(F.array(*cells)).alias("e")).filter("e IS NOT NULL").select("e.*")
-              .groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("n")))
+        add(ROW_KEY, _halves(row_text([_q(n) for n, _ in cols])), F.lit(True))
+    counts = reduce(DataFrame.unionByName, parts).groupBy("k", "a", "b").agg(F.count(F.lit(1)).alias("n"))
     # (a, b) is one value's where nothing ties; fixed-width aggregates, so nothing is sorted
     by_count = counts.groupBy("k", "n").agg(F.count(F.lit(1)).alias("tie"), F.min("a").alias("a"), F.min("b").alias("b"))
     tops = by_count.groupBy("k").agg(F.sum("tie").alias("distinct"), F.max(F.struct("n", "tie", "a", "b")).alias("top"))
@@ -158,8 +165,10 @@ def _modes(df: DataFrame, strings: list[str], tops: dict) -> dict[str, str]:
     return out
 
 
-def _halves(value: Column) -> list[Column]:
-    return [h.alias(n) for h, n in zip(value_key(value), "ab")]
+def _halves(value: Column, kind: T.DataType | None = None) -> list[Column]:
+    """128 bits that stand for a value: whole numbers themselves, hashes of others."""
+    pair = (value.cast("bigint"), F.lit(0).cast("bigint")) if isinstance(kind, T.IntegralType) else value_key(value)
+    return [h.alias(n) for h, n in zip(pair, "ab")]
 
 
 def _percentiles(df: DataFrame, numeric: list[str]) -> dict[str, tuple]:

@@ -204,3 +204,36 @@ def test_big_integers_beyond_a_long_stay_exact(spark, scratch, keys):
     low = [big[math.floor(p * (len(keys) - 1))] for p in (0.25, 0.5, 0.75)]  # ranks count rows without a key, which come last
     assert [int(row[c]) for c in ("min", "max", "distinct_count", "p25_low", "median_low", "p75_low")] == [
         big[0], big[-1], len(set(big)), *low]
+
+
+def test_value_tops_against_counts(spark):
+    rows = [(1, "x", None), (1, "y", 2.5), (None, "y", 2.5), (7, None, -0.5), (7, "z", 2.5), (7, "z", None)]
+    df = spark.createDataFrame(rows, "n int, s string, d double")
+    cols = profile.column_families(df)
+    tops = profile.value_tops(df, cols, row_hash=True)
+    for i, (name, _) in enumerate(cols):
+        counts = Counter(r[i] for r in rows if r[i] is not None)
+        most = max(counts.values())
+        assert tops[name][:3] == (len(counts), most, sum(n == most for n in counts.values()))
+    assert (tops["n"][3]["a"], tops["n"][3]["b"]) == (7, 0)  # a whole number is its own key
+    assert tops[profile.ROW_KEY][:3] == (6, 1, 6)
+
+
+@pytest.mark.parametrize("query", ["profile_rows", "profile_wide"])
+def test_the_fact_is_read_again_not_stored(spark, scratch, monkeypatch, query):
+    from lodgeflow.plans import registry
+
+    rows = [(k % 5, k % 3, k % 2, 1 + k % 7, "ANR"[k % 3], "O") for k in range(60)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, "
+                                "l_linestatus string").withColumn("l_shipdate", F.expr(
+                                    "timestamp_ntz '1996-01-01' + make_interval(0, 0, 0, cast(l_orderkey as int))")
+                                ).write.parquet(f"{scratch}/lineitem.parquet")
+    for name, row in (("customer", "c_custkey long, c_name string, c_acctbal double"),
+                      ("orders", "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+                      ("events", "ts timestamp_ntz, event_type string")):
+        spark.createDataFrame([], row).write.parquet(f"{scratch}/{name}.parquet")
+    stored = []
+    monkeypatch.setattr(profile, "reliable_checkpoint", lambda df: stored.append(df) or df)
+    row = registry.queries()[query](spark, scratch).first()
+    fact = [(o, p, s, f, t) for o, p, s, n, f, t in rows if n != 7]
+    assert not stored and (row["total_rows"], row["distinct_rows"]) == (len(fact), len(set(fact)))
