@@ -20,6 +20,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodgeflow.session import reliable_checkpoint
+
 #: Items a sketch tracks (its table is the next power of two at three quarters' load),
 #: and candidates named per column.
 TRACKED = 10_000
@@ -111,6 +113,8 @@ def counted_modes(df: DataFrame, columns: Sequence[str], most: dict[str, int] |
     else:
         known = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(most[c]))])
         ties = counts.filter(F.col("n") == known[F.col("column_name")])
+    # stored, so that the plan knows their size: few ties go to the rows, not all rows to the ties
+    ties = reliable_checkpoint(ties)
     cells = _long(df, columns, lambda c: [*keys(c), _text(c)])
     return cells.join(ties, ["column_name", "a", "b"]).groupBy("column_name").agg(
         F.min("v").alias("mode"), F.max("n").alias("mode_count"))
