@@ -53,28 +53,30 @@ def _excluded(c: Column, patterns: Sequence[str]) -> Column:
 def number_nodes(names: DataFrame) -> tuple[DataFrame, bool]:
     """``(name, id)`` per distinct name, stored, and whether ids are hashes of the names: then
     an edge's ends are numbered without a join. Only where two names share a 64-bit hash
-    are running numbers given instead."""
-    nodes = reliable_checkpoint(names.select("name").distinct().withColumn("id", F.xxhash64("name")))
+    are running numbers given instead. A column ``parent`` of the names is kept: whether any of
+    a name's rows has it true."""
+    marks = [F.max("parent").alias("parent")] if "parent" in names.columns else []
+    named = names.groupBy("name").agg(*marks) if marks else names.select("name").distinct()
+    nodes = reliable_checkpoint(named.withColumn("id", F.xxhash64("name")))
     shared = nodes.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if shared.isEmpty():
         return nodes, True
-    return reliable_checkpoint(nodes.select("name", F.monotonically_increasing_id().alias("id"))), False
+    return reliable_checkpoint(nodes.withColumn("id", F.monotonically_increasing_id())), False
 
 
 def kept_edges(edges: DataFrame, nodes: DataFrame, hashed: bool, every_end_kept: bool = False) -> DataFrame:
-    """Distinct numbered edges ``(u, v)`` whose both ends are among ``nodes(name, id)``,
-    stored. No side is pre-partitioned, so AQE can split a hub that holds a third of all
+    """Distinct numbered edges ``(u, v)`` whose both ends are among ``nodes(name, id)``. No side is pre-partitioned, so AQE can split a hub that holds a third of all
     edges."""
     edges = edges.select("parent", "child")
     if not hashed:
         end = lambda name, id_: nodes.select(F.col("name").alias(name), F.col("id").alias(id_))
         edges = edges.join(end("parent", "u"), "parent").join(end("child", "v"), "child")
-        return reliable_checkpoint(edges.select("u", "v").distinct())
+        return edges.select("u", "v").distinct()
     links = edges.select(F.xxhash64("parent").alias("u"), F.xxhash64("child").alias("v")).distinct()
     if not every_end_kept:
         for c in ("u", "v"):
             links = links.join(nodes.select(F.col("id").alias(c)), c, "left_semi")
-    return reliable_checkpoint(links.select("u", "v"))
+    return links.select("u", "v")
 
 
 def transitive_closure(links: DataFrame) -> DataFrame:
@@ -87,45 +89,55 @@ def transitive_closure(links: DataFrame) -> DataFrame:
     children: others cannot be a middle, so a graph whose paths have ended costs no
     further round."""
     parents = links.select(F.col("u").alias("v"), F.lit(True).alias("open")).distinct()
-    found = [reliable_checkpoint(links.join(parents, "v", "left").select(
+    return _doubled(links.join(parents, "v", "left").select(
         F.col("u").alias("src"), F.col("v").alias("dst"), F.lit(1).alias("depth"),
-        F.coalesce("open", F.lit(False)).alias("open")))]
+        F.coalesce("open", F.lit(False)).alias("open"))).drop("open")
+
+
+def _doubled(first: DataFrame) -> DataFrame:
+    """All pairs from those at distance 1: ``src``, ``dst``, ``depth``, ``open`` and what else is
+    known of ``dst``."""
+    found = [reliable_checkpoint(first)]
+    of_dst = [c for c in first.columns if c not in ("src", "dst", "depth")]
     reach = 1
     while not found[-1].filter(F.col("open") & (F.col("depth") == reach)).isEmpty():
         known = reduce(DataFrame.unionByName, found)
         # the pairs at distance ``reach`` are all in the newest part
         near = found[-1].filter(F.col("open") & (F.col("depth") == reach)).select("src", F.col("dst").alias("middle"))
-        beyond = known.select(F.col("src").alias("middle"), "dst", "depth", "open")
+        beyond = known.select(F.col("src").alias("middle"), "dst", "depth", *of_dst)
         step = near.join(beyond, "middle").groupBy("src", "dst").agg(
-            (F.min("depth") + reach).alias("depth"), F.first("open").alias("open"))
+            (F.min("depth") + reach).alias("depth"), *[F.first(c).alias(c) for c in of_dst])
         found.append(reliable_checkpoint(step.join(known.select("src", "dst"), ["src", "dst"], "left_anti")))
         reach *= 2
-    return reduce(DataFrame.unionByName, found).drop("open")
+    return reduce(DataFrame.unionByName, found)
 
 
 def _trimmed(links: DataFrame) -> DataFrame:
     """Edges left when nodes without a parent or without a child are taken away, again
-    and again: what is left lies on cycles or between them."""
-    count = links.count()
-    while count:
-        has_child = links.select(F.col("u").alias("v")).distinct()
-        has_parent = links.select(F.col("v").alias("u")).distinct()
-        links = reliable_checkpoint(links.join(has_child, "v", "left_semi").join(has_parent, "u", "left_semi")
+    and again: what is left lies on cycles or between them. Only the nodes are compared, so
+    edges are moved in rounds that take some away; ``links`` itself where there are none."""
+    while True:
+        sides = links.select(F.col("u").alias("id"), F.lit(True).alias("child"), F.lit(False).alias("parent")).unionByName(
+            links.select(F.col("v").alias("id"), F.lit(False).alias("child"), F.lit(True).alias("parent")))
+        odd = reliable_checkpoint(sides.groupBy("id").agg(F.max("child").alias("child"), F.max("parent").alias("parent"))
+                                  .filter("NOT (child AND parent)"))
+        if odd.isEmpty():
+            return links
+        links = reliable_checkpoint(links.join(odd.filter("NOT child").select(F.col("id").alias("v")), "v", "left_anti")
+                                    .join(odd.filter("NOT parent").select(F.col("id").alias("u")), "u", "left_anti")
                                     .select("u", "v"))
-        before, count = count, links.count()
-        if count == before:
-            break
-    return links
 
 
 def _picked_cycles(links: DataFrame, turn: int) -> DataFrame:
     """``(node, label)`` of nodes found to share a cycle; label: one of its nodes.
 
-    Each node follows one child of its own (picked by a hash that changes with the turn);
+    Each node follows one child of its own (picked by bits that change with the turn);
     pointer doubling takes everyone onto a cycle of these picks. A child of a cycle whose
     own steps lead back to that cycle lies on a cycle with it as well."""
-    picks = links.groupBy(F.col("u").alias("node")).agg(F.min_by("v", F.xxhash64("v", F.lit(turn))).alias("next"))
-    jumps = reliable_checkpoint(picks.select("node", "next", F.col("next").alias("least"), F.lit(True).alias("changed")))
+    mask = F.lit(0x5851F42D4C957F2D * turn % (1 << 63)).cast("bigint")
+    picks = links.groupBy(F.col("u").alias("node")).agg(F.min(F.col("v").bitwiseXOR(mask)).alias("next"))
+    jumps = reliable_checkpoint(picks.select("node", F.col("next").bitwiseXOR(mask).alias("next"))).withColumn(
+        "least", F.col("next"))
     images = None
     while True:
         ahead = jumps.select(F.col("node").alias("next"), F.col("next").alias("then"), F.col("least").alias("later"))
@@ -150,11 +162,20 @@ def _picked_cycles(links: DataFrame, turn: int) -> DataFrame:
 def strong_components(links: DataFrame) -> DataFrame:
     """``(node, component)`` of the nodes that share a cycle with another node; the
     component is a node of it. Edges ``(u, v)``."""
-    rest = reliable_checkpoint(links.filter("u <> v").select("u", "v"))
+    return _contracted(links)[0]
+
+
+def _contracted(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``strong_components`` and the distinct edges between different components. ``links`` is read
+    several times, so it should be stored."""
+    links = links.filter("u <> v").select("u", "v")
+    rest, whole = links, True
     of = None
     turn = 0
     while True:
-        rest = _trimmed(rest)
+        trimmed = _trimmed(rest)
+        whole = whole and trimmed is rest
+        rest = trimmed
         if rest.isEmpty():
             break
         cycles = reliable_checkpoint(_picked_cycles(rest, turn))
@@ -170,8 +191,9 @@ def strong_components(links: DataFrame) -> DataFrame:
             of = reliable_checkpoint(older.unionByName(newer))
         turn += 1
     if of is None:
-        return links.select(F.col("u").alias("node"), F.col("v").alias("component")).limit(0)
-    return of
+        return links.select(F.col("u").alias("node"), F.col("v").alias("component")).limit(0), links
+    # where no edge was trimmed away, those left are all there are
+    return of, rest if whole else reliable_checkpoint(_relabelled(links, of).filter("u <> v").distinct())
 
 
 def _relabelled(links: DataFrame, of: DataFrame) -> DataFrame:
@@ -182,22 +204,38 @@ def _relabelled(links: DataFrame, of: DataFrame) -> DataFrame:
     return links.select("u", "v")
 
 
-def _condensed_reach(links: DataFrame) -> DataFrame:
-    """``(id, total, depth)`` of nodes with descendants, by the graph of components."""
-    of = reliable_checkpoint(strong_components(links))
+def _condensed_reach(links: DataFrame, direct: DataFrame) -> DataFrame:
+    """``direct`` (a row per ``id`` with descendants) with ``total`` and ``depth``, by the graph
+    of components. ``links``: distinct ``(u, v, open)``; ``open`` tells whether v has children.
+
+    Edges to nodes without children, which share no cycle, stay out of the search for
+    components; only their parents are renamed, and they are no one's middle."""
+    of, between = _contracted(links.filter("open"))
     sizes = of.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    between = reliable_checkpoint(_relabelled(links, of).filter("u <> v").distinct())
-    pairs = transitive_closure(between).join(
-        sizes.withColumnRenamed("component", "dst"), "dst", "left").select(
-        "src", F.coalesce("size", F.lit(1)).alias("size"), "depth")
+    one = F.lit(1).cast("bigint")
+    own = of.select(F.col("node").alias("u"), "component")
+    ends = links.filter("NOT open").join(own, "u", "left").select(
+        F.coalesce("component", "u").alias("src"), F.col("v").alias("dst")).distinct().select(
+        "src", "dst", F.lit(1).alias("depth"), F.lit(False).alias("open"), one.alias("size"))
+    pairs = ends
+    if not between.isEmpty():
+        ends = reliable_checkpoint(ends)
+        parents = between.select("u").union(ends.select("src")).distinct().select(
+            F.col("u").alias("v"), F.lit(True).alias("open"))
+        inner = between.join(parents, "v", "left").join(sizes.withColumnRenamed("component", "v"), "v", "left").select(
+            F.col("u").alias("src"), F.col("v").alias("dst"), F.lit(1).alias("depth"),
+            F.coalesce("open", F.lit(False)).alias("open"), F.coalesce("size", one).alias("size"))
+        pairs = _doubled(ends.unionByName(inner))
     # a component's own nodes, and a node with an edge to itself, are reached in one step
-    alone = links.filter("u = v").select(F.col("u").alias("component")).join(
-        of.select(F.col("node").alias("component")), "component", "left_anti").withColumn("size", F.lit(1).cast("long"))
-    own = sizes.unionByName(alone).select(F.col("component").alias("src"), "size", F.lit(1).alias("depth"))
-    reach = pairs.unionByName(own).groupBy("src").agg(F.sum("size").alias("total"), F.max("depth").alias("depth"))
-    ids = links.select(F.col("u").alias("id")).distinct()
-    return (ids.join(of.withColumnRenamed("node", "id"), "id", "left")
-            .withColumn("src", F.coalesce("component", "id")).join(reach, "src").select("id", "total", "depth"))
+    own_nodes, alone = sizes, links.filter("u = v").select(F.col("u").alias("component"))
+    if not alone.isEmpty():
+        own_nodes = sizes.unionByName(alone.join(of.select(F.col("node").alias("component")), "component", "left_anti")
+                                      .withColumn("size", one))
+    own_nodes = own_nodes.select(F.col("component").alias("src"), "size", F.lit(1).alias("depth"))
+    reach = pairs.select("src", "size", "depth").unionByName(own_nodes).groupBy("src").agg(
+        F.sum("size").alias("total"), F.max("depth").alias("depth"))
+    return (direct.join(of.withColumnRenamed("node", "id"), "id", "left")
+            .withColumn("src", F.coalesce("component", "id")).drop("component").join(reach, "src").drop("src"))
 
 
 # The impact classification. Counts are non-negative integers;
@@ -256,14 +294,21 @@ def impact(edges: DataFrame, nodes: DataFrame | None = None,
     every_end = nodes is None
     if every_end:  # every endpoint is a node: only the name patterns can drop an edge
         ok = lambda c: F.col(c).isNotNull() & ~_excluded(F.col(c), exclude_patterns)
-        ends = lambda c: edges.select(F.col(c).alias("name"))
-        nodes = ends("parent").unionByName(ends("child")).filter("name IS NOT NULL")
-        edges = edges.filter(ok("parent") & ok("child"))
-    kept, hashed = number_nodes(keep_nodes(nodes, exclude_patterns))
+        inside = ok("parent") & ok("child")
+        ends = lambda c, parent: edges.select(F.col(c).alias("name"), parent.alias("parent"))
+        nodes = ends("parent", inside).unionByName(ends("child", F.lit(False))).filter(ok("name"))
+        edges = edges.filter(inside)
+    else:
+        nodes = keep_nodes(nodes, exclude_patterns)
+    kept, hashed = number_nodes(nodes)
     links = kept_edges(edges, kept, hashed, every_end)
-    direct = links.groupBy(F.col("u").alias("id")).agg(F.count(F.lit(1)).alias("direct"))
+    if not (condense and every_end):
+        links = reliable_checkpoint(links)
     if condense:
-        stats = _condensed_reach(links).join(direct, "id")
+        parents = kept.filter("parent").select("id") if every_end else links.select(F.col("u").alias("id")).distinct()
+        links = reliable_checkpoint(links.join(parents.select(F.col("id").alias("v"), F.lit(True).alias("open")), "v", "left")
+                                    .select("u", "v", F.coalesce("open", F.lit(False)).alias("open")))
+        stats = _condensed_reach(links, links.groupBy(F.col("u").alias("id")).agg(F.count(F.lit(1)).alias("direct")))
     else:
         closure = transitive_closure(links)
         lists = []

@@ -89,3 +89,40 @@ def test_exact_depths_double(spark, monkeypatch):
 def test_lists_and_condensing_exclude_each_other(spark):
     with pytest.raises(ValueError):
         G.impact(spark.createDataFrame([("a", "b")], "parent string, child string"), with_lists=True, condense=True)
+
+
+def test_condensing_stores_and_moves_the_edges_once(spark, monkeypatch):
+    """Customers and orders on cycles, orders with parts that have no children: the edges to
+    parts are stored once, and nothing else is stored that is as long as they are."""
+    forth = [(f"c{o % 40}", f"o{o}") for o in range(400)]
+    parts = [(f"o{o}", f"p{o * 7 % 60 + k}") for o in range(400) for k in range(10)]
+    edges = spark.createDataFrame(forth + [(b, a) for a, b in forth] + parts, "parent string, child string")
+    sizes = []
+    keep = G.reliable_checkpoint
+
+    def counted(df):
+        out = keep(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(G, "reliable_checkpoint", counted)
+    got = {r.model_name: r.total_downstream_count for r in G.impact(edges, condense=True).collect()}
+    want = {}
+    for c in range(40):
+        reached = {p for u, p in parts if int(u[1:]) % 40 == c}
+        for name in [f"c{c}", *[f"o{o}" for o in range(c, 400, 40)]]:
+            want[name] = 11 + len(reached)
+    assert got == want | {p: 0 for _, p in parts}
+    assert sorted(sizes)[-1] == len(forth) * 2 + len(parts) and sorted(sizes)[-2] <= len(forth) * 2
+
+
+def test_condensed_counts_beyond_components(spark):
+    """Cycles that lead to others, nodes between and after them, and a node with an edge to itself."""
+    edges = [(1, 2), (2, 1), (2, 3), (3, 4), (4, 5), (5, 4), (4, 6), (6, 6), (6, 7), (0, 1), (0, 7), (8, 0), (8, 9)]
+    want = brute_closure(set(edges))
+    named = spark.createDataFrame([(f"n{u}", f"n{v}") for u, v in edges * 2], "parent string, child string")
+    for nodes in (None, spark.createDataFrame([(f"n{k}",) for k in range(10)], "name string")):
+        rep = {r.model_name: r for r in G.impact(named, nodes, condense=True).collect()}
+        assert {n: rep[f"n{n}"].total_downstream_count for n in range(10)} == {
+            n: sum(s == n for s, _ in want) for n in range(10)}
+        assert rep["n8"].max_downstream_depth == 5 and rep["n7"].max_downstream_depth == 0
