@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -103,25 +104,28 @@ class _Model:
         self.end, self.other = int(self.symbol[words.shortlist]), int(self.symbol[words.shortlist + 1])
         self.of_hot = np.full(len(words.count) + 1, self.other, np.int64)  # the last row is for words that are not hot
         self.of_hot[:words.shortlist] = self.symbol[:words.shortlist]
+        self.of_word = dict(zip(islice(words.place, words.shortlist), self.symbol.tolist()))
         self.parameters = recurrent.start(self.layout, hidden)
 
     def encode(self, places: np.ndarray) -> np.ndarray:
         return np.concatenate([self.of_hot[places], [self.end]])
 
+    def encode_words(self, words: list[bytes]) -> np.ndarray:
+        """As encode of their places: the shortlist is enough to tell symbols."""
+        out = np.empty(len(words) + 1, np.int64)
+        out[:-1] = np.fromiter(map(self.of_word.get, words, repeat(self.other)), np.int64, len(words))
+        out[-1] = self.end
+        return out
 
-class _Places(dict):
-    def __missing__(self, word: bytes) -> int:
-        return -1
 
-
-def _places(known: _Places, words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+def _places(known: dict, words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
 
 
 def learn_vocabulary(counts: DataFrame, documents: int, hot: int = HOT, symbols: int = SYMBOLS) -> Vocabulary:
     tokens, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     top = counts.orderBy(F.desc("c"), "word").limit(hot).toArrow()  # HOT rows at most
-    return Vocabulary(_Places(zip(top.column("word").to_pylist(), range(len(top)))),
+    return Vocabulary(dict(zip(top.column("word").to_pylist(), range(len(top)))),
                       top.column("c").to_numpy().astype(np.int64),
                       int(tokens) + documents, int(distinct) + (1 if documents else 0), documents,
                       min(len(top), symbols - 2))
@@ -148,18 +152,17 @@ def _row_hash(*more):
 FAN_IN = 8
 
 
-def train_round(texts: DataFrame, words, model: _Model, shards: int) -> None:
+def train_round(texts: DataFrame, model: _Model, shards: int) -> None:
     """texts: doc_id, text. Trains a copy per shard and sets the model to their mean,
     weighted by symbols."""
     send = texts.sparkSession.sparkContext.broadcast(model)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = send.value, words.value.place
+        own = send.value
         p = {k: v.copy() for k, v in own.parameters.items()}
         optimiser, symbols = recurrent.Adam(p, RATE), 0
         for batch in batches:
-            encoded = [own.encode(_places(known, lower_words(t)))
-                       for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            encoded = [own.encode_words(lower_words(t)) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             symbols += recurrent.train(p, own.layout, encoded, own.end, optimiser)[1]
         if symbols:
             yield pa.RecordBatch.from_arrays([pa.array([symbols], pa.int64()), pa.array([_pack(p)], pa.binary())],
@@ -204,7 +207,7 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, share: int = SHARE) -
     model = _Model(vocabulary)
     shards = max(6, round(vocabulary.tokens / share / SHARD_TOKENS))
     for k in range(rounds):
-        train_round(teaching.filter(F.pmod(_row_hash(), F.lit(share)) == k), words, model, shards)
+        train_round(teaching.filter(F.pmod(_row_hash(), F.lit(share)) == k), model, shards)
     send = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """A gated recurrent language model in numpy: class-factored softmax, truncated
-backpropagation, state carried across windows."""
+backpropagation, state carried across windows. Texts run side by side in lanes; a lane
+takes the next text when its own has ended, so that windows stay full."""
 
 from __future__ import annotations
 
@@ -36,193 +37,357 @@ def start(layout: Layout, hidden: int, seed: int = 5) -> Parameters:
     }
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.clip(x, -30, 30, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+class _Space:
+    """Arrays that one window after another is worked out in, by name."""
+
+    def __init__(self):
+        self.flat: dict[str, np.ndarray] = {}
+
+    def __call__(self, name: str, *shape: int, kind=np.float32) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.flat or self.flat[name].size < size or self.flat[name].dtype != kind:
+            self.flat[name] = np.empty(size, kind)
+        return self.flat[name][:size].reshape(shape)
+
+
+def _unroll(p: Parameters, h: np.ndarray, inputs: np.ndarray, space: _Space, keep: bool = True):
+    """The steps of a window (time x batch) from state h: states (one more than there are
+    steps), update gates, reset gates and the recurrent parts of candidates in one array
+    (time x 3 x batch), candidates; without keep only the states."""
+    (steps, batch), k, kind = inputs.shape, h.shape[1], h.dtype
+    u = p["u"].reshape(k, 3, k).transpose(1, 0, 2) * np.array([-1, -1, 1], kind)[:, None, None]
+    states = space("states", steps + 1, batch, k, kind=kind)
+    kept = steps if keep else 1
+    parts, candidates = space("parts", kept, 3, batch, k, kind=kind), space("candidates", kept, batch, k, kind=kind)
+    x = space("x", batch, 3 * k, kind=kind)
+    own = x.reshape(batch, 3, k).transpose(1, 0, 2)
+    states[0] = h
+    with np.errstate(over="ignore"):  # a gate of 1 / (1 + inf) is closed
+        for t in range(steps):
+            h, new, part, n = states[t], states[t + 1], parts[t % kept], candidates[t % kept]
+            np.take(p["g"], inputs[t], axis=0, out=x, mode="clip")
+            np.matmul(h, u, out=part)
+            gates = part[:2]
+            gates -= own[:2]
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
+            np.multiply(part[1], part[2], out=n)
+            n += own[2]
+            np.tanh(n, out=n)
+            np.subtract(h, n, out=new)
+            new *= part[0]
+            new += n
+    return states, parts, candidates
 
 
 def _step(p: Parameters, h: np.ndarray, symbols: np.ndarray):
     """One step for a batch: (new state, update gate, reset gate, candidate, its recurrent part)."""
-    k = h.shape[1]
-    a = h @ p["u"]
-    x = p["g"][symbols]
-    gates = _sigmoid(x[:, :2 * k] + a[:, :2 * k])
-    z, r = gates[:, :k], gates[:, k:]
-    n = np.tanh(x[:, 2 * k:] + r * a[:, 2 * k:])
-    return n + z * (h - n), z, r, n, a[:, 2 * k:]
+    states, parts, n = _unroll(p, h, symbols[None, :], _Space())
+    return states[1], parts[0, 0], parts[0, 1], n[0], parts[0, 2]
+
+
+#: Exponentials of logits up to this size are far from overflow and from vanishing.
+SAFE = 60.0
+
+
+class _Softmax:
+    """Logits of a batch, cut into rows that begin at starts, as exponentials. Rows are
+    lowered by their maximum only if a logit is too large to do without."""
+
+    def __init__(self, logits: np.ndarray, starts: np.ndarray, widths: np.ndarray, at: np.ndarray):
+        if logits.size and not (logits.max() < SAFE and logits.min() > -SAFE):
+            logits -= np.repeat(np.maximum.reduceat(logits, starts), widths)
+        self.target = starts + at
+        own = logits[self.target]
+        self.values = np.exp(logits, out=logits)
+        self.sums = np.add.reduceat(self.values, starts) if len(starts) else own
+        self.logs = own - np.log(self.sums)
 
+    def less_targets(self) -> np.ndarray:
+        """Sums times the gradients of the loss by the logits."""
+        self.values[self.target] -= self.sums
+        return self.values
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
 
+class _Output:
+    """States and their targets in the order of the targets' classes."""
 
-def _by_class(layout: Layout, targets: np.ndarray):
-    """(class, rows whose target is in it) for the classes that occur."""
-    label = layout.of[targets]
-    order = np.argsort(label, kind="stable")
-    edges = np.searchsorted(label[order], np.arange(layout.classes + 1))
-    for c in np.flatnonzero(np.diff(edges)):
-        yield c, order[edges[c]:edges[c + 1]]
+    def __init__(self, p: Parameters, layout: Layout, states: np.ndarray, targets: np.ndarray, space: _Space):
+        kind, label, n, c = states.dtype, layout.of[targets], len(targets), layout.classes
+        self.space = space
+        self.order = np.argsort(label.astype(np.uint16) if c < 65536 else label, kind="stable")
+        label, targets = label[self.order], targets[self.order]
+        self.rows = space("rows", n, states.shape[1] + 1, kind=kind)  # a column of ones for the biases
+        self.rows[:, :-1] = states[self.order]
+        self.rows[:, -1] = 1
+        self.class_weights = np.vstack([p["cw"], p["cb"]])
+        self.weights = np.concatenate([p["ow"], p["ob"][None, :]], out=space("weights", *self._shape(p), kind=kind))
+        logits = np.matmul(self.rows, self.class_weights, out=space("classes", n, c, kind=kind))
+        self.of_class = _Softmax(logits.reshape(-1), np.arange(n) * c, np.full(n, c), label)
+        widths = np.diff(layout.first)[label]
+        ends = np.cumsum(widths)
+        edges = np.searchsorted(label, np.arange(c + 1)).tolist()
+        logits = space("inside", int(widths.sum()), kind=kind)
+        self.parts, first, begin = [], layout.first.tolist(), 0  # rows of a class, its symbols, its logits
+        for a, b, lo, hi in zip(edges, edges[1:], first, first[1:]):
+            if a < b:
+                size = (b - a) * (hi - lo)
+                block = logits[begin:begin + size].reshape(b - a, hi - lo)
+                begin += size
+                np.matmul(self.rows[a:b], self.weights[:, lo:hi], out=block)
+                self.parts.append((a, b, lo, hi, block))
+        self.in_class = _Softmax(logits, ends - widths, widths, targets - layout.first[label])
 
+    @staticmethod
+    def _shape(p: Parameters) -> tuple[int, int]:
+        return p["ow"].shape[0] + 1, p["ow"].shape[1]
 
-def log_probabilities(p: Parameters, layout: Layout, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    def logs(self) -> np.ndarray:
+        """Natural logs of the targets' probabilities, in the order given."""
+        out = np.empty(len(self.order))
+        out[self.order] = self.of_class.logs.astype(float) + self.in_class.logs
+        return out
+
+    def gradients(self, scale: float) -> tuple[Parameters, np.ndarray]:
+        """Of the loss times scale: by the weights, and by the states in sorted order."""
+        kind, shape = self.rows.dtype, self.rows.shape
+        share = (scale / self.of_class.sums).astype(kind)[:, None]
+        scaled = np.multiply(self.rows, share, out=self.space("scaled", *shape, kind=kind))
+        d = self.of_class.less_targets().reshape(len(self.rows), -1)
+        by_class = scaled.T @ d
+        ds = np.matmul(d, self.class_weights[:-1].T, out=self.space("by state", shape[0], shape[1] - 1, kind=kind))
+        ds *= share
+        share = (scale / self.in_class.sums).astype(kind)[:, None]
+        self.in_class.less_targets()
+        np.multiply(self.rows, share, out=scaled)
+        inside = self.space("by state inside", *ds.shape, kind=kind)
+        by_symbol, weights = self.space("by symbol", *self.weights.shape, kind=kind), self.weights[:-1]
+        by_symbol[:] = 0
+        for a, b, lo, hi, d in self.parts:
+            by_symbol[:, lo:hi] = scaled[a:b].T @ d
+            np.matmul(d, weights[:, lo:hi].T, out=inside[a:b])
+        inside *= share
+        ds += inside
+        return {"cw": by_class[:-1], "cb": by_class[-1], "ow": by_symbol[:-1], "ob": by_symbol[-1]}, ds
+
+
+def log_probabilities(p: Parameters, layout: Layout, states: np.ndarray, targets: np.ndarray,
+                      space: _Space | None = None) -> np.ndarray:
     """Natural log of the probability of each target symbol after each state."""
-    rows = np.arange(len(targets))
-    out = _log_softmax(states @ p["cw"] + p["cb"])[rows, layout.of[targets]].astype(float)
-    for c, at in _by_class(layout, targets):
-        lo, hi = layout.first[c], layout.first[c + 1]
-        if hi - lo > 1:
-            inside = _log_softmax(states[at] @ p["ow"][:, lo:hi] + p["ob"][lo:hi])
-            out[at] += inside[np.arange(len(at)), targets[at] - lo]
-    return out
-
-
-def score(p: Parameters, layout: Layout, texts: list[np.ndarray], first: int, window: int = 64,
-          batch: int = 512) -> np.ndarray:
-    """Natural log probability of each whole symbol sequence. Sequences of like
-    length run together; their state goes on from window to window."""
-    total = np.zeros(len(texts))
-    hidden = p["u"].shape[0]
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    for at in range(0, len(order), batch):
-        group = order[at:at + batch]
-        lengths = np.array([len(texts[i]) for i in group])
-        h = np.zeros((len(group), hidden), np.float32)
-        before = np.full(len(group), first, np.int64)
-        for begin in range(0, int(lengths.max(initial=0)), window):
-            alive = int((lengths > begin).sum())  # lengths descend
-            h, before = h[:alive], before[:alive]
-            width = min(window, int(lengths[0]) - begin)
-            block = np.zeros((alive, width), np.int64)
-            left = np.minimum(lengths[:alive] - begin, width)
-            for k in range(alive):
-                block[k, :left[k]] = texts[group[k]][begin:begin + left[k]]
-            states = np.empty((width, alive, hidden), np.float32)
-            for t in range(width):
-                h = _step(p, h, before)[0] if t == 0 else _step(p, h, block[:, t - 1])[0]
-                states[t] = h
-            before = block[:, -1].copy()
-            # every state has read the symbols before its target
-            t_at, k_at = np.nonzero(np.arange(width)[:, None] < left[None, :])
-            logs = log_probabilities(p, layout, states[t_at, k_at], block[k_at, t_at])
-            total[group[:alive]] += np.bincount(k_at, logs, alive)
+    return _Output(p, layout, states, targets, space or _Space()).logs()
+
+
+def _windows(texts: list[np.ndarray], lanes: int, window: int):
+    """Texts dealt to lanes, the longest first; a lane takes its next text at the window
+    after the end of its last one. Per window: the lanes' texts, which of the lanes
+    before go on (they come first), symbols and their use (time x lanes)."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    symbols = np.concatenate([*texts, np.zeros(1, np.int64)])
+    starts = np.cumsum(lengths) - lengths
+    waiting = np.argsort(-lengths, kind="stable")[:np.count_nonzero(lengths)]
+    own, at = waiting[:0], np.zeros(0, np.int64)
+    while True:
+        on = np.flatnonzero(at < lengths[own])
+        fresh, waiting = np.split(waiting, [lanes - len(on)])
+        own, at = np.concatenate([own[on], fresh]), np.concatenate([at[on], np.zeros(len(fresh), np.int64)])
+        if not len(own):
+            return
+        left = np.minimum(lengths[own] - at, window)
+        time = np.arange(left.max())[:, None]
+        used = time < left
+        yield own, on, np.take(symbols, (starts[own] + at + time) * used) * used, used
+        at += window
+
+
+def _go_on(h: np.ndarray, before: np.ndarray, on: np.ndarray, lanes: int, first: int):
+    """States and last symbols of the lanes that go on, and those of fresh ones."""
+    states, symbols = np.zeros((lanes, h.shape[1]), h.dtype), np.full(lanes, first, np.int64)
+    states[:len(on)], symbols[:len(on)] = h[on], before[on]
+    return states, symbols
+
+
+def score(p: Parameters, layout: Layout, texts: list[np.ndarray], first: int, window: int = 32,
+          batch: int = 96) -> np.ndarray:
+    """Natural log probability of each whole symbol sequence. Sequences run side by
+    side; their state goes on from window to window."""
+    total, space = np.zeros(len(texts)), _Space()
+    h, before = np.zeros((0, p["u"].shape[0]), np.float32), np.zeros(0, np.int64)
+    for own, on, block, used in _windows(texts, batch, window):
+        h, before = _go_on(h, before, on, len(own), first)
+        # every state has read the symbols before its target
+        states = _unroll(p, h, np.vstack([before[None, :], block[:-1]]), space, keep=False)[0]
+        h, before = states[-1], block[-1]
+        t_at, k_at = np.nonzero(used)
+        logs = log_probabilities(p, layout, states[1:][t_at, k_at], block[t_at, k_at], space)
+        total[own] += np.bincount(k_at, logs, len(own))
     return total
 
 
+class _Seen:
+    """The symbols of a window and the places of each."""
+
+    FEW = 12  # rows of a symbol that are added along with those of other symbols
+
+    def __init__(self, symbols: np.ndarray, known: int):
+        flat = symbols.ravel()
+        self.order = np.argsort(flat.astype(np.uint16) if known <= 65536 else flat, kind="stable")
+        flat = flat[self.order]
+        self.begin = np.flatnonzero(np.diff(flat, prepend=-1))
+        self.rows = flat[self.begin]
+
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Rows of x summed by symbol: the first, second, ... row of all symbols that have
+        one, and the rest of the frequent ones at once."""
+        times = np.diff(self.begin, append=len(self.order))
+        by_times = np.argsort(-times, kind="stable")
+        times, begin = times[by_times], self.begin[by_times]
+        out = x[self.order[begin]]
+        for n in range(1, self.FEW):
+            some = int(np.searchsorted(-times, -n))  # with more than n rows
+            if not some:
+                break
+            out[:some] += x[self.order[begin[:some] + n]]
+        for i in range(int(np.searchsorted(-times, -self.FEW))):
+            out[i] += x[self.order[begin[i] + self.FEW:begin[i] + times[i]]].sum(axis=0)
+        back = np.empty_like(by_times)
+        back[by_times] = np.arange(len(by_times))
+        return out[back]
+
+
+def _back(p: Parameters, layout: Layout, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
+          used: np.ndarray, seen: _Seen, space: _Space) -> tuple[Parameters, np.ndarray, float]:
+    """As gradients, with "g" for the rows of the seen symbols only."""
+    (steps, batch), k, kind = inputs.shape, h.shape[1], h.dtype
+    states, parts, n = _unroll(p, h, inputs, space)
+    at = np.flatnonzero(used.ravel())
+    out = _Output(p, layout, states[1:].reshape(-1, k)[at], targets.ravel()[at], space)
+    loss = -float(out.logs().sum())
+    grad, ds = out.gradients(1 / max(1, len(at)))
+    into, whole = space("into", steps * batch, k, kind=kind), (steps, batch, k)
+    into[:] = 0
+    into[at[out.order]] = ds
+    into = into.reshape(whole)
+    # what a state's gradient is multiplied by on its way to gates and candidates
+    z, r, inner, before = parts[:, 0], parts[:, 1], parts[:, 2], states[:-1]
+    to_n, to_z, to_r = (space(name, *whole, kind=kind) for name in ("to n", "to z", "to r"))
+    spare = space("spare", *whole, kind=kind)
+    np.subtract(1, z, out=to_n)
+    np.subtract(before, n, out=to_z)
+    to_z *= z
+    to_z *= to_n
+    np.multiply(n, n, out=spare)
+    np.subtract(1, spare, out=spare)
+    to_n *= spare
+    np.subtract(1, r, out=to_r)
+    to_r *= r
+    to_r *= inner
+    dn, da = space("dn", *whole, kind=kind), space("da", steps, batch, 3 * k, kind=kind)
+    dh, through, back = np.zeros((batch, k), kind), np.empty((batch, k), kind), p["u"].T.copy()
+    for t in range(steps - 1, -1, -1):
+        d, a = dn[t], da[t]
+        dh += into[t]
+        np.multiply(dh, to_n[t], out=d)
+        np.multiply(dh, to_z[t], out=a[:, :k])
+        np.multiply(d, to_r[t], out=a[:, k:2 * k])
+        np.multiply(d, r[t], out=a[:, 2 * k:])
+        np.matmul(a, back, out=through)
+        dh *= z[t]
+        dh += through
+    grad["u"] = before.reshape(-1, k).T @ da.reshape(-1, 3 * k)
+    da[..., 2 * k:] = dn
+    grad["g"] = seen.sums(da.reshape(-1, 3 * k))
+    return grad, states[-1], loss
+
+
 def gradients(p: Parameters, layout: Layout, h: np.ndarray, inputs: np.ndarray, targets: np.ndarray,
               used: np.ndarray) -> tuple[Parameters, np.ndarray, float]:
     """Back through one window (time x batch) that starts in state h: gradients of the
     mean loss over used places, last state, summed loss."""
-    steps, batch = inputs.shape
-    hidden = h.shape[1]
-    trace, states = [], np.empty((steps, batch, hidden), np.float32)
-    for t in range(steps):
-        new, z, r, n, a = _step(p, h, inputs[t])
-        trace.append((h, z, r, n, a))
-        states[t] = h = new
-    grad = {k: np.zeros_like(v) for k, v in p.items()}
-    at = np.flatnonzero(used.ravel())
-    s, y = states.reshape(-1, hidden)[at], targets.ravel()[at]
-    scale = np.float32(1 / max(1, len(at)))
-    logs = _log_softmax(s @ p["cw"] + p["cb"])
-    rows, label = np.arange(len(y)), layout.of[y]
-    loss = -float(logs[rows, label].sum())
-    d = np.exp(logs)
-    d[rows, label] -= 1
-    d *= scale
-    grad["cw"], grad["cb"] = s.T @ d, d.sum(axis=0)
-    ds = d @ p["cw"].T
-    for c, pick in _by_class(layout, y):
-        lo, hi = layout.first[c], layout.first[c + 1]
-        if hi - lo == 1:
-            continue
-        logs = _log_softmax(s[pick] @ p["ow"][:, lo:hi] + p["ob"][lo:hi])
-        k, inner = np.arange(len(pick)), y[pick] - lo
-        loss -= float(logs[k, inner].sum())
-        d = np.exp(logs)
-        d[k, inner] -= 1
-        d *= scale
-        grad["ow"][:, lo:hi], grad["ob"][lo:hi] = s[pick].T @ d, d.sum(axis=0)
-        ds[pick] += d @ p["ow"][:, lo:hi].T
-    into = np.zeros((steps * batch, hidden), np.float32)
-    into[at] = ds
-    into = into.reshape(steps, batch, hidden)
-    dh = np.zeros((batch, hidden), np.float32)
-    dx = np.empty((steps, batch, 3 * hidden), np.float32)
-    for t in range(steps - 1, -1, -1):
-        h0, z, r, n, a = trace[t]
-        dh = dh + into[t]
-        dn = dh * (1 - z) * (1 - n * n)
-        dx[t, :, :hidden] = dh * (h0 - n) * z * (1 - z)
-        dx[t, :, hidden:2 * hidden] = dn * a * r * (1 - r)
-        dx[t, :, 2 * hidden:] = dn
-        da = dx[t].copy()
-        da[:, 2 * hidden:] *= r
-        grad["u"] += h0.T @ da
-        dh = dh * z + da @ p["u"].T
-    flat, gathered = inputs.ravel(), dx.reshape(-1, 3 * hidden)
-    order = np.argsort(flat, kind="stable")
-    seen, begin = np.unique(flat[order], return_index=True)
-    grad["g"][seen] = np.add.reduceat(gathered[order], begin, axis=0)
+    seen = _Seen(inputs, len(p["g"]))
+    grad, h, loss = _back(p, layout, h, inputs, targets, used, seen, _Space())
+    rows, grad["g"] = grad["g"], np.zeros_like(p["g"])
+    grad["g"][seen.rows] = rows
     return grad, h, loss
 
 
 class Adam:
+    """Symbols that a window does not read have no gradient, but the steps that their
+    fading means still call for. These are summed as one factor a symbol and made
+    when the symbol is next read (``settle``), so a step costs by what the window
+    reads, not by the vocabulary."""
+
+    MEAN, SQUARE, LEAST, BLOCK = 0.9, 0.999, 1e-7, 16384
+
     def __init__(self, p: Parameters, rate: float):
         self.rate, self.t = rate, 0
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
-        self.spare = {k: np.empty_like(v) for k, v in p.items()}
+        self.pace = np.zeros_like(p["g"])  # mean over root at the last own step
+        rows = len(p["g"])
+        self.age, self.fade, self.owed = np.zeros(rows), np.ones(rows), np.zeros(rows)
+
+    def settle(self, p: Parameters, rows=slice(None)) -> None:
+        """Makes the steps these symbols are owed."""
+        p["g"][rows] -= self.pace[rows] * self.owed[rows].astype(self.pace.dtype)[:, None]
+        self.owed[rows] = 0
+
+    def _step(self, m: np.ndarray, v: np.ndarray, g: np.ndarray, x: np.ndarray, fix, shrink) -> np.ndarray:
+        """m and v faded already; the mean over the root, times fix."""
+        np.multiply(g, shrink * (1 - self.MEAN), out=x)
+        m += x
+        np.multiply(x, x, out=x)
+        x *= (1 - self.SQUARE) / (1 - self.MEAN) ** 2
+        v += x
+        np.sqrt(v, out=x)
+        x += self.LEAST
+        np.divide(m, x, out=x)
+        if fix != 1:
+            x *= fix
+        return x
 
-    def apply(self, p: Parameters, grad: Parameters, clip: float = 1.0) -> None:
-        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
-        shrink = np.float32(min(1.0, clip / (norm + 1e-9)))
+    def apply(self, p: Parameters, grad: Parameters, rows: np.ndarray, clip: float = 1.0) -> None:
+        """grad["g"] is of these symbols' rows, which are settled."""
+        norm = float(np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values())))
+        shrink = min(1.0, clip / (norm + 1e-9))
         self.t += 1
-        fix = np.float32(self.rate * np.sqrt(1 - 0.999 ** self.t) / (1 - 0.9 ** self.t))
+        fix = float(self.rate * np.sqrt(1 - self.SQUARE ** self.t) / (1 - self.MEAN ** self.t))
+        spare = np.empty(self.BLOCK, p["u"].dtype)
         for k, g in grad.items():
-            m, v, x = self.m[k], self.v[k], self.spare[k]  # in place: no new arrays per step
-            g = g * shrink
-            np.subtract(g, m, out=x)
-            x *= np.float32(0.1)
-            m += x
-            np.multiply(g, g, out=x)
-            x -= v
-            x *= np.float32(0.001)
-            v += x
-            np.sqrt(v, out=x)
-            x += np.float32(1e-7)
-            np.divide(fix * m, x, out=x)
-            p[k] -= x
+            if k == "g":
+                continue
+            flat = [a.reshape(-1) for a in (self.m[k], self.v[k], g, p[k])]
+            for at in range(0, flat[0].size, self.BLOCK):  # blocks that stay in the cache
+                m, v, g, w = (a[at:at + self.BLOCK] for a in flat)
+                m *= self.MEAN
+                v *= self.SQUARE
+                w -= self._step(m, v, g, spare[:len(m)], fix, shrink)
+        self.age += 1
+        self.fade *= self.MEAN / np.sqrt(self.SQUARE)
+        self.owed += fix * self.fade
+        age, kind = self.age[rows], self.pace.dtype
+        m = self.m["g"][rows] * (self.MEAN ** age).astype(kind)[:, None]
+        v = self.v["g"][rows] * (self.SQUARE ** age).astype(kind)[:, None]
+        pace = self._step(m, v, grad["g"], np.empty_like(m), 1, shrink)
+        self.m["g"][rows], self.v["g"][rows], self.pace[rows] = m, v, pace
+        pace *= fix
+        p["g"][rows] -= pace
+        self.age[rows], self.fade[rows], self.owed[rows] = 0, 1, 0
 
 
 def train(p: Parameters, layout: Layout, texts: list[np.ndarray], first: int, optimiser: Adam,
           window: int = 24, batch: int = 96) -> tuple[float, int]:
     """One pass over the texts with truncated backpropagation; (loss, symbols)."""
-    loss = symbols = 0.0
-    hidden = p["u"].shape[0]
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    for at in range(0, len(order), batch):
-        group = order[at:at + batch]
-        lengths = np.array([len(texts[i]) for i in group])
-        h = np.zeros((len(group), hidden), np.float32)
-        before = np.full(len(group), first, np.int64)
-        for begin in range(0, int(lengths.max(initial=0)), window):
-            alive = int((lengths > begin).sum())
-            h, before = h[:alive], before[:alive]
-            width = min(window, int(lengths[0]) - begin)
-            block = np.zeros((width, alive), np.int64)
-            left = np.minimum(lengths[:alive] - begin, width)
-            for k in range(alive):
-                block[:left[k], k] = texts[group[k]][begin:begin + left[k]]
-            inputs = np.vstack([before[None, :], block[:-1]])
-            used = np.arange(width)[:, None] < left[None, :]
-            grad, h, lost = gradients(p, layout, h, inputs, block, used)
-            optimiser.apply(p, grad)
-            before = block[-1].copy()
-            loss, symbols = loss + lost, symbols + int(used.sum())
-    return loss, int(symbols)
+    loss, symbols, space = 0.0, 0, _Space()
+    h, before = np.zeros((0, p["u"].shape[0]), np.float32), np.zeros(0, np.int64)
+    for _, on, block, used in _windows(texts, batch, window):
+        h, before = _go_on(h, before, on, block.shape[1], first)
+        inputs = np.vstack([before[None, :], block[:-1]])
+        seen = _Seen(inputs, len(p["g"]))
+        optimiser.settle(p, seen.rows)
+        grad, h, lost = _back(p, layout, h, inputs, block, used, seen, space)
+        optimiser.apply(p, grad, seen.rows)
+        before = block[-1]
+        loss, symbols = loss + lost, symbols + int(used.sum())
+    optimiser.settle(p)
+    return loss, symbols

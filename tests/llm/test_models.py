@@ -179,6 +179,64 @@ def test_training_beats_counts():
     assert recurrent.score(p, layout, texts[:1], 0)[0] > before / 2
 
 
+def test_windows_read_every_symbol_once_and_lanes_stay_full():
+    """A long text keeps one lane; the short ones share the others instead of waiting for its end."""
+    texts = [np.arange(1, 41) % 9, *(np.array([1, 2, 3, i % 9]) for i in range(30))]
+    read, last, count = [[] for _ in texts], np.zeros(0, int), 0
+    for own, on, block, used in recurrent._windows(texts, 4, 4):
+        assert (own[:len(on)] == last[on]).all() and len(own) <= 4
+        for k, i in enumerate(own):
+            read[i] += block[used[:, k], k].tolist()
+        last, count = own, count + 1
+    assert [t.tolist() for t in texts] == read
+    assert count == 10  # 17 when a group of texts ended before the next one began
+    layout, p = small_model(np.float32)
+    optimiser = recurrent.Adam(p, 0.02)
+    assert recurrent.train(p, layout, texts, 0, optimiser, window=4, batch=4)[1] == 160 and optimiser.t == 10
+    assert list(recurrent._windows([], 4, 4)) == []
+
+
+def test_steps_of_unread_symbols_are_made_up_for():
+    """As Adam over all rows in every step."""
+    p = small_model()[1]
+    plain, rng = {k: v.copy() for k, v in p.items()}, np.random.default_rng(3)
+    m, v = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
+    optimiser = recurrent.Adam(p, 0.01)
+    for t in range(1, 41):
+        rows = np.sort(rng.choice(9, 3, replace=False))
+        grad = {k: rng.normal(size=x.shape) for k, x in p.items()}
+        whole = {k: g * 1.0 for k, g in grad.items()}
+        whole["g"][np.setdiff1d(np.arange(9), rows)] = 0
+        optimiser.settle(p, rows)
+        assert np.allclose(p["g"][rows], plain["g"][rows], atol=1e-6)
+        optimiser.apply(p, {**grad, "g": grad["g"][rows]}, rows)
+        shrink = min(1, 1 / np.sqrt(sum((g * g).sum() for g in whole.values())))
+        for k, g in whole.items():
+            m[k] = 0.9 * m[k] + 0.1 * shrink * g
+            v[k] = 0.999 * v[k] + 0.001 * (shrink * g) ** 2
+            rate = 0.01 * np.sqrt(1 - 0.999 ** t) / (1 - 0.9 ** t)
+            plain[k] -= rate * m[k] / (np.sqrt(v[k]) + 1e-7)
+    optimiser.settle(p)
+    assert all(np.allclose(p[k], plain[k], atol=1e-6) for k in p)
+
+
+def test_sums_by_symbol():
+    symbols = np.array([[3, 3, 1], [0, 3, 3]] * 9)
+    x = np.random.default_rng(4).normal(size=(symbols.size, 5))
+    seen = recurrent._Seen(symbols, 9)
+    assert seen.rows.tolist() == [0, 1, 3]
+    assert np.allclose(seen.sums(x), [x[symbols.ravel() == s].sum(axis=0) for s in (0, 1, 3)])
+
+
+def test_large_logits_give_probabilities():
+    layout, p = small_model(np.float32)
+    p["cw"] *= 1e5
+    p["ow"] *= 1e5
+    h = np.random.default_rng(1).normal(size=(1, 4)).astype(np.float32)
+    each = recurrent.log_probabilities(p, layout, np.repeat(h, 9, 0), np.arange(9))
+    assert np.exp(each).sum() == pytest.approx(1, abs=1e-5)
+
+
 def brute(rows):
     tokens = [(r["doc_id"], [*(r["text"] or "").encode().lower().split(), None]) for r in rows]
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
