@@ -1,6 +1,7 @@
 """A gated recurrent language model in numpy: class-factored softmax, truncated
-backpropagation, state carried across windows. Texts run side by side in lanes; a lane
-takes the next text when its own has ended, so that windows stay full."""
+backpropagation, state carried across windows. Texts run side by side in lanes. Scores
+do not depend on it, so there a lane takes the next text when its own has ended;
+training takes a group of like length at a time."""
 
 from __future__ import annotations
 
@@ -324,16 +325,20 @@ class Adam:
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
         self.pace = np.zeros_like(p["g"])  # mean over root at the last own step
+        self.late = np.zeros_like(p["g"])  # by how much it falls as LEAST gains on the fading root
         rows = len(p["g"])
-        self.age, self.fade, self.owed = np.zeros(rows), np.ones(rows), np.zeros(rows)
+        self.age, self.fade, self.gain = np.zeros(rows), np.ones(rows), np.ones(rows)
+        self.owed, self.less = np.zeros(rows), np.zeros(rows)  # factors of pace and late
 
     def settle(self, p: Parameters, rows=slice(None)) -> None:
         """Makes the steps these symbols are owed."""
-        p["g"][rows] -= self.pace[rows] * self.owed[rows].astype(self.pace.dtype)[:, None]
-        self.owed[rows] = 0
+        kind = self.pace.dtype
+        p["g"][rows] -= (self.pace[rows] * self.owed[rows].astype(kind)[:, None]
+                         - self.late[rows] * self.less[rows].astype(kind)[:, None])
+        self.owed[rows], self.less[rows] = 0, 0
 
-    def _step(self, m: np.ndarray, v: np.ndarray, g: np.ndarray, x: np.ndarray, fix, shrink) -> np.ndarray:
-        """m and v faded already; the mean over the root, times fix."""
+    def _root(self, m: np.ndarray, v: np.ndarray, g: np.ndarray, x: np.ndarray, shrink: float) -> np.ndarray:
+        """Adds the gradient to m and v, which have faded already."""
         np.multiply(g, shrink * (1 - self.MEAN), out=x)
         m += x
         np.multiply(x, x, out=x)
@@ -341,9 +346,6 @@ class Adam:
         v += x
         np.sqrt(v, out=x)
         x += self.LEAST
-        np.divide(m, x, out=x)
-        if fix != 1:
-            x *= fix
         return x
 
     def apply(self, p: Parameters, grad: Parameters, rows: np.ndarray, clip: float = 1.0) -> None:
@@ -361,33 +363,45 @@ class Adam:
                 m, v, g, w = (a[at:at + self.BLOCK] for a in flat)
                 m *= self.MEAN
                 v *= self.SQUARE
-                w -= self._step(m, v, g, spare[:len(m)], fix, shrink)
+                x = self._root(m, v, g, spare[:len(m)], shrink)
+                np.divide(m, x, out=x)
+                x *= fix
+                w -= x
         self.age += 1
         self.fade *= self.MEAN / np.sqrt(self.SQUARE)
+        self.gain /= np.sqrt(self.SQUARE)
         self.owed += fix * self.fade
+        self.less += fix * self.fade * (self.gain - 1)
         age, kind = self.age[rows], self.pace.dtype
         m = self.m["g"][rows] * (self.MEAN ** age).astype(kind)[:, None]
         v = self.v["g"][rows] * (self.SQUARE ** age).astype(kind)[:, None]
-        pace = self._step(m, v, grad["g"], np.empty_like(m), 1, shrink)
+        root = self._root(m, v, grad["g"], np.empty_like(m), shrink)
+        pace = m / root
         self.m["g"][rows], self.v["g"][rows], self.pace[rows] = m, v, pace
+        np.divide(self.LEAST, root, out=root)
+        root *= pace
+        self.late[rows] = root
         pace *= fix
         p["g"][rows] -= pace
-        self.age[rows], self.fade[rows], self.owed[rows] = 0, 1, 0
+        self.age[rows], self.fade[rows], self.gain[rows] = 0, 1, 1
+        self.owed[rows], self.less[rows] = 0, 0
 
 
 def train(p: Parameters, layout: Layout, texts: list[np.ndarray], first: int, optimiser: Adam,
           window: int = 24, batch: int = 96) -> tuple[float, int]:
     """One pass over the texts with truncated backpropagation; (loss, symbols)."""
     loss, symbols, space = 0.0, 0, _Space()
-    h, before = np.zeros((0, p["u"].shape[0]), np.float32), np.zeros(0, np.int64)
-    for _, on, block, used in _windows(texts, batch, window):
-        h, before = _go_on(h, before, on, block.shape[1], first)
-        inputs = np.vstack([before[None, :], block[:-1]])
-        seen = _Seen(inputs, len(p["g"]))
-        optimiser.settle(p, seen.rows)
-        grad, h, lost = _back(p, layout, h, inputs, block, used, seen, space)
-        optimiser.apply(p, grad, seen.rows)
-        before = block[-1]
-        loss, symbols = loss + lost, symbols + int(used.sum())
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    for at in range(0, len(order), batch):
+        h, before = np.zeros((0, p["u"].shape[0]), np.float32), np.zeros(0, np.int64)
+        for _, on, block, used in _windows([texts[i] for i in order[at:at + batch]], batch, window):
+            h, before = _go_on(h, before, on, block.shape[1], first)
+            inputs = np.vstack([before[None, :], block[:-1]])
+            seen = _Seen(inputs, len(p["g"]))
+            optimiser.settle(p, seen.rows)
+            grad, h, lost = _back(p, layout, h, inputs, block, used, seen, space)
+            optimiser.apply(p, grad, seen.rows)
+            before = block[-1]
+            loss, symbols = loss + lost, symbols + int(used.sum())
     optimiser.settle(p)
     return loss, symbols

@@ -189,10 +189,10 @@ def test_windows_read_every_symbol_once_and_lanes_stay_full():
             read[i] += block[used[:, k], k].tolist()
         last, count = own, count + 1
     assert [t.tolist() for t in texts] == read
-    assert count == 10  # 17 when a group of texts ended before the next one began
+    assert count == 10  # 17 when a group of texts ends before the next one begins, as in training
     layout, p = small_model(np.float32)
     optimiser = recurrent.Adam(p, 0.02)
-    assert recurrent.train(p, layout, texts, 0, optimiser, window=4, batch=4)[1] == 160 and optimiser.t == 10
+    assert recurrent.train(p, layout, texts, 0, optimiser, window=4, batch=4)[1] == 160 and optimiser.t == 17
     assert list(recurrent._windows([], 4, 4)) == []
 
 
